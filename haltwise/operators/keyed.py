@@ -30,13 +30,16 @@ def with_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.filter(test)
 
 
-def merge_by_key(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+def merge_by_key(
+    target: DataFrame, source: DataFrame, keys: list[str], gone: DataFrame | None = None
+) -> DataFrame:
     """Target with every source row inserted or put in place of its key's old row(s).
 
     `source` holds whole keys: one row per key, or all rows of a key that has many.
+    `gone` may name the replaced keys when that is cheaper to read than `source`.
     """
-    gone = source.select(*keys).distinct()
-    return target.join(gone, keys, "left_anti").unionByName(source, allowMissingColumns=True)
+    replaced = (source if gone is None else gone).select(*keys).distinct()
+    return target.join(replaced, keys, "left_anti").unionByName(source, allowMissingColumns=True)
 
 
 def exclude_files(listing: DataFrame, processed: DataFrame) -> DataFrame:

@@ -100,9 +100,9 @@ def journey_call(
     )
 
 
-def call_apc(calls: DataFrame) -> DataFrame:
+def call_apc(calls: DataFrame, dated: bool = False) -> DataFrame:
     """Passenger counts; null where the source does not count."""
-    return publish(calls, "journey_call_apc")
+    return publish(calls, "journey_call_apc", dated)
 
 
 def _delays() -> dict[str, Column]:
@@ -115,11 +115,12 @@ def _delays() -> dict[str, Column]:
     return out
 
 
-def call_delay(calls: DataFrame) -> DataFrame:
-    return publish(calls.withColumns(_delays()), "journey_call_delay")
+def call_delay(calls: DataFrame, dated: bool = False) -> DataFrame:
+    """Delay in seconds and minutes and its punctuality class, both ways."""
+    return publish(calls.withColumns(_delays()), "journey_call_delay", dated)
 
 
-def call_statistics(calls: DataFrame) -> DataFrame:
+def call_statistics(calls: DataFrame, dated: bool = False) -> DataFrame:
     """Punctuality codes, first/last stop, and how much of the call was detected."""
     cols = {
         "IsFirstStop": t.is_first_stop_col("SequenceNumber"),
@@ -138,16 +139,19 @@ def call_statistics(calls: DataFrame) -> DataFrame:
         for prefix in ("", "Target"):
             cols[f"{prefix}{way}PunctualityCode"] = t.punctuality_code_col(delay)
             cols[f"{prefix}{way}PunctualityText"] = t.punctuality_col(delay)
-    return publish(calls.withColumns(cols), "journey_call_statistics")
+    return publish(calls.withColumns(cols), "journey_call_statistics", dated)
 
 
-def call_durations(calls: DataFrame, splits: Splits | None = None) -> DataFrame:
+def call_durations(
+    calls: DataFrame, splits: Splits | None = None, dated: bool = False
+) -> DataFrame:
     """Stop and run durations, their running totals, and link speed."""
     key = ["_journey"]
     seq = ["SequenceNumber"]
     clocks = with_journey(calls).select(
         "_journey",
         *KEY,
+        "OperatingDate",
         "Coord_Latitude",
         "Coord_Longitude",
         "ArrivalDelaySeconds",
@@ -207,10 +211,11 @@ def call_durations(calls: DataFrame, splits: Splits | None = None) -> DataFrame:
             }
         ),
         "journey_call_stop_and_link_duration",
+        dated,
     )
 
 
-def call_cancelled(calls: DataFrame, journeys: DataFrame) -> DataFrame:
+def call_cancelled(calls: DataFrame, journeys: DataFrame, dated: bool = False) -> DataFrame:
     """Whether the call or its whole journey was cancelled."""
     flagged = (
         journeys.filter(F.col("_is_cancelled") & F.col("DVJId").isNotNull())
@@ -218,7 +223,7 @@ def call_cancelled(calls: DataFrame, journeys: DataFrame) -> DataFrame:
         .distinct()
     )
     return publish(
-        calls.select(*KEY)
+        calls.select(*KEY, "OperatingDate")
         .join(flagged, "DVJId", "left")
         .withColumns(
             {
@@ -227,17 +232,21 @@ def call_cancelled(calls: DataFrame, journeys: DataFrame) -> DataFrame:
             }
         ),
         "journey_call_cancelled_or_journey",
+        dated,
     )
 
 
-def call_deviation(calls: DataFrame) -> DataFrame:
+def call_deviation(calls: DataFrame, dated: bool = False) -> DataFrame:
     """Deviation case columns, all unknown to the feeds."""
     unknown = {name: F.lit(None).cast("string") for name in DEVIATION_NAMES.split()}
-    return publish(calls.select(*KEY).withColumns(unknown), "journey_call_deviation_on")
+    return publish(
+        calls.select(*KEY, "OperatingDate").withColumns(unknown), "journey_call_deviation_on", dated
+    )
 
 
-def call_missing_passage(calls: DataFrame) -> DataFrame:
-    return publish(calls.select(*KEY), "journey_call_missing_passage")
+def call_missing_passage(calls: DataFrame, dated: bool = False) -> DataFrame:
+    """Why a passage is missing, which the feeds do not tell."""
+    return publish(calls.select(*KEY, "OperatingDate"), "journey_call_missing_passage", dated)
 
 
 def call_extra(calls: DataFrame, keep_trip: bool = False) -> DataFrame:

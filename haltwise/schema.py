@@ -203,6 +203,7 @@ RUN_LOG = """run_id string, run_timestamp timestamp, operating_date date,
 CHECK_RESULT = """check_name string, check_level int, result string, metric_value double,
     threshold double, details string"""
 
+DATE = "OperatingDate"
 LINEAGE = "SourceFiles string, ProcessedTimestamp timestamp"
 STAGING_LINEAGE = "_run_id string, _parsed_timestamp timestamp"
 
@@ -235,17 +236,17 @@ class TableSpec:
         return [c for c in self.columns if c not in self.keys]
 
     @property
-    def storage_keys(self) -> list[str]:
-        """Key used on disk, where tables are laid out by operating date.
+    def stored_ddl(self) -> str:
+        """Columns on disk: the operating date, by which tables are laid out, is
+        added where the contract has none."""
+        return self.ddl if DATE in self.columns else f"{self.ddl}, {DATE} date"
 
-        A dated journey runs on one date, so adding the date does not change
-        which rows match; it lets an upsert touch only the dates it brings.
-        """
-        return list(self.keys) + (
-            ["OperatingDate"]
-            if "OperatingDate" in self.columns and "OperatingDate" not in self.keys
-            else []
-        )
+    @property
+    def storage_keys(self) -> list[str]:
+        """Key used on disk. A dated journey runs on one date, so adding the date
+        does not change which rows match; it lets an upsert touch only the dates
+        it brings."""
+        return list(self.keys) + ([] if DATE in self.keys else [DATE])
 
 
 @dataclass(frozen=True)
@@ -350,6 +351,10 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*out)
 
 
-def publish(df: DataFrame, table: str) -> DataFrame:
-    """Contract form of a table: registered columns, in order, registered types."""
-    return conform(df, TABLES[table].schema)
+def publish(df: DataFrame, table: str, dated: bool = False) -> DataFrame:
+    """Contract form of a table: registered columns, in order, registered types.
+
+    `dated` keeps the operating date for storage where the contract has none.
+    """
+    spec = TABLES[table]
+    return conform(df, struct(spec.stored_ddl) if dated else spec.schema)
