@@ -680,3 +680,353 @@ def sql_functions(spark, sf):
         FROM {staged}""",
         staged=staged,
     )
+
+
+# --- feeds -----------------------------------------------------------------
+
+
+def _trip_plan(spark, sf):
+    return (
+        enrich.dated_journey_ids(a.mapping(spark, sf)),
+        enrich.trip_dimension(
+            a.trips(spark, sf), a.routes(spark, sf), a.stops(spark, sf), a.stop_times(spark, sf)
+        ),
+    )
+
+
+@query(
+    "feed_calls",
+    o.with_relations(
+        ["raw_calls", "trips", "routes"],
+        f"""SELECT DVJId AS "JourneyNumber", SequenceNumber,
+        CASE WHEN DVJId::BIGINT % 17 <> 0 THEN {_GID} END AS "DVJId", OperatingDate,
+        dayname(OperatingDate) AS "OperatingWeekDay",
+        CASE WHEN l_partkey % 3 = 0 THEN l_suppkey::VARCHAR ELSE nullif(route_short_name, '') END
+            AS "LineNumber",
+        coalesce(DirectionNumber, direction_id) AS "DirectionNumber",
+        CASE WHEN l_partkey % 2 = 0 THEN 'bus ' || l_suppkey END AS "VehicleNumber",
+        stop_name AS "StopName", block_id AS "BlockNumber",
+        arr_delay::INTEGER AS "ArrivalDelaySeconds", dep_delay::INTEGER AS "DepartureDelaySeconds",
+        strftime({o.at('arr')}, '%H:%M:%S') AS "ObservedArrivalTime",
+        CASE WHEN arr_delay IS NOT NULL THEN strftime({o.at('due_arr')}, '%H:%M:%S') END
+            AS "TimetabledLatestArrivalTime",
+        CASE WHEN arr_delay IS NULL THEN 'SCHEDULED' ELSE 'ARRIVED' END AS "ArrivalStateName",
+        CASE WHEN dep_delay IS NULL THEN 1 ELSE 9 END AS "DepartureStateNumber",
+        'JPP_' || stop_id || '_' || SequenceNumber AS "JPPGid"
+        FROM raw_calls JOIN trips ON trip_id = DVJId LEFT JOIN routes USING (route_id)""",
+    ),
+)
+def feed_calls(spark, sf):
+    from haltwise import feed_adapters as fa
+    from haltwise.sources import feeds
+
+    updates = feeds.decode(fa.encode(fa.update_rows(spark, sf), "TripUpdates"), "TripUpdates")
+    ids, trips = _trip_plan(spark, sf)
+    return feeds.calls_from(updates, ids, trips, a.stops(spark, sf)).select(
+        "JourneyNumber", "SequenceNumber", "DVJId", "OperatingDate", "OperatingWeekDay",
+        "LineNumber", "DirectionNumber", "VehicleNumber", "StopName", "BlockNumber",
+        "ArrivalDelaySeconds", "DepartureDelaySeconds", "ObservedArrivalTime",
+        "TimetabledLatestArrivalTime", "ArrivalStateName", "DepartureStateNumber", "JPPGid",
+    )
+
+
+@query(
+    "feed_journeys",
+    o.with_relations(
+        ["raw_calls", "trips", "stop_times"],
+        f"""SELECT DVJId AS "JourneyNumber",
+        CASE WHEN DVJId::BIGINT % 17 <> 0 THEN {_GID} END AS "DVJId", OperatingDate,
+        CASE WHEN DVJId::BIGINT % 20 = 0 THEN true ELSE false END AS "_is_cancelled",
+        nullif(trip_headsign, '') AS "DestinationName",
+        strftime(OperatingDate, '%Y-%m-%d') || ' ' || e.dep AS "JourneyStartDateTime",
+        last_seq AS "JourneyLastStopSequenceNumber", '1' || DVJId AS "UsesJourneyPatternId"
+        FROM raw_calls JOIN trips ON trip_id = DVJId JOIN (
+            SELECT trip_id, max(stop_sequence) AS last_seq, min_by(
+                coalesce(nullif(departure_time, ''), arrival_time), stop_sequence * 1000000
+                + 3600 * split_part(coalesce(nullif(departure_time, ''), arrival_time), ':', 1)::INT
+                + 60 * split_part(coalesce(nullif(departure_time, ''), arrival_time), ':', 2)::INT
+                + split_part(coalesce(nullif(departure_time, ''), arrival_time), ':', 3)::INT) AS dep
+            FROM stop_times GROUP BY trip_id) e USING (trip_id)""",
+    ),
+)
+def feed_journeys(spark, sf):
+    from haltwise import feed_adapters as fa
+    from haltwise.sources import feeds
+
+    updates = feeds.decode(fa.encode(fa.update_rows(spark, sf), "TripUpdates"), "TripUpdates")
+    alerts = feeds.alerts_from(
+        feeds.decode(fa.encode(a.alerts(spark, sf), "ServiceAlerts"), "ServiceAlerts")
+    )
+    ids, trips = _trip_plan(spark, sf)
+    staged = enrich.flag_cancelled(feeds.journeys_from(updates, ids, trips), alerts)
+    return staged.select(
+        "JourneyNumber", "DVJId", "OperatingDate", "_is_cancelled", "DestinationName",
+        "JourneyStartDateTime", "JourneyLastStopSequenceNumber", "UsesJourneyPatternId",
+    )
+
+
+@query(
+    "feed_positions",
+    o.with_relations(
+        ["positions"],
+        f"""SELECT DVJId AS trip_id,
+        CASE WHEN DVJId::BIGINT % 17 <> 0 THEN {_GID} END AS "DVJId", vehicle_id,
+        round(latitude::REAL::DOUBLE, 5) AS latitude, round(longitude::REAL::DOUBLE, 5) AS longitude,
+        bearing, round(speed::REAL::DOUBLE * 3.6e0, 1) AS speed, t AS "timestamp", OperatingDate
+        FROM positions""",
+    ),
+)
+def feed_positions(spark, sf):
+    from haltwise import feed_adapters as fa
+    from haltwise.sources import feeds
+
+    vehicles = feeds.decode(
+        fa.encode(fa.vehicle_rows(spark, sf), "VehiclePositions"), "VehiclePositions"
+    )
+    ids = enrich.dated_journey_ids(a.mapping(spark, sf))
+    out = feeds.positions_from(vehicles, ids).select(
+        "trip_id", "DVJId", "vehicle_id", "latitude", "longitude", "bearing", "speed",
+        "timestamp", "OperatingDate",
+    )
+    return rounded(out, 5, "latitude", "longitude")
+
+
+@query(
+    "feed_alerts",
+    """SELECT o_orderkey::VARCHAR AS trip_id, 1 AS cause, CASE o_orderkey % 20 WHEN 0 THEN 1
+    WHEN 1 THEN 2 ELSE 7 END AS effect, 'effect ' || effect AS header FROM orders""",
+)
+def feed_alerts(spark, sf):
+    from haltwise import feed_adapters as fa
+    from haltwise.sources import feeds
+
+    files = fa.encode(a.alerts(spark, sf), "ServiceAlerts")
+    return feeds.alerts_from(feeds.decode(files, "ServiceAlerts")).select(
+        "trip_id", "cause", "effect", "header"
+    )
+
+
+@query(
+    "stream_increment",
+    """SELECT o_orderkey::VARCHAR AS "JourneyNumber", o_orderdate::DATE AS "OperatingDate",
+    (o_custkey % 700 - 100)::INTEGER AS "ArrivalDelaySeconds",
+    'bus ' || (o_custkey % 97) AS "VehicleNumber" FROM orders""",
+)
+def stream_increment(spark, sf):
+    """Feed files arrive as a stream, are staged set by set, and read back."""
+    from haltwise import feed_adapters as fa
+    from haltwise.plans.jobs import Schedule
+    from haltwise.plans.store import Store
+    from haltwise.session import fresh_dir
+    from haltwise.streaming.increment import run_increment
+
+    arriving = fresh_dir(a.settle(spark), "arriving")
+    fa.order_feeds(spark, sf).write.parquet(arriving)
+    plan = Schedule(
+        a.stops(spark, sf), a.routes(spark, sf), a.trips(spark, sf), a.stop_times(spark, sf),
+        a.shapes(spark, sf), a.mapping(spark, sf),
+    )
+    store = Store(spark, fresh_dir(spark, "store"), "month")
+    files = spark.readStream.schema(fa.FILES).parquet(arriving)
+    run_increment(store, files, plan, fresh_dir(spark, "progress")).awaitTermination()
+    return store.read("parsed_call").select(
+        "JourneyNumber", "OperatingDate", "ArrivalDelaySeconds", "VehicleNumber"
+    )
+
+
+# --- schedule files --------------------------------------------------------
+
+_STOP_TIMES = o.with_relations(
+    ["stop_times"],
+    """SELECT trip_id, arrival_time, nullif(departure_time, '') AS departure_time, stop_id,
+    stop_sequence, shape_dist_traveled FROM stop_times""",
+)
+_STOP_TIME_COLS = ["trip_id", "arrival_time", "departure_time", "stop_id", "stop_sequence",
+                   "shape_dist_traveled"]
+
+
+@query("schedule_scan", _STOP_TIMES)
+def schedule_scan(spark, sf):
+    """Stop times written as CSV and read back by header name."""
+    from haltwise.schema import STOP_TIME
+    from haltwise.session import fresh_dir
+    from haltwise.sources.schedule import read_csv
+
+    where = fresh_dir(a.settle(spark), "stop_times")
+    shuffled = a.stop_times(spark, sf).select(*sorted(_STOP_TIME_COLS))
+    shuffled.write.option("header", True).csv(where)
+    return read_csv(spark, where, STOP_TIME).select(*_STOP_TIME_COLS)
+
+
+@query("schedule_archive", _STOP_TIMES)
+def schedule_archive(spark, sf):
+    """Stop times packed into archives and unpacked again."""
+    from haltwise.feed_adapters import zip_member
+    from haltwise.sources.schedule import archive_member
+
+    packed = zip_member(a.stop_times(spark, sf).select(*_STOP_TIME_COLS), "stop_times.txt")
+    return (
+        archive_member(packed, "stop_times.txt")
+        .select(*_STOP_TIME_COLS)
+        .withColumn("departure_time", t.blank_to_null("departure_time"))
+    )
+
+
+@query(
+    "stop_places",
+    o.with_relations(
+        ["stops"],
+        """SELECT stop_id, stop_name, stop_lat, stop_lon FROM stops
+        WHERE s_suppkey % 5 <> 0 AND s_suppkey % 7 <> 0""",
+    ),
+)
+def stop_places(spark, sf):
+    """Stops with text coordinates of which some are zero and some do not parse."""
+    from haltwise.sources.schedule import stop_places as usable
+
+    text = a.stops(spark, sf).selectExpr(
+        "stop_id",
+        "stop_name",
+        "CASE WHEN s_suppkey % 5 = 0 THEN '0' WHEN s_suppkey % 7 = 0 THEN 'north' "
+        "ELSE cast(stop_lat as string) END AS stop_lat",
+        "CASE WHEN s_suppkey % 5 = 0 THEN '0.0' ELSE cast(stop_lon as string) END AS stop_lon",
+    )
+    return usable(text)
+
+
+# --- saved tables, logs, checks --------------------------------------------
+
+
+@query(
+    "publish_table",
+    o.with_relations(
+        ["calls"],
+        f"""SELECT {o.DELAY_SELECT} FROM (SELECT * REPLACE (
+        CASE WHEN SequenceNumber % 2 = 0 THEN arr_delay + 60 ELSE arr_delay END AS arr_delay)
+        FROM calls)""",
+    ),
+)
+def publish_table(spark, sf):
+    """Delays saved, then half of them replaced by a later batch, and read back."""
+    from haltwise.plans.store import Store
+    from haltwise.session import fresh_dir
+
+    store = Store(spark, fresh_dir(a.settle(spark), "store"), "month")
+    staged = a.calls(spark, sf)
+    later = staged.filter("SequenceNumber % 2 = 0").withColumn(
+        "ArrivalDelaySeconds", F.col("ArrivalDelaySeconds") + 60
+    )
+    for batch in (staged, later):
+        store.upsert(store.with_lineage(c.call_delay(batch, dated=True)), "journey_call_delay")
+    return store.read("journey_call_delay")
+
+
+@query(
+    "run_log",
+    _LISTING
+    + """SELECT file FROM files WHERE feed = 'TripUpdates.pb' AND o_orderkey % 3 = 0""",
+)
+def run_log(spark, sf):
+    """A saved run log, and from it the files that successful runs consumed."""
+    from haltwise.plans.store import Store
+    from haltwise.session import fresh_dir
+
+    store = Store(spark, fresh_dir(a.settle(spark), "store"), "month")
+    store.append(a.run_log(spark, sf), "run_log")
+    return listing.processed_files(store.read("run_log"))
+
+
+_CHECK_DAY = "1998-06-15"
+
+
+def _filled_oracle(name: str, relation: str, cols: list[tuple[str, str, float]], keys: str) -> str:
+    parts = [
+        f"""SELECT 'not_null_{name}_{c}' AS check_name, 1 AS check_level,
+        CASE WHEN count({e}) / count(*) >= {limit} THEN 'PASS' ELSE 'FAIL' END AS result,
+        round(count({e}) / count(*), 4)::DOUBLE AS metric_value, {limit}::DOUBLE AS threshold,
+        count({e}) || ' of ' || count(*) AS details FROM {relation}"""
+        for c, e, limit in cols
+    ]
+    day = f"OperatingDate = DATE '{_CHECK_DAY}'"
+    parts.append(
+        f"""SELECT 'row_count_{name}', 2, CASE WHEN count(*) > 0 THEN 'PASS' ELSE 'FAIL' END,
+        count(*)::DOUBLE, 1e0, count(*) || ' rows for {_CHECK_DAY}' FROM {relation} WHERE {day}"""
+    )
+    parts.append(
+        f"""SELECT 'uniqueness_{name}', 3, CASE WHEN sum(k - 1) = 0 THEN 'PASS' ELSE 'FAIL' END,
+        sum(k - 1)::DOUBLE, 0e0, sum(k - 1) || ' rows repeat a key' FROM (
+        SELECT count(*) AS k FROM {relation} WHERE {day} GROUP BY {keys}) HAVING count(*) > 0"""
+    )
+    return " UNION ALL ".join(parts)
+
+
+@query(
+    "quality_checks",
+    o.with_relations(
+        ["journeys", "raw_calls"],
+        _filled_oracle(
+            "journey",
+            "resolved",
+            [("DVJId", "gid", 0.9), ("OperatingDate", "OperatingDate", 1.0)],
+            "gid, OperatingDate",
+        )
+        + " UNION ALL "
+        + _filled_oracle(
+            "journey_call",
+            "raw_calls",
+            [("SequenceNumber", "SequenceNumber", 1.0), ("DVJId", "DVJId", 0.9)],
+            "DVJId, SequenceNumber",
+        ),
+        resolved=f"SELECT *, CASE WHEN o_orderkey % 17 <> 0 THEN {_GID} END AS gid FROM journeys",
+    ),
+)
+def quality_checks(spark, sf):
+    """Checks of journeys of which some are unresolved, and of calls with duplicates."""
+    from haltwise.plans.quality import content_checks
+
+    known = enrich.dated_journey_ids(a.mapping(spark, sf))
+    plain = a.journeys(spark, sf).withColumnRenamed("DVJId", "trip_id")
+    resolved = plain.join(known, "trip_id", "left")
+    return content_checks("journey", resolved, _CHECK_DAY).unionByName(
+        content_checks("journey_call", a.raw_calls(spark, sf), _CHECK_DAY)
+    )
+
+
+@query(
+    "prep_validation",
+    """SELECT * FROM (VALUES ('P1', 1e0, 'journeys'), ('P2', 1e0, 'calls'),
+        ('P4', 0.1e0, 'journeys without DVJId'), ('P5', 0e0, 'journeys without OperatingDate'))
+        AS v(check_name, threshold, details),
+    LATERAL (SELECT 0 AS check_level, CASE check_name
+        WHEN 'P1' THEN (SELECT count(*) FROM orders)::DOUBLE
+        WHEN 'P2' THEN (SELECT count(*) FROM lineitem)::DOUBLE
+        WHEN 'P4' THEN (SELECT round(count(*) FILTER (o_orderkey % 17 = 0) / count(*), 4) FROM orders)
+        ELSE 0e0 END AS metric_value), LATERAL (SELECT CASE
+        WHEN check_name IN ('P1', 'P2') THEN CASE WHEN metric_value > 0 THEN 'PASS' ELSE 'FAIL' END
+        WHEN metric_value <= threshold THEN 'PASS' ELSE 'FAIL' END AS result)""",
+)
+def prep_validation(spark, sf):
+    from haltwise.plans.quality import staging_report
+
+    known = enrich.dated_journey_ids(a.mapping(spark, sf))
+    plain = a.journeys(spark, sf).withColumnRenamed("DVJId", "trip_id")
+    return staging_report(plain.join(known, "trip_id", "left"), a.raw_calls(spark, sf))
+
+
+@query("quality_report")
+def quality_report(spark, sf):
+    """All checks over a saved pair of base tables, saved and read back."""
+    from haltwise.plans.quality import run_checks
+    from haltwise.plans.store import Store
+    from haltwise.session import fresh_dir
+
+    store = Store(spark, fresh_dir(a.settle(spark), "store"), "month")
+    staged = a.calls(spark, sf)
+    store.overwrite(store.with_lineage(c.journey_call(staged)), "journey_call")
+    store.overwrite(
+        store.with_lineage(journeys.journey(a.journeys(spark, sf))), "journey"
+    )
+    saved = {n: store.read(n, with_lineage=True) for n in ("journey", "journey_call")}
+    results = run_checks(spark, saved, _CHECK_DAY)
+    store.append(results.withColumn("run_timestamp", F.current_timestamp()), "quality_results")
+    return store.read("quality_results").drop("run_timestamp")

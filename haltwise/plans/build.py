@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -31,29 +32,30 @@ def build_tables(
     scope: str = "all",
     profile: AgencyProfile = AgencyProfile(),
     group_rows: int = GROUP_ROWS,
-    unique: bool = False,
     dated: bool = False,
+    share: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> dict[str, DataFrame]:
     """Lazy table frames of a scope by name.
 
-    `unique` says that journeys and calls are already one row per key, as the
-    staging tables are; otherwise the newest row of each key is taken here. `dated`
-    adds the operating date to tables whose contract has none, as storage wants it.
-    The only jobs run are the size checks of the ordered windows.
+    Of journeys and calls the newest row per key is taken. `dated` adds the
+    operating date to tables whose contract has none, as storage wants it. `share`
+    gets each frame that several tables are built from, with a name, and may give
+    back a saved copy of it. The only other jobs run here are the size checks of the
+    ordered windows.
     """
     names = tables_in(scope)
     out: dict[str, DataFrame] = {}
-    calls = given.calls if unique else c.unique_calls(given.calls)
+    calls = share(c.unique_calls(given.calls), "calls")
     by_call = c.call_splits(calls, group_rows)
     located = given.positions
     by_position = None
     if located is not None:
         if given.journeys is not None:
-            located = paths.locate_positions(located, given.journeys)
+            located = share(paths.locate_positions(located, given.journeys), "positions")
         by_position = paths.position_splits(located, group_rows)
 
     if "journey" in names:
-        journeys = given.journeys if unique else j.unique_journeys(given.journeys)
+        journeys = share(j.unique_journeys(given.journeys), "journeys")
         out |= {
             "journey": j.journey(journeys, profile),
             "journey_call": c.journey_call(calls, profile, by_call),
@@ -89,7 +91,7 @@ def build_tables(
             ),
         }
         if given.stops is not None:
-            errors = stops.stop_errors(located, given.stops)
+            errors = share(stops.stop_errors(located, given.stops), "stop_errors")
             out |= {
                 "stop_point_stop_position_offset": stops.stop_position_offset(errors),
                 "stop_point_big_variation": stops.stop_big_variation(errors),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,21 +106,22 @@ def stage_files(
         alerts,
     )
     calls = feeds.calls_from(updates, ids, trips, plan.stops, profile)
-    quality.require_sound_staging(journeys, calls, max_unresolved)
     lineage = {"_run_id": F.lit(run_id), "_parsed_timestamp": F.current_timestamp()}
+    journeys = store.hold(journeys.withColumns(lineage), "parsed_journey")
+    calls = store.hold(calls.withColumns(lineage), "parsed_call")
+    quality.require_sound_staging(journeys, calls, max_unresolved)
     newest = [F.desc_nulls_last("_source_timestamp")]
     rest_j = [F.desc_nulls_last("VehicleAssignedFromDateTime"), F.desc_nulls_last("DVJId")]
     rest_c = [
         F.desc_nulls_last(c)
         for c in ("ObservedArrivalDateTime", "ObservedDepartureDateTime", "StopAreaNumber", "DVJId")
     ]
+    positions = store.hold(positions.withColumns(lineage), "parsed_vehicle_positions")
     return {
-        "parsed_journey": store.upsert(
-            journeys.withColumns(lineage), "parsed_journey", newest + rest_j
-        ),
-        "parsed_call": store.upsert(calls.withColumns(lineage), "parsed_call", newest + rest_c),
-        "parsed_vehicle_positions": store.upsert(
-            positions.withColumns(lineage), "parsed_vehicle_positions", many_per_key=True
+        "parsed_journey": store.upsert_held(journeys, "parsed_journey", newest + rest_j),
+        "parsed_call": store.upsert_held(calls, "parsed_call", newest + rest_c),
+        "parsed_vehicle_positions": store.upsert_held(
+            positions, "parsed_vehicle_positions", many_per_key=True
         ),
     }
 
@@ -170,6 +172,7 @@ def transform(
     scope: str = "all",
     dates: Sequence | None = None,
     profile: AgencyProfile = AgencyProfile(),
+    parallel_tables: int = 8,
 ) -> dict[str, int]:
     """Build the tables of a scope from staging and upsert them.
 
@@ -181,8 +184,7 @@ def transform(
     def staged(table: str) -> DataFrame | None:
         if not store.exists(table):
             return None
-        df = store.read(table)
-        return df if dates is None else df.filter(F.col("OperatingDate").isin(list(dates)))
+        return store.read(table, dates=dates)
 
     journeys, calls = staged("parsed_journey"), staged("parsed_call")
     if journeys is None or calls is None:
@@ -192,5 +194,11 @@ def transform(
         given.stops = schedule.stop_places(plan.stops)
     if plan is not None and scope in ("base", "all"):
         given.shapes, given.trips, given.stop_times = plan.shapes, plan.trips, plan.stop_times
-    built = build_tables(given, scope, profile, dated=True)
-    return {name: store.upsert(store.with_lineage(df), name) for name, df in built.items()}
+    built = build_tables(given, scope, profile, dated=True, share=store.saved_once)
+
+    def save(name: str) -> int:
+        return store.upsert(store.with_lineage(built[name]), name)
+
+    # tables do not depend on each other, so their jobs may share the cluster
+    with ThreadPoolExecutor(max_workers=parallel_tables) as pool:
+        return dict(zip(built, pool.map(save, built)))

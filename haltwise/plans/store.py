@@ -1,7 +1,7 @@
 """Saved tables: parquet folders laid out by operating date, with keyed upsert.
 
-There is no lakehouse format here, so an upsert rewrites the dates that a batch
-touches and leaves all other dates alone. Spark swaps the rewritten partitions in
+There is no lakehouse format here, so an upsert rewrites the parts (days, or months
+where a day holds little) that a batch touches and leaves all others alone. Spark swaps the rewritten partitions in
 when the write job commits; a lost task is simply run again.
 """
 
@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,8 +27,10 @@ from haltwise.operators.keyed import (
 )
 from haltwise.plans.views import view
 
-# A batch that touches more dates than this is merged without naming them.
-NAMED_DATES = 10_000
+PART = "_part"
+LAYOUTS = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}
+# A batch that touches more parts than this is merged without naming them.
+NAMED_PARTS = 10_000
 
 # Staged rows are keyed by trip and date, which names a dated journey even where
 # the trip has no DVJId; positions are replaced feed by feed.
@@ -42,10 +46,15 @@ LOGS = {"run_log": s.RUN_LOG, "quality_results": f"run_timestamp timestamp, {s.C
 
 
 class Store:
-    """Tables below one root folder."""
+    """Tables below one root folder, each in parts of a day or a month."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, layout: str = "day"):
+        self.spark, self.root, self.layout = spark, root.rstrip("/"), layout
+
+    def part(self) -> Column:
+        """Part of the table a row lies in; rows without a date have their own."""
+        text = F.date_format(DATE, LAYOUTS[self.layout])
+        return F.coalesce(text, F.lit("none")).alias(PART)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -66,36 +75,54 @@ class Store:
             return False
         return True
 
-    def read(self, table: str, with_lineage: bool = False) -> DataFrame:
-        """A saved table under its registered schema; empty when not saved yet."""
+    def read(
+        self, table: str, with_lineage: bool = False, dates: Sequence | None = None
+    ) -> DataFrame:
+        """A saved table under its registered schema; empty when not saved yet.
+
+        `dates` limits it to those operating dates and so to their parts.
+        """
         want = self.schema(table)
         if not self.exists(table):
             df = self.spark.createDataFrame([], want)
+        elif DATE not in want.names:
+            df = self.spark.read.schema(want).parquet(self.path(table))
         else:
             # no schema inference; columns a file lacks read as null
-            df = self.spark.read.schema(want).parquet(self.path(table)).select(*want.names)
+            df = self._parts(table)
+            if dates is not None:
+                days = [F.lit(d).cast("date") for d in dates]
+                shape = LAYOUTS[self.layout]
+                df = df.filter(
+                    F.col(PART).isin([F.date_format(d, shape) for d in days])
+                    & F.col(DATE).isin(days)
+                )
+            df = df.drop(PART)
         if with_lineage:
             return df
         if table in s.TABLES:
             return df.select(*s.TABLES[table].columns)
         return df.drop(*s.struct(s.STAGING_LINEAGE).names)
 
+    def _parts(self, table: str) -> DataFrame:
+        schema = self.schema(table).add(PART, "string")
+        return self.spark.read.schema(schema).parquet(self.path(table))
+
     def create_empty(self, tables: Sequence[str]) -> list[str]:
         """Save empty tables with their registered types where none are saved."""
         made = [t for t in tables if not self.exists(t)]
         for t in made:
-            self._writer(self.spark.createDataFrame([], self.schema(t)), "overwrite").parquet(
-                self.path(t)
-            )
+            self._write(self.spark.createDataFrame([], self.schema(t)), t, "overwrite")
         return made
 
-    def _writer(self, df: DataFrame, mode: str):
-        w = df.write.mode(mode)
-        return w.partitionBy(DATE) if DATE in df.columns else w
-
-    def _spread(self, df: DataFrame) -> DataFrame:
-        """Few files per date; a big date is split over several tasks by AQE."""
-        return df.hint("rebalance", DATE) if DATE in df.columns else df
+    def _write(self, df: DataFrame, table: str, mode: str, **options) -> None:
+        """Few files per part; AQE splits a big part over several tasks."""
+        if DATE in df.columns:
+            df = df.withColumn(PART, self.part()).hint("rebalance", PART)
+            writer = df.write.mode(mode).partitionBy(PART)
+        else:
+            writer = df.write.mode(mode)
+        writer.options(**options).parquet(self.path(table))
 
     def overwrite(self, df: DataFrame, table: str) -> int:
         return self._save(df, table, "overwrite")
@@ -107,7 +134,7 @@ class Store:
         """Write under the registered schema; rows are counted while they pass."""
         seen = Observation()
         rows = s.conform(df, self.schema(table)).observe(seen, F.count(F.lit(1)).alias("rows"))
-        self._writer(self._spread(rows), mode).parquet(self.path(table))
+        self._write(rows, table, mode)
         return seen.get["rows"]
 
     def with_lineage(self, df: DataFrame, source_files: Sequence[str] | None = None) -> DataFrame:
@@ -122,29 +149,57 @@ class Store:
             return s.TABLES[table].storage_keys
         return list(STAGED[table][1])
 
-    def upsert(
+    def upsert(self, df: DataFrame, table: str, *args, **options) -> int:
+        """Insert or replace by key; see `upsert_held` for options and result.
+
+        The batch is saved first, so that it is computed once and the merge reads a
+        fixed set of rows.
+        """
+        return self.upsert_held(self.hold(df, table), table, *args, **options)
+
+    def hold(self, df: DataFrame, table: str) -> DataFrame:
+        """A batch for a table, saved below the root and read back."""
+        return self.saved_once(s.conform(df, self.schema(table)), table)
+
+    def saved_once(self, df: DataFrame, name: str) -> DataFrame:
+        """A frame written to a new folder and read back, which also cuts its lineage."""
+        where = f"{self.root}/_batches/{name}-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(where)
+        return self.spark.read.schema(df.schema).parquet(where)
+
+    def upsert_held(
         self,
-        df: DataFrame,
+        held: DataFrame,
         table: str,
         newest_first: list | None = None,
         many_per_key: bool | None = None,
     ) -> int:
-        """Insert or replace by key; returns the number of rows brought in.
+        """Insert or replace a saved batch by key; returns the rows brought in.
 
-        The batch is saved first, so that it is computed once and the merge reads a
-        fixed set of rows. Of several rows with one key the first in `newest_first`
-        stays. Tables with many rows per key have all rows of a key replaced. Rows
-        without a whole key cannot be found again; they are kept aside in
-        `<table>_unkeyed`. Running the same batch again leaves the table as it is.
+        Of several rows with one key the first in `newest_first` stays. Tables with
+        many rows per key have all rows of a key replaced. Rows without a whole key
+        cannot be found again; they are kept aside in `<table>_unkeyed`. Running the
+        same batch again leaves the table as it is.
         """
         if many_per_key is None:
             many_per_key = table in s.MANY_PER_KEY
         keys = self.keys(table)
-        held = self._hold(df, table)
-        unkeyed = with_null_keys(held, keys)
-        if not unkeyed.isEmpty():
-            unkeyed.write.mode("append").parquet(f"{self.path(table)}_unkeyed")
-        batch = without_null_keys(held, keys)
+        keyless = reduce(or_, (F.col(k).isNull() for k in keys))
+        # one pass; one row per part
+        parts = (
+            held.groupBy(self.part())
+            .agg(F.count_if(keyless).alias("keyless"), F.count_if(~keyless).alias("keyed"))
+            .limit(NAMED_PARTS + 1)
+            .collect()
+        )
+        named = len(parts) <= NAMED_PARTS
+        if any(p["keyless"] for p in parts) or not named:
+            with_null_keys(held, keys).write.mode("append").parquet(f"{self.path(table)}_unkeyed")
+        touched = [p[PART] for p in parts if p["keyed"]]
+        if not touched:
+            return 0
+        keyed = without_null_keys(held, keys)
+        batch = keyed
         if not many_per_key:
             others = [c for c in held.columns if c not in keys]
             batch = latest_by_key(
@@ -152,27 +207,15 @@ class Store:
             )
         if not self.exists(table):
             return self.overwrite(batch, table)
-        old = self.read(table, with_lineage=True)
-        days = batch.select(DATE).distinct().limit(NAMED_DATES + 1)
-        touched = [r[0] for r in days.collect()]
-        if not touched:
-            return 0
-        if len(touched) <= NAMED_DATES:
-            old = old.filter(F.col(DATE).isin(touched))
+        old = self._parts(table)
+        if named:
+            old = old.filter(F.col(PART).isin(touched))
         brought = Observation()
         counted = batch.observe(brought, F.count(F.lit(1)).alias("rows"))
-        merged = merge_by_key(old, counted, keys, gone=without_null_keys(held, keys))
-        writer = self._writer(self._spread(merged), "overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(table))
+        merged = merge_by_key(old.drop(PART), counted, keys, gone=keyed)
+        self._write(merged, table, "overwrite", partitionOverwriteMode="dynamic")
         return brought.get["rows"]
 
-    def _hold(self, df: DataFrame, table: str) -> DataFrame:
-        """Save a batch below the root and read it back, which also cuts its lineage."""
-        where = f"{self.root}/_batches/{table}-{uuid.uuid4().hex[:12]}"
-        rows = s.conform(df, self.schema(table))
-        rows.write.parquet(where)
-        return self.spark.read.schema(rows.schema).parquet(where)
-
     def views(self, names: Sequence[str] | None = None) -> dict[str, DataFrame]:
         """Tables and join views as temporary views of the session."""
         out = {}

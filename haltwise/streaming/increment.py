@@ -16,9 +16,11 @@ from haltwise.schema import AgencyProfile
 from haltwise.session import settle
 from haltwise.sources import listing
 
-# A run waits for its sets on at most this many feed days by name.
-NAMED_DAYS = 10_000
-INBOX = "path string, content binary, file string, feed string, ts string, day string"
+# Ready sets that lie in more parts of the inbox than this are read without naming them.
+NAMED_PARTS = 10_000
+INBOX = "path string, content binary, file string, feed string, ts string, part string"
+# Leading characters of a feed timestamp that name its part of the inbox.
+PART_LENGTH = {"day": 10, "month": 7}
 
 
 def stream_feed_files(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -56,15 +58,20 @@ class Inbox:
         started = time.time()
         spark = self.store.spark
         named = listing.feed_files(arrived).drop("region", "path")
-        arrived.withColumn("file", listing.file_name(F.col("path"))).join(
-            named, "file"
-        ).withColumn("day", F.substring("ts", 1, 10)).write.mode("overwrite").partitionBy(
-            "day"
-        ).parquet(f"{self.folder}/batch={batch_id}")
+        width = PART_LENGTH[self.store.layout]
+        (
+            arrived.withColumn("file", listing.file_name(F.col("path")))
+            .join(named, "file")
+            .withColumn("part", F.substring("ts", 1, width))
+            .hint("rebalance", "part")
+            .write.mode("overwrite")
+            .partitionBy("part")
+            .parquet(f"{self.folder}/batch={batch_id}")
+        )
 
         done = listing.processed_files(self.store.read("run_log"))
         inbox = spark.read.schema(f"{INBOX}, batch bigint").parquet(self.folder)
-        waiting = inbox.select("path", "day").join(
+        waiting = inbox.select("path").join(
             done, listing.file_name(F.col("path")) == F.col("file"), "left_anti"
         )
         sets = listing.file_sets(waiting.select("path")).filter("is_complete")
@@ -73,10 +80,11 @@ class Inbox:
         if not rows:
             return
         paths = [r["path"] for r in rows]
-        days = sorted({r["ts"][:10] for r in rows})
+        parts = sorted({r["ts"][:width] for r in rows})
+        newest = max(r["ts"] for r in rows)
         contents = inbox.join(ready.select("path"), "path", "left_semi")
-        if len(days) <= NAMED_DAYS:
-            contents = contents.filter(F.col("day").isin(days))
+        if len(parts) <= NAMED_PARTS:
+            contents = contents.filter(F.col("part").isin(parts))
         # a file may lie in two batches if it was written again; one copy is enough
         contents = contents.dropDuplicates(["path"])
         files = {
@@ -88,7 +96,7 @@ class Inbox:
             self.store, files, self.plan, run_id, self.profile, self.max_unresolved
         )
         self.store.log_run(
-            run_id, date.fromisoformat(days[-1]), paths, counts, time.time() - started
+            run_id, date.fromisoformat(newest[:10]), paths, counts, time.time() - started
         )
 
 
