@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haltwise.functions import transit as t
-from haltwise.plans.calls import unique_calls
+from haltwise.operators.keyed import latest_by_key
 from haltwise.schema import STAGED_CALL, STAGED_JOURNEY, conform, struct
 from haltwise.session import settle
 
@@ -166,13 +166,14 @@ def journeys(spark, sf_dir) -> DataFrame:
 DEDUPE_ORDER = ["l_suppkey", "l_partkey", "l_extendedprice"]
 
 
-def raw_calls(spark, sf_dir) -> DataFrame:
+def raw_calls(spark, sf_dir, lines: DataFrame | None = None) -> DataFrame:
     """Staged calls, one per order line, duplicates of (journey, sequence) included."""
+    if lines is None:
+        lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     s = stops(spark, sf_dir)
     base = (
-        table(spark, sf_dir, "lineitem")
-        .withColumnRenamed("l_orderkey", "o_orderkey")
+        lines.withColumnRenamed("l_orderkey", "o_orderkey")
         .join(orders, "o_orderkey")
         .join(s, F.col("l_suppkey") == s.s_suppkey)
         .select(
@@ -240,10 +241,18 @@ def raw_calls(spark, sf_dir) -> DataFrame:
 
 
 def calls(spark, sf_dir) -> DataFrame:
-    """Staged calls, unique by journey and sequence number."""
-    return conform(
-        unique_calls(raw_calls(spark, sf_dir), DEDUPE_ORDER), struct(STAGED_CALL)
+    """Staged calls, unique by journey and sequence number.
+
+    The order lines are made unique first, while they are narrow.
+    """
+    lines = latest_by_key(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_linenumber", "l_quantity", *DEDUPE_ORDER
+        ),
+        ["l_orderkey", "l_linenumber"],
+        DEDUPE_ORDER,
     )
+    return conform(raw_calls(spark, sf_dir, lines), struct(STAGED_CALL))
 
 
 def positions(spark, sf_dir) -> DataFrame:

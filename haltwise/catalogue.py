@@ -54,8 +54,9 @@ def journey(spark, sf):
     ),
 )
 def journey_call(spark, sf):
-    staged = c.with_last_stop(a.calls(spark, sf))
-    return c.journey_call(staged, splits=c.call_splits(staged))
+    staged = a.calls(spark, sf)
+    splits = c.call_splits(staged)
+    return c.journey_call(c.with_last_stop(staged, splits=splits), splits=splits)
 
 
 # --- call extensions -------------------------------------------------------
@@ -68,7 +69,8 @@ def call_delay(spark, sf):
 
 @query("call_statistics", o.with_relations(["calls"], f"SELECT {o.STATISTICS_SELECT} FROM calls"))
 def call_statistics(spark, sf):
-    return c.call_statistics(c.with_last_stop(a.calls(spark, sf)))
+    staged = a.calls(spark, sf)
+    return c.call_statistics(c.with_last_stop(staged, splits=c.call_splits(staged)))
 
 
 @query(

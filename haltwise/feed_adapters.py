@@ -91,7 +91,9 @@ def encode(rows: DataFrame, kind: str, entities: int = ENTITIES) -> DataFrame:
                 [pa.array(paths, pa.string()), pa.array(contents, pa.binary())], schema=_FILES
             )
 
-    return rows.mapInArrow(feeds, FILES)
+    # the test tables are single files; encoding is the costly part, so spread it
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(tasks).mapInArrow(feeds, FILES)
 
 
 def update_rows(spark, sf_dir) -> DataFrame:

@@ -109,6 +109,7 @@ def ordered(
     lead: dict[str, str] | None = None,
     running: dict[str, str] | None = None,
     first: dict[str, str] | None = None,
+    last: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
     number: str | None = None,
     splits: Splits | None = None,
@@ -117,14 +118,14 @@ def ordered(
 
     lag / lead      value on the previous / next row
     running         sum from the first row to this one
-    first           first non-null value of the key
+    first / last    first / last non-null value of the key
     following       first non-null value at or after this row
     number          1-based row number
 
     `order` must be total up to identical rows. Keys must not be null.
     """
     lag, lead, running = lag or {}, lead or {}, running or {}
-    first, following = first or {}, following or {}
+    first, last, following = first or {}, last or {}, following or {}
 
     def local(w) -> dict[str, Column]:
         so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -134,6 +135,7 @@ def ordered(
         cols |= {n: F.lead(c).over(w) for n, c in lead.items()}
         cols |= {n: F.sum(c).over(so_far) for n, c in running.items()}
         cols |= {n: F.first(c, ignorenulls=True).over(whole) for n, c in first.items()}
+        cols |= {n: F.last(c, ignorenulls=True).over(whole) for n, c in last.items()}
         cols |= {n: F.first(c, ignorenulls=True).over(onward) for n, c in following.items()}
         if number:
             cols[number] = F.row_number().over(w)
@@ -165,6 +167,7 @@ def ordered(
             F.first(F.when(is_first, pack(list(lead.values()))), True).alias("head"),
             F.first(F.when(F.col("_last"), pack(list(running))), True).alias("total"),
             F.first(F.when(is_first, pack(list(first))), True).alias("opening"),
+            F.first(F.when(is_first, pack(list(last))), True).alias("closing"),
             F.first(F.when(is_first, pack(list(following))), True).alias("next"),
             F.max("_at").cast("bigint").alias("size"),
         )
@@ -181,6 +184,7 @@ def ordered(
         F.sum("size").over(before).alias("c_size"),
         *(F.sum(f"total.f{i}").over(before).alias(f"c_run{i}") for i in range(len(running))),
         *(F.first(f"opening.f{i}", True).over(every).alias(f"c_first{i}") for i in range(len(first))),
+        *(F.last(f"closing.f{i}", True).over(every).alias(f"c_last{i}") for i in range(len(last))),
         *(F.first(f"next.f{i}", True).over(after).alias(f"c_next{i}") for i in range(len(following))),
     )
     joined = rows.join(carried, [*keys, RANGE], "left")
@@ -193,6 +197,8 @@ def ordered(
         fixed[n] = _plus(F.col(n), F.col(f"c_run{i}"))
     for i, n in enumerate(first):
         fixed[n] = F.when(F.col("_was_cut"), F.col(f"c_first{i}")).otherwise(F.col(n))
+    for i, n in enumerate(last):
+        fixed[n] = F.when(F.col("_was_cut"), F.col(f"c_last{i}")).otherwise(F.col(n))
     for i, n in enumerate(following):
         fixed[n] = F.coalesce(F.col(n), F.col(f"c_next{i}"))
     if number:

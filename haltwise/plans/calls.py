@@ -29,7 +29,8 @@ def journey_key() -> Column:
 
 
 def with_journey(calls: DataFrame) -> DataFrame:
-    return calls.select("*", journey_key())
+    """Calls with `_journey`; where it is there already, what was sorted by it still is."""
+    return calls if "_journey" in calls.columns else calls.select("*", journey_key())
 
 
 def unique_calls(calls: DataFrame, newest_first: list | None = None) -> DataFrame:
@@ -264,20 +265,27 @@ def call_extra(calls: DataFrame, keep_trip: bool = False) -> DataFrame:
     return marked.select(*table.columns, "JourneyGid", "OperatingDate")
 
 
-def with_last_stop(calls: DataFrame, scheduled: DataFrame | None = None) -> DataFrame:
+def with_last_stop(
+    calls: DataFrame, scheduled: DataFrame | None = None, splits: Splits | None = None
+) -> DataFrame:
     """Set the last sequence number of each call's journey.
 
     It comes from the schedule (`scheduled`: trip_id, last_sequence) where the trip
-    is known there, else from the highest number the feed has shown.
+    is known there, else from the highest number the feed has shown. The journey key
+    stays on, so that later windows over the journey need no other exchange.
     """
-    calls = with_journey(calls.drop("JourneyLastStopSequenceNumber"))
-    highest = calls.groupBy("_journey").agg(F.max("SequenceNumber").alias("_highest"))
-    out = calls.join(highest, "_journey")
+    out = ordered(
+        with_journey(calls.drop("JourneyLastStopSequenceNumber")),
+        ["_journey"],
+        ["SequenceNumber"],
+        last={"_highest": "SequenceNumber"},
+        splits=splits,
+    )
     last = F.col("_highest")
     if scheduled is not None:
         known = scheduled.select(F.col("trip_id").alias("JourneyNumber"), "last_sequence")
         out = out.join(known, "JourneyNumber", "left")
         last = F.coalesce("last_sequence", "_highest")
     return out.withColumn("JourneyLastStopSequenceNumber", last.cast("int")).drop(
-        "_journey", "_highest", "last_sequence"
+        "_highest", "last_sequence"
     )

@@ -6,6 +6,7 @@ missing column is filled with a null of the right type and never with text.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -208,8 +209,25 @@ LINEAGE = "SourceFiles string, ProcessedTimestamp timestamp"
 STAGING_LINEAGE = "_run_id string, _parsed_timestamp timestamp"
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "binary": T.BinaryType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "array<string>": T.ArrayType(T.StringType()),
+    "map<string,bigint>": T.MapType(T.StringType(), T.LongType()),
+}
+
+
 def struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(" ".join(ddl.split()))
+    """Schema of a `name type, name type` text; needs no session, unlike a DDL parse."""
+    fields = (column.split() for column in re.split(r",\s+", ddl.strip()))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 @dataclass(frozen=True)

@@ -14,7 +14,7 @@ FEED_NAME = r"^(\d{4}-\d{2}-\d{2}T\d{2}-\d{2}-\d{2}Z)-(.+?)-(\w+\.pb)$"
 
 
 def file_name(path):
-    return F.element_at(F.split(path, "/"), -1)
+    return F.substring_index(path, "/", -1)
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*.pb") -> DataFrame:
@@ -29,16 +29,19 @@ def list_files(spark: SparkSession, path: str, glob: str = "*.pb") -> DataFrame:
 
 def feed_files(listing: DataFrame) -> DataFrame:
     """(file, path, ts, region, feed) of the names that follow the feed pattern."""
-    named = listing.withColumn("file", file_name(F.col("path")))
-    feed = F.regexp_extract("file", FEED_NAME, 3)
-    for wrong, right in MISSPELT.items():
-        feed = F.when(feed == wrong, right).otherwise(feed)
+    named = listing.select("path", file_name(F.col("path")).alias("file"))
+    # the pattern is matched once; its parts are then found by position
+    feed = F.substring_index("file", "-", -1)
+    region = F.substr("file", F.lit(22), F.length("file") - 22 - F.length(feed))
+    right = feed
+    for wrong, good in MISSPELT.items():
+        right = F.when(feed == wrong, good).otherwise(right)
     return named.filter(F.col("file").rlike(FEED_NAME)).select(
         "file",
         "path",
-        F.regexp_extract("file", FEED_NAME, 1).alias("ts"),
-        F.regexp_extract("file", FEED_NAME, 2).alias("region"),
-        feed.alias("feed"),
+        F.substring("file", 1, 20).alias("ts"),
+        region.alias("region"),
+        right.alias("feed"),
     )
 
 
