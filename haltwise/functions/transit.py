@@ -29,7 +29,9 @@ def haversine_col(lat1, lon1, lat2, lon2) -> Column:
     half_lat = F.sin(F.radians(a2 - a1) / 2)
     half_lon = F.sin(F.radians(o2 - o1) / 2)
     h = half_lat * half_lat + F.cos(F.radians(a1)) * F.cos(F.radians(a2)) * half_lon * half_lon
-    return 2 * EARTH_RADIUS_M * F.asin(F.least(F.sqrt(h), F.lit(1.0)))
+    # not `least`, which would make 1 of a missing coordinate
+    root = F.when(h < 1.0, F.sqrt(h)).when(h >= 1.0, 1.0)
+    return 2 * EARTH_RADIUS_M * F.asin(root)
 
 
 def duration_seconds_col(start, end) -> Column:
@@ -221,8 +223,9 @@ SQL_FUNCTIONS = {
     "haversine_m": (
         "lat1 DOUBLE, lon1 DOUBLE, lat2 DOUBLE, lon2 DOUBLE",
         "DOUBLE",
-        f"{2 * EARTH_RADIUS_M}D * asin(least(1.0D, sqrt(pow(sin(radians(lat2 - lat1) / 2), 2) + "
-        "cos(radians(lat1)) * cos(radians(lat2)) * pow(sin(radians(lon2 - lon1) / 2), 2))))",
+        f"{2 * EARTH_RADIUS_M}D * asin(sqrt(nullif(least(1.0D, coalesce("
+        "pow(sin(radians(lat2 - lat1) / 2), 2) + cos(radians(lat1)) * cos(radians(lat2)) * "
+        "pow(sin(radians(lon2 - lon1) / 2), 2), -1.0D)), -1.0D)))",
     ),
     "delay_seconds": (
         "observed TIMESTAMP, scheduled TIMESTAMP",

@@ -25,9 +25,10 @@ def at(e):
 
 
 def hav(a, b, c, d):
+    """Haversine; plain `asin`, so that a missing coordinate gives null."""
     return (
-        f"(2 * 6371000e0 * asin(least(1e0, sqrt(pow(sin(radians(({c}) - ({a})) / 2), 2) + "
-        f"cos(radians({a})) * cos(radians({c})) * pow(sin(radians(({d}) - ({b})) / 2), 2)))))"
+        f"(2 * 6371000e0 * asin(sqrt(pow(sin(radians(({c}) - ({a})) / 2), 2) + "
+        f"cos(radians({a})) * cos(radians({c})) * pow(sin(radians(({d}) - ({b})) / 2), 2))))"
     )
 
 

@@ -42,11 +42,11 @@ def test_delay_and_duration_seconds(spark):
 
 def test_haversine(spark):
     rows = [(55.6093, 13.0003, 55.6093, 13.0003), (55.6093, 13.0003, 55.7058, 13.1872),
-            (0.0, 0.0, 0.0, 180.0)]
-    same, far, turn = values(
+            (0.0, 0.0, 0.0, 180.0), (None, None, 55.0, 13.0)]
+    same, far, turn, unknown = values(
         spark, t.haversine_col("a", "b", "c", "d"), rows, "a double, b double, c double, d double"
     )
-    assert same < 0.01 and 15_000 < far < 20_000 and turn == pytest.approx(20_015_086.8, abs=1)
+    assert unknown is None and same < 0.01 and 15_000 < far < 20_000 and turn == pytest.approx(20_015_086.8, abs=1)
 
 
 def test_speed(spark):
@@ -107,7 +107,7 @@ def test_ids(spark):
 def test_sql_functions_match_columns(spark):
     t.register_sql_functions(spark)
     spark.createDataFrame(
-        [(d, 55.0 + (d or 0) / 1000) for d in (-61, -60, 0, 180, 181, 360, 361, None)],
+        [(d, 55.0 + (d or 0) / 1000) for d in (-61, -60, 0, 180, 181, 360, 361, None)] + [(5, None)],
         "d bigint, lat double",
     ).createOrReplaceTempView("delays")
     df = spark.sql(
@@ -120,7 +120,9 @@ def test_sql_functions_match_columns(spark):
             & F.col("p").eqNullSafe(t.punctuality_col("d"))
             & F.col("m").eqNullSafe(t.delay_minutes_col("d"))
             & F.col("v").eqNullSafe(t.speed_kph_col(F.lit(500.0), "d"))
-            & (F.abs(F.col("h") - t.haversine_col("lat", F.lit(13.0), F.lit(55.0), F.lit(13.0))) < 1e-6)
+            & F.round("h", 6).eqNullSafe(
+                F.round(t.haversine_col("lat", F.lit(13.0), F.lit(55.0), F.lit(13.0)), 6)
+            )
         )
     )
     assert differs.count() == 0
