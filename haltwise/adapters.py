@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from haltwise.functions import transit as t
 from haltwise.operators.keyed import latest_by_key
+from haltwise.operators.ordered import find_splits, ordered
 from haltwise.schema import STAGED_CALL, STAGED_JOURNEY, conform, struct
 from haltwise.session import settle
 
@@ -278,20 +279,27 @@ def positions(spark, sf_dir) -> DataFrame:
 
 def stop_events(spark, sf_dir) -> DataFrame:
     """Calls of the same journeys as the positions: each user's signups in order."""
-    from pyspark.sql import Window
-
-    at = (
+    signups = (
         table(spark, sf_dir, "events")
         .filter("event_type = 'signup'")
-        .withColumn("s_suppkey", F.expr("event_id % 10"))
+        .withColumn("micros", F.unix_micros(F.col("ts").cast("timestamp")))
+    )
+    numbered = ordered(
+        signups.filter("user_id IS NOT NULL"),
+        ["user_id"],
+        ["micros", "event_id"],
+        number="SequenceNumber",
+        splits=find_splits(signups, ["user_id"], "micros"),
+    )
+    at = (
+        numbered.withColumn("s_suppkey", F.expr("event_id % 10"))
         .join(stops(spark, sf_dir), "s_suppkey")
         .withColumn("at", _epoch("ts"))
     )
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     return at.select(
         F.col("user_id").cast("string").alias("DVJId"),
         F.to_date("ts").alias("OperatingDate"),
-        F.row_number().over(w).alias("SequenceNumber"),
+        "SequenceNumber",
         F.timestamp_seconds("at").alias("ObservedArrivalDateTime"),
         F.timestamp_seconds(F.col("at") + 30).alias("ObservedDepartureDateTime"),
         F.col("stop_lat").alias("Coord_Latitude"),

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 GROUP_ROWS = 1 << 20
 MAX_RANGES = 4096
 BLOCK = 64
-BROADCAST_KEYS = 10_000
+# Bounds are sent to all tasks up to this many numbers (8 MB), else joined.
+BROADCAST_CUTS = 1_000_000
 RANGE = "_range"
 
 
@@ -62,9 +63,9 @@ def find_splits(
     ).first()
     if not found["big"]:
         return None
-    small = found["big"] <= BROADCAST_KEYS
-    big = sizes.filter(F.col("_n") > limit).drop("_n")
     ranges = min(MAX_RANGES, max(2, math.ceil(2 * found["largest"] / limit)))
+    small = found["big"] * ranges <= BROADCAST_CUTS
+    big = sizes.filter(F.col("_n") > limit).drop("_n")
     marks = F.array(*(F.lit(i / ranges) for i in range(1, ranges)))
     cuts = F.percentile_approx(F.col(order).cast("double"), marks, F.lit(20 * ranges))
     bounds = (

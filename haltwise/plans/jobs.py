@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from haltwise.plans import enrich, quality
 from haltwise.plans.build import Inputs, build_tables
 from haltwise.plans.store import Store
-from haltwise.schema import AgencyProfile
+from haltwise.schema import AgencyProfile, tables_in
 from haltwise.session import settle
 from haltwise.sources import feeds, listing, schedule
 
@@ -199,6 +199,8 @@ def transform(
     def save(name: str) -> int:
         return store.upsert(store.with_lineage(built[name]), name)
 
+    # what a scope promises but has no input for is there, empty and typed
+    store.create_empty([n for n in tables_in(scope) if n not in built])
     # tables do not depend on each other, so their jobs may share the cluster
     with ThreadPoolExecutor(max_workers=parallel_tables) as pool:
         return dict(zip(built, pool.map(save, built)))

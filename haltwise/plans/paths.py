@@ -54,7 +54,7 @@ def usable_positions(positions: DataFrame) -> DataFrame:
             "DVJId string, OperatingDate date, timestamp bigint, latitude double, "
             "longitude double, speed double, bearing double, vehicle_id string"
         ),
-    ).filter("DVJId IS NOT NULL AND latitude IS NOT NULL AND timestamp IS NOT NULL")
+    ).filter("DVJId IS NOT NULL AND latitude IS NOT NULL")
 
 
 def position_splits(positions: DataFrame, limit: int = GROUP_ROWS) -> Splits | None:

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 import zipfile
 
 import pytest
@@ -20,6 +21,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

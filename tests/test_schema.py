@@ -1,7 +1,7 @@
 """Registry contract and conforming frames to it."""
 
 from haltwise import schema as s
-from haltwise.plans.views import view_sql
+from haltwise.plans.views import create_views, temp_views, view_sql
 
 
 def test_tables():
@@ -46,3 +46,17 @@ def test_timestamps_become_contract_text(spark):
     row = s.publish(df, "journey_call").first()
     assert row["ObservedArrivalDateTime"] == "2024-01-10T12:00:05+00:00"
     assert row["TimetabledLatestArrivalDateTime"] == "2024-01-10 12:00:00"
+
+
+def test_catalog_views(spark, rows):
+    j = spark.createDataFrame([("a", "bus 1"), ("b", None)], "DVJId string, VehicleNumber string")
+    j = j.selectExpr("*", "date'2024-01-10' AS OperatingDate")
+    gone = j.filter("DVJId = 'a'").selectExpr("*", "'Cancelled' AS ReasonTypeName")
+    tables = {"journey": s.publish(j, "journey"), "journey_missing": s.publish(gone, "journey_missing")}
+    for name, df in tables.items():
+        df.write.mode("overwrite").saveAsTable(f"default.{name}")
+    assert create_views(spark, "default.") == ["v_journey_missing"]
+    saved = spark.table("default.v_journey_missing")
+    assert saved.columns == s.TABLES["journey"].columns + ["ReasonTypeName"]
+    assert rows(saved, "DVJId", "ReasonTypeName") == [("a", "Cancelled"), ("b", None)]
+    assert rows(temp_views(tables)["v_journey_missing"]) == rows(saved)

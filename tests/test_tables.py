@@ -150,6 +150,9 @@ def test_observed_path(positions, staged_journeys, rows):
     a = out.filter("DVJId = 'a'").orderBy("PositionDateTime").collect()
     assert len(a) == 8 and a[0]["SpeedKph"] == "0.0" and a[0]["NextLatitude"] == a[1]["Latitude"]
     assert a[7]["NextLatitude"] is None and a[0]["PositionDateTime"] == "2024-01-10 12:04:10"
+    untimed = positions.withColumn("timestamp", F.lit(None).cast("bigint"))
+    kept = paths.observed_path(staged_journeys, untimed)
+    assert kept.filter("PositionDateTime IS NULL").count() == 16  # no report is lost
     far = paths.observed_path_extended(staged_journeys, positions).filter("DVJId = 'a'")
     metres = sorted(r[2] for r in far.collect())
     assert metres[0] == 0 and metres[-1] == pytest.approx(3.5 * FLAT, abs=0.01)
