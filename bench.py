@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR  folder of the test tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local threads (default 8)
-BENCH_QUERIES comma-separated names to run instead of the headline set
+BENCH_QUERIES comma-separated names to run instead of the headline set, or `all`
 """
 
 from __future__ import annotations
@@ -16,16 +16,23 @@ from pyspark.sql import SparkSession
 
 from haltwise import catalogue
 
-# Everything but the queries that save tables or write files, whose time is mostly
-# that of creating the files.
-SKIP = {"stream_increment", "publish_table", "quality_report", "run_log", "schedule_scan"}
+HEADLINE = """
+    journey journey_call call_delay call_statistics call_durations call_cancelled call_extra
+    start_delay block_first_start_delay journey_missing v_journey_call_delay
+    v_journey_call_stop_and_link_duration v_journey_start_delay observed_path
+    observed_path_extended planned_path v_journey_planned_path link_observed_path halted_event
+    slow_event stop_offset stop_big_variation stop_large_offset trip_enrichment vp_enrichment
+    snapshot_as_of file_sets upsert feed_positions quality_checks
+""".split()
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     chosen = os.environ.get("BENCH_QUERIES")
-    names = chosen.split(",") if chosen else [n for n in catalogue.QUERIES if n not in SKIP]
+    names = chosen.split(",") if chosen else HEADLINE
+    if chosen == "all":
+        names = list(catalogue.QUERIES)
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("haltwise-bench")

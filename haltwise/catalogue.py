@@ -11,7 +11,7 @@ from haltwise import adapters as a
 from haltwise import oracles as o
 from haltwise.functions import transit as t
 from haltwise.operators.intervals import snapshot_as_of
-from haltwise.operators.keyed import latest_by_key, merge_by_key
+from haltwise.operators.keyed import merge_by_key
 from haltwise.plans import calls as c
 from haltwise.plans import enrich, journeys, links, paths, stops
 from haltwise.plans.views import view

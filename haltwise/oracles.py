@@ -17,7 +17,6 @@ _HMS = (
     "lpad(({0} // 3600)::VARCHAR, 2, '0') || ':' || lpad(({0} // 60 % 60)::VARCHAR, 2, '0') "
     "|| ':' || lpad(({0} % 60)::VARCHAR, 2, '0')"
 )
-_STAMP = "strftime(o_orderdate, '%Y-%m-%dT00-00-00Z')"
 
 
 def at(e):

@@ -1,8 +1,9 @@
 """Saved tables: parquet folders laid out by operating date, with keyed upsert.
 
 There is no lakehouse format here, so an upsert rewrites the parts (days, or months
-where a day holds little) that a batch touches and leaves all others alone. Spark swaps the rewritten partitions in
-when the write job commits; a lost task is simply run again.
+where a day holds little) that a batch touches and leaves all others alone. Spark
+swaps the rewritten parts in when the write job commits; a lost task is simply run
+again.
 """
 
 from __future__ import annotations
