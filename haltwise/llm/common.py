@@ -64,6 +64,16 @@ def text_batches(
             yield batch.slice(begin)
 
 
+def squeeze(data: bytes) -> bytes:
+    """Compressed more tightly than shuffle files are."""
+    return len(data).to_bytes(8, "big") + pa.Codec("zstd").compress(data, asbytes=True)
+
+
+def unsqueeze(data: bytes) -> bytes:
+    size = int.from_bytes(data[:8], "big")
+    return pa.Codec("zstd").decompress(data[8:], decompressed_size=size, asbytes=True)
+
+
 def file_system(uri: str):
     """Arrow's file system for a folder, and the path in it; works for local and remote ones."""
     from pyarrow import fs
