@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haltwise.llm import bpe, jaccard, secrets, sharding, shuffle_files
+from haltwise.llm import bpe, jaccard, packing, secrets, sharding, shuffle_files
 from haltwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(table(spark, sf_dir, "documents"))[0]
 
 
+@query("op6_packing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), path)
+
+
 @query("op10_bpe")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
