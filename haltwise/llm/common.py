@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from urllib.parse import urlparse
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from haltwise.session import fresh_dir
@@ -53,7 +54,7 @@ def text_batches(
         size = 0
         lengths = [
             0 if n is None else n
-            for n in pa.compute.binary_length(batch.column(column)).to_pylist()
+            for n in pc.binary_length(batch.column(column)).to_pylist()
         ]
         for i, n in enumerate(lengths):
             if i > begin and size + n > limit:

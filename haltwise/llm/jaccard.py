@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,7 +60,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[lis
     texts: list[bytes] = []
     size = 0
     for part in common.text_batches(batches, "text", limit):
-        n = pa.compute.sum(pa.compute.binary_length(part.column("text"))).as_py() or 0
+        n = pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
         if texts and size + n > limit:
             yield ids, texts
             ids, texts, size = [], [], 0
