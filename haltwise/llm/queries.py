@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haltwise.llm import bpe, jaccard, packing, quality, secrets, sharding, shuffle_files
+from haltwise.llm import bpe, jaccard, packing, quality, secrets, sharding, shuffle_files, topk
 from haltwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,31 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), path)
 
 
+TOP_K = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           list_dot_product(q.e, c.e)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 20 = 0
+), r AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank,
+           vec_id, score
+    FROM s
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query("op7_topk", TOP_K)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query("op9_quality")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
