@@ -7,7 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from haltwise.llm import bpe, jaccard, packing, quality, secrets, sharding, shuffle_files, topk
+from haltwise.llm import (
+    bpe,
+    jaccard,
+    packing,
+    quality,
+    secrets,
+    sharding,
+    shuffle_files,
+    topk,
+    warc,
+)
 from haltwise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +87,28 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+WARC = """
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+           sha1(coalesce(html, '')) AS payload_digest
+    FROM pages
+), t AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END
+           AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < top THEN top END AS refers_to,
+       true AS complete
+FROM t
+"""
+
+
+@query("op8_warc", WARC)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @query("op9_quality")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
