@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from haltwise.llm import (
     bpe,
     jaccard,
+    neardup,
     packing,
     quality,
     secrets,
@@ -45,6 +46,34 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+NEAR = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), parts AS (
+    SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), n AS (
+    SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT p.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, p.vec_id = component_id AS kept
+FROM parts p LEFT JOIN n USING (vec_id)
+"""
+
+
+@query("op3_near_duplicates", NEAR)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op4_training_order")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
