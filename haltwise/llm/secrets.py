@@ -124,29 +124,45 @@ def update(versions: DataFrame, ledger: DataFrame | None, rules: list[Rule]) ->
     return scan(texts, rules)
 
 
-def findings(paths: DataFrame, ledger: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Every path of (path, digest) with its counts and spans by the given rule versions."""
+def spans_of(ledger: DataFrame, rules: list[Rule]) -> DataFrame:
+    """(digest, spans) of every blob with findings by the given rule versions; spans by start and
+    then by kind as listed."""
     kinds = [r.kind for r in rules]
     rank = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("kind"))
-    current = None
+    current = F.lit(False)
     for r in rules:
-        this = (F.col("kind") == r.kind) & (F.col("version") == r.version)
-        current = this if current is None else current | this
-    rows = ledger.filter(current).select(
-        "digest",
-        F.explode(
-            F.transform(
-                "found",
-                lambda x: F.struct(
-                    x["start"].alias("start"),
-                    rank.alias("rank"),
-                    F.col("kind").alias("kind"),
-                    x["end"].alias("end"),
-                ),
-            )
-        ).alias("x"),
+        current = current | ((F.col("kind") == r.kind) & (F.col("version") == r.version))
+    span = lambda x: F.struct(
+        x["start"].alias("start"), rank.alias("rank"), F.col("kind").alias("kind"), x["end"].alias("end")
     )
-    by_blob = rows.groupBy("digest").agg(F.sort_array(F.collect_list("x")).alias("spans"))
+    rows = ledger.filter(current).select("digest", F.explode(F.transform("found", span)).alias("x"))
+    return rows.groupBy("digest").agg(F.sort_array(F.collect_list("x")).alias("spans"))
+
+
+def redact(docs: DataFrame, ledger: DataFrame, rules: list[Rule], mark: str = "[secret]") -> DataFrame:
+    """`docs` with every span of their text's findings replaced by `mark`; spans that overlap are
+    one. All columns stay; null texts stay null."""
+    name, spans = common.unused(docs, "_digest"), common.unused(docs, "_spans")
+    found = spans_of(ledger, rules).select(F.col("digest").alias(name), F.col("spans").alias(spans))
+    digest = F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256)
+    both = docs.withColumn(name, digest).join(found, name, "left")
+    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
+
+    def step(state, x):
+        gap = F.substring("text", (state["at"] + 1).cast("int"), (x["start"] - state["at"]).cast("int"))
+        out = F.when(x["start"] >= state["at"], F.concat(state["out"], gap, F.lit(mark)))
+        return F.struct(
+            out.otherwise(state["out"]).alias("out"), F.greatest(state["at"], x["end"]).alias("at")
+        )
+
+    rest = lambda s: F.concat(s["out"], F.substring("text", (s["at"] + 1).cast("int"), F.length("text")))
+    text = F.when(F.col(spans).isNotNull(), F.aggregate(spans, start, step, rest))
+    return both.withColumn("text", text.otherwise(F.col("text"))).select(docs.columns)
+
+
+def findings(paths: DataFrame, ledger: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Every path of (path, digest) with its counts and spans by the given rule versions."""
+    by_blob = spans_of(ledger, rules)
     by_path = paths.join(by_blob, "digest", "left")
     empty = F.from_json(F.lit("[]"), by_blob.schema["spans"].dataType.simpleString())
     by_path = by_path.withColumn("spans", F.coalesce("spans", empty))
