@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +17,16 @@ from haltwise.llm.pretokens import Pieces, distinct, encoder
 
 BLOCK_BYTES = 24 << 20  # text of one block; a longer document is a block of its own
 _ROWS = "block string, bucket int, kind int, names binary, lengths binary, data binary"
+_SCHEMA = pa.schema(
+    [
+        ("block", pa.string()),
+        ("bucket", pa.int32()),
+        ("kind", pa.int32()),
+        ("names", pa.binary()),
+        ("lengths", pa.binary()),
+        ("data", pa.binary()),
+    ]
+)
 
 
 def packed(numbers: np.ndarray) -> bytes:
@@ -47,7 +58,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[lis
     texts: list[str] = []
     size = 0
     for part in common.text_batches(batches, "text", limit):
-        n = pa.compute.sum(pa.compute.binary_length(part.column("text"))).as_py() or 0
+        n = pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
         if texts and size + n > limit:
             yield ids, texts
             ids, texts, size = [], [], 0
@@ -71,30 +82,21 @@ def _split(limit: int, buckets: int):
             coded = [w.encode() for w in words]
             bucket = np.fromiter((_bucket(w, buckets) for w in coded), np.int64, count=len(coded))
             order = np.argsort(bucket, kind="stable")
-            place = np.empty(len(order), dtype=np.int64)
-            place[order] = np.arange(len(order))
             edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
             rows = {c: [] for c in ("block", "bucket", "kind", "names", "lengths", "data")}
-            for a, b in zip(edges, [*edges[1:], len(order)], strict=True):
+            for a, b in zip(edges, [*edges[1:], len(order)], strict=False):
+                # numbers count words by frequency; within a bucket they go up
+                numbers = packed(np.diff(order[a:b], prepend=0))
                 mine = [coded[i] for i in order[a:b].tolist()]
-                _add(rows, block, int(bucket[order[a]]), 0, None, _lengths(mine), b"".join(mine))
-            # words by bucket stand at `place`; pre-tokens keep the numbers by frequency, which
-            # are short, and the places are sent once per word
-            names = pa.array(ids, pa.int64())
-            _add(rows, block, -1 - (part + k) % buckets, 1, _to_bytes(names), packed(counts), b"")
-            _add(rows, block, -1 - (part + k) % buckets, 2, None, packed(place), packed(number))
+                _add(rows, block, int(bucket[order[a]]), 0, numbers, _lengths(mine), b"".join(mine))
+            to = -1 - (part + k) % buckets
+            names = to_bytes(pa.table({"doc_id": pa.array(ids, pa.int64())}))
+            _add(rows, block, to, 1, names, packed(counts), packed(number))
+            for c in ("names", "lengths", "data"):
+                rows[c] = list(map(common.squeeze, rows[c]))
             yield pa.RecordBatch.from_pydict(
                 rows,
-                schema=pa.schema(
-                    [
-                        ("block", pa.string()),
-                        ("bucket", pa.int32()),
-                        ("kind", pa.int32()),
-                        ("names", pa.binary()),
-                        ("lengths", pa.binary()),
-                        ("data", pa.binary()),
-                    ]
-                ),
+                schema=_SCHEMA,
             )
 
     return run
@@ -115,17 +117,25 @@ def _lengths(words: list[bytes]) -> bytes:
     return packed(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))
 
 
-def _to_bytes(array: pa.Array) -> bytes:
+def _numbers(data: bytes) -> np.ndarray:
+    return unpacked(common.unsqueeze(data))
+
+
+def _short(top: int) -> np.dtype:
+    """The shortest type that holds every id."""
+    return np.dtype("<u2" if top <= 1 << 16 else "<u4")
+
+
+def to_bytes(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    batch = pa.RecordBatch.from_arrays([array], ["x"])
-    with pa.ipc.new_stream(sink, batch.schema) as w:
-        w.write_batch(batch)
+    with pa.ipc.new_stream(sink, table.schema) as w:
+        w.write_table(table)
     return sink.getvalue().to_pybytes()
 
 
-def _from_bytes(data: bytes) -> list:
+def from_bytes(data: bytes) -> pa.Table:
     with pa.ipc.open_stream(data) as r:
-        return r.read_all().column(0).to_pylist()
+        return r.read_all()
 
 
 def _encode_bucket(path: str):
@@ -136,8 +146,8 @@ def _encode_bucket(path: str):
             return rows
         known: dict[bytes, int] = {}
         numbers = []
-        for lengths, data in zip(rows["lengths"], rows["data"], strict=True):
-            n = unpacked(lengths)
+        for lengths, packed_words in zip(rows["lengths"], rows["data"], strict=True):
+            n, data = _numbers(lengths), common.unsqueeze(packed_words)
             end = np.cumsum(n)
             numbers.append(
                 [
@@ -145,10 +155,13 @@ def _encode_bucket(path: str):
                     for a, b in zip((end - n).tolist(), end.tolist(), strict=True)
                 ]
             )
-        pieces = encoder(path).encode([w.decode() for w in known])
+        table = encoder(path)
+        short = _short(len(table.token_bytes))
+        pieces = table.encode([w.decode() for w in known])
         rows = rows.copy()
-        rows["lengths"] = [packed(pieces.length[np.array(x, dtype=np.int64)]) for x in numbers]
-        rows["data"] = [packed(pieces.of(np.array(x, dtype=np.int64))) for x in numbers]
+        numbers = [np.array(x, dtype=np.int64) for x in numbers]
+        rows["lengths"] = [common.squeeze(packed(pieces.length[x])) for x in numbers]
+        rows["data"] = [common.squeeze(pieces.of(x).astype(short).tobytes()) for x in numbers]
         return rows
 
     return run
@@ -158,20 +171,24 @@ def _assemble(path: str):
     """A block's pre-tokens in their order again, with the ids that came back, and decoded."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        words = rows[rows["kind"] == 0].sort_values("bucket")
+        words = rows[rows["kind"] == 0]
         head = rows[rows["kind"] == 1].iloc[0]
-        body = rows[rows["kind"] == 2].iloc[0]
+        table = encoder(path)
+        short = _short(len(table.token_bytes))
         none = np.empty(0, dtype=np.int64)
-        length = np.concatenate([none, *map(unpacked, words["lengths"])])
-        flat = np.concatenate([none, *map(unpacked, words["data"])]).astype(np.uint32)
-        pieces = Pieces(flat, length)
-        number = unpacked(body["lengths"])[unpacked(body["data"])]
-        counts = unpacked(head["lengths"])
+        length = np.concatenate([none, *map(_numbers, words["lengths"])])
+        flat = [np.frombuffer(common.unsqueeze(x), dtype=short) for x in words["data"]]
+        pieces = Pieces(np.concatenate([none, *flat]).astype(np.uint32), length)
+        place = np.empty(len(length), dtype=np.int64)
+        place[np.concatenate([none, *(np.cumsum(_numbers(x)) for x in words["names"])])] = (
+            np.arange(len(length))
+        )
+        counts, number = _numbers(head["lengths"]), place[_numbers(head["data"])]
         sizes = pieces.sizes(number, counts)
         end = np.cumsum(counts)
-        table = encoder(path)
         out = {"doc_id": [], "n_tokens": [], "ids": [], "decoded": []}
-        for name, a, b, n in zip(_from_bytes(head["names"]), end - counts, end, sizes, strict=True):
+        names = from_bytes(common.unsqueeze(head["names"])).column(0).to_pylist()
+        for name, a, b, n in zip(names, end - counts, end, sizes, strict=True):
             ids = pieces.of(number[a:b])
             out["doc_id"].append(name)
             out["n_tokens"].append(int(n))
