@@ -36,6 +36,13 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, digits) for n in names})
 
 
+def new_store(spark: SparkSession):
+    from haltwise.plans.store import Store
+    from haltwise.session import fresh_dir
+
+    return Store(spark, fresh_dir(a.settle(spark), "store"), "month")
+
+
 # --- base tables -----------------------------------------------------------
 
 
@@ -166,11 +173,18 @@ _GID = "'9015012' || lpad(DVJId, 9, '0')"
         ["calls"],
         f"""SELECT CASE WHEN DVJId::BIGINT % 17 <> 0 THEN {_GID} END AS "DVJId", SequenceNumber,
         CASE WHEN DVJId::BIGINT % 17 = 0 THEN 'ExtraTripId' END AS "ReinforcementType",
-        DVJId AS "JourneyGid", OperatingDate FROM calls""",
+        CASE WHEN DVJId::BIGINT % 17 <> 0 THEN {_GID}
+        ELSE 'trip@' || DVJId || '@' || OperatingDate END AS "_owner",
+        OperatingDate FROM calls""",
     ),
 )
 def call_extra(spark, sf):
-    return c.call_extra(unresolved_calls(spark, sf), keep_trip=True)
+    """The saved table, read back with the names of its journeys."""
+    store = new_store(spark)
+    table = "journey_call_on_extra_journey"
+    built = c.call_extra(unresolved_calls(spark, sf), dated=True)
+    store.replace_dates(store.with_lineage(built), table)
+    return store.read(table, with_lineage=True).drop("SourceFiles", "ProcessedTimestamp")
 
 
 # --- journey extensions ----------------------------------------------------
@@ -217,7 +231,8 @@ def _call_view(name: str, ext_sql: str, build, **extra) -> None:
 
     @query(name, sql)
     def run(spark, sf):
-        staged = a.calls(spark, sf)
+        # base and extension are built from one saved copy of the calls
+        staged = new_store(spark).saved_once(a.calls(spark, sf), "calls")
         base = c.journey_call(staged, splits=c.call_splits(staged))
         return view(name, base, build(staged, spark, sf))
 
@@ -253,9 +268,17 @@ _call_view("v_journey_call_missing_passage",
     ),
 )
 def v_call_extra(spark, sf):
-    staged = unresolved_calls(spark, sf)
-    base = c.journey_call(staged, splits=c.call_splits(staged))
-    return view("v_journey_call_on_extra_journey", base, c.call_extra(staged, keep_trip=True))
+    """The view over saved tables."""
+    store = new_store(spark)
+    staged = store.saved_once(unresolved_calls(spark, sf), "calls")
+    built = {
+        "journey_call": c.journey_call(staged, splits=c.call_splits(staged)),
+        "journey_call_on_extra_journey": c.call_extra(staged, dated=True),
+    }
+    for table, df in built.items():
+        store.replace_dates(store.with_lineage(df), table)
+    found = store.views(["v_journey_call_on_extra_journey"])["v_journey_call_on_extra_journey"]
+    return found.drop("SourceFiles", "ProcessedTimestamp")
 
 
 def _journey_view(name: str, needs: list[str], ext_sql: str, build, **extra) -> None:
@@ -602,9 +625,9 @@ _LISTING = r"""WITH listing AS (
 @query(
     "file_sets",
     _LISTING
-    + """SELECT ts, min(region) AS region, count(DISTINCT feed) AS feeds,
+    + """SELECT ts, region, count(DISTINCT feed) AS feeds,
     string_agg(DISTINCT feed, ',' ORDER BY feed) AS names,
-    count(DISTINCT feed) = 3 AS is_complete FROM files GROUP BY ts""",
+    count(DISTINCT feed) = 3 AS is_complete FROM files GROUP BY ts, region""",
 )
 def file_sets(spark, sf):
     sets = listing.file_sets(a.feed_listing(spark, sf))
@@ -620,15 +643,15 @@ def file_sets(spark, sf):
 @query(
     "new_files",
     _LISTING
-    + """SELECT ts, string_agg(DISTINCT feed, ',' ORDER BY feed) AS names,
+    + """SELECT ts, region, string_agg(DISTINCT feed, ',' ORDER BY feed) AS names,
     count(DISTINCT feed) = 3 AS is_complete FROM files
-    WHERE NOT (feed = 'TripUpdates.pb' AND o_orderkey % 3 = 0) GROUP BY ts""",
+    WHERE NOT (feed = 'TripUpdates.pb' AND o_orderkey % 3 = 0) GROUP BY ts, region""",
 )
 def new_files(spark, sf):
     done = listing.processed_files(a.run_log(spark, sf))
     sets = listing.file_sets(a.feed_listing(spark, sf), done)
     return sets.select(
-        "ts", F.array_join(F.map_keys("files"), ",").alias("names"), "is_complete"
+        "ts", "region", F.array_join(F.map_keys("files"), ",").alias("names"), "is_complete"
     )
 
 
@@ -1015,20 +1038,80 @@ def prep_validation(spark, sf):
     return staging_report(plain.join(known, "trip_id", "left"), a.raw_calls(spark, sf))
 
 
-@query("quality_report")
+def _report_oracle() -> str:
+    """Rows on structure from the registry of tables; rows on content from the tables."""
+    from haltwise import schema
+
+    there = {"journey", "journey_call"}
+    more = 3  # lineage, and the name of the journey
+    core = sum(t.group == "base" for t in schema.TABLES.values())
+    rows = [
+        ("tables_exist_count", "FAIL", len(there), len(schema.TABLES), f"core tables found: {len(there)} of {core}")
+    ]
+    for name, t in schema.TABLES.items():
+        n = len(t.columns)
+        if name in there:
+            rows.append((f"column_count_{name}", "PASS", n + more, n, f"columns found: {n + more}"))
+        else:
+            verdict = "FAIL" if t.group == "base" else "WARN"
+            rows.append((f"table_exists_{name}", verdict, 0, 1, f"{name} has not been saved"))
+    values = ", ".join(f"('{n}', 1, '{r}', {m}e0, {t}e0, '{d}')" for n, r, m, t, d in rows)
+    content = [
+        _filled_oracle(
+            "journey",
+            "journeys",
+            [("DVJId", "DVJId", 0.9), ("OperatingDate", "OperatingDate", 1.0)],
+            "DVJId, OperatingDate",
+        ),
+        _filled_oracle(
+            "journey_call",
+            "calls",
+            [("SequenceNumber", "SequenceNumber", 1.0), ("DVJId", "DVJId", 0.9)],
+            "DVJId, SequenceNumber",
+        ),
+    ]
+    return o.with_relations(
+        ["journeys", "calls"],
+        f"""SELECT * FROM (VALUES {values})
+        AS v(check_name, check_level, result, metric_value, threshold, details)
+        UNION ALL {content[0]} UNION ALL {content[1]}""",
+    )
+
+
+@query("quality_report", _report_oracle())
 def quality_report(spark, sf):
-    """All checks over a saved pair of base tables, saved and read back."""
-    from haltwise.plans.quality import run_checks
-    from haltwise.plans.store import Store
-    from haltwise.session import fresh_dir
+    """All checks over a saved pair of base tables, by the job, and read back."""
+    from haltwise.plans.jobs import validate
 
-    store = Store(spark, fresh_dir(a.settle(spark), "store"), "month")
-    staged = a.calls(spark, sf)
-    store.overwrite(store.with_lineage(c.journey_call(staged)), "journey_call")
-    store.overwrite(
+    store = new_store(spark)
+    store.replace_dates(store.with_lineage(c.journey_call(a.calls(spark, sf))), "journey_call")
+    store.replace_dates(
         store.with_lineage(journeys.journey(a.journeys(spark, sf))), "journey"
     )
-    saved = {n: store.read(n, with_lineage=True) for n in ("journey", "journey_call")}
-    results = run_checks(spark, saved, _CHECK_DAY)
-    store.append(results.withColumn("run_timestamp", F.current_timestamp()), "quality_results")
+    validate(store, _CHECK_DAY, strict=False)
     return store.read("quality_results").drop("run_timestamp")
+
+
+@query(
+    "pipeline_tables",
+    o.with_relations(
+        ["calls"],
+        """SELECT DVJId, OperatingDate, dep_delay AS "DepartureDelaySeconds" FROM calls
+        WHERE SequenceNumber = 1
+          AND NOT (OperatingDate >= DATE '1995-01-01' AND coalesce(dep_delay, 0) >= 300)""",
+    ),
+)
+def pipeline_tables(spark, sf):
+    """Start delays saved from two runs; late starts of the dates of the second no longer come up
+    there, so they are gone, while those of other dates stay."""
+    store = new_store(spark)
+    staged = store.saved_once(a.calls(spark, sf), "calls")
+    table = "journey_start_delay"
+    store.replace_dates(store.with_lineage(journeys.start_delay(staged, dated=True)), table)
+    again = staged.filter("OperatingDate >= DATE'1995-01-01'")
+    dates = [r[0] for r in again.select("OperatingDate").distinct().collect()]
+    later = journeys.start_delay(again, dated=True).filter(
+        "DepartureDelaySeconds IS NULL OR DepartureDelaySeconds < 300"
+    )
+    store.replace_dates(store.with_lineage(later), table, dates)
+    return store.read(table).select("DVJId", "OperatingDate", "DepartureDelaySeconds")

@@ -37,8 +37,8 @@ def build_tables(
 ) -> dict[str, DataFrame]:
     """Lazy table frames of a scope by name.
 
-    Of journeys and calls the newest row per key is taken. `dated` adds the
-    operating date to tables whose contract has none, as storage wants it. `share`
+    Of journeys and calls the newest row per key is taken. `dated` adds what storage
+    wants besides the contract: the operating date, and the name of the journey. `share`
     gets each frame that several tables are built from, with a name, and may give
     back a saved copy of it. The only other jobs run here are the size checks of the
     ordered windows.
@@ -66,16 +66,16 @@ def build_tables(
             "journey_call_cancelled_or_journey": c.call_cancelled(calls, journeys, dated),
             "journey_call_deviation_on": c.call_deviation(calls, dated),
             "journey_call_missing_passage": c.call_missing_passage(calls, dated),
-            "journey_call_on_extra_journey": c.call_extra(calls, keep_trip=True),
-            "journey_start_delay": j.start_delay(calls),
-            "journey_block_first_start_delay": j.block_first_start_delay(calls, journeys),
-            "journey_missing": j.journey_missing(journeys),
+            "journey_call_on_extra_journey": c.call_extra(calls, dated),
+            "journey_start_delay": j.start_delay(calls, dated),
+            "journey_block_first_start_delay": j.block_first_start_delay(calls, journeys, dated),
+            "journey_missing": j.journey_missing(journeys, dated),
             "journey_observed_path": paths.observed_path(journeys, located, by_position),
             "journey_observed_path_extended": paths.observed_path_extended(
                 journeys, located, by_position
             ),
             "journey_planned_path": paths.planned_path(
-                journeys, given.shapes, given.trips, given.stop_times, group_rows
+                journeys, given.shapes, given.trips, given.stop_times, group_rows, dated
             ),
         }
     if "journey_link_observed_path" in names and located is not None:

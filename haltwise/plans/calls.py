@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from haltwise.functions import transit as t
 from haltwise.operators.keyed import latest_by_key
 from haltwise.operators.ordered import GROUP_ROWS, Splits, find_splits, ordered
-from haltwise.schema import DEVIATION_NAMES, AgencyProfile, publish
+from haltwise.schema import DEVIATION_NAMES, OWNER, AgencyProfile, owner_col, publish
 
 KEY = ["DVJId", "SequenceNumber"]
 
@@ -57,6 +57,11 @@ def call_splits(calls: DataFrame, limit: int = GROUP_ROWS) -> Splits | None:
     return find_splits(with_journey(calls), ["_journey"], "SequenceNumber", limit, unique=True)
 
 
+def keyed(calls: DataFrame) -> DataFrame:
+    """The key of each call, its date, and the name of its journey."""
+    return calls.select(*KEY, "OperatingDate", owner_col(calls.columns).alias(OWNER))
+
+
 def agency_columns(profile: AgencyProfile) -> dict[str, Column]:
     return {
         "DefaultTransportModeCode": F.lit(profile.transport_mode),
@@ -224,7 +229,7 @@ def call_cancelled(calls: DataFrame, journeys: DataFrame, dated: bool = False) -
         .distinct()
     )
     return publish(
-        calls.select(*KEY, "OperatingDate")
+        keyed(calls)
         .join(flagged, "DVJId", "left")
         .withColumns(
             {
@@ -241,28 +246,25 @@ def call_deviation(calls: DataFrame, dated: bool = False) -> DataFrame:
     """Deviation case columns, all unknown to the feeds."""
     unknown = {name: F.lit(None).cast("string") for name in DEVIATION_NAMES.split()}
     return publish(
-        calls.select(*KEY, "OperatingDate").withColumns(unknown), "journey_call_deviation_on", dated
+        keyed(calls).withColumns(unknown), "journey_call_deviation_on", dated
     )
 
 
 def call_missing_passage(calls: DataFrame, dated: bool = False) -> DataFrame:
     """Why a passage is missing, which the feeds do not tell."""
-    return publish(calls.select(*KEY, "OperatingDate"), "journey_call_missing_passage", dated)
+    return publish(keyed(calls), "journey_call_missing_passage", dated)
 
 
-def call_extra(calls: DataFrame, keep_trip: bool = False) -> DataFrame:
+def call_extra(calls: DataFrame, dated: bool = False) -> DataFrame:
     """Calls of trips without a dated journey are marked as reinforcement.
 
-    Such calls have no DVJId to be found by; `keep_trip` adds the trip id, which
-    the view joins on as well.
+    Such calls have no DVJId to be found by; the stored form (`dated`) has the name
+    of their journey, by which the view finds them.
     """
     marked = calls.withColumn(
         "ReinforcementType", F.when(F.col("DVJId").isNull(), "ExtraTripId")
     )
-    table = publish(marked, "journey_call_on_extra_journey")
-    if not keep_trip:
-        return table
-    return marked.select(*table.columns, "JourneyGid", "OperatingDate")
+    return publish(marked, "journey_call_on_extra_journey", dated)
 
 
 def with_last_stop(

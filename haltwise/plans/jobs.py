@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from haltwise.plans import enrich, quality
 from haltwise.plans.build import Inputs, build_tables
-from haltwise.plans.store import Store
+from haltwise.plans.store import UNKEYED, Store
 from haltwise.schema import AgencyProfile, tables_in
 from haltwise.session import settle
 from haltwise.sources import feeds, listing, schedule
@@ -86,11 +86,16 @@ def stage_files(
     """Decode feed files of complete sets, enrich, validate and upsert to staging.
 
     `files` has one (path, content) frame per feed. Decoded entities are written
-    once; journeys, calls and checks read them from there.
+    once; journeys, calls and checks read them from there. A file that cannot be decoded
+    is named with its error in `_damaged` below the store root, and the others go on.
     """
     where = f"{store.root}/_decoded/{run_id}-{uuid.uuid4().hex[:8]}"
     decoded = {}
     for kind in FEED_OF:
+        broken = feeds.damaged(files[kind])
+        broken.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(
+            f"{store.root}/_damaged"
+        )
         entities = feeds.decode(files[kind], kind)
         entities.write.parquet(f"{where}/{kind}")
         decoded[kind] = store.spark.read.schema(entities.schema).parquet(f"{where}/{kind}")
@@ -107,9 +112,10 @@ def stage_files(
     )
     calls = feeds.calls_from(updates, ids, trips, plan.stops, profile)
     lineage = {"_run_id": F.lit(run_id), "_parsed_timestamp": F.current_timestamp()}
+    columns = {"journeys": journeys.columns, "calls": calls.columns}
     journeys = store.hold(journeys.withColumns(lineage), "parsed_journey")
     calls = store.hold(calls.withColumns(lineage), "parsed_call")
-    quality.require_sound_staging(journeys, calls, max_unresolved)
+    quality.require_sound_staging(journeys, calls, max_unresolved, columns)
     newest = [F.desc_nulls_last("_source_timestamp")]
     rest_j = [F.desc_nulls_last("VehicleAssignedFromDateTime"), F.desc_nulls_last("DVJId")]
     rest_c = [
@@ -159,7 +165,7 @@ def prep(
         rows = stage_files(store, files, plan, run_id, profile, max_unresolved)
     except Exception as e:
         store.log_run(
-            run_id, operating_date, paths, {}, time.time() - started, "failed", str(e)[:2000]
+            run_id, operating_date, paths, {}, time.time() - started, "failed", str(e)
         )
         raise
     store.log_run(run_id, operating_date, paths, rows, time.time() - started)
@@ -174,10 +180,11 @@ def transform(
     profile: AgencyProfile = AgencyProfile(),
     parallel_tables: int = 8,
 ) -> dict[str, int]:
-    """Build the tables of a scope from staging and upsert them.
+    """Build the tables of a scope from staging and save them in place of their dates.
 
     `dates` limits the work to operating dates that changed; staging is laid out by
-    date, so other dates are not read. Only the inputs a scope needs are touched.
+    date, so other dates are not read. Rows of those dates that no longer come up are
+    gone from the tables. Only the inputs a scope needs are touched.
     """
     settle(store.spark)
 
@@ -195,12 +202,34 @@ def transform(
     if plan is not None and scope in ("base", "all"):
         given.shapes, given.trips, given.stop_times = plan.shapes, plan.trips, plan.stop_times
     built = build_tables(given, scope, profile, dated=True, share=store.saved_once)
+    # staging holds whole days, so what comes out is all there is of them
+    parts = None
+    if dates is None:
+        parts = set()
+        for table in ("parsed_journey", "parsed_call", "parsed_vehicle_positions"):
+            parts |= set(store.manifest(table) or {})
 
     def save(name: str) -> int:
-        return store.upsert(store.with_lineage(built[name]), name)
+        return store.replace_dates(store.with_lineage(built[name]), name, dates, parts)
 
     # what a scope promises but has no input for is there, empty and typed
     store.create_empty([n for n in tables_in(scope) if n not in built])
     # tables do not depend on each other, so their jobs may share the cluster
     with ThreadPoolExecutor(max_workers=parallel_tables) as pool:
         return dict(zip(built, pool.map(save, built)))
+
+
+def validate(store: Store, operating_date, scope: str = "all", strict: bool = True) -> DataFrame:
+    """Check the saved tables of a scope and save the results; with `strict`, fail if one failed.
+
+    Rows kept aside for lack of a key count as rows without one.
+    """
+    settle(store.spark)
+    names = tables_in(scope)
+    tables = {n: store.read(n, with_lineage=True) for n in names if store.exists(n)}
+    aside = {n: store.read(n + UNKEYED, with_lineage=True) for n in names if store.exists(n + UNKEYED)}
+    results = quality.run_checks(store.spark, tables, operating_date, scope, aside)
+    results = store.saved_once(results, "checks")
+    if strict:
+        return quality.gate(store, results)
+    return quality.keep(store, results)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from haltwise.functions import transit as t
 from haltwise.operators.keyed import latest_by_key
 from haltwise.plans.calls import agency_columns
-from haltwise.schema import AgencyProfile, publish
+from haltwise.schema import OWNER, AgencyProfile, owner_col, publish
 
 KEY = ["DVJId", "OperatingDate"]
 
@@ -33,12 +33,18 @@ def journey(journeys: DataFrame, profile: AgencyProfile = AgencyProfile()) -> Da
     return publish(journeys.withColumns(agency_columns(profile)), "journey")
 
 
-def start_delay(calls: DataFrame) -> DataFrame:
-    """Departure delay at the first stop, one row per journey and date."""
+def start_delay(calls: DataFrame, dated: bool = False) -> DataFrame:
+    """Departure delay at the first stop, one row per journey and date.
+
+    Trips without a dated journey are told apart by their trip.
+    """
     delay = F.col("DepartureDelaySeconds").cast("bigint")
+    owner = owner_col(calls.columns).alias(OWNER)
     first_calls = latest_by_key(
-        calls.filter("SequenceNumber = 1").select(*KEY, delay.alias("DepartureDelaySeconds")),
-        KEY,
+        calls.filter("SequenceNumber = 1").select(
+            *KEY, owner, delay.alias("DepartureDelaySeconds")
+        ),
+        [OWNER, "OperatingDate"],
         [F.desc_nulls_last("DepartureDelaySeconds")],
     )
     return publish(
@@ -49,10 +55,13 @@ def start_delay(calls: DataFrame) -> DataFrame:
             }
         ),
         "journey_start_delay",
+        dated,
     )
 
 
-def block_first_start_delay(calls: DataFrame, journeys: DataFrame) -> DataFrame:
+def block_first_start_delay(
+    calls: DataFrame, journeys: DataFrame, dated: bool = False
+) -> DataFrame:
     """Start delay of the journey that opens each vehicle block of a day."""
     opening = (
         journeys.filter(
@@ -71,14 +80,15 @@ def block_first_start_delay(calls: DataFrame, journeys: DataFrame) -> DataFrame:
         )
         .select(F.col("o.DVJId").alias("DVJId"), "OperatingDate")
     )
-    return start_delay(calls).join(opening, KEY, "left_semi")
+    return start_delay(calls, dated).join(opening, KEY, "left_semi")
 
 
-def journey_missing(journeys: DataFrame) -> DataFrame:
+def journey_missing(journeys: DataFrame, dated: bool = False) -> DataFrame:
     """Cancelled journeys carry a reason; all others a null."""
+    owner = owner_col(journeys.columns).alias(OWNER)
     gone = (
-        journeys.groupBy(*KEY)
+        journeys.groupBy(*KEY, owner)
         .agg(F.bool_or("_is_cancelled").alias("_gone"))
         .withColumn("ReasonTypeName", F.when(F.col("_gone"), "Cancelled"))
     )
-    return publish(gone, "journey_missing")
+    return publish(gone, "journey_missing", dated)

@@ -15,7 +15,7 @@ from haltwise.operators.ordered import (
     ordered,
     repeat_rows,
 )
-from haltwise.schema import conform, publish, struct
+from haltwise.schema import OWNER, TRIP_OWNER, conform, owner_col, publish, struct
 
 # Position columns that decide the order of reports of one journey. Rows equal in
 # all of them are interchangeable.
@@ -31,8 +31,9 @@ def trip_of_journey(journeys: DataFrame, *names: str) -> Column:
 def locate_positions(positions: DataFrame, journeys: DataFrame) -> DataFrame:
     """Position reports with the dated journey and date they belong to.
 
-    Reports without a DVJId column are matched on the trip id; with a DVJId but no
-    date column they take the journey's date.
+    Reports without a DVJId column are matched on the trip id and the date, as a trip
+    may run on many dates; on the trip alone where they have no date column. With a DVJId
+    but no date column they take the journey's date.
     """
     if "DVJId" not in positions.columns:
         trips = journeys.select(
@@ -40,7 +41,8 @@ def locate_positions(positions: DataFrame, journeys: DataFrame) -> DataFrame:
             "OperatingDate",
             trip_of_journey(journeys, "TripId", "JourneyGid", "ReinforcedDVJId").alias("trip_id"),
         ).filter("trip_id IS NOT NULL")
-        positions = positions.drop("OperatingDate").join(trips, "trip_id")
+        dated = "OperatingDate" in positions.columns
+        positions = positions.join(trips, ["trip_id", *(["OperatingDate"] if dated else [])])
     elif "OperatingDate" not in positions.columns:
         dates = journeys.groupBy("DVJId").agg(F.min("OperatingDate").alias("OperatingDate"))
         positions = positions.join(dates, "DVJId", "left")
@@ -274,9 +276,16 @@ def planned_path(
     trips: DataFrame | None,
     stop_times: DataFrame | None = None,
     limit: int = GROUP_ROWS,
+    dated: bool = False,
 ) -> DataFrame:
+    """Planned path of every journey; the stored form (`dated`) has its name as well."""
     if shapes is None or trips is None:
         return _stub(journeys, "journey_planned_path")
-    return publish(
-        planned_path_values(journeys, shapes, trips, stop_times, limit), "journey_planned_path"
-    )
+    table = "journey_planned_path"
+    if not dated:
+        return publish(planned_path_values(journeys, shapes, trips, stop_times, limit), table)
+    # worked out by the name of the journey, which all have
+    named = journeys.withColumn("DVJId", owner_col(journeys.columns))
+    values = planned_path_values(named, shapes, trips, stop_times, limit)
+    own = F.when(~F.col("DVJId").startswith(TRIP_OWNER), F.col("DVJId"))
+    return publish(values.withColumns({OWNER: F.col("DVJId"), "DVJId": own}), table, True)

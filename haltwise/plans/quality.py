@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,44 +43,47 @@ def _rows(df: DataFrame, results: list[Column]) -> DataFrame:
     return df.select(F.inline(F.array(*results)))
 
 
+def missing_columns(columns: dict[str, Sequence[str]]) -> list[str]:
+    """P3: what staged frames lack, by their columns before they are fitted to the schema."""
+    out = []
+    for what, ddl in (("journeys", s.STAGED_JOURNEY), ("calls", s.STAGED_CALL)):
+        lacks = sorted(set(s.struct(ddl).names) - set(columns[what]))
+        if lacks:
+            out.append(f"P3: {what} lack {', '.join(lacks)}")
+    return out
+
+
 def staging_problems(
-    journeys: DataFrame, calls: DataFrame, max_unresolved: float = MAX_UNRESOLVED
+    journeys: DataFrame,
+    calls: DataFrame,
+    max_unresolved: float = MAX_UNRESOLVED,
+    columns: dict[str, Sequence[str]] | None = None,
 ) -> list[str]:
-    """What is wrong with staged rows: one pass over each frame."""
-    problems = []
-    j = journeys.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("DVJId").isNull()).alias("no_id"),
-        F.count_if(F.col("OperatingDate").isNull()).alias("no_date"),
-    ).first()
-    if j["n"] == 0:
-        problems.append("P1: no journeys")
-    if calls.isEmpty():
-        problems.append("P2: no calls")
-    for what, df, ddl in (
-        ("journeys", journeys, s.STAGED_JOURNEY),
-        ("calls", calls, s.STAGED_CALL),
-    ):
-        missing = sorted(set(s.struct(ddl).names) - set(df.columns))
-        if missing:
-            problems.append(f"P3: {what} lack {', '.join(missing)}")
-    if j["n"] and j["no_id"] / j["n"] > max_unresolved:
-        problems.append(f"P4: {j['no_id']} of {j['n']} journeys have no DVJId")
-    if j["no_date"]:
-        problems.append(f"P5: {j['no_date']} journeys have no OperatingDate")
-    return problems
+    """What is wrong with staged rows. `columns` are those the frames had before they were
+    saved under the staging schema, which fills in what is missing."""
+    given = columns or {"journeys": journeys.columns, "calls": calls.columns}
+    failed = staging_report(journeys, calls, max_unresolved).filter("result = 'FAIL'").collect()
+    return missing_columns(given) + [
+        f"{r['check_name']}: {r['details']} ({r['metric_value']:g}, limit {r['threshold']:g})"
+        for r in failed
+    ]
 
 
 def require_sound_staging(
-    journeys: DataFrame, calls: DataFrame, max_unresolved: float = MAX_UNRESOLVED
+    journeys: DataFrame,
+    calls: DataFrame,
+    max_unresolved: float = MAX_UNRESOLVED,
+    columns: dict[str, Sequence[str]] | None = None,
 ) -> None:
-    problems = staging_problems(journeys, calls, max_unresolved)
+    problems = staging_problems(journeys, calls, max_unresolved, columns)
     if problems:
         raise PrepError("; ".join(problems))
 
 
-def staging_report(journeys: DataFrame, calls: DataFrame) -> DataFrame:
-    """The measures behind `staging_problems` as check rows."""
+def staging_report(
+    journeys: DataFrame, calls: DataFrame, max_unresolved: float = MAX_UNRESOLVED
+) -> DataFrame:
+    """P1, P2, P4 and P5 of staged rows as check rows: one pass over each frame."""
     n = F.col("n")
     share = F.when(n > 0, F.round(F.col("no_id") / n, 4))
     j = journeys.agg(
@@ -95,8 +99,8 @@ def staging_report(journeys: DataFrame, calls: DataFrame) -> DataFrame:
         j,
         [
             _result("P1", 0, ok(n > 0), n, 1, "journeys"),
-            _result("P4", 0, ok(F.coalesce(share, F.lit(0.0)) <= MAX_UNRESOLVED), share,
-                    MAX_UNRESOLVED, "journeys without DVJId"),
+            _result("P4", 0, ok(F.coalesce(F.col("no_id") / n, F.lit(0.0)) <= max_unresolved), share,
+                    max_unresolved, "journeys without DVJId"),
             _result("P5", 0, ok(F.col("no_date") == 0), F.col("no_date"), 0,
                     "journeys without OperatingDate"),
         ],
@@ -111,39 +115,61 @@ def staging_report(journeys: DataFrame, calls: DataFrame) -> DataFrame:
 def table_checks(spark: SparkSession, tables: dict[str, DataFrame], names: list[str]) -> DataFrame:
     """Level 1 on structure: which tables are there, and with enough columns.
 
-    Tables that need position reports may be missing without failing the run.
+    One row per registered table, joined in its parts to what was found; tables that need
+    position reports may be missing without failing the run.
     """
-    rows = []
-    core = [n for n in names if s.TABLES[n].group == "base"]
-    for n in names:
-        if n not in tables:
-            verdict = "FAIL" if n in core else "WARN"
-            rows.append((f"table_exists_{n}", 1, verdict, 0.0, 1.0, f"{n} is missing"))
-    there = [n for n in names if n in tables]
-    core_there = [n for n in core if n in tables]
-    rows.append(
-        (
-            "tables_exist_count",
-            1,
-            "PASS" if len(core_there) == len(core) else "FAIL",
-            float(len(there)),
-            float(len(names)),
-            f"{len(there)}/{len(names)} tables ({len(core_there)}/{len(core)} core)",
-        )
+    registry = spark.createDataFrame(
+        [
+            (n, s.TABLES[n].group == "base", len(s.TABLES[n].columns), len(tables[n].columns) if n in tables else None)
+            for n in names
+        ],
+        "name string, core boolean, want int, have int",
     )
-    for n in there:
-        have, want = len(tables[n].columns), len(s.TABLES[n].columns)
-        rows.append(
-            (
-                f"column_count_{n}",
+    have, want = F.col("have"), F.col("want")
+    each = registry.select(
+        F.when(
+            have.isNull(),
+            _result(
+                F.concat(F.lit("table_exists_"), "name"),
+                1,
+                F.when(F.col("core"), "FAIL").otherwise("WARN"),
+                0,
+                1,
+                F.concat("name", F.lit(" has not been saved")),
+            ),
+        )
+        .otherwise(
+            _result(
+                F.concat(F.lit("column_count_"), "name"),
                 1,
-                "PASS" if have >= want else "WARN",
-                float(have),
-                float(want),
-                f"{have} columns, at least {want} expected",
+                F.when(have >= want, "PASS").otherwise("WARN"),
+                have,
+                want,
+                F.concat(F.lit("columns found: "), have),
             )
         )
-    return spark.createDataFrame(rows, s.struct(s.CHECK_RESULT))
+        .alias("r")
+    ).select("r.*")
+    found = registry.agg(
+        F.count("have").alias("found"),
+        F.count("*").alias("all"),
+        F.count_if(F.col("core") & have.isNotNull()).alias("core_found"),
+        F.count_if("core").alias("core"),
+    )
+    total = _rows(
+        found,
+        [
+            _result(
+                "tables_exist_count",
+                1,
+                F.when(F.col("core_found") == F.col("core"), "PASS").otherwise("FAIL"),
+                F.col("found"),
+                F.col("all"),
+                F.concat(F.lit("core tables found: "), "core_found", F.lit(" of "), "core"),
+            )
+        ],
+    )
+    return each.unionByName(total)
 
 
 def content_checks(
@@ -191,6 +217,8 @@ def content_checks(
     )
     first = _rows(counts, results).filter("check_name IS NOT NULL")
     keys = list(s.TABLES[table].keys)
+    if s.OWNER in df.columns:  # tells journeys apart that have no DVJId
+        keys = [s.OWNER if k == "DVJId" else k for k in keys]
     doubled = (
         df.filter(on_day)
         .groupBy(*keys)
@@ -237,9 +265,15 @@ class QualityError(RuntimeError):
     """At least one check failed."""
 
 
+def keep(store, results: DataFrame) -> DataFrame:
+    """Save the results of a run."""
+    store.append(results.withColumn("run_timestamp", F.current_timestamp()), "quality_results")
+    return results
+
+
 def gate(store, results: DataFrame) -> DataFrame:
     """Save the results of a run, then fail if any check failed."""
-    store.append(results.withColumn("run_timestamp", F.current_timestamp()), "quality_results")
+    keep(store, results)
     failed = results.filter("result = 'FAIL'").select("check_name")
     names = [r[0] for r in failed.collect()]
     if names:

@@ -14,15 +14,20 @@ MATCH_RADIUS_M = 200.0
 MIN_OBSERVATIONS = 2
 BIG_VARIATION_M = 50
 LARGE_OFFSET_M = 30
+# Of the medians: their rank is off by at most one in so many reports of a stop and date.
+MEDIAN_ACCURACY = 1_000_000
 
 
 def stop_errors(
-    positions: DataFrame, stops: DataFrame, radius_m: float = MATCH_RADIUS_M
+    positions: DataFrame,
+    stops: DataFrame,
+    radius_m: float = MATCH_RADIUS_M,
+    accuracy: int = MEDIAN_ACCURACY,
 ) -> DataFrame:
     """Per stop and date: count, mean and largest distance, mean place, median errors.
 
-    All measures merge, the medians as quantile sketches, so the reports around a
-    busy stop are reduced before they are shuffled.
+    All measures merge, the medians as quantile sketches whose rank error is one in
+    `accuracy`, so the reports around a busy stop are reduced before they are shuffled.
     """
     reports = positions.select("latitude", "longitude", "OperatingDate")
     near = within_radius(reports, stops, radius_m)
@@ -36,8 +41,8 @@ def stop_errors(
             F.round(F.max("distance_m")).alias("SpreadMeters"),
             F.round(F.avg("latitude"), 6).alias("CorrectedLatitude"),
             F.round(F.avg("longitude"), 6).alias("CorrectedLongitude"),
-            F.round(F.percentile_approx(lat_error, 0.5)).alias("LatitudeMedianErrMeters"),
-            F.round(F.percentile_approx(lon_error, 0.5)).alias("LongitudeMedianErrMeters"),
+            F.round(F.percentile_approx(lat_error, 0.5, accuracy)).alias("LatitudeMedianErrMeters"),
+            F.round(F.percentile_approx(lon_error, 0.5, accuracy)).alias("LongitudeMedianErrMeters"),
         )
         .filter(F.col("ObservationCount") >= MIN_OBSERVATIONS)
     )

@@ -1,13 +1,16 @@
-"""Saved tables: parquet folders laid out by operating date, with keyed upsert.
-
-There is no lakehouse format here, so an upsert rewrites the parts (days, or months
-where a day holds little) that a batch touches and leaves all others alone. Spark
-swaps the rewritten parts in when the write job commits; a lost task is simply run
-again.
+"""Saved tables: parquet parts by operating date, published by manifest.
+
+There is no lakehouse format here. A change of a table writes the parts (days, or
+months where a day holds little) it touches into a new folder and then publishes a
+manifest, one small file that names the folder of every part. Readers follow the
+newest manifest, so they see a change whole or not at all, and a driver lost at any
+moment leaves the last published state. Folders that no manifest names any more are
+left to an expiry rule (`Store.unused`).
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -30,8 +33,7 @@ from haltwise.plans.views import view
 
 PART = "_part"
 LAYOUTS = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}
-# A batch that touches more parts than this is merged without naming them.
-NAMED_PARTS = 10_000
+UNKEYED = "_unkeyed"
 
 # Staged rows are keyed by trip and date, which names a dated journey even where
 # the trip has no DVJId; positions are replaced feed by feed.
@@ -61,13 +63,78 @@ class Store:
         return f"{self.root}/{table}"
 
     def schema(self, table: str) -> T.StructType:
-        if table in s.TABLES:
-            return s.struct(f"{s.TABLES[table].stored_ddl}, {s.LINEAGE}")
-        if table in STAGED:
-            return s.struct(f"{STAGED[table][0]}, {s.STAGING_LINEAGE}")
-        return s.struct(LOGS[table])
+        name = table.removesuffix(UNKEYED)
+        if name in s.TABLES:
+            return s.struct(f"{s.TABLES[name].stored_ddl}, {s.LINEAGE}")
+        if name in STAGED:
+            return s.struct(f"{STAGED[name][0]}, {s.STAGING_LINEAGE}")
+        return s.struct(LOGS[name])
+
+    def dated(self, table: str) -> bool:
+        return DATE in self.schema(table).names and table not in LOGS
+
+    # --- manifests -----------------------------------------------------------
+
+    def _files(self, path: str):
+        """Hadoop's file system of a path, and the path as it knows it."""
+        jvm = self.spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), where
+
+    def _versions(self, table: str) -> list[int]:
+        system, where = self._files(f"{self.path(table)}/manifests")
+        if not system.exists(where):
+            return []
+        names = (f.getPath().getName() for f in system.listStatus(where))
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+
+    def manifest(self, table: str) -> dict[str, str] | None:
+        """Folder of every part of the newest published state; None where none is."""
+        return self._manifest(table, self._versions(table))
+
+    def _manifest(self, table: str, versions: list[int]) -> dict[str, str] | None:
+        if not versions:
+            return None
+        path = f"{self.path(table)}/manifests/{versions[-1]:012d}.json"
+        return json.loads(self.spark.read.text(path, wholetext=True).first()[0])
+
+    def _publish(
+        self, table: str, folder: str, touched: set[str] | None, versions: list[int]
+    ) -> None:
+        """Make the parts in `folder` the table's parts of those names; a touched part (every part
+        where None) that the folder lacks is gone. The manifest is written under another name and
+        renamed to the version after the one the change was made from; where someone else has
+        published that meanwhile, this fails."""
+        old = {} if touched is None else self._manifest(table, versions) or {}
+        parts = {p: f for p, f in old.items() if p not in touched}
+        system, where = self._files(f"{self.path(table)}/{folder}")
+        for f in system.listStatus(where):
+            name = f.getPath().getName()
+            if name.startswith(f"{PART}="):
+                parts[name.removeprefix(f"{PART}=")] = folder
+        version = versions[-1] + 1 if versions else 1
+        base = f"{self.path(table)}/manifests"
+        _, draft = self._files(f"{base}/.{uuid.uuid4().hex}")
+        _, final = self._files(f"{base}/{version:012d}.json")
+        out = system.create(draft, True)
+        out.write(bytearray(json.dumps(parts).encode()))
+        out.close()
+        if system.exists(final) or not system.rename(draft, final):
+            raise RuntimeError(f"{table} was changed by another run; run again")
+
+    def unused(self, table: str) -> list[str]:
+        """Folders of the table that the newest manifest does not name. They may be removed once
+        no reader follows an older one."""
+        named = set((self.manifest(table) or {}).values())
+        system, where = self._files(self.path(table))
+        names = [f.getPath().getName() for f in system.listStatus(where)] if system.exists(where) else []
+        return [f"{self.path(table)}/{n}" for n in names if n != "manifests" and n not in named]
+
+    # --- reading -------------------------------------------------------------
 
     def exists(self, table: str) -> bool:
+        if self.dated(table):
+            return bool(self._versions(table))
         try:
             self.spark.read.schema(self.schema(table)).parquet(self.path(table))
         except AnalysisException as e:
@@ -84,59 +151,100 @@ class Store:
         `dates` limits it to those operating dates and so to their parts.
         """
         want = self.schema(table)
-        if not self.exists(table):
-            df = self.spark.createDataFrame([], want)
-        elif DATE not in want.names:
-            df = self.spark.read.schema(want).parquet(self.path(table))
+        if not self.dated(table):
+            if not self.exists(table):
+                df = self.spark.createDataFrame([], want)
+            else:
+                df = self.spark.read.schema(want).parquet(self.path(table))
         else:
-            # no schema inference; columns a file lacks read as null
-            df = self._parts(table)
+            names = None if dates is None else set(self._part_names(dates))
+            df = self._parts(table, names)
             if dates is not None:
-                days = [F.lit(d).cast("date") for d in dates]
-                shape = LAYOUTS[self.layout]
-                df = df.filter(
-                    F.col(PART).isin([F.date_format(d, shape) for d in days])
-                    & F.col(DATE).isin(days)
-                )
-            df = df.drop(PART)
+                df = df.filter(F.col(DATE).isin([F.lit(d).cast("date") for d in dates]))
         if with_lineage:
             return df
         if table in s.TABLES:
             return df.select(*s.TABLES[table].columns)
         return df.drop(*s.struct(s.STAGING_LINEAGE).names)
 
-    def _parts(self, table: str) -> DataFrame:
-        schema = self.schema(table).add(PART, "string")
-        return self.spark.read.schema(schema).parquet(self.path(table))
+    def _part_names(self, dates: Sequence) -> list[str]:
+        return [str(d)[: len(LAYOUTS[self.layout])] for d in dates]
+
+    def _parts(self, table: str, names: set[str] | None = None) -> DataFrame:
+        """Published parts, all or those of the given names; no schema inference, and columns
+        that a file lacks read as null."""
+        parts = self.manifest(table) or {}
+        paths = sorted(
+            f"{self.path(table)}/{folder}/{PART}={part}"
+            for part, folder in parts.items()
+            if names is None or part in names
+        )
+        if not paths:
+            return self.spark.createDataFrame([], self.schema(table))
+        return self.spark.read.schema(self.schema(table)).parquet(*paths)
+
+    # --- writing -------------------------------------------------------------
 
     def create_empty(self, tables: Sequence[str]) -> list[str]:
         """Save empty tables with their registered types where none are saved."""
         made = [t for t in tables if not self.exists(t)]
         for t in made:
-            self._write(self.spark.createDataFrame([], self.schema(t)), t, "overwrite")
+            self._save(self.spark.createDataFrame([], self.schema(t)), t, set())
         return made
 
-    def _write(self, df: DataFrame, table: str, mode: str, **options) -> None:
-        """Few files per part; AQE splits a big part over several tasks."""
-        if DATE in df.columns:
-            df = df.withColumn(PART, self.part()).hint("rebalance", PART)
-            writer = df.write.mode(mode).partitionBy(PART)
-        else:
-            writer = df.write.mode(mode)
-        writer.options(**options).parquet(self.path(table))
+    def _save(
+        self, df: DataFrame, table: str, touched: set[str] | None, base: list[int] | None = None
+    ) -> int:
+        """Write under the registered schema and publish; returns the rows written.
+
+        `touched` parts are replaced, all parts where it is None. `base` are the versions that
+        were there when the rows were read. AQE splits a big part over several tasks.
+        """
+        rows = s.conform(s.with_owner(df, self.schema(table)), self.schema(table))
+        if not self.dated(table):
+            seen = Observation()
+            rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+            rows.write.mode("overwrite" if touched is None else "append").parquet(self.path(table))
+            return seen.get["rows"]
+        versions = self._versions(table) if base is None else base
+        folder = f"data-{uuid.uuid4().hex}"
+        written = f"{self.path(table)}/{folder}"
+        rows = rows.withColumn(PART, self.part()).hint("rebalance", PART)
+        rows.write.partitionBy(PART).parquet(written)
+        self._publish(table, folder, touched, versions)
+        return self.spark.read.schema(self.schema(table)).parquet(written).count()
 
     def overwrite(self, df: DataFrame, table: str) -> int:
-        return self._save(df, table, "overwrite")
+        return self._save(df, table, None)
 
     def append(self, df: DataFrame, table: str) -> int:
-        return self._save(df, table, "append")
+        """Add rows to a log."""
+        if self.dated(table):
+            raise ValueError(f"{table} is saved by key or by date")
+        return self._save(df, table, set())
 
-    def _save(self, df: DataFrame, table: str, mode: str) -> int:
-        """Write under the registered schema; rows are counted while they pass."""
-        seen = Observation()
-        rows = s.conform(df, self.schema(table)).observe(seen, F.count(F.lit(1)).alias("rows"))
-        self._write(rows, table, mode)
-        return seen.get["rows"]
+    def replace_dates(
+        self,
+        df: DataFrame,
+        table: str,
+        dates: Sequence | None = None,
+        parts: set[str] | None = None,
+    ) -> int:
+        """Make `df` all there is of `dates`, so that rows that no longer come up are gone. Rows of
+        other dates stay, also where they share a part. Instead of dates, whole parts may be
+        named; without either, all of the table is replaced. Returns the rows of `df`."""
+        if dates is None:
+            return self._save(df, table, parts)
+        base = self._versions(table)
+        touched = set(self._part_names(dates))
+        days = [F.lit(d).cast("date") for d in dates]
+        rest = None
+        if self.layout != "day" and base:
+            rest = self._parts(table, touched).filter(~F.col(DATE).isin(days) | F.col(DATE).isNull())
+        if rest is None:
+            return self._save(df, table, touched, base)
+        own = s.conform(s.with_owner(df, self.schema(table)), self.schema(table))
+        return self._save(rest.unionByName(own), table, touched, base) - rest.count()
 
     def with_lineage(self, df: DataFrame, source_files: Sequence[str] | None = None) -> DataFrame:
         """Publish columns that say where and when rows came from."""
@@ -160,7 +268,8 @@ class Store:
 
     def hold(self, df: DataFrame, table: str) -> DataFrame:
         """A batch for a table, saved below the root and read back."""
-        return self.saved_once(s.conform(df, self.schema(table)), table)
+        want = self.schema(table)
+        return self.saved_once(s.conform(s.with_owner(df, want), want), table)
 
     def saved_once(self, df: DataFrame, name: str) -> DataFrame:
         """A frame written to a new folder and read back, which also cuts its lineage."""
@@ -179,24 +288,23 @@ class Store:
 
         Of several rows with one key the first in `newest_first` stays. Tables with
         many rows per key have all rows of a key replaced. Rows without a whole key
-        cannot be found again; they are kept aside in `<table>_unkeyed`. Running the
-        same batch again leaves the table as it is.
+        cannot be found again; they are kept aside in `<table>_unkeyed`, each once. Running
+        the same batch again leaves both as they are.
         """
         if many_per_key is None:
             many_per_key = table in s.MANY_PER_KEY
-        keys = self.keys(table)
+        keys, base = self.keys(table), self._versions(table)
         keyless = reduce(or_, (F.col(k).isNull() for k in keys))
         # one pass; one row per part
         parts = (
             held.groupBy(self.part())
             .agg(F.count_if(keyless).alias("keyless"), F.count_if(~keyless).alias("keyed"))
-            .limit(NAMED_PARTS + 1)
             .collect()
         )
-        named = len(parts) <= NAMED_PARTS
-        if any(p["keyless"] for p in parts) or not named:
-            with_null_keys(held, keys).write.mode("append").parquet(f"{self.path(table)}_unkeyed")
-        touched = [p[PART] for p in parts if p["keyed"]]
+        aside = {p[PART] for p in parts if p["keyless"]}
+        if aside:
+            self._keep_aside(with_null_keys(held, keys), table, aside)
+        touched = {p[PART] for p in parts if p["keyed"]}
         if not touched:
             return 0
         keyed = without_null_keys(held, keys)
@@ -206,29 +314,33 @@ class Store:
             batch = latest_by_key(
                 batch, keys, newest_first or [F.desc_nulls_last(c) for c in others]
             )
-        if not self.exists(table):
-            return self.overwrite(batch, table)
-        old = self._parts(table)
-        if named:
-            old = old.filter(F.col(PART).isin(touched))
+        if not base:
+            return self._save(batch, table, set(), base)
         brought = Observation()
         counted = batch.observe(brought, F.count(F.lit(1)).alias("rows"))
-        merged = merge_by_key(old.drop(PART), counted, keys, gone=keyed)
-        self._write(merged, table, "overwrite", partitionOverwriteMode="dynamic")
+        old = self._parts(table, touched)
+        self._save(merge_by_key(old, counted, keys, gone=keyed), table, touched, base)
         return brought.get["rows"]
 
+    def _keep_aside(self, rows: DataFrame, table: str, parts: set[str]) -> None:
+        """Rows without a key, told apart by all that does not say when they were saved."""
+        name = table + UNKEYED
+        lineage = {*s.struct(s.LINEAGE).names, *s.struct(s.STAGING_LINEAGE).names}
+        own = [c for c in self.schema(name).names if c not in lineage]
+        base = self._versions(name)
+        self._save(self._parts(name, parts).unionByName(rows).dropDuplicates(own), name, parts, base)
+
     def views(self, names: Sequence[str] | None = None) -> dict[str, DataFrame]:
         """Tables and join views as temporary views of the session."""
         out = {}
         for t in s.TABLES:
             if self.exists(t):
-                self.read(t, with_lineage=True).createOrReplaceTempView(t)
+                self.read(t, with_lineage=True).drop(s.OWNER).createOrReplaceTempView(t)
         for name in names or s.VIEWS:
             spec = s.VIEWS[name]
             if self.exists(spec.base) and self.exists(spec.extension):
-                out[name] = view(
-                    name, self.read(spec.base, with_lineage=True), self.read(spec.extension)
-                )
+                base = self.read(spec.base, with_lineage=True)
+                out[name] = view(name, base, self.read(spec.extension, with_lineage=True))
                 out[name].createOrReplaceTempView(name)
         return out
 

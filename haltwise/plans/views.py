@@ -2,37 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from haltwise.schema import TABLES, VIEWS
+from haltwise.schema import OWNER, TABLES, VIEWS
 
 
 def view(name: str, base: DataFrame, extension: DataFrame) -> DataFrame:
     """The view as a DataFrame: every base row, extension columns where keys match.
 
-    Calls without a dated journey have no key to meet by. When both sides know the
-    trip (`JourneyGid`), these calls meet on trip, date and sequence number.
+    Where both sides have the name of the journey, as saved tables do, they meet by
+    it, so that calls without a dated journey are found too.
     """
     spec = VIEWS[name]
     extra = TABLES[spec.extension].extra_columns
-    by_trip = (
-        spec.base == "journey_call"
-        and "JourneyGid" in extension.columns
-        and "OperatingDate" in extension.columns
-    )
-    if not by_trip:
-        return base.join(extension.select(*spec.keys, *extra), list(spec.keys), "left").select(
-            *base.columns, *extra
-        )
-
-    def owner() -> Column:
-        trip = F.concat_ws("@", F.lit("trip"), "JourneyGid", F.col("OperatingDate").cast("string"))
-        return F.coalesce("DVJId", trip).alias("_owner")
-
-    left = base.select("*", owner())
-    right = extension.select(owner(), "SequenceNumber", *extra)
-    return left.join(right, ["_owner", "SequenceNumber"], "left").select(*base.columns, *extra)
+    keys = list(spec.keys)
+    if OWNER in base.columns and OWNER in extension.columns:
+        keys = [OWNER if k == "DVJId" else k for k in keys]
+    columns = [c for c in base.columns if c != OWNER]
+    return base.join(extension.select(*keys, *extra), keys, "left").select(*columns, *extra)
 
 
 def view_sql(name: str, prefix: str = "") -> str:

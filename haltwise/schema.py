@@ -7,9 +7,10 @@ missing column is filled with a null of the right type and never with text.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -205,6 +206,8 @@ CHECK_RESULT = """check_name string, check_level int, result string, metric_valu
     threshold double, details string"""
 
 DATE = "OperatingDate"
+OWNER = "_owner"
+TRIP_OWNER = "trip@"
 LINEAGE = "SourceFiles string, ProcessedTimestamp timestamp"
 STAGING_LINEAGE = "_run_id string, _parsed_timestamp timestamp"
 
@@ -256,8 +259,10 @@ class TableSpec:
     @property
     def stored_ddl(self) -> str:
         """Columns on disk: the operating date, by which tables are laid out, is
-        added where the contract has none."""
-        return self.ddl if DATE in self.columns else f"{self.ddl}, {DATE} date"
+        added where the contract has none, and to tables of journeys and calls the
+        name of the journey, which is there without a dated journey too."""
+        ddl = self.ddl if DATE in self.columns else f"{self.ddl}, {DATE} date"
+        return ddl if self.kind == "independent" else f"{ddl}, {OWNER} string"
 
     @property
     def storage_keys(self) -> list[str]:
@@ -354,6 +359,23 @@ def tables_in(scope: str = "all") -> list[str]:
     return [t.name for t in TABLES.values() if scope in ("all", t.group)]
 
 
+def owner_col(columns: Sequence[str]) -> Column:
+    """Names a row's journey: its DVJId, else its trip and date where they are known."""
+    own = F.col("DVJId")
+    trip = [c for c in ("JourneyGid", "JourneyNumber") if c in columns]
+    if not trip or DATE not in columns:
+        return own.cast("string")
+    name = F.concat(F.lit(TRIP_OWNER), F.coalesce(*trip), F.lit("@"), F.col(DATE).cast("string"))
+    return F.coalesce(own, name)
+
+
+def with_owner(df: DataFrame, want: T.StructType) -> DataFrame:
+    """`df` with the name of the journey, where the schema has it and `df` can tell it."""
+    if OWNER not in want.names or OWNER in df.columns or "DVJId" not in df.columns:
+        return df
+    return df.withColumn(OWNER, owner_col(df.columns))
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project to a schema: reorder, cast, and fill what is missing with nulls."""
     have = dict(df.dtypes)
@@ -375,4 +397,7 @@ def publish(df: DataFrame, table: str, dated: bool = False) -> DataFrame:
     `dated` keeps the operating date for storage where the contract has none.
     """
     spec = TABLES[table]
-    return conform(df, struct(spec.stored_ddl) if dated else spec.schema)
+    if not dated:
+        return conform(df, spec.schema)
+    want = struct(spec.stored_ddl)
+    return conform(with_owner(df, want), want)

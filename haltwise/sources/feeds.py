@@ -130,20 +130,48 @@ KINDS = {
 }
 
 
+def damaged(files: DataFrame) -> DataFrame:
+    """(path, error) of the files that cannot be decoded."""
+
+    def errors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from google.protobuf.message import DecodeError
+
+        feed_class = feed_message_class()
+        for batch in batches:
+            found: dict[str, list] = {"path": [], "error": []}
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                try:
+                    feed_class.FromString(content.as_py())
+                except DecodeError as e:
+                    found["path"].append(path.as_py())
+                    found["error"].append(str(e))
+            yield pa.RecordBatch.from_pydict(
+                found, pa.schema([("path", pa.string()), ("error", pa.string())])
+            )
+
+    return files.select("path", "content").mapInArrow(errors, "path string, error string")
+
+
 def decode(files: DataFrame, kind: str) -> DataFrame:
     """Entities of the feed files in (path, content): one row per entity of `kind`.
 
-    Works on batch and streaming frames alike.
+    A file that cannot be decoded gives none (`damaged` lists those). Works on batch and
+    streaming frames alike.
     """
     ddl, reader, fields = KINDS[kind]
     schema = pa.schema(fields)
 
     def entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from google.protobuf.message import DecodeError
+
         feed_class = feed_message_class()
         rows: list[dict] = []
         for batch in batches:
             for path, content in zip(batch.column("path"), batch.column("content")):
-                feed = feed_class.FromString(content.as_py())
+                try:
+                    feed = feed_class.FromString(content.as_py())
+                except DecodeError:
+                    continue
                 for place, entity in enumerate(feed.entity):
                     row = reader(entity)
                     if row is None:

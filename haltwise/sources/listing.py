@@ -46,30 +46,22 @@ def feed_files(listing: DataFrame) -> DataFrame:
 
 
 def file_sets(listing: DataFrame, processed: DataFrame | None = None) -> DataFrame:
-    """One row per timestamp: region, feed → path, and whether all feeds are there.
+    """One row per timestamp and region: feed → path, and whether all feeds are there.
 
     `processed` (column `file`) lists names to leave out.
     """
     files = feed_files(listing)
     if processed is not None:
         files = exclude_files(files, processed)
-    # one path per feed, so a set holds at most as many entries as feed kinds
-    per_feed = files.groupBy("ts", "feed").agg(
-        F.min("region").alias("region"), F.max("path").alias("path")
-    )
+    # one path per feed, all feeds in one pass
+    paths = {f: F.max(F.when(F.col("feed") == f, F.col("path"))) for f in sorted(FEEDS)}
+    entries = F.array(*(F.struct(F.lit(f).alias("feed"), F.col(f"`{f}`").alias("path")) for f in paths))
+    known = F.filter(entries, lambda e: e["path"].isNotNull())
     return (
-        per_feed.groupBy("ts")
-        .agg(
-            F.min("region").alias("region"),
-            F.map_from_entries(F.array_sort(F.collect_list(F.struct("feed", "path")))).alias(
-                "files"
-            ),
-        )
-        .withColumn(
-            "is_complete",
-            F.size(F.array_intersect(F.map_keys("files"), F.array(*map(F.lit, FEEDS))))
-            == len(FEEDS),
-        )
+        files.groupBy("ts", "region")
+        .agg(*(path.alias(f) for f, path in paths.items()))
+        .select("ts", "region", F.map_from_entries(known).alias("files"))
+        .withColumn("is_complete", F.size("files") == len(FEEDS))
     )
 
 

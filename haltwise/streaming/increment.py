@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 from datetime import date
 
@@ -16,8 +17,6 @@ from haltwise.schema import AgencyProfile
 from haltwise.session import settle
 from haltwise.sources import listing
 
-# Ready sets that lie in more parts of the inbox than this are read without naming them.
-NAMED_PARTS = 10_000
 INBOX = "path string, content binary, file string, feed string, ts string, part string"
 # Leading characters of a feed timestamp that name its part of the inbox.
 PART_LENGTH = {"day": 10, "month": 7}
@@ -40,7 +39,8 @@ class Inbox:
     """Micro-batch sink: keeps arriving files until their set is whole, then stages it.
 
     Safe to repeat: a batch overwrites its own part of the inbox, staging is a keyed
-    upsert, and files count as consumed only once they are in the run log.
+    upsert, and files count as consumed only once they are in the run log. `stream` names
+    the checkpoint, since batch ids start anew with another one.
     """
 
     def __init__(
@@ -49,7 +49,9 @@ class Inbox:
         plan: Schedule,
         profile: AgencyProfile = AgencyProfile(),
         max_unresolved: float = MAX_UNRESOLVED,
+        stream: str = "feeds",
     ):
+        self.stream = stream
         self.store, self.plan, self.profile = store, plan, profile
         self.max_unresolved = max_unresolved
         self.folder = f"{store.root}/_inbox"
@@ -66,11 +68,11 @@ class Inbox:
             .hint("rebalance", "part")
             .write.mode("overwrite")
             .partitionBy("part")
-            .parquet(f"{self.folder}/batch={batch_id}")
+            .parquet(f"{self.folder}/batch={self.stream}-{batch_id}")
         )
 
         done = listing.processed_files(self.store.read("run_log"))
-        inbox = spark.read.schema(f"{INBOX}, batch bigint").parquet(self.folder)
+        inbox = spark.read.schema(f"{INBOX}, batch string").parquet(self.folder)
         waiting = inbox.select("path").join(
             done, listing.file_name(F.col("path")) == F.col("file"), "left_anti"
         )
@@ -83,15 +85,14 @@ class Inbox:
         parts = sorted({r["ts"][:width] for r in rows})
         newest = max(r["ts"] for r in rows)
         contents = inbox.join(ready.select("path"), "path", "left_semi")
-        if len(parts) <= NAMED_PARTS:
-            contents = contents.filter(F.col("part").isin(parts))
+        contents = contents.filter(F.col("part").isin(parts))
         # a file may lie in two batches if it was written again; one copy is enough
         contents = contents.dropDuplicates(["path"])
         files = {
             kind: contents.filter(F.col("feed") == feed).select("path", "content")
             for kind, feed in FEED_OF.items()
         }
-        run_id = f"stream-{batch_id}"
+        run_id = f"{self.stream}-{batch_id}"
         counts = stage_files(
             self.store, files, self.plan, run_id, self.profile, self.max_unresolved
         )
@@ -113,8 +114,9 @@ def run_increment(
     The run log is created up front so that the first batch can read it.
     """
     store.create_empty(["run_log"])
+    stream = "stream-" + hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
     return (
-        files.writeStream.foreachBatch(Inbox(store, plan, profile, max_unresolved))
+        files.writeStream.foreachBatch(Inbox(store, plan, profile, max_unresolved, stream))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from haltwise.plans import quality
 from haltwise.plans.build import Inputs, build_tables
-from haltwise.plans.jobs import Schedule, prep, transform
+from haltwise.plans.jobs import Schedule, prep, transform, validate
 from haltwise.plans.store import Store
 from haltwise.schema import TABLES
 from haltwise.streaming.increment import run_increment, stream_feed_files
@@ -77,9 +77,9 @@ def test_zero_speed_is_kept(city, rows):
 def test_all_tables_are_saved(city):
     store, _, _, _, counts = city
     assert set(counts) == set(TABLES)
-    assert counts["journey"] == 2  # t3 has no dated journey
-    assert counts["journey_call"] == 8
-    assert counts["journey_planned_path"] == 14
+    assert counts["journey"] == 3  # t3 has no dated journey and is there by its trip
+    assert counts["journey_call"] == 12
+    assert counts["journey_planned_path"] == 21
     assert counts["journey_observed_path"] == 21
     for name in TABLES:
         assert store.read(name).columns == TABLES[name].columns
@@ -88,9 +88,10 @@ def test_all_tables_are_saved(city):
 def test_published_values(city, rows):
     store = city[0]
     assert rows(store.read("journey_call_cancelled_or_journey").filter("SequenceNumber=1"),
-                "DVJId", "JourneyCancelledYesNo") == [("d1", "No"), ("d2", "Yes")]
+                "DVJId", "JourneyCancelledYesNo") == [("d1", "No"), ("d2", "Yes"), (None, "No")]
     assert rows(store.read("journey_start_delay"), "DVJId", "DepartureDelaySeconds",
-                "DeparturePunctualityText") == [("d1", 430, "Late"), ("d2", 130, "OnTime")]
+                "DeparturePunctualityText") == [
+        ("d1", 430, "Late"), ("d2", 130, "OnTime"), (None, 430, "Late")]
     assert rows(store.read("journey_block_first_start_delay"), "DVJId") == [("d1",)]
     halted = store.read("journey_link_halted_event")
     assert {r["DVJId"] for r in halted.collect()} <= {"d1", "d2"} and halted.count() > 0
@@ -124,8 +125,8 @@ def test_views(city, spark):
     late = spark.sql(
         "SELECT DVJId, ArrivalPunctualityText FROM v_journey_call_delay WHERE SequenceNumber = 2"
     )
-    assert {tuple(r) for r in late.collect()} == {("d1", "Late"), ("d2", "OnTime")}
-    assert views["v_journey_planned_path"].count() == 14
+    assert {tuple(r) for r in late.collect()} == {("d1", "Late"), ("d2", "OnTime"), (None, "Late")}
+    assert views["v_journey_planned_path"].count() == 21
 
 
 def test_quality_gate(city, spark, rows):
@@ -133,9 +134,15 @@ def test_quality_gate(city, spark, rows):
     tables = {t: store.read(t, with_lineage=True) for t in TABLES}
     results = quality.run_checks(spark, tables, DATE)
     assert results.count() == 31  # 1 + 22 + 4 + 2, and uniqueness of 2
-    assert rows(quality.tally(results)) == [("PASS", 31)]
+    # one of three journeys and a third of the calls have no dated journey
+    assert rows(quality.tally(results)) == [("FAIL", 2), ("PASS", 29)]
+    with pytest.raises(quality.QualityError, match="not_null_journey_DVJId, not_null_journey_call_DVJId"):
+        validate(store, DATE)
+    assert validate(store, DATE, strict=False).count() == 31
+    results = results.filter("result <> 'FAIL'")
+    assert store.read("quality_results").count() == 62
     quality.gate(store, results)
-    assert store.read("quality_results").count() == 31
+    assert store.read("quality_results").count() == 91
     with pytest.raises(quality.QualityError, match="row_count_journey"):
         quality.gate(store, quality.run_checks(spark, tables, datetime.date(2030, 1, 1)))
     del tables["journey"], tables["stop_point_big_variation"]
@@ -183,3 +190,65 @@ def test_stream_equals_batch(city, spark, tmp_path, rows):
     for t in ("parsed_journey", "parsed_call", "parsed_vehicle_positions"):
         assert rows(_without_run(store.read(t))) == rows(_without_run(batch_store.read(t)))
     assert store.read("run_log").agg(F.sum("file_count")).first()[0] == 6
+
+
+def test_extra_calls_are_in_the_saved_tables_and_the_view(city, spark, rows):
+    store = city[0]
+    extra = store.read("journey_call_on_extra_journey")
+    assert rows(extra.filter("ReinforcementType IS NOT NULL"), "DVJId", "SequenceNumber") == [
+        (None, k) for k in range(1, 5)
+    ]
+    view = store.views(["v_journey_call_on_extra_journey"])["v_journey_call_on_extra_journey"]
+    assert view.count() == 12
+    assert view.filter("ReinforcementType = 'ExtraTripId' AND JourneyGid = 't3'").count() == 4
+
+
+def test_rows_that_no_longer_qualify_are_gone(city, spark, tmp_path):
+    """Of a second run of the same dates, only what it finds is left."""
+    plan = city[1]
+    store = Store(spark, str(tmp_path / "store"))
+    for table in ("parsed_journey", "parsed_call", "parsed_vehicle_positions"):
+        store.overwrite(city[0].read(table, with_lineage=True), table)
+    transform(store, plan)
+    assert store.read("journey_block_first_start_delay").count() == 1
+    assert store.read("journey_link_halted_event").count() > 0
+    moving = store.read("parsed_vehicle_positions", True).withColumn("speed", F.lit(20.0))
+    store.overwrite(store.saved_once(moving, "t"), "parsed_vehicle_positions")
+    calls = store.read("parsed_call", True).filter("SequenceNumber > 1")
+    store.overwrite(store.saved_once(calls, "t"), "parsed_call")
+    transform(store, plan, dates=[DATE])
+    assert store.read("journey_link_halted_event").count() == 0
+    assert store.read("journey_block_first_start_delay").count() == 0
+    assert store.read("journey_call").count() == 9
+
+
+def test_a_damaged_feed_does_not_stop_the_others(city, spark, tmp_path):
+    plan, feeds = city[1], tmp_path / "feeds"
+    store = Store(spark, str(tmp_path / "store"))
+    write_first(feeds)
+    write_second(feeds)
+    broken = next(f for f in feeds.iterdir() if "12-10-00" in f.name and "TripUpdates" in f.name)
+    broken.write_bytes(broken.read_bytes()[:-3])
+    done = prep(store, str(feeds), plan, DATE, max_unresolved=0.5)
+    assert done["status"] == "success" and done["rows"]["parsed_call"] == 8
+    found = spark.read.parquet(f"{store.root}/_damaged").collect()
+    assert [r.path.rsplit("/", 1)[1] for r in found] == [broken.name] and found[0].error
+    assert prep(store, str(feeds), plan, DATE)["status"] == "idle"
+
+
+def test_another_checkpoint_keeps_what_waits(city, spark, tmp_path):
+    plan, feeds = city[1], str(tmp_path / "feeds")
+    store = Store(spark, str(tmp_path / "store"))
+
+    def run(folder, checkpoint):
+        run_increment(
+            store, stream_feed_files(spark, folder), plan, str(tmp_path / checkpoint), max_unresolved=0.5
+        ).awaitTermination()
+
+    write_second(feeds, ("TripUpdates", "VehiclePositions"))
+    run(feeds, "one")
+    assert store.read("parsed_call").count() == 0
+    write_second(str(tmp_path / "later"), ("ServiceAlerts",))
+    run(str(tmp_path / "later"), "two")
+    assert store.read("parsed_call").count() == 8
+    assert store.read("run_log").count() == 1

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from haltwise.plans.store import Store
+from haltwise.plans.store import UNKEYED, Store
 from haltwise.schema import TABLES
 
 D1, D2 = datetime.date(2024, 1, 10), datetime.date(2024, 2, 11)
@@ -45,11 +45,65 @@ def test_upsert(spark, tmp_path, rows, layout, parts):
     assert store.read(table).columns == TABLES[table].columns
     assert rows(store.read(table, True).filter("SequenceNumber = 3"), "SourceFiles") == [("x.pb",)]
     assert rows(store.read(table, dates=[D2]), "DVJId") == [("b",)]
-    aside = spark.read.parquet(store.path(table) + "_unkeyed")
-    assert rows(aside, "DVJId", "ArrivalDelaySeconds") == [(None, 8)]
+    for _ in range(2):  # a rerun adds nothing to what is kept aside
+        aside = store.read(table + UNKEYED, with_lineage=True)
+        assert rows(aside, "DVJId", "ArrivalDelaySeconds") == [(None, 8)]
+        store.upsert(store.with_lineage(first), table)
     assert store.upsert(store.with_lineage(first.limit(0)), table) == 0
 
 
+@pytest.mark.parametrize("layout", ["day", "month"])
+def test_dates_are_replaced_whole(spark, tmp_path, rows, layout):
+    store, table = Store(spark, str(tmp_path), layout), "journey_call_delay"
+    next_day = datetime.date(2024, 1, 11)
+    first = [("a", 1, D1, 5), ("b", 1, D1, 6), (None, 1, D1, 7), ("c", 1, next_day, 8), ("d", 1, D2, 9)]
+    assert store.replace_dates(delays(spark, first), table) == 5
+    # b no longer comes up; a date without any rows is empty afterwards
+    again = delays(spark, [("a", 1, D1, 50)])
+    for _ in range(2):
+        assert store.replace_dates(again, table, [D1, D2]) == 1
+        assert rows(store.read(table), "DVJId", "ArrivalDelaySeconds") == [("a", 50), ("c", 8)]
+    assert store.replace_dates(delays(spark, []), table, parts=set(store.manifest(table))) == 0
+    assert store.read(table).count() == 0
+
+
+def test_more_days_than_any_list(spark, tmp_path):
+    """Many days of rows without a key do not hide the keyed rows of others."""
+    store, table = Store(spark, str(tmp_path)), "journey_call_delay"
+    days = [D1 + datetime.timedelta(k) for k in range(60)]
+    batch = [(None, 1, d, 1) for d in days] + [("a", 1, days[-1], 2), ("b", 1, days[3], 3)]
+    assert store.upsert(delays(spark, batch), table) == 2
+    assert store.read(table).count() == 2 and store.read(table + UNKEYED).count() == 60
+
+
+def test_a_run_lost_before_it_publishes_changes_nothing(spark, tmp_path, rows, monkeypatch):
+    store, table = Store(spark, str(tmp_path)), "journey_call_delay"
+    store.upsert(delays(spark, [("a", 1, D1, 5), ("b", 1, D2, 6)]), table)
+    publish = Store._publish
+
+    def lost(*args):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(Store, "_publish", lost)
+    with pytest.raises(KeyboardInterrupt):
+        store.upsert(delays(spark, [("a", 1, D1, 50), ("c", 1, D1, 60)]), table)
+    assert rows(store.read(table), "DVJId", "ArrivalDelaySeconds") == [("a", 5), ("b", 6)]
+    assert len(store.unused(table)) == 1
+    monkeypatch.setattr(Store, "_publish", publish)
+    store.upsert(delays(spark, [("a", 1, D1, 50), ("c", 1, D1, 60)]), table)
+    assert rows(store.read(table), "DVJId", "ArrivalDelaySeconds") == [("a", 50), ("b", 6), ("c", 60)]
+
+
+def test_a_change_made_from_an_older_state_is_refused(spark, tmp_path, rows):
+    store, table = Store(spark, str(tmp_path)), "journey_call_delay"
+    store.upsert(delays(spark, [("a", 1, D1, 5)]), table)
+    base = store._versions(table)
+    store.upsert(delays(spark, [("b", 1, D1, 6)]), table)
+    with pytest.raises(RuntimeError, match="another run"):
+        store._save(delays(spark, [("c", 1, D1, 7)]), table, {"2024-01-10"}, base)
+    assert rows(store.read(table), "DVJId") == [("a",), ("b",)]
+
+
 def test_paths_are_replaced_journey_by_journey(spark, tmp_path, rows):
     store, table = Store(spark, str(tmp_path)), "journey_observed_path_extended"
 
