@@ -278,18 +278,16 @@ def positions(spark, sf_dir) -> DataFrame:
 
 
 def stop_events(spark, sf_dir) -> DataFrame:
-    """Calls of the same journeys as the positions: each user's signups in order."""
-    signups = (
-        table(spark, sf_dir, "events")
-        .filter("event_type = 'signup'")
-        .withColumn("micros", F.unix_micros(F.col("ts").cast("timestamp")))
+    """Calls of the same journeys as the positions: each user's events in order."""
+    events = table(spark, sf_dir, "events").withColumn(
+        "micros", F.unix_micros(F.col("ts").cast("timestamp"))
     )
     numbered = ordered(
-        signups.filter("user_id IS NOT NULL"),
+        events.filter("user_id IS NOT NULL"),
         ["user_id"],
         ["micros", "event_id"],
         number="SequenceNumber",
-        splits=find_splits(signups, ["user_id"], "micros"),
+        splits=find_splits(events, ["user_id"], "micros"),
     )
     at = (
         numbered.withColumn("s_suppkey", F.expr("event_id % 10"))
