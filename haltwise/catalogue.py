@@ -1115,3 +1115,36 @@ def pipeline_tables(spark, sf):
     )
     store.replace_dates(store.with_lineage(later), table, dates)
     return store.read(table).select("DVJId", "OperatingDate", "DepartureDelaySeconds")
+
+
+# --- the jobs, for the benchmark -------------------------------------------
+
+
+def job_phases(spark: SparkSession, sf: str) -> dict[str, Callable[[], object]]:
+    """Feeds of all calls and positions to staging, to 22 tables, to views, to checks: what each
+    phase does, to be called in order."""
+    from haltwise import feed_adapters as fa
+    from haltwise.plans import jobs
+
+    store = new_store(spark)
+    plan = jobs.Schedule(
+        a.stops(spark, sf), a.routes(spark, sf), a.trips(spark, sf), a.stop_times(spark, sf),
+        a.shapes(spark, sf), a.mapping(spark, sf),
+    ).saved(store)
+    rows = {
+        "TripUpdates": fa.update_rows(spark, sf),
+        "VehiclePositions": fa.vehicle_rows(spark, sf),
+        "ServiceAlerts": a.alerts(spark, sf),
+    }
+    files = {k: store.saved_once(fa.encode(r, k), k) for k, r in rows.items()}
+
+    def read_views():
+        for df in store.views().values():
+            df.write.format("noop").mode("overwrite").save()
+
+    return {
+        "job_prep": lambda: jobs.stage_files(store, files, plan, "bench", max_unresolved=1.0),
+        "job_transform": lambda: jobs.transform(store, plan),
+        "job_views": read_views,
+        "job_validate": lambda: jobs.validate(store, _CHECK_DAY, strict=False),
+    }
