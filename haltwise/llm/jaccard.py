@@ -8,11 +8,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haltwise.llm import common
-from haltwise.llm.bpe import _from_bytes, _to_bytes, packed, unpacked
+from haltwise.llm.bpe import from_bytes, packed, to_bytes, unpacked
 from haltwise.llm.components import components
 from haltwise.llm.hashing import mix, span_hashes
 from haltwise.llm.pretokens import ragged
@@ -20,6 +20,7 @@ from haltwise.llm.pretokens import ragged
 WORDS = 5
 PERCENT = 75
 SUBSET = 2  # elements of the subsets that light sets enumerate
+SUBSET_COST = 20  # of making, shuffling and sorting one subset, in list entries scanned
 CHUNK_BYTES = 16 << 20
 _WHITE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256))
@@ -56,7 +57,7 @@ def shingles(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.nda
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[list, list]]:
-    ids: list = []
+    ids: list[pa.RecordBatch] = []
     texts: list[bytes] = []
     size = 0
     for part in common.text_batches(batches, "text", limit):
@@ -64,7 +65,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[lis
         if texts and size + n > limit:
             yield ids, texts
             ids, texts, size = [], [], 0
-        ids += part.column("doc_id").to_pylist()
+        ids.append(part.select(["doc_id", "text_hash"]))
         texts += [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
         size += n
     if texts:
@@ -114,35 +115,43 @@ def _scatter(limit: int, bits: int, words: int):
             rest = (element << np.uint64(bits)) >> np.uint64(16)
             cut = np.flatnonzero(np.diff(bucket, prepend=-1))
             rows: list[tuple] = []
-            for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(bucket)], strict=True):
-                six = rest[a:b].astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
-                rows.append((chunk, int(bucket[a]), 0, a, six, packed(often[a:b]), b""))
+            for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(bucket)], strict=False):
+                rows.append((chunk, int(bucket[a]), 0, a, _rising(rest[a:b]), packed(often[a:b]), b""))
             to = -1 - (part + k) % (1 << bits)
-            members = owner.astype(np.uint16 if len(sets) < 1 << 16 else np.uint32).tobytes()
+            members = owner.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
             rows.append((chunk, to, 1, len(sets), members, packed(often), packed(sizes)))
-            docs = _to_bytes(pa.array(ids, pa.int64()))
+            docs = to_bytes(pa.Table.from_batches(ids))
             rows.append((chunk, to, 2, 0, docs, packed(np.array(own)), b"".join(names)))
+            columns = list(zip(*rows, strict=True))
+            columns[4:] = [list(map(common.squeeze, c)) for c in columns[4:]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _PART_TYPES, strict=True)],
+                [pa.array(c, t) for c, t in zip(columns, _PART_TYPES, strict=True)],
                 names=[c.split()[0] for c in _PART.split(", ")],
             )
 
     return run
 
 
-def _six(data: bytes) -> np.ndarray:
-    six = np.frombuffer(data, dtype=np.uint8).reshape(-1, 6)
-    out = np.zeros((len(six), 8), dtype=np.uint8)
-    out[:, 2:] = six
-    return out.reshape(-1).view(">u8").astype(np.int64)
+def _rising(values: np.ndarray) -> bytes:
+    """Rising numbers as steps, byte by byte in planes, which compress where steps are small."""
+    return np.diff(values, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _risen(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(common.unsqueeze(data), dtype=np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(steps).view("<u8").ravel()).astype(np.int64)
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return unpacked(common.unsqueeze(data))
 
 
 def _count(rows: pd.DataFrame) -> pd.DataFrame:
     """How many sets hold each shingle of a bucket; only those in two or more go back."""
     if rows["kind"].iloc[0] != 0:
         return rows
-    values = [_six(x) for x in rows["one"]]
-    often = np.concatenate([unpacked(x) for x in rows["two"]])
+    values = [_risen(x) for x in rows["one"]]
+    often = np.concatenate([_numbers(x) for x in rows["two"]])
     _, number = np.unique(np.concatenate(values), return_inverse=True)
     total = np.bincount(number, weights=often).astype(np.int64)[number]
     end = np.cumsum([len(v) for v in values])
@@ -151,9 +160,9 @@ def _count(rows: pd.DataFrame) -> pd.DataFrame:
     for v, b, bucket in zip(values, end.tolist(), rows["bucket"], strict=True):
         df = total[b - len(v) : b]
         at = np.flatnonzero(df > 1)
-        one.append(packed(at))
-        two.append(packed(np.minimum(df[at], (1 << 28) - 1)))
-        three.append((v[at] | (int(bucket) << 48)).astype("<i8").tobytes())
+        one.append(common.squeeze(packed(np.diff(at, prepend=0))))
+        two.append(common.squeeze(packed(np.minimum(df[at], (1 << 28) - 1))))
+        three.append(common.squeeze(_rising((v[at] | (int(bucket) << 48)).astype(np.uint64))))
     out["one"], out["two"], out["three"] = one, two, three
     return out
 
@@ -173,14 +182,15 @@ def _gather(percent: int):
         shared = rows[rows["kind"] == 0].sort_values("base")
         none = np.empty(0, dtype=np.int64)
         count = int(head["base"])
-        kind = np.uint16 if count < 1 << 16 else np.uint32
-        members = np.frombuffer(head["one"], dtype=kind).astype(np.int64)
-        often, size = unpacked(head["two"]), unpacked(head["three"])
-        at = np.concatenate(
-            [none, *(unpacked(x) + b for x, b in zip(shared["one"], shared["base"], strict=True))]
-        )
-        df = np.concatenate([none, *map(unpacked, shared["two"])])
-        element = np.concatenate([none, *(np.frombuffer(x, "<i8") for x in shared["three"])])
+        members = np.frombuffer(common.unsqueeze(head["one"]), np.uint8).reshape(4, -1).T
+        members = np.ascontiguousarray(members).view("<u4").ravel().astype(np.int64)
+        often, size = _numbers(head["two"]), _numbers(head["three"])
+        places = [
+            np.cumsum(_numbers(x)) + b for x, b in zip(shared["one"], shared["base"], strict=True)
+        ]
+        at = np.concatenate([none, *places])
+        df = np.concatenate([none, *map(_numbers, shared["two"])])
+        element = np.concatenate([none, *map(_risen, shared["three"])])
         n = often[at]
         owner = members[ragged((np.cumsum(often) - often)[at], n)]
         df, element = np.repeat(df, n), np.repeat(element, n)
@@ -192,17 +202,17 @@ def _gather(percent: int):
         order = np.lexsort((element, df, owner))
         element = element[order]
         end = np.cumsum(np.where(may, has, 0))
-        names = docs["three"]
+        names = common.unsqueeze(docs["three"])
+        ids = from_bytes(common.unsqueeze(docs["one"])).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
         seen: set[int] = set()
-        out = {"doc_id": [], "n_shingles": [], "node": [], "shared": []}
-        for doc, s in zip(_from_bytes(docs["one"]), unpacked(docs["two"]).tolist(), strict=True):
-            out["doc_id"].append(doc)
+        out = {"n_shingles": [], "node": [], "shared": []}
+        for s in _numbers(docs["two"]).tolist():
             out["n_shingles"].append(int(size[s]))
             out["node"].append(names[16 * s : 16 * s + 16])
             first = may[s] and s not in seen
             seen.add(s)
             out["shared"].append(element[end[s] - has[s] : end[s]] if first else None)
-        return pd.DataFrame(out).astype({"doc_id": "Int64"})
+        return ids.assign(**out)
 
     return run
 
@@ -210,7 +220,7 @@ def _gather(percent: int):
 def document_sets(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, chunk_bytes: int = CHUNK_BYTES
 ) -> DataFrame:
-    """(doc_id, n_shingles, node, shared) of every document; saved in the shared folder.
+    """(doc_id, text_hash, n_shingles, node, shared) of every document; saved in the shared folder.
 
     `node` names the set of shingles. `shared` lists, once per chunk and set and only where the
     set may link, its shingles that other sets hold too, rarest first.
@@ -223,12 +233,15 @@ def document_sets(
     spark = docs.sparkSession
     common.settle(spark)
     bits = min(15, max(6, (4 * common.partitions(spark) - 1).bit_length()))
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(
+    text = F.col("text")
+    rows = docs.select(F.col("doc_id").cast("long"), text, F.xxhash64(text).alias("text_hash"))
+    rows = rows.mapInArrow(
         _scatter(chunk_bytes, bits, words), _PART
     )
     counted = rows.groupBy("bucket", "kind").applyInPandas(_count, _PART)
     made = counted.groupBy("chunk").applyInPandas(
-        _gather(percent), "doc_id long, n_shingles long, node binary, shared array<long>"
+        _gather(percent),
+        "doc_id long, text_hash long, n_shingles long, node binary, shared array<long>",
     )
     return common.save(made, "shingles")
 
@@ -257,42 +270,50 @@ def boundary(nodes: DataFrame, percent: int) -> float:
     )
     subsets = np.concatenate([[0], np.cumsum([r["subsets"] for r in cost])])
     scans = np.concatenate([np.cumsum([r["scan"] for r in cost][::-1])[::-1], [0]])
-    best = int(np.argmin(subsets + scans))
+    best = int(np.argmin(SUBSET_COST * subsets + scans))
     if best == len(cost):
         return float("inf")
     return 1.1 ** cost[best]["step"]
 
 
 def postings(nodes: DataFrame, percent: int) -> DataFrame:
-    """(key, node, n, heavy): two sets link only where they have a key in common, and, under a
-    key of one shingle, only where one of them is heavy is the pair not found elsewhere."""
-    nodes = nodes.withColumns(
-        {
-            "own": F.col("n") - F.size("shared"),
-            "one": F.slice("shared", 1, F.greatest(F.lit(0), _need(F.col("n"), percent, 1) - F.col("n") + F.size("shared")).cast("int")),
-            "two": F.slice("shared", 1, F.greatest(F.lit(0), _need(F.col("n"), percent, SUBSET) - F.col("n") + F.size("shared")).cast("int")),
-        }
-    )
+    """(key, node, n, place, heavy): two sets link only where they have a key in common; under a
+    key of one shingle, one of the two is heavy, for light pairs meet under subsets. `place` is
+    where the key's first shingle stands in the set's order."""
+
+    def part(extra: int) -> Column:
+        own = F.col("n") - F.size("shared")
+        size = F.greatest(F.lit(0), _need(F.col("n"), percent, extra) - own)
+        return F.slice("shared", 1, size.cast("int"))
+
+    nodes = nodes.select("node", "n", F.size("shared").alias("has"), part(1).alias("one"), part(SUBSET).alias("two"))
     x = boundary(nodes, percent)
+    place = F.col("n") - F.col("has")
     light = nodes.filter(F.col("n") < x).filter(F.size("two") >= SUBSET)
-    pairs = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), F.size("two") - 1),
-            lambda i: F.transform(
-                F.slice("two", i + 1, F.size("two")),
-                lambda e: F.xxhash64(F.lit(SUBSET), F.element_at("two", i), e),
-            ),
-        )
+
+    def pairs_from(i: Column) -> Column:
+        key = lambda e: F.xxhash64(F.lit(SUBSET), F.element_at("two", i), e)
+        others = F.slice("two", i + 1, F.size("two"))
+        return F.transform(others, lambda e: F.struct(key(e).alias("key"), (i - 1).alias("i")))
+
+    subsets = light.select(
+        F.explode(F.flatten(F.transform(F.sequence(F.lit(1), F.size("two") - 1), pairs_from))).alias("p"),
+        "node",
+        "n",
+        place.alias("place"),
+        F.lit(True).alias("heavy"),
     )
-    subsets = light.select(F.explode(pairs).alias("key"), "node", "n", F.lit(True).alias("heavy"))
     near = nodes.filter(F.col("n") * 100 >= F.lit(x) * percent)
     lists = near.select(
-        F.explode(F.transform("one", lambda e: F.xxhash64(F.lit(1), e))).alias("key"),
-        "node",
-        "n",
-        (F.col("n") >= x).alias("heavy"),
+        F.posexplode("one").alias("i", "e"), "node", "n", place.alias("place"), (F.col("n") >= x).alias("heavy")
+    )
+    return subsets.select(
+        "p.key", "node", "n", (F.col("place") + F.col("p.i")).alias("place"), "heavy"
+    ).union(
+        lists.select(
+            F.xxhash64(F.lit(1), "e").alias("key"), "node", "n", (F.col("place") + F.col("i")).alias("place"), "heavy"
+        )
     )
-    return subsets.union(lists)
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -307,12 +328,24 @@ def _verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _sizes(a: str, b: str, percent: int) -> Column:
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """Whether sets that have their first common shingle at these places can still share enough.
+    The first common key of a linked pair passes, so no pair is lost."""
+    both = (F.col(f"n{a}") + F.col(f"n{b}")) * percent
+    left = F.col(f"n{a}") - F.col(f"place{a}")
+    right = F.col(f"n{b}") - F.col(f"place{b}")
+    heavy = F.col(f"heavy{a}") | F.col(f"heavy{b}")
+    return (F.least(left, right) * (100 + percent) >= both) & heavy
+
+
+def _side(posted: DataFrame, mark: str, *more: str) -> DataFrame:
+    return posted.select(
+        "key", *(F.col(c).alias(f"{c}{mark}") for c in ("node", "n", "place", "heavy", *more))
+    )
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document of `docs` (doc_id, text).
+    """doc_id, n_shingles, component_id and text_hash of every document of `docs` (doc_id, text).
 
     Two documents link when 100 * intersection >= percent * union of their sets of word
     shingles; component_id is the smallest doc_id reachable by links, itself included.
@@ -327,7 +360,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     Equal sets are one node. Under each key the first node is compared with all others, and
     components are formed; then, under keys where several components meet, all pairs of different
     components are compared. So no pair within a group of near copies is compared needlessly, and
-    none that could join two components is left out. Every compared pair is verified exactly.
+    none that could join two components is left out. A pair whose common shingles begin so late
+    in one of the two that too few can follow is left out; as shared passages come last in the
+    order, documents that have little more than a passage in common fall to this. Every pair that
+    stays is verified exactly.
 
     A null text, an empty one or one without words has an empty set and links with nothing, not
     even its like. Rows with a null doc_id keep it, and get the smallest doc_id of their
@@ -342,18 +378,26 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     )
     nodes = common.save(nodes, "nodes")
     posted = common.save(postings(nodes, percent), "postings")
-    first = posted.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"))
-    first = first.filter("a <> z").select("key", "a")
+    # rows of a key in the order of nodes: the first one leads; rows alone under their key go
+    w = Window.partitionBy("key").orderBy("node")
+    leader = F.first(F.struct("node", "n", "place", "heavy")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    alone = F.lag("node").over(w).isNull() & F.lead("node").over(w).isNull()
+    met = posted.withColumns({"leader": leader, "alone": alone}).filter("not alone")
+    posted = common.save(met.drop("alone"), "met")
     stars = (
-        posted.join(first, "key")
-        .filter("node <> a")
-        .select("a", F.col("node").alias("b"))
+        posted.filter("leader.node <> node")
+        .select(
+            *(F.col(f"leader.{c}").alias(f"{c}_a") for c in ("node", "n", "place", "heavy")),
+            *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "heavy")),
+        )
+        .filter(_may_link("_a", "_b", percent))
+        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
         .distinct()
     )
     found = common.save(_verified(stars, nodes, percent), "links")
     parts = components(found)
     # keys under which nodes of several components meet
-    labelled = posted.join(parts, "node", "left").withColumn(
+    labelled = posted.drop("leader").join(parts, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
     labelled = common.save(labelled, "labelled")
@@ -364,23 +408,23 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         .select("key")
     )
     rest = labelled.join(mixed, "key", "left_semi")
-    one = rest.select("key", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "heavy", "component")))
-    two = rest.select("key", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "heavy", "component")))
     more = (
-        one.join(two, "key")
-        .filter("component_a < component_b and (heavy_a or heavy_b)")
-        .filter(_sizes("n_a", "n_b", percent))
+        _side(rest, "_a", "component")
+        .join(_side(rest, "_b", "component"), "key")
+        .filter("component_a < component_b")
+        .filter(_may_link("_a", "_b", percent))
         .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
         .distinct()
     )
     links = found.union(_verified(more, nodes, percent))
     parts = components(links)
     alone = F.col("n_shingles") == 0
-    docs_of = made.select("doc_id", "n_shingles", "node").join(
-        parts.select("node", "component"), "node", "left"
-    )
+    docs_of = made.drop("shared").join(parts.select("node", "component"), "node", "left")
     docs_of = docs_of.withColumn("component", F.coalesce("component", "node"))
     least = docs_of.groupBy("component").agg(F.min("doc_id").alias("low"))
     return docs_of.join(least, "component").select(
-        "doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("low")).alias("component_id")
+        "doc_id",
+        "n_shingles",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("low")).alias("component_id"),
+        "text_hash",
     )

@@ -36,9 +36,43 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
-@query("op1_jaccard")
+JACCARD = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(string_split(translate(
+        coalesce(text, ''),
+        chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        '     abcdefghijklmnopqrstuvwxyz'), ' '), lambda x: x <> '') AS w
+    FROM documents
+), t AS (
+    SELECT doc_id, len(w) AS words, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM w
+), g AS (
+    SELECT doc_id, words, i,
+           concat_ws(' ', x, lead(x) OVER p, lead(x, 2) OVER p, lead(x, 3) OVER p, lead(x, 4) OVER p)
+               AS x
+    FROM t WINDOW p AS (PARTITION BY doc_id ORDER BY i)
+), e AS (
+    SELECT DISTINCT doc_id, x FROM g WHERE i <= words - 4 OR (words < 5 AND i = 1)
+), n AS (
+    SELECT d.doc_id, count(e.x) AS n FROM documents d LEFT JOIN e USING (doc_id) GROUP BY ALL
+), c AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+    FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+    WHERE 100 * common >= 75 * (na.n + nb.n - common)
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM n
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT doc_id, n AS n_shingles, min(b) AS component_id FROM n JOIN reach ON a = doc_id GROUP BY ALL
+"""
+
+
+@query("op1_jaccard", JACCARD)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+    found = jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 @query("op2_sharding")
@@ -80,7 +114,46 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shuffle_files.materialise(table(spark, sf_dir, "documents"), path)
 
 
-@query("op5_secrets")
+def _secrets_sql() -> str:
+    """Matches of every rule by position: what lies between matches is cut out by the same
+    pattern."""
+    parts = []
+    for k, rule in enumerate(secrets.RULES):
+        # maximal runs of one class: the least length may stand in the pattern
+        pattern = rule.pattern.replace("'", "''")
+        if rule.kind == "hex":
+            pattern = f"[0-9a-f]{{{rule.least},}}"
+        parts.append(
+            f"""SELECT doc_id, '{rule.kind}' AS kind, {k} AS k, {rule.least} AS least,
+            string_split_regex(t, '{pattern}') AS p, regexp_extract_all(t, '{pattern}', 0) AS m,
+            regexp_extract_all(t, '{pattern}', {rule.group}) AS g
+            FROM d WHERE regexp_matches(t, '{pattern}')"""
+        )
+    base = ", ".join(f"'{r.kind}'" for r in secrets.BASE_RULES)
+    counts = ", ".join(
+        f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE_RULES
+    )
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join(parts)}),
+e AS (
+    SELECT doc_id, kind, k, length(m[i]) AS size, length(g[i]) >= least AS good,
+           sum(length(p[i]) + length(m[i])) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop
+    FROM m, unnest(range(1, len(m) + 1)) AS u(i)
+), f AS (
+    SELECT doc_id, kind, k, stop - size AS start,
+           concat_ws(':', kind, (stop - size)::BIGINT, stop::BIGINT) AS span
+    FROM e WHERE good
+)
+SELECT d.doc_id, {counts},
+       sha256(coalesce(string_agg(span, ',' ORDER BY start, k) FILTER (kind IN ({base})), ''))
+           AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY start, k), '') AS spans
+FROM d LEFT JOIN f ON f.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+@query("op5_secrets", _secrets_sql())
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(table(spark, sf_dir, "documents"))[0]
 
