@@ -145,12 +145,19 @@ def range_search(
     return found[score >= cosine - 1e-9]
 
 
-def _graph(width: int):
+def _graph(width: int, cosine: float):
+    """Neighbours of every node of a block, and those of them in or near the range."""
+
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("vec_id")
         names = rows["vec_id"].to_numpy()
-        edges = build(_unit(_stack(rows["v"], width)), int(key[0]) * 31 + int(key[1]))
-        return pd.DataFrame({"vec_id": names, "near": [names[sorted(e)].tolist() for e in edges]})
+        unit = _unit(_stack(rows["v"], width))
+        near, close = [], []
+        for point, e in enumerate(build(unit, int(key[0]) * 31 + int(key[1]))):
+            at = np.array(sorted(e), dtype=np.int64)
+            near.append(names[at].tolist())
+            close.append(names[at[unit[at] @ unit[point] >= cosine - SLACK]].tolist())
+        return pd.DataFrame({"vec_id": names, "near": near, "close": close})
 
     return run
 
@@ -270,18 +277,19 @@ def _search(nodes: DataFrame, total: int, width: int, cosine: float, overlap: in
     graph = (
         members.join(nodes, "vec_id")
         .groupBy("cell", "block")
-        .applyInPandas(_graph(width), "vec_id long, near array<long>")
+        .applyInPandas(_graph(width, cosine), "vec_id long, near array<long>, close array<long>")
     )
     # adjacency lists of the shards that hold a vector, put together
     union = graph.groupBy("vec_id").agg(
-        F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")
+        *(F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("near", "close"))
     )
     union = common.save(union.join(nodes, "vec_id"), "graph")
-    # a shard is searched with the nodes around it that its members' lists name
+    # a shard is searched with the nodes around it that its members' lists name in or near the
+    # range; the search goes through no others once it is there
     around = (
         members.select("vec_id", "cell", "blocks")
-        .join(union.select("vec_id", "near"), "vec_id")
-        .select(F.explode("near").alias("vec_id"), "cell", "blocks")
+        .join(union.select("vec_id", "close"), "vec_id")
+        .select(F.explode("close").alias("vec_id"), "cell", "blocks")
     )
     inside = members.select("vec_id", "cell", "blocks").union(around).distinct()
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
