@@ -194,6 +194,12 @@ class WordEncoder:
         """Joins ids with the table of token bytes."""
         return self.token_data[ragged(self.token_offset[ids], self.token_length[ids])].tobytes()
 
+    def count(self, text: str) -> int:
+        """Ids of a text."""
+        if any(s in text for s in self.special):
+            return len(self.encoding.encode(text, allowed_special="all"))
+        return len(self.encoding.encode_ordinary(text))
+
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and ids per text; special strings have their own ids."""
         out = [np.empty(0, dtype=np.uint32)]

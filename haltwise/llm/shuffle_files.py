@@ -44,12 +44,24 @@ def feistel(numbers: np.ndarray, size: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _sequences(path: str, tokens: int, end_id: int):
+class Checksum:
+    """Of the texts of a partition in their order, and how many there are."""
+
+    def __init__(self):
+        self.n = self.crc = 0
+
+    def add(self, texts: list[str]) -> None:
+        for t in texts:
+            self.n += 1
+            self.crc = crc32(t.encode(), self.crc) ^ (len(t) & 0xFFFFFFFF)
+
+
+def _sequences(path: str, tokens: int, end_id: int, seen: Checksum):
     """Sequences of one input partition: ids of its documents in a row, each with `end_id`
     after it, cut every `tokens`; the last one is filled up with `end_id`.
 
-    Yields, for a batch of documents: ids of whole sequences, real tokens of the last of them,
-    and (doc_id, first token in the partition, tokens) of the batch's documents.
+    Yields ids of whole sequences and the real tokens of the last of them, and adds the texts to
+    `seen`.
     """
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -57,6 +69,7 @@ def _sequences(path: str, tokens: int, end_id: int):
         rest = np.empty(0, dtype=np.uint32)
         for batch in common.text_batches(batches, "text", BATCH_BYTES):
             texts = [t or "" for t in batch.column("text").to_pylist()]
+            seen.add(texts)
             flat, sizes = words.texts(texts)
             ends = np.cumsum(sizes + 1)
             own = np.full(int(ends[-1]), end_id, dtype=np.uint32)
@@ -104,19 +117,20 @@ def materialise(
     common.settle(spark)
     folder = folder or fresh_dir(spark, "training-order")
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    made = _sequences(path, tokens, end_id)
     kind = np.dtype("<u2") if _top(path) <= 1 << 16 else np.dtype("<u4")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        n = check = 0
-        for ids, _ in made(batches):
-            n += len(ids)
-            check = crc32(ids.tobytes(), check)
-        if n:
+        words, seen, total = encoder(path), Checksum(), 0
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            seen.add(texts)
+            total += sum(words.count(t) + 1 for t in texts)
+        if total:
             part = TaskContext.get().partitionId()
-            yield pa.RecordBatch.from_pydict({"part": [part], "n": [n], "check": [check]})
+            row = {"part": [part], "n": [-(-total // tokens)], "check": [seen.crc]}
+            yield pa.RecordBatch.from_pydict(row)
 
     first: dict[int, tuple[int, int, int]] = {}
     total = 0
@@ -129,11 +143,10 @@ def materialise(
         from pyspark import TaskContext
 
         begin, expected, same = first.get(TaskContext.get().partitionId(), (0, 0, 0))
-        n = check = 0
-        for ids, real in made(batches):
+        n, seen = 0, Checksum()
+        for ids, real in _sequences(path, tokens, end_id, seen)(batches):
             number = begin + n + np.arange(len(ids))
             n += len(ids)
-            check = crc32(ids.tobytes(), check)
             size = np.full(len(ids), tokens)
             size[-1] = real
             yield pa.RecordBatch.from_pydict(
@@ -144,7 +157,7 @@ def materialise(
                     "ids": [x.astype(kind).tobytes() for x in ids],
                 }
             )
-        if (n, check) != (expected, same):
+        if (n, seen.crc) != (expected, same):
             raise RuntimeError("the input changed between the two passes; run again")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
