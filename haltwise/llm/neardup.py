@@ -12,12 +12,16 @@ from pyspark.sql import functions as F
 
 from haltwise.llm import common
 from haltwise.llm.components import components
-from haltwise.llm.vectors import assigned, centers, sample, usable
+from haltwise.llm.vectors import assigned, centers, matrix, nearest, sample, usable
 
 COSINE = 0.95
 SHARD_ROWS = 1000  # vectors of a cluster, about
 MOST_ROWS = 2000  # a larger cluster is cut into blocks, which are searched pair by pair
-OVERLAP = 2  # clusters that hold a vector
+OVERLAP = 2  # clusters that hold a vector, at least
+MANY_CENTERS, MANY_OVERLAP = 8, 3  # with so many centers, at least so many clusters hold it
+MOST_OVERLAP = 6  # at most, at first; the audit may ask for more
+SHARED = 0.95  # of pairs just within the range, which should share a cluster
+TRIED = 1024  # vectors for which that is measured, not among the sample if the table has more
 MOST_CENTERS = 4096
 SAMPLE_ROWS = 16_384  # vectors the centers are fitted on
 DEGREE = 24
@@ -26,7 +30,9 @@ ALPHA = 1.2
 BEAM = 24
 SLACK = 0.03  # the range search goes on through nodes this much below the range
 RECALL = 0.9
-AUDIT_ROWS = 256  # vectors whose links are counted by brute force, the first by hash
+AUDIT_ROWS = 256  # vectors whose links are counted by brute force, the first by hash; each
+# gets a planted one just within the range
+FEW = 8  # links; vectors with at most so many are audited on their own too
 
 
 def _stack(column: pd.Series, width: int) -> np.ndarray:
@@ -168,13 +174,14 @@ def _links(width: int, cosine: float, beam: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         nodes = rows[~rows["asks"]].sort_values("vec_id").reset_index(drop=True)
         asks = rows[rows["asks"]]
-        none = pd.DataFrame({"vec_id": [], "links": [], "other": []})
+        none = pd.DataFrame({"vec_id": [], "links": [], "nodes": [], "other": []})
         if nodes.empty or asks.empty:
             return none
         raw = _stack(nodes["v"], width)
         unit = _unit(raw)
         names = nodes["vec_id"].to_numpy()
         weight = nodes["copies"].to_numpy()
+        planted = weight == 0
         place = pd.Series(np.arange(len(names)), index=names)
         edges = []
         for near in nodes["near"]:
@@ -191,22 +198,23 @@ def _links(width: int, cosine: float, beam: int):
             return x
 
         out = []
-        for name, v in zip(asks["vec_id"].tolist(), asks["v"], strict=True):
+        for name, v, copies in zip(asks["vec_id"].tolist(), asks["v"], asks["copies"].tolist(), strict=True):
             own = np.zeros(width)
             own[: len(v)] = v
             query = _unit(own[None, :])[0]
             found = range_search(query, unit, edges, roots, cosine, beam)
             found = found[names[found] != name]
             sure = found[cosines(own, raw[found]) >= cosine]
-            out.append((name, int(weight[sure].sum()), None))
-            # links of the block that join two of its parts; the others add nothing to components
-            for other in names[sure].tolist():
+            out.append((name, int(weight[sure].sum()), len(sure), None))
+            # links of the block that join two of its parts; the others add nothing to components,
+            # nor do those of planted vectors
+            for other in names[sure[~planted[sure]]].tolist() if copies else []:
                 a, b = top(name), top(other)
                 if a != b:
                     parent[max(a, b)] = min(a, b)
-                    out.append((name, 0, other))
-        out = pd.DataFrame(out, columns=["vec_id", "links", "other"])
-        return out.astype({"vec_id": "int64", "links": "int64", "other": "Int64"})
+                    out.append((name, 0, 0, other))
+        out = pd.DataFrame(out, columns=["vec_id", "links", "nodes", "other"])
+        return out.astype({"vec_id": "int64", "links": "int64", "nodes": "int64", "other": "Int64"})
 
     return run
 
@@ -231,40 +239,98 @@ def cosines(query: np.ndarray, points: np.ndarray) -> np.ndarray:
     return np.clip((points @ query) / lengths, -1.0, 1.0)
 
 
-def audit(nodes: DataFrame, result: DataFrame, cosine: float, width: int, rows: int = AUDIT_ROWS):
-    """(links found, links there are) of at most `rows` vectors, compared with all by brute force
-    in one pass. `result` has vec_id and n_links by distinct vector."""
+def nudged(points: np.ndarray, cosine: float, seed: int) -> np.ndarray:
+    """Unit vectors just within the range of `points`: at a cosine of at most 0.01 more."""
+    dice = np.random.default_rng(seed)
+    unit = _unit(points)
+    most = min(1.0, cosine + 0.01)
+    near = dice.uniform(cosine + 0.01 * (most - cosine), most, len(unit))[:, None]
+    aside = dice.normal(size=unit.shape)
+    aside -= (aside * unit).sum(axis=1, keepdims=True) * unit
+    length = np.linalg.norm(aside, axis=1, keepdims=True)
+    if unit.shape[1] == 1:  # no other direction
+        return unit
+    return near * unit + np.sqrt(1 - near**2) * aside / length
+
+
+def planted(nodes: DataFrame, cosine: float, width: int, rows: int = AUDIT_ROWS):
+    """(vec_id and v of at most `rows` vectors, nodes to plant): the first vectors by hash, and
+    for each a vector just within its range, under an id that no vector has and with no copies."""
     some = nodes.orderBy(F.xxhash64("vec_id"), "vec_id").limit(rows).select("vec_id", "v").collect()
-    names = [r["vec_id"] for r in some]
-    asked = np.zeros((len(some), width))
-    for i, r in enumerate(some):
-        asked[i, : len(r["v"])] = r["v"]
+    asked = _stack(pd.Series([r["v"] for r in some]), width)
+    dice = np.random.default_rng(len(some))
+    while True:
+        names = dice.integers(-(2**63), 2**63 - 1, len(some)).tolist()
+        taken = nodes.filter(F.col("vec_id").isin(names)).limit(1).count()
+        if len(set(names)) == len(names) and not taken:
+            break
+    near = nudged(asked, cosine, 1)
+    made = nodes.sparkSession.createDataFrame(
+        [(n, v, 0) for n, v in zip(names, near.tolist(), strict=True)],
+        "vec_id long, v array<double>, copies long",
+    )
+    names = [r["vec_id"] for r in some] + names
+    return (names, np.concatenate([asked, near])), made
+
+
+def audit(nodes: DataFrame, result: DataFrame, cosine: float, asked: tuple[list[int], np.ndarray]):
+    """(vec_id, found, there) of the asked vectors (ids, vectors) that have links: linked nodes
+    found and those there are, by brute force over all nodes in one pass. `result` has vec_id and
+    nodes, the linked nodes found, by vector; copies count once."""
+    names, queries = asked
+    width = queries.shape[1]
+    own_length = np.linalg.norm(queries, axis=1)
+    named = np.array(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(names), dtype=np.int64)
         for batch in batches:
-            points = _stack(pd.Series(batch.column("v").to_pylist()), width)
+            points = matrix(batch.column("v"), width)
             own = batch.column("vec_id").to_numpy()
-            weight = batch.column("copies").to_numpy()
-            total = [
-                int(weight[(cosines(q, points) >= cosine) & (own != n)].sum())
-                for n, q in zip(names, asked, strict=True)
-            ]
-            yield pa.RecordBatch.from_pydict({"vec_id": names, "there": total})
+            score = (queries @ points.T) / np.outer(own_length, np.linalg.norm(points, axis=1))
+            total += ((score >= cosine) & (named[:, None] != own[None, :])).sum(axis=1)
+        yield pa.RecordBatch.from_pydict({"vec_id": names, "there": total})
 
     truth = (
-        nodes.select("vec_id", "v", "copies")
+        nodes.select("vec_id", "v")
         .mapInArrow(run, "vec_id long, there long")
         .groupBy("vec_id")
         .agg(F.sum("there").alias("there"))
+        .filter("there > 0")
     )
-    r = truth.join(result, "vec_id").agg(F.sum(F.least("links", "there")), F.sum("there")).first()
-    return r[0] or 0, r[1] or 0
-
-
-def _search(nodes: DataFrame, total: int, width: int, cosine: float, overlap: int, beam: int):
-    """(vec_id, links) of every distinct vector, and edges that join all linked ones."""
-    some = _unit(sample(nodes, SAMPLE_ROWS, width))
-    made = centers(some, min(len(some), MOST_CENTERS, -(-total // SHARD_ROWS)))
+    found = F.least(F.coalesce("nodes", F.lit(0)), "there").alias("found")
+    rows = truth.join(result.select("vec_id", "nodes"), "vec_id", "left").select("vec_id", found, "there")
+    return [tuple(r) for r in rows.collect()]
+
+
+def recalls(audited: list[tuple[int, int, int]]) -> dict[str, float]:
+    """Recall by link, by vector with links, and by vector with few of them; 0 where there is no
+    evidence, so that one group with very many links does not speak for the others."""
+    found = np.array([r[1] for r in audited], dtype=float)
+    there = np.array([r[2] for r in audited], dtype=float)
+    if not len(there):
+        return {"links": 0.0}
+    by_vector = found / there
+    out = {"links": found.sum() / there.sum(), "vectors": by_vector.mean()}
+    if (there <= FEW).any():
+        out["few"] = by_vector[there <= FEW].mean()
+    return {k: float(v) for k, v in out.items()}
+
+
+def _overlap(some: np.ndarray, made: np.ndarray, cosine: float) -> int:
+    """Clusters a vector must lie in for nearly all pairs just within the range to share the
+    home cluster of one of the two, as measured on sampled unit vectors."""
+    low = min(OVERLAP if len(made) < MANY_CENTERS else MANY_OVERLAP, len(made))
+    home = nearest(some, made, 1)
+    cells = nearest(nudged(some, cosine, 2), made, MOST_OVERLAP)
+    hit = (cells == home).cumsum(axis=1).mean(axis=0)
+    enough = np.flatnonzero(hit >= SHARED)
+    return max(low, int(enough[0]) + 1 if len(enough) else cells.shape[1])
+
+
+def _search(nodes: DataFrame, made: np.ndarray, width: int, cosine: float, overlap: int, beam: int):
+    """(vec_id, links, nodes) of every distinct vector, links counted with copies and without,
+    and edges that join all linked ones."""
     unit = F.transform("v", lambda x: x / F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, y: s + y * y)))
     placed = assigned(nodes.select("vec_id", unit.alias("v")), made, overlap, width)
     placed = common.save(placed.select("vec_id", "cells"), "cells")
@@ -318,10 +384,10 @@ def _search(nodes: DataFrame, total: int, width: int, cosine: float, overlap: in
     found = (
         graphs.union(asks)
         .groupBy("cell", "block", "part")
-        .applyInPandas(_links(width, cosine, beam), "vec_id long, links long, other long")
+        .applyInPandas(_links(width, cosine, beam), "vec_id long, links long, nodes long, other long")
     )
     found = common.save(found, "links")
-    links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
+    links = found.groupBy("vec_id").agg(F.sum("links").alias("links"), F.sum("nodes").alias("nodes"))
     edges = found.filter("other is not null").select(F.col("vec_id").alias("a"), F.col("other").alias("b"))
     return common.save(links, "counts"), edges
 
@@ -333,14 +399,17 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
     vector's links, component_id is the smallest vec_id reachable by links, and the row of that
     id is kept.
 
-    Equal vectors are one node with a count. Every node lies in the clusters of its `OVERLAP`
-    nearest centers (fitted on at most `SAMPLE_ROWS` vectors), clusters of more than `MOST_ROWS`
+    Equal vectors are one node with a count. Every node lies in the clusters of its nearest
+    centers (fitted on at most `SAMPLE_ROWS` vectors), of as many as sampled vectors need to meet
+    others just within the range; clusters of more than `MOST_ROWS`
     in blocks, so a task holds a bounded number of vectors even where a third of all are near one
     point. Each block gets a robust-pruned graph; a node's lists are put together, and a node asks
     in its own cluster's graphs, with the nodes around them, by greedy search from the medoid and
     expansion over the range. Whatever is found is verified. Recall is audited by brute force for
-    at most `AUDIT_ROWS` vectors; below `RECALL` the search is run again with more overlap and a
-    wider beam, and fails if that does not help.
+    at most `AUDIT_ROWS` vectors and as many planted ones just within their range, which take part
+    in the search but not in the result: by link, by vector with links, and by vector with few.
+    Where one of these is below `RECALL` the search is run again with more overlap and a wider
+    beam, and fails if that does not help.
 
     Vectors that are null, empty, zero or hold null or non-finite components have no links and
     are components of their own. Rows without an id keep a null id and component and are kept.
@@ -359,15 +428,20 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
         return ids.select(
             "vec_id", F.lit(0).cast("long").alias("n_links"), own.alias("component_id"), F.lit(True).alias("kept")
         )
-    overlap, beam = OVERLAP, BEAM
+    some = _unit(sample(nodes, SAMPLE_ROWS + TRIED, width))
+    fitted = some[:SAMPLE_ROWS]
+    made = centers(fitted, min(len(fitted), MOST_CENTERS, -(-total // SHARD_ROWS)))
+    overlap, beam = _overlap(some[-TRIED:], made, cosine), BEAM
+    asked, more = planted(nodes, cosine, width)
+    searched = common.save(nodes.union(more.select(nodes.columns)), "searched")
     for _ in range(3):
-        links, edges = _search(nodes, total, width, cosine, overlap, beam)
-        found, there = audit(nodes, links, cosine, width)
-        if found >= RECALL * there:
+        links, edges = _search(searched, made, width, cosine, overlap, beam)
+        got = recalls(audit(searched, links, cosine, asked))
+        if min(got.values()) >= RECALL:
             break
-        overlap, beam = overlap + 1, beam * 2
+        overlap, beam = overlap * 2, beam * 2
     else:
-        raise RuntimeError(f"recall {found} of {there} is below {RECALL}")
+        raise RuntimeError(f"recall {got} is below {RECALL}")
     parts = components(edges)
     node = whole.join(nodes.select(own.alias("node"), "v", "copies"), "v").select("vec_id", "node", "copies")
     per_id = (

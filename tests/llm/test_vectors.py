@@ -159,3 +159,47 @@ def test_cover_tree_covers():
         assert far.max() <= tree.radius[k] + 1e-12
         parts = sorted(tree.range[c] for c in tree.children[k])
         assert not parts or [parts[0][0], *[p[1] for p in parts]] == [a, *[p[0] for p in parts[1:]], b]
+
+
+def hot_and_pairs(hot=300, pairs=700, width=64):
+    """One group with very many links, whose ids come first, and pairs that are near nothing else."""
+    dice = np.random.default_rng(7)
+    middle = dice.normal(size=width)
+    rows = [(i, (middle + 0.1 * dice.normal(size=width)).tolist()) for i in range(hot)]
+    one = dice.normal(size=(pairs, width))
+    two = neardup.nudged(one, 0.95, 5)
+    for k in range(pairs):
+        rows += [(10_000 + k, one[k].tolist()), (20_000 + k, two[k].tolist())]
+    return rows
+
+
+def test_pairs_beside_a_hot_group_are_found(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SHARD_ROWS", 10)
+    monkeypatch.setattr(neardup, "SAMPLE_ROWS", 100)  # most rows are not those centers are fitted on
+    found = neardup.near_duplicates(frame(spark, hot_and_pairs())).collect()
+    by_id = {r.vec_id: r for r in found}
+    assert len(found) == len(by_id) == 1700
+    pairs = [by_id[20_000 + k] for k in range(700)]
+    assert sum(r.component_id == r.vec_id - 10_000 for r in pairs) >= 0.95 * 700
+    assert sum(r.n_links for i, r in by_id.items() if i >= 10_000) >= 0.9 * 1400
+    # what was planted for the audit links nothing
+    assert max(r.n_links for i, r in by_id.items() if i >= 10_000) == 1
+    assert {by_id[i].component_id for i in range(300)} == {0}
+
+
+def test_recall_counts_every_vector_and_needs_evidence():
+    assert min(neardup.recalls([]).values()) == 0
+    hot = [(i, 1000, 1000) for i in range(500)]
+    lost = [(1000 + i, 0, 1) for i in range(12)]
+    got = neardup.recalls(hot + lost)
+    assert got["links"] > 0.99 and got["few"] == 0
+
+
+def test_audit_plants_links_where_there_are_none(spark):
+    nodes = spark.createDataFrame(
+        [(i, np.eye(40)[i].tolist(), 1) for i in range(40)], "vec_id long, v array<double>, copies long"
+    )
+    asked, more = neardup.planted(nodes, 0.95, 40)
+    none = spark.createDataFrame([], "vec_id long, nodes long")
+    audited = neardup.audit(nodes.union(more), none, 0.95, asked)
+    assert len(audited) == 80 and {r[1:] for r in audited} == {(0, 1)}
