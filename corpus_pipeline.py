@@ -34,16 +34,18 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts linked by shingles: that of the smallest id. Documents
-    without words, and groups none of whose documents has an id, all stay but for repeated rows."""
+    """One document of each group of texts linked by shingles: that of the smallest id, and of the
+    smallest text hash under that id; ids may be null or repeated, and a null one is the last.
+    Documents without words all stay but for repeated rows."""
     found = jaccard.jaccard_components(docs)
-    single = F.expr("n_shingles = 0 or component_id is null")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash"))
     first = (
-        found.filter(~single & F.expr("doc_id = component_id"))
-        .groupBy("doc_id")
-        .agg(F.min("text_hash").alias("text_hash"))
+        found.filter("n_shingles > 0")
+        .groupBy("component")
+        .agg(F.min_by(F.struct("doc_id", "text_hash"), order).alias("least"))
+        .select("least.*")
     )
-    decided = found.filter(single).select("doc_id", "text_hash").unionByName(first)
+    decided = found.filter("n_shingles = 0").select("doc_id", "text_hash").unionByName(first)
     decided = common.save(decided, "first")
     return _staying(docs, decided, once=True)
 

@@ -345,10 +345,12 @@ def _side(posted: DataFrame, mark: str, *more: str) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id and text_hash of every document of `docs` (doc_id, text).
+    """doc_id, n_shingles, component_id, text_hash and component of every document of `docs`
+    (doc_id, text).
 
     Two documents link when 100 * intersection >= percent * union of their sets of word
-    shingles; component_id is the smallest doc_id reachable by links, itself included.
+    shingles; component_id is the smallest doc_id reachable by links, itself included. component
+    names the linked group with or without ids: its smallest set of shingles (see `document_sets`).
 
     The join is size-aware. In one order of all shingles, rarest first, a set must share
     `SUBSET` shingles with each set it links to within a prefix of about a quarter of its size.
@@ -427,4 +429,5 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         "n_shingles",
         F.when(alone, F.col("doc_id")).otherwise(F.col("low")).alias("component_id"),
         "text_hash",
+        "component",
     )

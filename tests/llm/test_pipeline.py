@@ -67,3 +67,29 @@ def test_run_joins_the_stages(spark, awkward, no_documents):
     assert sorted(map(tuple, got), key=str) == want
     empty = labelled(spark, no_documents, fresh_dir(spark, "tables"))
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_one_document_of_each_group_stays_whatever_its_ids(spark):
+    def prose(seed):
+        return [f"w{seed}x{i}" for i in range(40)]
+
+    def near(seed, k):
+        return " ".join([*prose(seed)[:-1], f"other{k}"])
+
+    rows = [
+        (1, " ".join(prose(1))),  # one id, two texts that are not alike
+        (1, " ".join(prose(2))),
+        (2, near(2, 1)),
+        (3, " ".join(prose(3))),  # one id, two texts of one group
+        (3, near(3, 1)),
+        (None, near(3, 2)),
+        (None, " ".join(prose(4))),  # a group without ids
+        (None, near(4, 1)),
+        (None, near(4, 1)),
+        (None, " ".join(prose(5))),  # alone, without id
+        (4, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    single = texts(corpus_pipeline.near_duplicates(spark, docs, ""))
+    groups = sorted((str(i), (t or "").split("x")[0]) for i, t in single)
+    assert groups == [("1", "w1"), ("1", "w2"), ("3", "w3"), ("4", ""), ("None", "w4"), ("None", "w5")]
