@@ -198,7 +198,7 @@ def _search(k: int):
                 best = Best(len(queries), k)
                 least = least.as_py()
                 if least is not None:  # scores known from other blocks: worse ones are of no use
-                    known = dict(zip(*zip(*least, strict=True), strict=True)) if least else {}
+                    known = {x["id"]: x["score"] for x in least}
                     floor = np.array([known.get(n, -np.inf) for n in query_names.tolist()])
                     best.score[:] = floor[:, None]
                     best.name[:] = np.iinfo(np.int64).max

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from haltwise.llm import neardup, topk
@@ -203,3 +204,22 @@ def test_audit_plants_links_where_there_are_none(spark):
     none = spark.createDataFrame([], "vec_id long, nodes long")
     audited = neardup.audit(nodes.union(more), none, 0.95, asked)
     assert len(audited) == 80 and {r[1:] for r in audited} == {(0, 1)}
+
+
+def test_scores_known_from_other_blocks_prune():
+    points = np.arange(1, 11, dtype=float)[:, None]
+    names = np.arange(100, 110)
+    body = topk.common.squeeze(topk.pickle.dumps((points, names, CoverTree(points))))
+    asked = np.array([[1.0], [2.0]])
+    query = topk.common.squeeze(topk.pickle.dumps((asked, np.array([0, 20]), CoverTree(asked))))
+    kind = pa.list_(pa.struct([("id", pa.int64()), ("score", pa.float64())]))
+
+    def found(least):
+        columns = {"q_body": pa.array([query]), "r_body": pa.array([body]), "least": pa.array([least], kind)}
+        (out,) = topk._search(4)(iter([pa.RecordBatch.from_pydict(columns)]))
+        return sorted(tuple(r.values()) for r in out.to_pylist())
+
+    every = found([])
+    assert len(every) == 8 and found(None) == every
+    known = [{"id": 0, "score": 9.0}, {"id": 20, "score": 21.0}]
+    assert found(known) == [(0, 108, 9), (0, 109, 10)]
