@@ -124,12 +124,15 @@ def pack(
 ) -> DataFrame:
     """The pieces of `made` (any columns, with length) and, for each, sequence_id and offset.
 
-    Pieces are dealt by hash to blocks of about `per_block`, packed each by one task; a block
+    Pieces are dealt by a saved number of their row, so that equal ones spread too, to blocks of
+    about `per_block`, packed each by one task; a block
     leaves at most a sequence or two partly filled, a few ten-thousandths of all. Document-count
     and attention capacities default to what `max_tokens` already implies, so that they bind
     only where asked for. An empty table gives an empty result.
     """
-    made = common.save(made, "pieces")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in made.schema)
+    row = common.unused(made, "_row")
+    made = common.save(made.withColumn(row, F.monotonically_increasing_id()), "pieces")
     total = made.count()
     blocks = -(-total // per_block) or 1
     capacity = np.array(
@@ -144,10 +147,10 @@ def pack(
         rows["offset"] = before
         return rows
 
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in made.schema)
-    deal = F.pmod(F.xxhash64("doc_id", "piece", "start", "length", "ids_crc32"), F.lit(blocks))
+    deal = F.pmod(F.xxhash64(row), F.lit(blocks))
     return (
         made.withColumn("_block", deal)
+        .drop(row)
         .groupBy("_block")
         .applyInPandas(run, f"{columns}, sequence_id long, offset long")
     )

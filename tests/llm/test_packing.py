@@ -71,3 +71,13 @@ def test_every_capacity_holds(rule):
         assert at[0] == 0
     with pytest.raises(ValueError):
         packing.best_fit(np.array([300]), capacity, np.ones(3), rule)
+
+
+def test_equal_pieces_spread_over_blocks(spark):
+    shape = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    made = spark.createDataFrame([(None, 0, 0, 7, 1)] * 200, shape)
+    rows = packing.pack(made, 16, per_block=20).select("sequence_id", "length").collect()
+    blocks = {}
+    for r in rows:
+        blocks[r.sequence_id >> 32] = blocks.get(r.sequence_id >> 32, 0) + 1
+    assert sum(blocks.values()) == 200 and len(blocks) > 5 and max(blocks.values()) < 60
