@@ -1,7 +1,7 @@
 """Decoding feeds and the rules that turn entities into staged rows."""
 
 import pytest
-from conftest import NOON, STOPS, service_alerts, trip_updates, vehicle_positions, write_set
+from city import NOON, STOPS, service_alerts, trip_updates, vehicle_positions, write_set
 
 from haltwise.plans import enrich
 from haltwise.schema import STAGED_CALL, STAGED_JOURNEY, struct

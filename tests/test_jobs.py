@@ -3,7 +3,7 @@
 import datetime
 
 import pytest
-from conftest import write_first, write_schedule, write_second
+from city import write_first, write_schedule, write_second
 from pyspark.sql import functions as F
 
 from haltwise.plans import quality

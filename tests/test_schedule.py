@@ -2,7 +2,7 @@
 
 import datetime
 
-from conftest import STOPS, schedule_texts, write_schedule
+from city import STOPS, schedule_texts, write_schedule
 
 from haltwise import schema as s
 from haltwise.plans.enrich import dated_journey_ids, trip_dimension

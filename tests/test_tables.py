@@ -3,7 +3,7 @@
 import datetime
 
 import pytest
-from conftest import NOON, STOPS
+from city import NOON, STOPS
 from pyspark.sql import functions as F
 
 from haltwise.operators.ordered import find_splits
