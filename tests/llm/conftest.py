@@ -1,11 +1,7 @@
 import os
-import sys
 
 import pytest
-
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
-from texts import awkward_texts  # noqa: E402
+from texts import awkward_texts
 
 SF = "/root/testdata/sf0.001"
 SHAPE = "doc_id long, text string, lang string, source string, n_chars long, node string, key long, block string"
