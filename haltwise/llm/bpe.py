@@ -31,6 +31,8 @@ _SCHEMA = pa.schema(
 
 def packed(numbers: np.ndarray) -> bytes:
     """Whole numbers below 2^28 in one to four bytes each, small ones in one."""
+    if len(numbers) and not 0 <= int(numbers.min()) <= int(numbers.max()) < 1 << 28:
+        raise OverflowError("a number to pack lies outside 0 to 2^28 - 1")
     v = numbers.astype(np.uint32)
     size = 1 + (v >= 1 << 7).astype(np.int64) + (v >= 1 << 14) + (v >= 1 << 21)
     at = np.cumsum(size) - size

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haltwise.llm import common
@@ -22,6 +22,8 @@ PERCENT = 75
 SUBSET = 2  # elements of the subsets that light sets enumerate
 SUBSET_COST = 20  # of making, shuffling and sorting one subset, in list entries scanned
 CHUNK_BYTES = 16 << 20
+LONGS = 8  # of a set's signature
+GAIN = 0.9  # a round of leaders is worth another where it leaves less than this share of the work
 _WHITE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256))
 _LOWER = _LOWER.astype(np.uint8)
@@ -112,11 +114,10 @@ def _scatter(limit: int, bits: int, words: int):
             often = np.diff(new, append=len(flat))
             element = flat[new]
             bucket = (element >> np.uint64(64 - bits)).astype(np.int64)
-            rest = (element << np.uint64(bits)) >> np.uint64(16)
             cut = np.flatnonzero(np.diff(bucket, prepend=-1))
             rows: list[tuple] = []
             for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(bucket)], strict=False):
-                rows.append((chunk, int(bucket[a]), 0, a, _rising(rest[a:b]), packed(often[a:b]), b""))
+                rows.append((chunk, int(bucket[a]), 0, a, _rising(element[a:b]), packed(often[a:b]), b""))
             to = -1 - (part + k) % (1 << bits)
             members = owner.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
             rows.append((chunk, to, 1, len(sets), members, packed(often), packed(sizes)))
@@ -139,7 +140,7 @@ def _rising(values: np.ndarray) -> bytes:
 
 def _risen(data: bytes) -> np.ndarray:
     steps = np.frombuffer(common.unsqueeze(data), dtype=np.uint8).reshape(8, -1).T
-    return np.cumsum(np.ascontiguousarray(steps).view("<u8").ravel()).astype(np.int64)
+    return np.cumsum(np.ascontiguousarray(steps).view("<u8").ravel(), dtype=np.uint64)
 
 
 def _numbers(data: bytes) -> np.ndarray:
@@ -157,12 +158,12 @@ def _count(rows: pd.DataFrame) -> pd.DataFrame:
     end = np.cumsum([len(v) for v in values])
     out = rows.copy()
     one, two, three = [], [], []
-    for v, b, bucket in zip(values, end.tolist(), rows["bucket"], strict=True):
+    for v, b in zip(values, end.tolist(), strict=True):
         df = total[b - len(v) : b]
         at = np.flatnonzero(df > 1)
         one.append(common.squeeze(packed(np.diff(at, prepend=0))))
         two.append(common.squeeze(packed(np.minimum(df[at], (1 << 28) - 1))))
-        three.append(common.squeeze(_rising((v[at] | (int(bucket) << 48)).astype(np.uint64))))
+        three.append(common.squeeze(_rising(v[at])))
     out["one"], out["two"], out["three"] = one, two, three
     return out
 
@@ -181,6 +182,7 @@ def _gather(percent: int):
         docs = rows[rows["kind"] == 2].iloc[0]
         shared = rows[rows["kind"] == 0].sort_values("base")
         none = np.empty(0, dtype=np.int64)
+        no_shingle = np.empty(0, dtype=np.uint64)
         count = int(head["base"])
         members = np.frombuffer(common.unsqueeze(head["one"]), np.uint8).reshape(4, -1).T
         members = np.ascontiguousarray(members).view("<u4").ravel().astype(np.int64)
@@ -190,7 +192,7 @@ def _gather(percent: int):
         ]
         at = np.concatenate([none, *places])
         df = np.concatenate([none, *map(_numbers, shared["two"])])
-        element = np.concatenate([none, *map(_risen, shared["three"])])
+        element = np.concatenate([no_shingle, *map(_risen, shared["three"])]).view(np.int64)
         n = often[at]
         owner = members[ragged((np.cumsum(often) - often)[at], n)]
         df, element = np.repeat(df, n), np.repeat(element, n)
@@ -227,12 +229,13 @@ def document_sets(
 
     Shingles go by hash to buckets, where their sets are counted, and only those of two sets or
     more go back. A chunk sends each shingle once with a count, so one that a third of all
-    documents share is one entry per chunk. A 64-bit hash stands for a shingle (its leading bits
-    are the bucket, 48 more are sent).
+    documents share is one entry per chunk. A 64-bit hash stands for a shingle. There are four
+    buckets or more per partition of the scan or shuffle, so a bucket does not grow with the table.
     """
     spark = docs.sparkSession
     common.settle(spark)
-    bits = min(15, max(6, (4 * common.partitions(spark) - 1).bit_length()))
+    parts = max(common.partitions(spark), docs.select("text").rdd.getNumPartitions())
+    bits = max(6, (4 * parts - 1).bit_length())
     text = F.col("text")
     rows = docs.select(F.col("doc_id").cast("long"), text, F.xxhash64(text).alias("text_hash"))
     rows = rows.mapInArrow(
@@ -344,6 +347,112 @@ def _side(posted: DataFrame, mark: str, *more: str) -> DataFrame:
     )
 
 
+def _signature(nodes: DataFrame) -> DataFrame:
+    """(node, own, bits): how many shingles of a set no other set holds, and for each of
+    64 * `LONGS` groups of its other shingles whether their number is odd."""
+
+    def word(k: int) -> Column:
+        mine = F.filter("shared", lambda e: F.shiftrightunsigned(e, 6) % LONGS == k)
+        one = F.lit(1).cast("long")
+        bit = lambda e: F.call_function("shiftleft", one, e.bitwiseAND(63).cast("int"))
+        return F.aggregate(mine, F.lit(0).cast("long"), lambda had, e: had.bitwiseXOR(bit(e)))
+
+    return nodes.select(
+        "node", (F.col("n") - F.size("shared")).alias("own"), *(word(k).alias(f"bits{k}") for k in range(LONGS))
+    )
+
+
+def _may_overlap(percent: int) -> Column:
+    """Whether sets of these signatures can still share enough: each group that is odd in one and
+    even in the other holds a shingle that they do not share. No linked pair fails."""
+    apart = F.col("own_a") + F.col("own_b")
+    for k in range(LONGS):
+        apart = apart + F.bit_count(F.col(f"bits{k}_a").bitwiseXOR(F.col(f"bits{k}_b")))
+    total = F.col("n_a") + F.col("n_b")
+    return (total - apart) * (100 + percent) >= total * (2 * percent)
+
+
+def _labelled(posted: DataFrame, parts: DataFrame | None) -> DataFrame:
+    """Rows of the keys under which several components meet, with their component and whether it
+    is the one with most rows of the key."""
+    component = F.col("node")
+    if parts is not None:
+        posted = posted.join(parts, "node", "left")
+        component = F.coalesce("component", "node")
+    rows = common.save(posted.withColumn("component", component), "labelled")
+    sizes = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
+    mixed = sizes.groupBy("key").agg(
+        F.count(F.lit(1)).alias("components"),
+        F.sum("size").alias("rows"),
+        F.max("size").alias("most"),
+        F.max_by("component", F.struct("size", "component")).alias("main"),
+    )
+    mixed = mixed.filter("components > 1").select("key", "main", "rows", "most")
+    joined = rows.join(mixed, "key").withColumn("inner", F.col("component") == F.col("main"))
+    return common.save(joined.drop("main"), "mixed")
+
+
+def _leader_links(rows: DataFrame, nodes: DataFrame, percent: int, seed: int) -> DataFrame:
+    """Links of one node per key, chosen by hash, with the nodes of other components there."""
+    columns = ("node", "n", "place", "heavy", "component")
+    leader = rows.groupBy("key").agg(
+        F.min_by(F.struct(*columns), F.xxhash64("key", "node", F.lit(seed))).alias("leader")
+    )
+    stars = (
+        rows.join(leader, "key")
+        .filter("leader.component <> component")
+        .select(
+            *(F.col(f"leader.{c}").alias(f"{c}_a") for c in columns),
+            *(F.col(c).alias(f"{c}_b") for c in columns),
+        )
+        .filter(_may_link("_a", "_b", percent))
+        .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+        .distinct()
+    )
+    return common.save(_verified(stars, nodes, percent), "links")
+
+
+def _other_links(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Links between different components: under each key, rows outside its main component are
+    compared with all rows."""
+    marks = ["own", *(f"bits{k}" for k in range(LONGS))]
+    signed = rows.join(_signature(nodes), "node")
+    outer = _side(signed.filter("not inner"), "_a", "component", *marks)
+    every = _side(signed, "_b", "component", "inner", *marks)
+    once = F.col("inner_b") | (F.col("component_a") < F.col("component_b"))
+    pairs = (
+        outer.join(every, "key")
+        .filter(once & (F.col("component_a") != F.col("component_b")))
+        .filter(_may_link("_a", "_b", percent))
+        .filter(_may_overlap(percent))
+        .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+        .distinct()
+    )
+    return _verified(pairs, nodes, percent)
+
+
+def _linked(posted: DataFrame, nodes: DataFrame, percent: int) -> DataFrame | None:
+    """(node, component) of all nodes with links; None where there is no link."""
+    links, parts, seed, left = None, None, 0, None
+    size = posted.count()
+    while True:
+        rows = _labelled(posted, parts)
+        # comparisons that rows outside the main component of their key would take
+        work = rows.filter("not inner").agg(F.sum("rows")).first()[0] or 0
+        if work and (left is None or (work > size and work < left * GAIN)):
+            found = _leader_links(rows, nodes, percent, seed)
+            posted, left, seed = rows.select(posted.columns), work, seed + 1
+        elif work:
+            found = common.save(_other_links(rows, nodes, percent), "links")
+            work = 0
+        else:
+            return parts
+        links = found if links is None else links.union(found)
+        parts = components(links)
+        if not work:
+            return parts
+
+
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, text_hash and component of every document of `docs`
     (doc_id, text).
@@ -359,13 +468,16 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     nearly heavy size stand too. The size that parts them is chosen by cost. Shingles of one set
     alone are counted as part of the prefix but need no entry.
 
-    Equal sets are one node. Under each key the first node is compared with all others, and
-    components are formed; then, under keys where several components meet, all pairs of different
-    components are compared. So no pair within a group of near copies is compared needlessly, and
-    none that could join two components is left out. A pair whose common shingles begin so late
-    in one of the two that too few can follow is left out; as shared passages come last in the
-    order, documents that have little more than a passage in common fall to this. Every pair that
-    stays is verified exactly.
+    Equal sets are one node. Under each key one node, chosen by a hash of key and node so that a
+    group of near copies has many such leaders, is compared with the others and components are
+    formed; this is repeated with other leaders, on the keys where several components meet, as
+    long as it saves much work. Under the keys that stay, rows outside the key's largest component
+    are compared with all rows of other components. So no pair within a component is compared
+    needlessly, and none that could join two components is left out. A pair whose common shingles
+    begin so late in one of the two that too few can follow is left out, and so is one whose
+    signatures differ in too many places; as shared passages come last in the order, documents
+    that have little more than a passage in common fall to this. Every pair that stays is verified
+    on the whole sets of 64-bit hashes.
 
     A null text, an empty one or one without words has an empty set and links with nothing, not
     even its like. Rows with a null doc_id keep it, and get the smallest doc_id of their
@@ -380,54 +492,17 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     )
     nodes = common.save(nodes, "nodes")
     posted = common.save(postings(nodes, percent), "postings")
-    # rows of a key in the order of nodes: the first one leads; rows alone under their key go
-    w = Window.partitionBy("key").orderBy("node")
-    leader = F.first(F.struct("node", "n", "place", "heavy")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    alone = F.lag("node").over(w).isNull() & F.lead("node").over(w).isNull()
-    met = posted.withColumns({"leader": leader, "alone": alone}).filter("not alone")
-    posted = common.save(met.drop("alone"), "met")
-    stars = (
-        posted.filter("leader.node <> node")
-        .select(
-            *(F.col(f"leader.{c}").alias(f"{c}_a") for c in ("node", "n", "place", "heavy")),
-            *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "place", "heavy")),
-        )
-        .filter(_may_link("_a", "_b", percent))
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-        .distinct()
-    )
-    found = common.save(_verified(stars, nodes, percent), "links")
-    parts = components(found)
-    # keys under which nodes of several components meet
-    labelled = posted.drop("leader").join(parts, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
-    )
-    labelled = common.save(labelled, "labelled")
-    mixed = (
-        labelled.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low <> high")
-        .select("key")
-    )
-    rest = labelled.join(mixed, "key", "left_semi")
-    more = (
-        _side(rest, "_a", "component")
-        .join(_side(rest, "_b", "component"), "key")
-        .filter("component_a < component_b")
-        .filter(_may_link("_a", "_b", percent))
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-        .distinct()
-    )
-    links = found.union(_verified(more, nodes, percent))
-    parts = components(links)
-    alone = F.col("n_shingles") == 0
-    docs_of = made.drop("shared").join(parts.select("node", "component"), "node", "left")
-    docs_of = docs_of.withColumn("component", F.coalesce("component", "node"))
-    least = docs_of.groupBy("component").agg(F.min("doc_id").alias("low"))
-    return docs_of.join(least, "component").select(
-        "doc_id",
-        "n_shingles",
-        F.when(alone, F.col("doc_id")).otherwise(F.col("low")).alias("component_id"),
-        "text_hash",
-        "component",
+    parts = _linked(posted, nodes, percent)
+    # sets without words are no group, and need no label
+    worded = made.drop("shared").filter("n_shingles > 0")
+    if parts is not None:
+        worded = worded.join(parts, "node", "left")
+        worded = worded.withColumn("component", F.coalesce("component", "node"))
+    else:
+        worded = worded.withColumn("component", F.col("node"))
+    least = worded.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    columns = ("doc_id", "n_shingles", "component_id", "text_hash", "component")
+    blank = made.filter("n_shingles = 0").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_hash", F.col("node").alias("component")
     )
+    return worded.join(least, "component").select(*columns).unionByName(blank)

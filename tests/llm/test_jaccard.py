@@ -107,3 +107,50 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7)]
     found = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert found == {**{k: 0 for k in range(41)}, **{100 + k: 100 for k in range(30)}}
+
+
+def near_copies(groups: int, seed: int = 21):
+    """Texts of 40 words that differ from one another in two or more places."""
+    base = prose(seed, 40).split()
+    rows = []
+    for doc in range(groups):
+        words = list(base)
+        for k in range(1 + doc % 3):
+            words[(doc * 7 + k * 13) % 40] = f"own{doc}x{k}"
+        rows.append((doc, " ".join(words)))
+    return rows
+
+
+def test_comparisons_of_near_copies_do_not_grow_with_their_square(spark, monkeypatch):
+    """2,000 near copies of one text: pairs that reach verification stay in proportion."""
+    compared = []
+    verified = jaccard._verified
+
+    def counted(pairs, nodes, percent):
+        pairs = pairs.persist()
+        compared.append(pairs.count())
+        return verified(pairs, nodes, percent)
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    few, many = near_copies(250), near_copies(2000)
+    assert got(spark.createDataFrame(few, "doc_id long, text string")) == brute(few)
+    small = sum(compared)
+    compared.clear()
+    found = got(spark.createDataFrame(many, "doc_id long, text string"))
+    assert len(found) == 2000
+    assert sum(compared) < 16 * small + 2000
+
+
+def test_signatures_never_part_a_linked_pair(spark):
+    rows = chains(spark) + near_copies(60)
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    sets = jaccard.document_sets(df).filter("shared is not null")
+    nodes = sets.select("node", sets.n_shingles.alias("n"), "shared").dropDuplicates(["node"]).persist()
+    marked = nodes.select("node", "n").join(jaccard._signature(nodes), "node")
+    one = marked.select([marked[c].alias("a" if c == "node" else f"{c}_a") for c in marked.columns])
+    two = marked.select([marked[c].alias("b" if c == "node" else f"{c}_b") for c in marked.columns])
+    pairs = one.join(two, one.a < two.b)
+    linked = jaccard._verified(pairs.select("a", "b"), nodes, jaccard.PERCENT)
+    kept = pairs.filter(jaccard._may_overlap(jaccard.PERCENT)).select("a", "b")
+    assert linked.count() > 50
+    assert linked.subtract(kept).isEmpty()
