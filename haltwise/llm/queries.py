@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from haltwise.llm import (
     bpe,
+    decontaminate,
     jaccard,
     neardup,
+    negatives,
     packing,
+    phrases,
     quality,
     secrets,
     sharding,
@@ -220,3 +224,146 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encode(table(spark, sf_dir, "documents"), path, digest=True)
+
+
+_LOWERED = """translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
+
+LEAKS = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), p AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS size,
+           array_to_string(w[k : k + least(len(w), 10) - 1], ' ') AS win
+    FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS u(k)
+    WHERE len(w) > 0
+), s AS (
+    SELECT DISTINCT size FROM p
+), o AS (
+    SELECT r, size, k, array_to_string(w[k : k + size - 1], ' ') AS win
+    FROM d, s, unnest(range(1, len(w) - size + 2)) AS u(k)
+), h AS (
+    SELECT DISTINCT o.r, o.size, o.k, p.item_id FROM o JOIN p ON o.size = p.size AND o.win = p.win
+), words AS (
+    SELECT r, count(DISTINCT j) AS n FROM h, unnest(range(k, k + size)) AS u(j) GROUP BY r
+), items AS (
+    SELECT r, count(*) AS n, string_agg(i, ',' ORDER BY i) AS list
+    FROM (SELECT DISTINCT r, item_id::VARCHAR AS i FROM h WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit,
+       coalesce(items.n, 0)::BIGINT AS n_items, sha256(coalesce(items.list, '')) AS items_sha256,
+       coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
+
+
+@query("op11_decontamination", LEAKS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.digest(decontaminate.decontaminate(docs, items))
+
+
+HARD = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+           list_dot_product(a.e, c.e)::BIGINT AS score
+    FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+    FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER
+           AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+
+@query("op12_hard_negatives", HARD)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", moved))
+
+
+PHRASES = rf"""
+WITH RECURSIVE pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex({_LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), w AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]'), lambda x: x <> '') AS w FROM pieces
+), c AS (
+    SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase, count(*) AS n
+    FROM w, unnest(range(1, 4)) AS u(m), unnest(range(1, len(w) - m + 2)) AS v(i)
+    GROUP BY ALL
+), total AS (
+    SELECT lang, sum(n)::BIGINT AS n FROM c WHERE m = 1 GROUP BY lang
+), f AS (
+    SELECT lang, m, phrase, n, string_split(phrase, ' ') AS w FROM c WHERE n >= 10
+), held AS (
+    SELECT lang, array_to_string(x, ' ') AS phrase, max(n) FILTER (side = 1) AS went,
+           max(n) FILTER (side = 2) AS came
+    FROM (
+        SELECT lang, n, 1 AS side, w[1:2] AS x FROM f WHERE m = 3
+        UNION ALL
+        SELECT lang, n, 2 AS side, w[2:3] AS x FROM f WHERE m = 3
+    ) GROUP BY ALL
+), inside AS (
+    SELECT f.lang, f.phrase FROM f JOIN held h ON h.lang = f.lang AND h.phrase = f.phrase
+    WHERE f.m = 2 AND h.came = f.n AND h.went = f.n
+), link AS (
+    SELECT a.lang, a.phrase AS one, b.phrase AS two
+    FROM f a JOIN f b ON a.lang = b.lang AND a.m = 3 AND b.m = 3
+        AND array_to_string(a.w[2:3], ' ') = array_to_string(b.w[1:2], ' ')
+    JOIN inside i ON i.lang = a.lang AND i.phrase = array_to_string(a.w[2:3], ' ')
+), walk AS (
+    SELECT lang, phrase, phrase AS here, 0 AS steps FROM f WHERE m = 3
+    UNION ALL
+    SELECT walk.lang, walk.phrase, two, steps + 1 FROM walk JOIN link ON link.lang = walk.lang AND one = here
+), back AS (
+    SELECT lang, phrase, phrase AS here, 0 AS steps FROM f WHERE m = 3
+    UNION ALL
+    SELECT back.lang, back.phrase, one, steps + 1 FROM back JOIN link ON link.lang = back.lang AND two = here
+), lens AS (
+    SELECT lang, phrase, 3 + a.steps + b.steps AS path_words
+    FROM (SELECT lang, phrase, max(steps) AS steps FROM walk GROUP BY ALL) a
+    JOIN (SELECT lang, phrase, max(steps) AS steps FROM back GROUP BY ALL) b USING (lang, phrase)
+), kept AS (
+    SELECT f.* FROM f LEFT JOIN held h ON h.lang = f.lang AND h.phrase = f.phrase
+    WHERE m = 3 OR m = 2 AND 2 * greatest(coalesce(h.came, 0), coalesce(h.went, 0)) < f.n
+), cut AS (
+    SELECT k.lang, k.phrase, k.m, k.n AS a, i, l.n AS l, r.n AS r,
+           (1000000::HUGEINT * k.n * k.n) // (l.n::HUGEINT * r.n) AS score
+    FROM kept k JOIN (VALUES (1), (2)) AS v(i) ON i < k.m
+    JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(k.w[1:i], ' ')
+    JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(k.w[i + 1 : k.m], ' ')
+), scored AS (
+    SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM scored QUALIFY rank <= 2000
+)
+SELECT lang, rank, phrase, a, l, r, total.n, score::BIGINT AS score,
+       coalesce(path_words, m)::BIGINT AS path_words
+FROM ranked JOIN total USING (lang) LEFT JOIN lens USING (lang, phrase)
+"""
+
+
+@query("op13_phrases", PHRASES)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
