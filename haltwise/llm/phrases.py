@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -156,9 +155,9 @@ def _sum(least: int):
     """Counts of a bucket's phrases over all chunks; those of `least` or more, and the number of
     all words, which stands under the empty phrase."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
+    def run(rows: pa.Table) -> pa.Table:
         total = None
-        for lengths, times, texts in zip(rows["lengths"], rows["times"], rows["texts"], strict=True):
+        for lengths, times, texts in zip(*(rows.column(c).to_pylist() for c in ("lengths", "times", "texts")), strict=True):
             size = unpacked(common.unsqueeze(lengths))
             offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
             phrase = pa.LargeBinaryArray.from_buffers(
@@ -171,17 +170,12 @@ def _sum(least: int):
             if total.num_rows > 8 * part.num_rows + 1_000_000:
                 total = _grouped(total)
         total = _grouped(total)
-        own = pc.or_(
-            pc.greater_equal(total.column("n"), least), pc.equal(pc.binary_length(total.column("phrase")), 0)
-        )
+        count = total.column("n")
+        own = pc.or_(pc.greater_equal(count, least), pc.equal(pc.binary_length(total.column("phrase")), 0))
         total = total.filter(own)
-        return pd.DataFrame(
-            {
-                "lang": rows["lang"].iloc[0],
-                "phrase": [p.decode() for p in total.column("phrase").to_pylist()],
-                "n": total.column("n").to_numpy(),
-            }
-        )
+        lang = pa.array([rows.column("lang")[0].as_py()] * total.num_rows, pa.string())
+        phrase = total.column("phrase").cast(pa.binary()).cast(pa.string())
+        return pa.table({"lang": lang, "phrase": phrase, "n": total.column("n")})
 
     return run
 
@@ -210,7 +204,7 @@ def frequent(
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN))
     rows = docs.select(lang.alias("lang"), F.col("text").cast("string").alias("text"))
     sent = rows.mapInArrow(_scatter(chunk_bytes, bits, longest), _PART)
-    made = sent.groupBy("lang", "bucket").applyInPandas(_sum(least), "lang string, phrase string, n long")
+    made = sent.groupBy("lang", "bucket").applyInArrow(_sum(least), "lang string, phrase string, n long")
     return common.save(made, "phrases")
 
 
