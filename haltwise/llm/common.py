@@ -31,12 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def save(df: DataFrame, purpose: str) -> DataFrame:
+def save(df: DataFrame, purpose: str, codec: str | None = None) -> DataFrame:
     """Write a table into the shared folder and read it back: lineage ends here, and any
-    executor can read it."""
+    executor can read it. `codec` compresses it otherwise than the session does."""
     spark = df.sparkSession
     path = fresh_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -23,6 +23,7 @@ SUBSET = 2  # elements of the subsets that light sets enumerate
 SUBSET_COST = 20  # of making, shuffling and sorting one subset, in list entries scanned
 CHUNK_BYTES = 16 << 20
 LONGS = 8  # of a set's signature
+FIRST_KEYS = 8  # one key in so many takes part in the first round
 GAIN = 0.9  # a round of leaders is worth another where it leaves less than this share of the work
 _WHITE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256))
@@ -375,26 +376,29 @@ def _may_overlap(percent: int) -> Column:
 def _labelled(posted: DataFrame, parts: DataFrame | None) -> DataFrame:
     """Rows of the keys under which several components meet, with their component and whether it
     is the one with most rows of the key."""
-    component = F.col("node")
-    if parts is not None:
-        posted = posted.join(parts, "node", "left")
-        component = F.coalesce("component", "node")
-    rows = common.save(posted.withColumn("component", component), "labelled")
+    if parts is None:
+        rows = posted.withColumn("component", F.col("node"))
+    else:
+        rows = posted.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        rows = common.save(rows, "labelled", "zstd")
     sizes = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
     mixed = sizes.groupBy("key").agg(
         F.count(F.lit(1)).alias("components"),
         F.sum("size").alias("rows"),
-        F.max("size").alias("most"),
         F.max_by("component", F.struct("size", "component")).alias("main"),
     )
-    mixed = mixed.filter("components > 1").select("key", "main", "rows", "most")
+    mixed = mixed.filter("components > 1").select("key", "main", "rows")
     joined = rows.join(mixed, "key").withColumn("inner", F.col("component") == F.col("main"))
-    return common.save(joined.drop("main"), "mixed")
+    return common.save(joined.drop("main"), "mixed", "zstd")
 
 
 def _leader_links(rows: DataFrame, nodes: DataFrame, percent: int, seed: int) -> DataFrame:
-    """Links of one node per key, chosen by hash, with the nodes of other components there."""
+    """Links of one node per key, chosen by hash, with the nodes of other components there. The
+    first round takes some of the keys only, which suffice to make groups of near copies one
+    component, so that these do not meet again under all others."""
     columns = ("node", "n", "place", "heavy", "component")
+    if seed == 0:
+        rows = rows.filter(F.pmod(F.xxhash64("key"), F.lit(FIRST_KEYS)) == 0)
     leader = rows.groupBy("key").agg(
         F.min_by(F.struct(*columns), F.xxhash64("key", "node", F.lit(seed))).alias("leader")
     )
@@ -439,7 +443,7 @@ def _linked(posted: DataFrame, nodes: DataFrame, percent: int) -> DataFrame | No
         rows = _labelled(posted, parts)
         # comparisons that rows outside the main component of their key would take
         work = rows.filter("not inner").agg(F.sum("rows")).first()[0] or 0
-        if work and (left is None or (work > size and work < left * GAIN)):
+        if work and (seed < 2 or (work > size and work < left * GAIN)):
             found = _leader_links(rows, nodes, percent, seed)
             posted, left, seed = rows.select(posted.columns), work, seed + 1
         elif work:
@@ -491,7 +495,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         .select("node", F.col("n_shingles").alias("n"), "shared")
     )
     nodes = common.save(nodes, "nodes")
-    posted = common.save(postings(nodes, percent), "postings")
+    posted = common.save(postings(nodes, percent), "postings", "zstd")
     parts = _linked(posted, nodes, percent)
     # sets without words are no group, and need no label
     worded = made.drop("shared").filter("n_shingles > 0")
