@@ -112,6 +112,7 @@ def ordered(
     first: dict[str, str] | None = None,
     last: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
+    preceding: dict[str, str] | None = None,
     number: str | None = None,
     splits: Splits | None = None,
 ) -> DataFrame:
@@ -121,12 +122,14 @@ def ordered(
     running         sum from the first row to this one
     first / last    first / last non-null value of the key
     following       first non-null value at or after this row
+    preceding       last non-null value at or before this row
     number          1-based row number
 
     `order` must be total up to identical rows. Keys must not be null.
     """
     lag, lead, running = lag or {}, lead or {}, running or {}
-    first, last, following = first or {}, last or {}, following or {}
+    first, last = first or {}, last or {}
+    following, preceding = following or {}, preceding or {}
 
     def local(w) -> dict[str, Column]:
         so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -138,6 +141,7 @@ def ordered(
         cols |= {n: F.first(c, ignorenulls=True).over(whole) for n, c in first.items()}
         cols |= {n: F.last(c, ignorenulls=True).over(whole) for n, c in last.items()}
         cols |= {n: F.first(c, ignorenulls=True).over(onward) for n, c in following.items()}
+        cols |= {n: F.last(c, ignorenulls=True).over(so_far) for n, c in preceding.items()}
         if number:
             cols[number] = F.row_number().over(w)
         return cols
@@ -170,6 +174,7 @@ def ordered(
             F.first(F.when(is_first, pack(list(first))), True).alias("opening"),
             F.first(F.when(is_first, pack(list(last))), True).alias("closing"),
             F.first(F.when(is_first, pack(list(following))), True).alias("next"),
+            F.first(F.when(F.col("_last"), pack(list(preceding))), True).alias("past"),
             F.max("_at").cast("bigint").alias("size"),
         )
     )
@@ -187,6 +192,7 @@ def ordered(
         *(F.first(f"opening.f{i}", True).over(every).alias(f"c_first{i}") for i in range(len(first))),
         *(F.last(f"closing.f{i}", True).over(every).alias(f"c_last{i}") for i in range(len(last))),
         *(F.first(f"next.f{i}", True).over(after).alias(f"c_next{i}") for i in range(len(following))),
+        *(F.last(f"past.f{i}", True).over(before).alias(f"c_past{i}") for i in range(len(preceding))),
     )
     joined = rows.join(carried, [*keys, RANGE], "left")
     fixed: dict[str, Column] = {}
@@ -202,6 +208,8 @@ def ordered(
         fixed[n] = F.when(F.col("_was_cut"), F.col(f"c_last{i}")).otherwise(F.col(n))
     for i, n in enumerate(following):
         fixed[n] = F.coalesce(F.col(n), F.col(f"c_next{i}"))
+    for i, n in enumerate(preceding):
+        fixed[n] = F.coalesce(F.col(n), F.col(f"c_past{i}"))
     if number:
         fixed[number] = (F.col(number) + F.coalesce(F.col("c_size"), F.lit(0))).cast("int")
     return joined.select(*df.columns, *(c.alias(n) for n, c in fixed.items()))

@@ -85,6 +85,65 @@ def test_points_in_spans_of_hot_keys(skewed):
     assert same(plain, points_in_spans(skewed, spans, ["k"], "t", "t0", "t1", splits))
 
 
+SPANS = st.lists(
+    st.tuples(
+        st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 30)), st.integers(-3, 12), st.integers(0, 2)
+    ),
+    max_size=25,
+)
+POINTS = st.lists(
+    st.tuples(st.sampled_from(["a", "b", "c", None]), st.one_of(st.none(), st.integers(-2, 45))), max_size=40
+)
+
+
+@QUICK
+@given(spans=SPANS, points=POINTS, cut=st.booleans())
+def test_sweep_equals_comparing_all(spark, spans, points, cut):
+    """Overlapping, touching, equal, reversed and timeless spans; points at both ends."""
+    spans = [(k, a, None if a is None else a + n, name) for k, a, n, name in spans]
+    left = spark.createDataFrame([(*p, i) for i, p in enumerate(points)], "k string, t long, p int")
+    right = spark.createDataFrame(spans, "k string, a int, b int, s int")
+    splits = find_splits(left, ["k"], "t", limit=4) if cut else None
+    found = points_in_spans(left, right, ["k"], "t", "a", "b", splits)
+    assert found.columns == ["k", "t", "p", "a", "b", "s"]
+    want = [
+        (k, t, i, a, b, s)
+        for i, (k, t) in enumerate(points)
+        for j, a, b, s in spans
+        if None not in (k, t, a, b) and k == j and a <= t <= b
+    ]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
+def test_sweep_makes_rows_in_proportion_to_matches(spark):
+    """100,000 reports and 1,000 links of one journey: no join, and no row but matches."""
+    reports = spark.range(100_000).selectExpr("'j' AS k", "id AS t")
+    links = spark.range(1000).selectExpr("'j' AS k", "id * 100 AS a", "id * 100 + 60 AS b")
+    found = points_in_spans(reports, links, ["k"], "t", "a", "b")
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 61_000
+    assert max(_row_counts(found)) <= 100_000 + 4 * 1000
+
+
+def _row_counts(df) -> list[int]:
+    """Rows that each node of a plan put out."""
+    df.collect()
+    todo, counts = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.finalPhysicalPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        rows = node.metrics().get("numOutputRows")
+        if rows.isDefined():
+            counts.append(rows.get().value())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return counts
+
+
 PLACES = st.lists(
     st.tuples(
         st.sampled_from([55.0, -33.0, 0.0, 70.0, 89.9995, -89.9995]),
