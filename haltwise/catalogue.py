@@ -40,7 +40,7 @@ def new_store(spark: SparkSession):
     from haltwise.plans.store import Store
     from haltwise.session import fresh_dir
 
-    return Store(spark, fresh_dir(a.settle(spark), "store"), "month")
+    return Store(spark, fresh_dir(a.settle(spark), "store"), "month", buckets=8)
 
 
 # --- base tables -----------------------------------------------------------
@@ -851,7 +851,7 @@ def stream_increment(spark, sf):
         a.stops(spark, sf), a.routes(spark, sf), a.trips(spark, sf), a.stop_times(spark, sf),
         a.shapes(spark, sf), a.mapping(spark, sf),
     )
-    store = Store(spark, fresh_dir(spark, "store"), "month")
+    store = Store(spark, fresh_dir(spark, "store"), "month", buckets=8)
     files = spark.readStream.schema(fa.FILES).parquet(arriving)
     run_increment(store, files, plan, fresh_dir(spark, "progress")).awaitTermination()
     return store.read("parsed_call").select(
@@ -936,7 +936,7 @@ def publish_table(spark, sf):
     from haltwise.plans.store import Store
     from haltwise.session import fresh_dir
 
-    store = Store(spark, fresh_dir(a.settle(spark), "store"), "month")
+    store = Store(spark, fresh_dir(a.settle(spark), "store"), "month", buckets=8)
     staged = a.calls(spark, sf)
     later = staged.filter("SequenceNumber % 2 = 0").withColumn(
         "ArrivalDelaySeconds", F.col("ArrivalDelaySeconds") + 60
@@ -956,7 +956,7 @@ def run_log(spark, sf):
     from haltwise.plans.store import Store
     from haltwise.session import fresh_dir
 
-    store = Store(spark, fresh_dir(a.settle(spark), "store"), "month")
+    store = Store(spark, fresh_dir(a.settle(spark), "store"), "month", buckets=8)
     store.append(a.run_log(spark, sf), "run_log")
     return listing.processed_files(store.read("run_log"))
 

@@ -207,7 +207,7 @@ def transform(
     if dates is None:
         parts = set()
         for table in ("parsed_journey", "parsed_call", "parsed_vehicle_positions"):
-            parts |= set(store.manifest(table) or {})
+            parts |= store.part_names(table)
 
     def save(name: str) -> int:
         return store.replace_dates(store.with_lineage(built[name]), name, dates, parts)

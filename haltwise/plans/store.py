@@ -1,15 +1,18 @@
-"""Saved tables: parquet parts by operating date, published by manifest.
-
-There is no lakehouse format here. A change of a table writes the parts (days, or
-months where a day holds little) it touches into a new folder and then publishes a
-manifest, one small file that names the folder of every part. Readers follow the
-newest manifest, so they see a change whole or not at all, and a driver lost at any
+"""Saved tables: parquet parts by operating date and bucket, published by manifest.
+
+There is no lakehouse format here. A part is a day (or a month where a day holds little)
+and in it a bucket, by Spark's bucket hash of the journey or other leading key. A change
+of a table writes the parts it touches into a new folder and then publishes a manifest,
+one small file that names the folder of every part. So an upsert reads and writes the
+buckets of its own keys only, and tables with equal buckets join without an exchange.
+Readers follow the newest manifest, so they see a change whole or not at all, and a driver lost at any
 moment leaves the last published state. Folders that no manifest names any more are
 left to an expiry rule (`Store.unused`).
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Sequence
@@ -31,7 +34,9 @@ from haltwise.operators.keyed import (
 )
 from haltwise.plans.views import view
 
-PART = "_part"
+PART, BUCKET = "_part", "_bucket"
+BUCKETS = 16
+ADDED_AT_ONCE = 200  # parts named in one statement
 LAYOUTS = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}
 UNKEYED = "_unkeyed"
 
@@ -49,15 +54,27 @@ LOGS = {"run_log": s.RUN_LOG, "quality_results": f"run_timestamp timestamp, {s.C
 
 
 class Store:
-    """Tables below one root folder, each in parts of a day or a month."""
+    """Tables below one root folder, each in parts of a day or a month and `buckets` in each.
+
+    An upsert of k keys touches k buckets of their days at most; `buckets` should be as many as
+    keep a bucket at the size of a task, and must stay the same for a root folder."""
 
-    def __init__(self, spark: SparkSession, root: str, layout: str = "day"):
-        self.spark, self.root, self.layout = spark, root.rstrip("/"), layout
+    def __init__(self, spark: SparkSession, root: str, layout: str = "day", buckets: int = BUCKETS):
+        self.spark, self.root, self.layout, self.buckets = spark, root.rstrip("/"), layout, buckets
 
-    def part(self) -> Column:
-        """Part of the table a row lies in; rows without a date have their own."""
+    def bucket_column(self, table: str) -> str:
+        """What rows are dealt by: the name of the journey, else the leading key."""
+        name = table.removesuffix(UNKEYED)
+        if s.OWNER in self.schema(name).names:
+            return s.OWNER
+        return next(k for k in self.keys(name) if k != DATE)
+
+    def place(self, table: str) -> list[Column]:
+        """Part and bucket of the table a row lies in; rows without a date have a part of their
+        own."""
         text = F.date_format(DATE, LAYOUTS[self.layout])
-        return F.coalesce(text, F.lit("none")).alias(PART)
+        bucket = F.pmod(F.hash(self.bucket_column(table)), F.lit(self.buckets))
+        return [F.coalesce(text, F.lit("none")).alias(PART), bucket.alias(BUCKET)]
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -89,7 +106,8 @@ class Store:
         return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
 
     def manifest(self, table: str) -> dict[str, str] | None:
-        """Folder of every part of the newest published state; None where none is."""
+        """Folder of every part ("<date>/<bucket>") of the newest published state; None where none
+        is."""
         return self._manifest(table, self._versions(table))
 
     def _manifest(self, table: str, versions: list[int]) -> dict[str, str] | None:
@@ -98,23 +116,25 @@ class Store:
         path = f"{self.path(table)}/manifests/{versions[-1]:012d}.json"
         return json.loads(self.spark.read.text(path, wholetext=True).first()[0])
 
+    def part_names(self, table: str) -> set[str]:
+        """Dates or months of the newest published state."""
+        return {p.split("/")[0] for p in self.manifest(table) or {}}
+
     def _publish(
         self, table: str, folder: str, touched: set[str] | None, versions: list[int]
     ) -> None:
         """Make the parts in `folder` the table's parts of those names; a touched part (every part
-        where None) that the folder lacks is gone. The manifest is written under another name and
-        renamed to the version after the one the change was made from; where someone else has
-        published that meanwhile, this fails."""
+        where None; all its buckets where only its date is named) that the folder lacks is gone.
+        The manifest is written under another name and renamed to the version after the one the
+        change was made from; where someone else has published that meanwhile, this fails."""
         old = {} if touched is None else self._manifest(table, versions) or {}
-        parts = {p: f for p, f in old.items() if p not in touched}
-        system, where = self._files(f"{self.path(table)}/{folder}")
-        for f in system.listStatus(where):
-            name = f.getPath().getName()
-            if name.startswith(f"{PART}="):
-                parts[name.removeprefix(f"{PART}=")] = folder
+        parts = {p: f for p, f in old.items() if not touched & {p, p.split("/")[0]}}
+        for name in self._folders(f"{self.path(table)}/{folder}", PART):
+            for bucket in self._folders(f"{self.path(table)}/{folder}/{PART}={name}", BUCKET):
+                parts[f"{name}/{bucket}"] = folder
         version = versions[-1] + 1 if versions else 1
         base = f"{self.path(table)}/manifests"
-        _, draft = self._files(f"{base}/.{uuid.uuid4().hex}")
+        system, draft = self._files(f"{base}/.{uuid.uuid4().hex}")
         _, final = self._files(f"{base}/{version:012d}.json")
         out = system.create(draft, True)
         out.write(bytearray(json.dumps(parts).encode()))
@@ -122,6 +142,12 @@ class Store:
         if system.exists(final) or not system.rename(draft, final):
             raise RuntimeError(f"{table} was changed by another run; run again")
 
+    def _folders(self, path: str, column: str) -> list[str]:
+        """Values of a partition column below a path."""
+        system, where = self._files(path)
+        names = (f.getPath().getName() for f in system.listStatus(where))
+        return [n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=")]
+
     def unused(self, table: str) -> list[str]:
         """Folders of the table that the newest manifest does not name. They may be removed once
         no reader follows an older one."""
@@ -174,14 +200,39 @@ class Store:
         """Published parts, all or those of the given names; no schema inference, and columns
         that a file lacks read as null."""
         parts = self.manifest(table) or {}
-        paths = sorted(
-            f"{self.path(table)}/{folder}/{PART}={part}"
-            for part, folder in parts.items()
-            if names is None or part in names
-        )
+        paths = [self._location(table, p, parts[p]) for p in sorted(parts) if names is None or names & {p, p.split("/")[0]}]
         if not paths:
             return self.spark.createDataFrame([], self.schema(table))
-        return self.spark.read.schema(self.schema(table)).parquet(*paths)
+        reader = self.spark.read.schema(self.schema(table)).option("recursiveFileLookup", "true")
+        return reader.parquet(*paths)
+
+    def _location(self, table: str, part: str, folder: str) -> str:
+        name, bucket = part.split("/")
+        return f"{self.path(table)}/{folder}/{PART}={name}/{BUCKET}={bucket}"
+
+    def bucketed(self, table: str) -> DataFrame:
+        """The newest published state as a bucketed table of the session's catalog, so that joins
+        and aggregations by the journey need no exchange. Readers of an older state keep theirs."""
+        versions = self._versions(table)
+        root = hashlib.sha1(self.root.encode()).hexdigest()[:8]
+        name = f"{table}_{root}_{versions[-1] if versions else 0}"
+        if self.spark.catalog.tableExists(name):
+            return self.spark.table(name).drop(PART, BUCKET)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema(table).fields)
+        self.spark.sql(
+            f"CREATE TABLE {name} ({columns}, `{PART}` string, `{BUCKET}` int) USING parquet "
+            f"PARTITIONED BY (`{PART}`, `{BUCKET}`) CLUSTERED BY (`{self.bucket_column(table)}`) "
+            f"INTO {self.buckets} BUCKETS LOCATION '{self.path(table)}/catalog'"
+        )
+        parts = sorted((self._manifest(table, versions) or {}).items())
+        for i in range(0, len(parts), ADDED_AT_ONCE):
+            added = []
+            for part, folder in parts[i : i + ADDED_AT_ONCE]:
+                date, bucket = part.split("/")
+                where = self._location(table, part, folder)
+                added.append(f"PARTITION (`{PART}`='{date}', `{BUCKET}`={bucket}) LOCATION '{where}'")
+            self.spark.sql(f"ALTER TABLE {name} ADD {' '.join(added)}")
+        return self.spark.table(name).drop(PART, BUCKET)
 
     # --- writing -------------------------------------------------------------
 
@@ -209,10 +260,21 @@ class Store:
         versions = self._versions(table) if base is None else base
         folder = f"data-{uuid.uuid4().hex}"
         written = f"{self.path(table)}/{folder}"
-        rows = rows.withColumn(PART, self.part()).hint("rebalance", PART)
-        rows.write.partitionBy(PART).parquet(written)
+        rows = rows.select("*", *self.place(table)).hint("rebalance", PART, BUCKET)
+        own = self.bucket_column(table)
+        # bucket files can only be written through the catalog; the name goes, the files stay
+        name = f"written_{uuid.uuid4().hex}"
+        (
+            rows.write.partitionBy(PART, BUCKET)
+            .bucketBy(self.buckets, own)
+            .sortBy(own)
+            .option("path", written)
+            .saveAsTable(name, format="parquet")
+        )
+        self.spark.sql(f"DROP TABLE {name}")
         self._publish(table, folder, touched, versions)
-        return self.spark.read.schema(self.schema(table)).parquet(written).count()
+        reader = self.spark.read.schema(self.schema(table)).option("recursiveFileLookup", "true")
+        return reader.parquet(written).count()
 
     def overwrite(self, df: DataFrame, table: str) -> int:
         return self._save(df, table, None)
@@ -297,14 +359,14 @@ class Store:
         keyless = reduce(or_, (F.col(k).isNull() for k in keys))
         # one pass; one row per part
         parts = (
-            held.groupBy(self.part())
+            held.groupBy(*self.place(table))
             .agg(F.count_if(keyless).alias("keyless"), F.count_if(~keyless).alias("keyed"))
             .collect()
         )
-        aside = {p[PART] for p in parts if p["keyless"]}
+        aside = {f"{p[PART]}/{p[BUCKET]}" for p in parts if p["keyless"]}
         if aside:
             self._keep_aside(with_null_keys(held, keys), table, aside)
-        touched = {p[PART] for p in parts if p["keyed"]}
+        touched = {f"{p[PART]}/{p[BUCKET]}" for p in parts if p["keyed"]}
         if not touched:
             return 0
         keyed = without_null_keys(held, keys)
@@ -331,16 +393,16 @@ class Store:
         self._save(self._parts(name, parts).unionByName(rows).dropDuplicates(own), name, parts, base)
 
     def views(self, names: Sequence[str] | None = None) -> dict[str, DataFrame]:
-        """Tables and join views as temporary views of the session."""
+        """Tables and join views as temporary views of the session. Both sides of a view are
+        bucketed by the journey, so its join needs no exchange."""
         out = {}
-        for t in s.TABLES:
-            if self.exists(t):
-                self.read(t, with_lineage=True).drop(s.OWNER).createOrReplaceTempView(t)
+        there = {t: self.bucketed(t) for t in s.TABLES if self.exists(t)}
+        for t, df in there.items():
+            df.drop(s.OWNER).createOrReplaceTempView(t)
         for name in names or s.VIEWS:
             spec = s.VIEWS[name]
-            if self.exists(spec.base) and self.exists(spec.extension):
-                base = self.read(spec.base, with_lineage=True)
-                out[name] = view(name, base, self.read(spec.extension, with_lineage=True))
+            if spec.base in there and spec.extension in there:
+                out[name] = view(name, there[spec.base], there[spec.extension])
                 out[name].createOrReplaceTempView(name)
         return out
 

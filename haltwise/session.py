@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # sides that are dealt by some of a join's keys already are not dealt again by all of them
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
