@@ -40,7 +40,7 @@ def new_store(spark: SparkSession):
     from haltwise.plans.store import Store
     from haltwise.session import fresh_dir
 
-    return Store(spark, fresh_dir(a.settle(spark), "store"), "month", buckets=8)
+    return Store(spark, fresh_dir(a.settle(spark), "store"), "year", buckets=8)
 
 
 # --- base tables -----------------------------------------------------------
@@ -851,7 +851,7 @@ def stream_increment(spark, sf):
         a.stops(spark, sf), a.routes(spark, sf), a.trips(spark, sf), a.stop_times(spark, sf),
         a.shapes(spark, sf), a.mapping(spark, sf),
     )
-    store = Store(spark, fresh_dir(spark, "store"), "month", buckets=8)
+    store = Store(spark, fresh_dir(spark, "store"), "year", buckets=8)
     files = spark.readStream.schema(fa.FILES).parquet(arriving)
     run_increment(store, files, plan, fresh_dir(spark, "progress")).awaitTermination()
     return store.read("parsed_call").select(
@@ -897,6 +897,44 @@ def schedule_archive(spark, sf):
     )
 
 
+_MEMBER_COLUMNS = {
+    "stop_times": ["trip_id", "arrival_time", "departure_time", "stop_id", "stop_sequence"],
+    "trips": ["route_id", "trip_id", "trip_headsign", "direction_id", "shape_id", "block_id"],
+    "routes": ["route_id", "route_short_name", "route_long_name"],
+}
+
+
+def _members_sql() -> str:
+    parts = [
+        f"""SELECT '{name}.txt' AS member, '{c}' AS field, count(*) AS n_rows,
+        count(*) FILTER (coalesce({c}::VARCHAR, '') <> '') AS filled,
+        count(DISTINCT nullif({c}::VARCHAR, '')) AS n_values FROM {name}"""
+        for name, columns in _MEMBER_COLUMNS.items()
+        for c in columns
+    ]
+    return o.with_relations(list(_MEMBER_COLUMNS), "\nUNION ALL\n".join(parts))
+
+
+@query("schedule_members", _members_sql())
+def schedule_members(spark, sf):
+    """Three schedule tables packed into archives; every member scanned untyped, field by field."""
+    from haltwise.feed_adapters import write_zips
+    from haltwise.session import fresh_dir
+    from haltwise.sources.archives import all_members
+
+    folder = fresh_dir(a.settle(spark), "archives")
+    for name, columns in _MEMBER_COLUMNS.items():
+        rows = getattr(a, name)(spark, sf).select(*columns)
+        write_zips(rows, f"{name}.txt", folder).write.format("noop").mode("overwrite").save()
+    fields = all_members(spark, folder).select("member", F.explode("fields").alias("field", "value"))
+    value = F.when(F.col("value") != "", F.col("value"))
+    return fields.groupBy("member", "field").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(value).alias("filled"),
+        F.count_distinct(value).alias("n_values"),
+    )
+
+
 @query(
     "stop_places",
     o.with_relations(
@@ -936,7 +974,7 @@ def publish_table(spark, sf):
     from haltwise.plans.store import Store
     from haltwise.session import fresh_dir
 
-    store = Store(spark, fresh_dir(a.settle(spark), "store"), "month", buckets=8)
+    store = Store(spark, fresh_dir(a.settle(spark), "store"), "year", buckets=8)
     staged = a.calls(spark, sf)
     later = staged.filter("SequenceNumber % 2 = 0").withColumn(
         "ArrivalDelaySeconds", F.col("ArrivalDelaySeconds") + 60
@@ -956,7 +994,7 @@ def run_log(spark, sf):
     from haltwise.plans.store import Store
     from haltwise.session import fresh_dir
 
-    store = Store(spark, fresh_dir(a.settle(spark), "store"), "month", buckets=8)
+    store = Store(spark, fresh_dir(a.settle(spark), "store"), "year", buckets=8)
     store.append(a.run_log(spark, sf), "run_log")
     return listing.processed_files(store.read("run_log"))
 

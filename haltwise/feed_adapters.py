@@ -15,6 +15,7 @@ import pyarrow.csv as pacsv
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from haltwise.sources.archives import file_system
 from haltwise import adapters as a
 from haltwise.sources.gtfs_realtime import feed_message_class
 
@@ -166,3 +167,24 @@ def zip_member(rows: DataFrame, member: str) -> DataFrame:
             )
 
     return rows.select(*names).mapInArrow(archives, FILES)
+
+
+def write_zips(rows: DataFrame, member: str, folder: str) -> DataFrame:
+    """Archives that together hold the rows as one CSV member, written below a shared folder."""
+    names = rows.columns
+
+    def archives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        system, where = file_system(folder)
+        system.create_dir(where)
+        part = TaskContext.get().partitionId()
+        for n, batch in enumerate(batches):
+            path = f"{where}/{member}-{part}-{n}.zip"
+            text = io.BytesIO()
+            pacsv.write_csv(pa.Table.from_batches([batch]), text)
+            with system.open_output_stream(path) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                z.writestr(member, b"\xef\xbb\xbf" + text.getvalue())
+            yield pa.RecordBatch.from_arrays([pa.array([path], pa.string())], ["path"])
+
+    return rows.select(*names).mapInArrow(archives, "path string")

@@ -1,6 +1,6 @@
 """Saved tables: parquet parts by operating date and bucket, published by manifest.
 
-There is no lakehouse format here. A part is a day (or a month where a day holds little)
+There is no lakehouse format here. A part is a day (or a month or year where a day holds little)
 and in it a bucket, by Spark's bucket hash of the journey or other leading key. A change
 of a table writes the parts it touches into a new folder and then publishes a manifest,
 one small file that names the folder of every part. So an upsert reads and writes the
@@ -37,7 +37,7 @@ from haltwise.plans.views import view
 PART, BUCKET = "_part", "_bucket"
 BUCKETS = 16
 ADDED_AT_ONCE = 200  # parts named in one statement
-LAYOUTS = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}
+LAYOUTS = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
 UNKEYED = "_unkeyed"
 
 # Staged rows are keyed by trip and date, which names a dated journey even where
@@ -54,7 +54,7 @@ LOGS = {"run_log": s.RUN_LOG, "quality_results": f"run_timestamp timestamp, {s.C
 
 
 class Store:
-    """Tables below one root folder, each in parts of a day or a month and `buckets` in each.
+    """Tables below one root folder, each in parts of a day, a month or a year and `buckets` in each.
 
     An upsert of k keys touches k buckets of their days at most; `buckets` should be as many as
     keep a bucket at the size of a task, and must stay the same for a root folder."""

@@ -19,7 +19,7 @@ from haltwise.sources import listing
 
 INBOX = "path string, content binary, file string, feed string, ts string, part string"
 # Leading characters of a feed timestamp that name its part of the inbox.
-PART_LENGTH = {"day": 10, "month": 7}
+PART_LENGTH = {"day": 10, "month": 7, "year": 4}
 
 
 def stream_feed_files(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:

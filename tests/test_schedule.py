@@ -7,7 +7,7 @@ from city import STOPS, schedule_texts, write_schedule
 from haltwise import schema as s
 from haltwise.plans.enrich import dated_journey_ids, trip_dimension
 from haltwise.plans.jobs import Schedule
-from haltwise.sources import listing, schedule
+from haltwise.sources import archives, listing, schedule
 
 
 def test_csv_columns_are_found_by_name(spark, tmp_path, rows):
@@ -33,6 +33,34 @@ def test_archives(spark, tmp_path):
     assert schedule.archive_member(archives, "shapes.txt").count() == 7
 
 
+def test_archive_source(spark, tmp_path, rows):
+    """All members untyped, one member typed and pruned, damage named with path and error."""
+    folder = write_schedule(tmp_path)
+    (tmp_path / "skane_static_2024-01-20.zip").write_bytes(b"not an archive")
+    whole = (tmp_path / "skane_static_2024-01-09.zip").read_bytes()
+    torn = bytearray(whole)
+    at = whole.index(b"stops.txt") + len("stops.txt") + 5
+    torn[at : at + 20] = b"\xff" * 20
+    (tmp_path / "skane_static_2024-01-21.zip").write_bytes(bytes(torn))
+    every = archives.all_members(spark, folder).filter("path LIKE '%2024-01-09.zip'")
+    assert rows(every.groupBy("member").count()) == [
+        ("routes.txt", 1), ("shapes.txt", 7), ("stop_times.txt", 12), ("stops.txt", 5),
+        ("trips.txt", 3), ("trips_dated_vehicle_journey.txt", 5),
+    ]
+    first = every.filter("member = 'routes.txt'").first()
+    assert first["fields"] == {"route_id": "r1", "route_short_name": "7", "route_long_name": "Harbour line"}
+    old = schedule.archive_member(schedule.read_archives(spark, f"{folder}/*09.zip"), "stop_times.txt")
+    new = archives.member(spark, folder, "stop_times.txt").filter("path LIKE '%09.zip'")
+    assert new.dtypes == old.dtypes
+    assert rows(new.drop("path")) == rows(old.drop("path"))
+    pruned = archives.member(spark, folder, "stops.txt", "stop_lat double, parent string")
+    assert pruned.columns == ["path", "_row", "stop_lat", "parent"]
+    named = {(r.path[-14:-4], r.member) for r in archives.damaged(spark, folder).collect() if r.error}
+    assert named == {("2024-01-20", None), ("2024-01-21", "stops.txt")}
+    one = archives.all_members(spark, f"{folder}/skane_extra_2024-01-09.zip")
+    assert one.count() == 5 and one.rdd.getNumPartitions() == 1
+
+
 def test_snapshot_choice(spark):
     names = ["skane_static_2024-01-03.zip", "skane_static_2024-01-05.zip",
              "skane_static_x.zip", "other_static_2024-01-04.zip"]
