@@ -92,25 +92,22 @@ def stage_files(
     where = f"{store.root}/_decoded/{run_id}-{uuid.uuid4().hex[:8]}"
     decoded = {}
     for kind in FEED_OF:
-        broken = feeds.damaged(files[kind])
-        broken.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(
-            f"{store.root}/_damaged"
-        )
-        entities = feeds.decode(files[kind], kind)
-        entities.write.parquet(f"{where}/{kind}")
-        decoded[kind] = store.spark.read.schema(entities.schema).parquet(f"{where}/{kind}")
+        whole = feeds.decode_all(files[kind], kind)
+        whole.write.parquet(f"{where}/{kind}")
+        whole = store.spark.read.schema(whole.schema).parquet(f"{where}/{kind}")
+        broken = feeds.damaged_in(whole).withColumn("run_id", F.lit(run_id))
+        broken.write.mode("append").parquet(f"{store.root}/_damaged")
+        decoded[kind] = feeds.entities_in(whole)
     ids = enrich.dated_journey_ids(plan.mapping)
     trips = plan.trip_dimension()
     positions = feeds.positions_from(decoded["VehiclePositions"], ids)
     alerts = feeds.alerts_from(decoded["ServiceAlerts"])
-    updates = decoded["TripUpdates"]
+    # joined with the schedule once; journeys and calls are both read from there
+    updates = store.saved_once(feeds.resolved_updates(decoded["TripUpdates"], ids, trips), "updates")
     journeys = enrich.flag_cancelled(
-        enrich.fill_from_positions(
-            feeds.journeys_from(updates, ids, trips, profile), positions
-        ),
-        alerts,
+        enrich.fill_from_positions(feeds.journeys_of(updates), positions), alerts
     )
-    calls = feeds.calls_from(updates, ids, trips, plan.stops, profile)
+    calls = feeds.calls_of(updates, plan.stops, profile)
     lineage = {"_run_id": F.lit(run_id), "_parsed_timestamp": F.current_timestamp()}
     columns = {"journeys": journeys.columns, "calls": calls.columns}
     journeys = store.hold(journeys.withColumns(lineage), "parsed_journey")

@@ -130,36 +130,14 @@ KINDS = {
 }
 
 
-def damaged(files: DataFrame) -> DataFrame:
-    """(path, error) of the files that cannot be decoded."""
+def decode_all(files: DataFrame, kind: str) -> DataFrame:
+    """Entities of the feed files in (path, content), one row per entity of `kind`, and a row
+    with its `error` and no entity for each file that cannot be decoded.
 
-    def errors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from google.protobuf.message import DecodeError
-
-        feed_class = feed_message_class()
-        for batch in batches:
-            found: dict[str, list] = {"path": [], "error": []}
-            for path, content in zip(batch.column("path"), batch.column("content")):
-                try:
-                    feed_class.FromString(content.as_py())
-                except DecodeError as e:
-                    found["path"].append(path.as_py())
-                    found["error"].append(str(e))
-            yield pa.RecordBatch.from_pydict(
-                found, pa.schema([("path", pa.string()), ("error", pa.string())])
-            )
-
-    return files.select("path", "content").mapInArrow(errors, "path string, error string")
-
-
-def decode(files: DataFrame, kind: str) -> DataFrame:
-    """Entities of the feed files in (path, content): one row per entity of `kind`.
-
-    A file that cannot be decoded gives none (`damaged` lists those). Works on batch and
-    streaming frames alike.
+    Each file is parsed once. Works on batch and streaming frames alike.
     """
     ddl, reader, fields = KINDS[kind]
-    schema = pa.schema(fields)
+    schema = pa.schema([*fields, ("error", _S)])
 
     def entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from google.protobuf.message import DecodeError
@@ -170,20 +148,35 @@ def decode(files: DataFrame, kind: str) -> DataFrame:
             for path, content in zip(batch.column("path"), batch.column("content")):
                 try:
                     feed = feed_class.FromString(content.as_py())
-                except DecodeError:
+                except DecodeError as e:
+                    rows.append({"path": path.as_py(), "error": str(e)})
                     continue
                 for place, entity in enumerate(feed.entity):
                     row = reader(entity)
                     if row is None:
                         continue
                     rows.append({"path": path.as_py(), "entity": place, **row})
-                    if len(rows) == BATCH:
+                    if len(rows) >= BATCH:
                         yield pa.RecordBatch.from_pylist(rows, schema)
                         rows = []
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return files.select("path", "content").mapInArrow(entities, " ".join(ddl.split()))
+    return files.select("path", "content").mapInArrow(entities, " ".join(f"{ddl}, error string".split()))
+
+
+def entities_in(decoded: DataFrame) -> DataFrame:
+    return decoded.filter("error IS NULL").drop("error")
+
+
+def damaged_in(decoded: DataFrame) -> DataFrame:
+    """(path, error) of the files that could not be decoded."""
+    return decoded.filter("error IS NOT NULL").select("path", "error")
+
+
+def decode(files: DataFrame, kind: str) -> DataFrame:
+    """Entities of the feed files; one that cannot be decoded gives none."""
+    return entities_in(decode_all(files, kind))
 
 
 def feed_time():
@@ -194,9 +187,7 @@ def feed_time():
 # --- entities to staged rows ----------------------------------------------
 
 
-def _resolved_updates(
-    updates: DataFrame, ids: DataFrame, trips: DataFrame, profile: AgencyProfile
-) -> DataFrame:
+def resolved_updates(updates: DataFrame, ids: DataFrame, trips: DataFrame) -> DataFrame:
     """Trip updates with journey-level columns; feed values first, schedule second.
 
     Joins happen here, once per update and before its stops are unfolded.
@@ -265,7 +256,12 @@ def journeys_from(
     `ids` maps trip_id to DVJId (`enrich.dated_journey_ids`), `trips` is
     `enrich.trip_dimension`.
     """
-    return conform(_resolved_updates(updates, ids, trips, profile), struct(STAGED_JOURNEY))
+    return journeys_of(resolved_updates(updates, ids, trips))
+
+
+def journeys_of(resolved: DataFrame) -> DataFrame:
+    """Staged journeys of resolved updates."""
+    return conform(resolved, struct(STAGED_JOURNEY))
 
 
 def calls_from(
@@ -276,7 +272,11 @@ def calls_from(
     profile: AgencyProfile = AgencyProfile(),
 ) -> DataFrame:
     """Staged calls of decoded trip updates, one per stop time update."""
-    resolved = _resolved_updates(updates, ids, trips, profile)
+    return calls_of(resolved_updates(updates, ids, trips), stops, profile)
+
+
+def calls_of(resolved: DataFrame, stops: DataFrame, profile: AgencyProfile = AgencyProfile()) -> DataFrame:
+    """Staged calls of resolved updates."""
 
     def with_neighbour(s, i):
         seq = F.get("_seq", i)

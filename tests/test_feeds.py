@@ -158,3 +158,24 @@ def test_file_sets(spark, tmp_path, rows):
     )
     left = file_sets(listing, processed_files(log))
     assert rows(left, "ts", "is_complete") == [("2024-01-10T12-00-00Z", True)]
+
+
+def test_each_file_is_parsed_once(spark, monkeypatch):
+    """Entities and errors come from one pass: a counter in the tasks sees each file once."""
+    parsed = spark.sparkContext.accumulator(0)
+    whole = as_files(spark, trip_updates())
+    files = whole.union(whole.selectExpr("concat(path, '.torn') AS path", "substring(content, 1, 40) AS content"))
+
+    class Counted:
+        @staticmethod
+        def FromString(content):
+            parsed.add(1)
+            from haltwise.sources.gtfs_realtime import feed_message_class as real
+
+            return real().FromString(content)
+
+    monkeypatch.setattr(feeds, "feed_message_class", lambda: Counted)
+    decoded = feeds.decode_all(files, "TripUpdates").persist()
+    assert feeds.entities_in(decoded).count() == 2
+    assert [(r.path[-5:], bool(r.error)) for r in feeds.damaged_in(decoded).collect()] == [(".torn", True)]
+    assert parsed.value == 2
