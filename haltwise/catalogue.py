@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from haltwise import adapters as a
 from haltwise import oracles as o
+from haltwise import schema
 from haltwise.functions import transit as t
 from haltwise.operators.intervals import snapshot_as_of
 from haltwise.operators.keyed import merge_by_key
@@ -429,6 +430,36 @@ _path_view(
 )
 
 
+def _saved_path_view(name, columns, build, digits=()):
+    """The view over saved tables: base and paths saved, joined by bucket and read."""
+    shown = ", ".join(f'"{x}"' for x in [*schema.TABLES["journey"].columns, *columns])
+
+    @query(f"saved_{name}", f"SELECT {shown} FROM ({ORACLES[name]})")
+    def run(spark, sf):
+        store = new_store(spark)
+        staged = journeys.unique_journeys(a.journeys(spark, sf))
+        base, spec = journeys.journey(staged), schema.VIEWS[name]
+        store.replace_dates(store.with_lineage(base), spec.base)
+        store.replace_dates(store.with_lineage(build(staged, spark, sf)), spec.extension)
+        found = store.views([name])[name].select(*base.columns, *columns)
+        # the contract saves most numbers as text
+        kinds = {x: "int" if x.endswith("SequenceNumber") else "double" for x in columns}
+        kinds.pop("PositionDateTime", None)
+        return rounded(found.withColumns({x: F.col(x).cast(k) for x, k in kinds.items()}), 1, *digits)
+
+
+_saved_path_view("v_journey_observed_path", _OBSERVED_COLS, _observed_for_view)
+_saved_path_view(
+    "v_journey_observed_path_extended", ["RelativePositionOffsetMeters"], _extended_for_view,
+    ["RelativePositionOffsetMeters"],
+)
+_saved_path_view(
+    "v_journey_planned_path", _PLANNED_COLS[1:],  # the contract has no point number
+    lambda x, s, f: paths.planned_path_values(x, a.shapes(s, f), a.trips(s, f), a.stop_times(s, f)),
+    ["OnLinkOffsetMeters"],
+)
+
+
 # --- links -----------------------------------------------------------------
 
 
@@ -687,7 +718,7 @@ def upsert(spark, sf):
         ["calls"],
         f"""SELECT DVJId, SequenceNumber, {o.minutes('dep_delay')} AS minutes,
         {o.punctuality('dep_delay', False)} AS code, {o.punctuality('dep_delay')} AS label,
-        dep - arr AS stop_s, CASE WHEN dep_delay <> 0 THEN round(1000 / dep_delay * 3.6e0, 1) END
+        dep - arr AS stop_s, arr - dep AS early_s, CASE WHEN dep_delay <> 0 THEN round(1000 / dep_delay * 3.6e0, 1) END
             AS kph, CASE WHEN SequenceNumber = 1 THEN 'Yes' ELSE 'No' END AS first,
         round({o.hav('lat', 'lon', '55.6e0', '13e0')}, 1) AS metres FROM calls""",
     ),
@@ -700,6 +731,7 @@ def sql_functions(spark, sf):
         punctuality_code(DepartureDelaySeconds) AS code,
         punctuality_text(DepartureDelaySeconds) AS label,
         duration_seconds(ObservedArrivalDateTime, ObservedDepartureDateTime) AS stop_s,
+        delay_seconds(ObservedArrivalDateTime, ObservedDepartureDateTime) AS early_s,
         speed_kph(1000D, DepartureDelaySeconds) AS kph, is_first_stop(SequenceNumber) AS first,
         round(haversine_m(Coord_Latitude, Coord_Longitude, 55.6D, 13D), 1) AS metres
         FROM {staged}""",
@@ -755,6 +787,50 @@ def feed_calls(spark, sf):
     )
 
 
+@query(
+    "feed_stop_lists",
+    o.with_relations(
+        ["calls"],
+        """SELECT DVJId AS "JourneyNumber", seq AS "SequenceNumber", gid AS "JPPGid",
+        lag(gid) OVER (PARTITION BY DVJId ORDER BY SequenceNumber) AS "PreviousJPPGid"
+        FROM (SELECT *, 'JPP_' || stop_id || '_' || seq AS gid FROM (
+            SELECT *, CASE WHEN DVJId::BIGINT % 3 = 0 THEN row_number() OVER (
+                PARTITION BY DVJId ORDER BY SequenceNumber) ELSE SequenceNumber END AS seq
+            FROM calls))""",
+    ),
+)
+def feed_stop_lists(spark, sf):
+    """Updates of whole journeys; a third of them give no sequence numbers, so places count."""
+    from haltwise.sources import feeds
+
+    no_number = F.col("DVJId").cast("bigint") % 3 == 0
+    stop = lambda s: F.struct(
+        s["StopAreaNumber"].alias("stop_id"),
+        F.when(no_number, 0).otherwise(s["SequenceNumber"]).cast("bigint").alias("stop_sequence"),
+        *(F.lit(None).cast("int").alias(f"{w}_delay") for w in ("arrival", "departure")),
+        *(F.lit(None).cast("bigint").alias(f"{w}_time") for w in ("arrival", "departure")),
+    )
+    updates = (
+        a.calls(spark, sf)
+        .groupBy("DVJId", "OperatingDate")
+        .agg(F.sort_array(F.collect_list(F.struct("SequenceNumber", "StopAreaNumber"))).alias("s"))
+        .select(
+            F.lit("/in/2024-01-10T12-00-00Z-r-TripUpdates.pb").alias("path"),
+            F.col("DVJId").alias("trip_id"),
+            F.date_format("OperatingDate", "yyyyMMdd").alias("start_date"),
+            F.transform("s", stop).alias("stops"),
+            *(F.lit(None).cast("string").alias(x) for x in
+              ("route_id", "start_time", "vehicle_id", "vehicle_label")),
+            F.lit(None).cast("int").alias("direction_id"),
+            F.lit(None).cast("bigint").alias("timestamp"),
+        )
+    )
+    ids, trips = _trip_plan(spark, sf)
+    return feeds.calls_from(updates, ids, trips, a.stops(spark, sf)).select(
+        "JourneyNumber", "SequenceNumber", "JPPGid", "PreviousJPPGid"
+    )
+
+
 @query(
     "feed_journeys",
     o.with_relations(
@@ -984,6 +1060,40 @@ def publish_table(spark, sf):
     return store.read("journey_call_delay")
 
 
+@query(
+    "saved_lineage",
+    o.with_relations(
+        ["calls"],
+        """SELECT DVJId, SequenceNumber,
+        CASE WHEN SequenceNumber % 2 = 0 THEN 'late.pb,later.pb' ELSE 'from_staging' END
+            AS "SourceFiles", true AS stamped FROM calls""",
+    ),
+)
+def saved_lineage(spark, sf):
+    """Where saved rows came from, after half of them were replaced by a batch of two files."""
+    store = new_store(spark)
+    staged = a.calls(spark, sf)
+    for batch, files in ((staged, None), (staged.filter("SequenceNumber % 2 = 0"), ["late.pb", "later.pb"])):
+        delays = c.call_delay(batch, dated=True)
+        store.upsert(store.with_lineage(delays, files), "journey_call_delay")
+    return store.read("journey_call_delay", with_lineage=True).select(
+        "DVJId", "SequenceNumber", "SourceFiles", F.col("ProcessedTimestamp").isNotNull().alias("stamped")
+    )
+
+
+@query(
+    "run_log_lines",
+    """SELECT o_orderkey::VARCHAR AS run_id, 1 AS file_count,
+    CASE WHEN o_orderkey % 3 = 0 THEN 'success' ELSE 'failed' END AS status FROM orders""",
+)
+def run_log_lines(spark, sf):
+    """Lines of a saved run log, read back under its registered schema."""
+    store = new_store(spark)
+    lines = a.run_log(spark, sf).withColumn("file_count", F.size("source_files"))
+    store.append(lines, "run_log")
+    return store.read("run_log").select("run_id", "file_count", "status")
+
+
 @query(
     "run_log",
     _LISTING
