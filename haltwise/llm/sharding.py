@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,6 +59,29 @@ class Blocks:
             cuts.append(at)
         return at >= self.total[-1], cuts
 
+    def even(self, capacity: int, shards: int) -> list[int]:
+        """Cuts (sizes before them) of `shards` within the capacity, each at the known border
+        nearest to an even share of what is left. A cut leaves no more than the shards after it
+        can hold, and no shard is empty while there are groups enough."""
+        total, borders = self.total[-1], self.total
+        # the least size before a cut with which the shards after it hold the rest
+        least = [total]
+        for _ in range(shards - 1):
+            least.append(borders[bisect_left(borders, least[-1] - capacity)])
+        at, cuts = 0, []
+        for left in range(shards, 1, -1):
+            if at == total:
+                break
+            first = max(bisect_right(borders, at), bisect_left(borders, least[left - 1]))
+            last = bisect_right(borders, at + capacity) - 1
+            last = max(first, min(last, len(borders) - left))  # a group for each shard after it
+            aim = at + (total - at) / left
+            above = min(max(bisect_left(borders, aim), first), last)
+            below = min(max(above - 1, first), last)
+            at = min((borders[below], borders[above]), key=lambda b: abs(b - aim))
+            cuts.append(at)
+        return [c for c in cuts if c < total]
+
     def least(self, shards: int, hopeful: bool, low: int, high: int) -> int:
         """Smallest capacity in [low, high] that the greedy check accepts; high must be one."""
         while low < high:
@@ -72,7 +95,8 @@ class Blocks:
 
 def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
     """The smallest capacity with which `shards` contiguous runs of `groups` (h, bytes; one row
-    per group, ordered by h) hold all, and the hashes at which a new run begins.
+    per group, ordered by h) hold all, and the hashes at which a new run begins. Within that
+    capacity runs are as near to equal as the borders of known blocks allow.
 
     Binary search over capacities with a greedy check. The driver never gets the groups: it gets
     sums of blocks of neighbours, which bound the least capacity from below and above, and asks
@@ -85,7 +109,7 @@ def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
             .agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n"))
             .collect()
         )
-        return [(r["b"] << (64 - bits), bits, r["bytes"], r["n"] == 1) for r in got]
+        return [((r["b"] << (64 - bits)) % (1 << 64), bits, r["bytes"], r["n"] == 1) for r in got]
 
     bits = FIRST_BITS
     known = sums(groups, bits)
@@ -125,9 +149,9 @@ def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
                 F.explode(F.from_json(F.lit(names), "array<bigint>")).alias("b")
             )
             some = groups.withColumn("b", _leading(had)).join(wanted, "b", "left_semi")
-            rest += sums(some, min(63, had + step))
+            rest += sums(some, min(64, had + step))
         known = rest
-    cuts = blocks.greedy(surely, shards, False)[1]
+    cuts = blocks.even(surely, shards)
     begin = [blocks.begin[bisect_right(blocks.total, c) - 1] for c in cuts]
     return surely, begin
 
@@ -138,7 +162,8 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
     Rows of equal text are a group and stay together; groups are ordered by a 64-bit hash of the
     text (texts of equal hash, should there be any, count as one group). Shards are contiguous
-    runs of groups with the least possible largest size. A group larger than an even share makes
+    runs of groups with the least possible largest size, and within it each as near to an even
+    share of the rest as can be. A group larger than an even share makes
     the largest shard as large as itself, which no other cut could avoid.
 
     Slots number a shard's rows from 0 without gaps: rows are dealt to `CELLS` cells by hash, so

@@ -57,3 +57,28 @@ def test_coarse_blocks_are_refined_to_the_same_cuts(documents, monkeypatch):
 
 def test_empty_table(no_documents):
     assert sharding.shard_documents(no_documents).count() == 0
+
+
+def test_shards_are_near_equal(spark):
+    """Of texts that are small beside a shard, none is far from an even share, the last included."""
+    rows = [(i, f"text {i} " + "x" * (i % 50)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes = [r[0] for r in sharding.shard_documents(df, 40).groupBy("shard").sum("size").select("sum(size)").collect()]
+    mean = sum(sizes) / 40
+    assert len(sizes) == 40
+    assert max(sizes) < 1.05 * mean and min(sizes) > 0.95 * mean
+
+
+def test_even_cuts_by_hand():
+    def cuts(sizes, shards):
+        blocks = sharding.Blocks.of([(i, 64, n, True) for i, n in enumerate(sizes)])
+        capacity = least_capacity(sizes, shards)
+        found = [0, *blocks.even(capacity, shards), sum(sizes)]
+        parts = [b - a for a, b in zip(found, found[1:])]
+        assert max(parts) == capacity and len(parts) <= shards and min(parts) > 0
+        return parts
+
+    assert sorted(cuts([1] * 12, 5)) == [2, 2, 2, 3, 3]
+    assert cuts([90, 1, 1, 1, 1, 1, 1], 4) == [90, 2, 2, 2]
+    assert cuts([1, 1, 90], 3) == [1, 1, 90]
+    assert cuts([5], 3) == [5]
