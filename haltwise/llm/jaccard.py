@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from haltwise.llm import common
 from haltwise.llm.bpe import from_bytes, packed, to_bytes, unpacked
-from haltwise.llm.components import components
+from haltwise.llm.components import grown
 from haltwise.llm.hashing import mix, span_hashes
 from haltwise.llm.pretokens import ragged
 
@@ -437,7 +437,7 @@ def _other_links(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 def _linked(posted: DataFrame, nodes: DataFrame, percent: int) -> DataFrame | None:
     """(node, component) of all nodes with links; None where there is no link."""
-    links, parts, seed, left = None, None, 0, None
+    parts, seed, left = None, 0, None
     size = posted.count()
     while True:
         rows = _labelled(posted, parts)
@@ -451,8 +451,7 @@ def _linked(posted: DataFrame, nodes: DataFrame, percent: int) -> DataFrame | No
             work = 0
         else:
             return parts
-        links = found if links is None else links.union(found)
-        parts = components(links)
+        parts = grown(parts, found)
         if not work:
             return parts
 

@@ -5,7 +5,7 @@ import pytest
 from texts import prose
 
 from haltwise.llm import jaccard
-from haltwise.llm.components import components
+from haltwise.llm.components import components, contracted, grown
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -105,8 +105,16 @@ def test_shingle_hashes_do_not_depend_on_the_batch():
 
 def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7)]
-    found = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
-    assert found == {**{k: 0 for k in range(41)}, **{100 + k: 100 for k in range(30)}}
+    df = spark.createDataFrame(edges, "a long, b long")
+    want = {**{k: 0 for k in range(41)}, **{100 + k: 100 for k in range(30)}}
+    assert dict(components(df).collect()) == want
+    assert {**{7: 0}, **dict(contracted(df).collect())} == want
+    half = [e for i, e in enumerate(edges) if i % 2]
+    rest = spark.createDataFrame([e for i, e in enumerate(edges) if not i % 2], "a long, b long")
+    parts = grown(None, spark.createDataFrame(half, "a long, b long"))
+    assert dict(grown(parts, rest).collect()) == want
+    none = spark.createDataFrame([], "a long, b long")
+    assert contracted(none).collect() == [] and dict(grown(parts, none).collect()) == dict(parts.collect())
 
 
 def near_copies(groups: int, seed: int = 21):
