@@ -16,9 +16,10 @@ from haltwise.llm import common
 from haltwise.session import fresh_dir
 
 REVISIT_BYTES = 1000  # payloads of at least so many bytes are stored once
-SEGMENT_BYTES = 32 << 10  # longer record blocks go on in continuation records
+SEGMENT_BYTES = 4 << 10  # longer record blocks go on in continuation records
 CHUNK_BYTES = 8 << 10  # of the HTTP body's chunked framing
 FILE_BYTES = 16 << 20  # an archive of more compressed bytes is closed
+READ_BYTES = 16 << 10  # of an archive handed to the decompressor at a time
 DATE = "2024-01-01T00:00:00Z"
 
 PARSED = (
@@ -64,11 +65,20 @@ def record(headers: list[tuple[str, object]], block: bytes) -> bytes:
 
 
 def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of every record of an archive of gzip members."""
-    while data:
+    """(headers, block) of every record of an archive of gzip members; ValueError where the
+    archive ends within one. A member's decompressor sees little of what follows, so the work is
+    in proportion to the archive."""
+    view, at = memoryview(data), 0
+    while at < len(view):
         unpacker = zlib.decompressobj(31)
-        raw = unpacker.decompress(data) + unpacker.flush()
-        data = unpacker.unused_data
+        pieces = []
+        while not unpacker.eof:
+            part = view[at : at + READ_BYTES]
+            if not part:
+                raise ValueError("an archive ends within a record")
+            pieces.append(unpacker.decompress(part))
+            at += len(part) - len(unpacker.unused_data)
+        raw = b"".join(pieces)
         head, _, rest = raw.partition(b"\r\n\r\n")
         lines = head.decode().split("\r\n")
         if not lines[0].startswith("WARC/"):

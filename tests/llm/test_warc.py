@@ -82,3 +82,32 @@ def test_archives_are_read_by_their_headers():
     assert read[0][0]["warc-target-uri"] == "http://a/%C3%BC"
     assert warc.payload(b"".join(b for _, b in read)) == b"q" * 500
     assert int(read[-1][0]["warc-segment-total-length"]) == sum(len(b) for _, b in read)
+
+
+def test_large_groups_and_very_long_pages(spark):
+    """Copies of one page, as many as a third of a table, and a page of more than 2^24 bytes."""
+    rows = [(k, f"http://e/{k}", "copy " * 300) for k in range(400)]
+    rows += [(1000 + k, None, f"page {k} " * (200 + k)) for k in range(100)]
+    rows += [(2000, None, "long é " * (1 << 21)), (2001, None, "long é " * (1 << 21))]
+    found = warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert sorted(map(tuple, found.collect()), key=str) == expected(rows)
+
+
+def test_ordinary_pages_are_segmented(spark):
+    rows = [(k, None, f"<p>{k}</p>" * 900) for k in range(10)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = warc.fresh_dir(spark, "warc")
+    read = warc.parse(warc.write(df, folder))
+    assert read.filter("record_type = 'continuation'").count() >= 10
+    assert {r.page_id for r in warc.reassemble(read).filter("complete").collect()} == set(range(10))
+
+
+def test_records_at_every_border_of_a_read(monkeypatch):
+    data = b"".join(b for k in range(30) for b in warc.page_records(k, None, b"q" * 40 * k, "00" * 20, None, 200))
+    want = list(warc.records(data))
+    assert len(want) > 60
+    for size in (1, 7, 97, 1 << 20):
+        monkeypatch.setattr(warc, "READ_BYTES", size)
+        assert list(warc.records(data)) == want
+    with pytest.raises(ValueError, match="ends within"):
+        list(warc.records(data[:-5]))
