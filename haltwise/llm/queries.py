@@ -159,7 +159,8 @@ FROM d LEFT JOIN f ON f.doc_id = d.doc_id GROUP BY d.doc_id
 
 @query("op5_secrets", _secrets_sql())
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan_documents(table(spark, sf_dir, "documents"))[0]
+    # the base rules first; then the ledger leaves only the further rules to be scanned for
+    return secrets.scan_in_steps(table(spark, sf_dir, "documents"), [secrets.BASE_RULES, secrets.RULES])[0]
 
 
 @query("op6_packing")

@@ -108,19 +108,18 @@ def scan(unseen: DataFrame, rules: list[Rule]) -> DataFrame:
 def update(versions: DataFrame, ledger: DataFrame | None, rules: list[Rule]) -> DataFrame:
     """Ledger rows to add for `versions` (path, digest, text): only pairs of a blob and a rule
     version that `ledger` does not hold are scanned, each blob once however many paths have it."""
+    # hot contents combine before the shuffle
+    texts = versions.select("digest", "text").dropDuplicates(["digest"])
+    if ledger is None:
+        every = F.array(*[F.lit(r.kind) for r in rules])
+        return scan(texts.withColumn("kinds", every), rules)
     wanted = F.array(
         *[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules]
     )
-    names = versions.select("digest").distinct()
-    pairs = names.select("digest", F.explode(wanted).alias("r")).select("digest", "r.*")
-    if ledger is not None:
-        pairs = pairs.join(ledger, ["digest", "kind", "version"], "left_anti")
-    due = pairs.groupBy("digest").agg(F.collect_set("kind").alias("kinds"))
-    if ledger is None:
-        every = F.array(*[F.lit(r.kind) for r in rules])
-        texts = versions.dropDuplicates(["digest"]).select("digest", "text", every.alias("kinds"))
-    else:
-        texts = versions.join(due, "digest").dropDuplicates(["digest"]).select("digest", "text", "kinds")
+    pairs = versions.select("digest").distinct().select("digest", F.explode(wanted).alias("r")).select("digest", "r.*")
+    unseen = pairs.join(ledger, ["digest", "kind", "version"], "left_anti")
+    due = unseen.groupBy("digest").agg(F.collect_set("kind").alias("kinds"))
+    texts = texts.join(due, "digest")
     return scan(texts, rules)
 
 
@@ -204,3 +203,13 @@ def scan_documents(docs: DataFrame, rules: list[Rule] | None = None, ledger: Dat
     whole = added if ledger is None else ledger.unionByName(added)
     out = findings(versions.select("path", "digest"), whole, rules)
     return out.withColumnRenamed("path", "doc_id"), added
+
+
+def scan_in_steps(docs: DataFrame, steps: list[list[Rule]], ledger: DataFrame | None = None):
+    """(result, ledger) of `docs` after one scan per list of rules, each against the ledger that
+    the scans before it left. The result is by the rules of the last step, whichever step found
+    them; for everything else see `scan_documents`."""
+    for rules in steps:
+        result, added = scan_documents(docs, rules, ledger)
+        ledger = added if ledger is None else ledger.unionByName(added)
+    return result, ledger

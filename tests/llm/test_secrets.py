@@ -90,3 +90,13 @@ def test_redaction_masks_spans_and_keeps_the_rest(awkward):
 
     want = sorted(((r.doc_id, mask(r.text)) for r in awkward.collect()), key=str)
     assert sorted(((r.doc_id, r.text) for r in masked.collect()), key=str) == want
+
+
+def test_steps_scan_each_pair_of_blob_and_rule_version_once(documents):
+    result, ledger = secrets.scan_in_steps(documents, [secrets.BASE_RULES, secrets.RULES, secrets.RULES])
+    whole, once = secrets.scan_documents(documents)
+    assert sorted(map(tuple, result.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+    keys = ["digest", "kind", "version"]
+    assert ledger.count() == ledger.select(keys).distinct().count() == once.count()
+    _, more = secrets.scan_documents(documents, secrets.RULES, ledger)
+    assert more.count() == 0
