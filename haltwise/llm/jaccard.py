@@ -416,11 +416,28 @@ def _leader_links(rows: DataFrame, nodes: DataFrame, percent: int, seed: int) ->
     return common.save(_verified(stars, nodes, percent), "links")
 
 
+def _within_reach(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows that may link with some row they are compared with under their key, going by its
+    smallest size and most shingles still to come: `_may_link` fails for all pairs of the others.
+    A row of the main component is compared with those outside it, which with all."""
+    left = F.col("n") - F.col("place")
+    reach = rows.groupBy("key").agg(
+        F.min("n").alias("least"),
+        F.max(left).alias("most"),
+        F.min(F.when(~F.col("inner"), F.col("n"))).alias("least_outer"),
+        F.max(F.when(~F.col("inner"), left)).alias("most_outer"),
+    )
+    least = F.when(F.col("inner"), F.col("least_outer")).otherwise(F.col("least"))
+    most = F.when(F.col("inner"), F.col("most_outer")).otherwise(F.col("most"))
+    fits = F.least(left, most) * (100 + percent) >= (F.col("n") + least) * percent
+    return rows.join(reach, "key").filter(fits).select(rows.columns)
+
+
 def _other_links(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Links between different components: under each key, rows outside its main component are
     compared with all rows."""
     marks = ["own", *(f"bits{k}" for k in range(LONGS))]
-    signed = rows.join(_signature(nodes), "node")
+    signed = _within_reach(rows, percent).join(_signature(nodes), "node")
     outer = _side(signed.filter("not inner"), "_a", "component", *marks)
     every = _side(signed, "_b", "component", "inner", *marks)
     once = F.col("inner_b") | (F.col("component_a") < F.col("component_b"))
@@ -475,7 +492,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     group of near copies has many such leaders, is compared with the others and components are
     formed; this is repeated with other leaders, on the keys where several components meet, as
     long as it saves much work. Under the keys that stay, rows outside the key's largest component
-    are compared with all rows of other components. So no pair within a component is compared
+    are compared with all rows of other components, where size and place leave a chance with any
+    of them. So no pair within a component is compared
     needlessly, and none that could join two components is left out. A pair whose common shingles
     begin so late in one of the two that too few can follow is left out, and so is one whose
     signatures differ in too many places; as shared passages come last in the order, documents
