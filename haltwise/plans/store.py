@@ -37,6 +37,7 @@ from haltwise.plans.views import view
 PART, BUCKET = "_part", "_bucket"
 BUCKETS = 16
 ADDED_AT_ONCE = 200  # parts named in one statement
+FILES_IN_LINE = 10_000  # files that one line of the run log names, more or less
 LAYOUTS = {"day": "yyyy-MM-dd", "month": "yyyy-MM", "year": "yyyy"}
 UNKEYED = "_unkeyed"
 
@@ -410,20 +411,43 @@ class Store:
         self,
         run_id: str,
         operating_date,
-        source_files: list[str],
+        source_files: list[str] | DataFrame,
         row_counts: dict[str, int],
         seconds: float,
         status: str = "success",
         error: str | None = None,
     ) -> None:
-        """Append one line to the run log. Only files really consumed belong in it."""
-        values = "run_id string, operating_date date, source_files array<string>, " \
-            "table_row_counts map<string,bigint>, duration_seconds double, status string, " \
-            "error_message string"
-        row = self.spark.createDataFrame(
-            [(run_id, operating_date, source_files, row_counts, float(seconds), status, error)],
-            values,
-        ).withColumns(
+        """Append a run to the run log. Only files really consumed belong in it.
+
+        Files come as names, or as a frame with a `path` that may be too large for the driver and
+        for one row: then the run has a line per `FILES_IN_LINE` files, and only the first has the
+        row counts and the duration, so that sums over lines hold.
+        """
+        if isinstance(source_files, DataFrame):
+            lines = max(1, -(-source_files.count() // FILES_IN_LINE))
+            line = F.pmod(F.xxhash64("path"), F.lit(lines)).alias("_line")
+            first = F.col("_line") == 0
+            counts = F.create_map(*(F.lit(x) for pair in row_counts.items() for x in pair))
+            row = source_files.groupBy(line).agg(F.collect_list("path").alias("source_files"))
+            row = row.withColumns(
+                {
+                    "run_id": F.lit(run_id),
+                    "operating_date": F.lit(operating_date),
+                    "table_row_counts": F.when(first, counts),
+                    "duration_seconds": F.when(first, F.lit(float(seconds))),
+                    "status": F.lit(status),
+                    "error_message": F.lit(error),
+                }
+            )
+        else:
+            values = "run_id string, operating_date date, source_files array<string>, " \
+                "table_row_counts map<string,bigint>, duration_seconds double, status string, " \
+                "error_message string"
+            row = self.spark.createDataFrame(
+                [(run_id, operating_date, source_files, row_counts, float(seconds), status, error)],
+                values,
+            )
+        row = row.withColumns(
             {
                 "run_timestamp": F.current_timestamp(),
                 "file_count": F.size("source_files"),

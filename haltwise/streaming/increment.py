@@ -77,13 +77,16 @@ class Inbox:
             done, listing.file_name(F.col("path")) == F.col("file"), "left_anti"
         )
         sets = listing.file_sets(waiting.select("path")).filter("is_complete")
-        ready = sets.select("ts", F.explode("files").alias("feed", "path"))
-        rows = ready.collect()
-        if not rows:
+        # names stay in a saved frame; the driver gets their number, newest time and parts
+        ready = self.store.saved_once(
+            sets.select("ts", F.explode("files").alias("feed", "path")), "ready"
+        )
+        found = ready.agg(
+            F.max("ts").alias("newest"), F.collect_set(F.substring("ts", 1, width)).alias("parts")
+        ).first()
+        if not found["parts"]:
             return
-        paths = [r["path"] for r in rows]
-        parts = sorted({r["ts"][:width] for r in rows})
-        newest = max(r["ts"] for r in rows)
+        newest, parts = found["newest"], sorted(found["parts"])
         contents = inbox.join(ready.select("path"), "path", "left_semi")
         contents = contents.filter(F.col("part").isin(parts))
         # a file may lie in two batches if it was written again; one copy is enough
@@ -97,7 +100,7 @@ class Inbox:
             self.store, files, self.plan, run_id, self.profile, self.max_unresolved
         )
         self.store.log_run(
-            run_id, date.fromisoformat(newest[:10]), paths, counts, time.time() - started
+            run_id, date.fromisoformat(newest[:10]), ready, counts, time.time() - started
         )
 
 

@@ -252,3 +252,21 @@ def test_another_checkpoint_keeps_what_waits(city, spark, tmp_path):
     run(str(tmp_path / "later"), "two")
     assert store.read("parsed_call").count() == 8
     assert store.read("run_log").count() == 1
+
+
+def test_the_stream_keeps_file_names_off_the_driver(city, spark, tmp_path, monkeypatch):
+    """The names a run consumed go from frame to run log, in lines of bounded length."""
+    from haltwise.plans import store as saved
+
+    monkeypatch.setattr(saved, "FILES_IN_LINE", 1)
+    plan, feeds = city[1], str(tmp_path / "feeds")
+    store = Store(spark, str(tmp_path / "store"))
+    write_first(feeds)
+    write_second(feeds)
+    files = stream_feed_files(spark, feeds)
+    run_increment(store, files, plan, str(tmp_path / "one"), max_unresolved=0.5).awaitTermination()
+    log = store.read("run_log")
+    assert log.count() > 1
+    assert log.agg(F.sum("file_count")).first()[0] == 6
+    assert log.select(F.explode("source_files")).distinct().count() == 6
+    assert log.select("run_id").distinct().count() == 1
