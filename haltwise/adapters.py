@@ -167,23 +167,45 @@ def journeys(spark, sf_dir) -> DataFrame:
 DEDUPE_ORDER = ["l_suppkey", "l_partkey", "l_extendedprice"]
 
 
-def raw_calls(spark, sf_dir, lines: DataFrame | None = None) -> DataFrame:
-    """Staged calls, one per order line, duplicates of (journey, sequence) included."""
+def raw_calls(
+    spark,
+    sf_dir,
+    lines: DataFrame | None = None,
+    by_journey: bool = False,
+    known: DataFrame | None = None,
+) -> DataFrame:
+    """Staged calls, one per order line, duplicates of (journey, sequence) included.
+
+    `by_journey` deals and sorts the lines by trip while they are narrow, so that windows and
+    joins by journey need not move or sort the wide calls; it wants lines without copies. `known`
+    (trip_id, DVJId) names the journeys of trips, else the trip does.
+    """
     if lines is None:
         lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("_trip"), "o_orderkey", "o_orderdate"
+    )
     s = stops(spark, sf_dir)
+    placed = lines.withColumn("_trip", F.col("l_orderkey").cast("string")).join(
+        s, F.col("l_suppkey") == s.s_suppkey
+    )
+    if by_journey:
+        placed = placed.repartition("_trip")
+    timed = placed.join(orders, "_trip")
+    if known is not None:
+        gids = known.select(F.col("trip_id").alias("_trip"), F.col("DVJId").alias("_gid"))
+        timed = timed.join(gids, "_trip", "left")
+    if by_journey:
+        timed = timed.sortWithinPartitions("_trip", "l_linenumber")
     base = (
-        lines.withColumnRenamed("l_orderkey", "o_orderkey")
-        .join(orders, "o_orderkey")
-        .join(s, F.col("l_suppkey") == s.s_suppkey)
-        .select(
+        timed.select(
             *DEDUPE_ORDER,
+            "_trip",
             "stop_id",
             "stop_name",
             F.col("stop_lat").cast("float").alias("Coord_Latitude"),
             F.col("stop_lon").cast("float").alias("Coord_Longitude"),
-            F.col("o_orderkey").cast("string").alias("DVJId"),
+            F.col("_trip" if known is None else "_gid").alias("DVJId"),
             F.to_date("o_orderdate").alias("OperatingDate"),
             F.expr("cast(nullif(o_orderkey % 3, 2) as int)").alias("DirectionNumber"),
             F.col("l_linenumber").alias("SequenceNumber"),
@@ -209,10 +231,10 @@ def raw_calls(spark, sf_dir, lines: DataFrame | None = None) -> DataFrame:
             "OperatingWeekDay": t.weekday_col("OperatingDate"),
             "StopAreaNumber": F.col("stop_id"),
             "StopName": F.col("stop_name"),
-            "JourneyNumber": F.col("DVJId"),
-            "JourneyGid": F.col("DVJId"),
-            "ReinforcedDVJId": F.col("DVJId"),
-            "UsesJourneyPatternId": t.pattern_id_col("DVJId"),
+            "JourneyNumber": F.col("_trip"),
+            "JourneyGid": F.col("_trip"),
+            "ReinforcedDVJId": F.col("_trip"),
+            "UsesJourneyPatternId": t.pattern_id_col("_trip"),
             "ObservedArrivalDateTime": arr,
             "ObservedDepartureDateTime": dep,
             "TargetArrivalDateTime": arr,
@@ -238,13 +260,14 @@ def raw_calls(spark, sf_dir, lines: DataFrame | None = None) -> DataFrame:
         }
     )
     keep = conform(full, struct(STAGED_CALL))
-    return full.select(*DEDUPE_ORDER, *[c for c in keep.columns if c in full.columns])
+    return full.select("_trip", *DEDUPE_ORDER, *[c for c in keep.columns if c in full.columns])
 
 
-def calls(spark, sf_dir) -> DataFrame:
-    """Staged calls, unique by journey and sequence number.
+def calls(spark, sf_dir, known: DataFrame | None = None) -> DataFrame:
+    """Staged calls, unique by journey and sequence number, dealt by journey.
 
-    The order lines are made unique first, while they are narrow.
+    The order lines are made unique first, while they are narrow. Every trip here is a journey of
+    its own, so the trip is the name of the journey (`_journey`) by which windows go.
     """
     lines = latest_by_key(
         table(spark, sf_dir, "lineitem").select(
@@ -253,7 +276,9 @@ def calls(spark, sf_dir) -> DataFrame:
         ["l_orderkey", "l_linenumber"],
         DEDUPE_ORDER,
     )
-    return conform(raw_calls(spark, sf_dir, lines), struct(STAGED_CALL))
+    staged = raw_calls(spark, sf_dir, lines, by_journey=True, known=known)
+    want = struct(f"{STAGED_CALL}, _journey string")
+    return conform(staged.withColumnRenamed("_trip", "_journey"), want)
 
 
 def positions(spark, sf_dir) -> DataFrame:

@@ -37,11 +37,21 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, digits) for n in names})
 
 
-def new_store(spark: SparkSession):
+ROWS_IN_BUCKET = 2_000_000
+
+
+def new_store(spark: SparkSession, rows: int = 0):
+    """A store of whole years, with buckets for tables of so many rows to be read in tasks."""
     from haltwise.plans.store import Store
     from haltwise.session import fresh_dir
 
-    return Store(spark, fresh_dir(a.settle(spark), "store"), "year", buckets=8)
+    buckets = max(8, -(-rows // ROWS_IN_BUCKET))
+    return Store(spark, fresh_dir(a.settle(spark), "store"), "year", buckets=buckets)
+
+
+def n_rows(spark, sf, name: str) -> int:
+    """Rows of a test table; the footers of its files tell."""
+    return a.table(spark, sf, name).count()
 
 
 # --- base tables -----------------------------------------------------------
@@ -161,8 +171,7 @@ def call_cancelled(spark, sf):
 def unresolved_calls(spark, sf):
     """Calls whose trip is looked up in the trip mapping, which lacks some trips."""
     known = enrich.dated_journey_ids(a.mapping(spark, sf))
-    staged = a.calls(spark, sf).withColumnRenamed("DVJId", "trip_id")
-    return staged.join(known, "trip_id", "left").drop("trip_id")
+    return a.calls(spark, sf, known)
 
 
 _GID = "'9015012' || lpad(DVJId, 9, '0')"
@@ -181,7 +190,7 @@ _GID = "'9015012' || lpad(DVJId, 9, '0')"
 )
 def call_extra(spark, sf):
     """The saved table, read back with the names of its journeys."""
-    store = new_store(spark)
+    store = new_store(spark, n_rows(spark, sf, "lineitem"))
     table = "journey_call_on_extra_journey"
     built = c.call_extra(unresolved_calls(spark, sf), dated=True)
     store.replace_dates(store.with_lineage(built), table)
@@ -232,8 +241,8 @@ def _call_view(name: str, ext_sql: str, build, **extra) -> None:
 
     @query(name, sql)
     def run(spark, sf):
-        # base and extension are built from one saved copy of the calls
-        staged = new_store(spark).saved_once(a.calls(spark, sf), "calls")
+        # both sides are dealt by journey while they are narrow, so they meet without moving again
+        staged = a.calls(spark, sf)
         base = c.journey_call(staged, splits=c.call_splits(staged))
         return view(name, base, build(staged, spark, sf))
 
@@ -270,8 +279,8 @@ _call_view("v_journey_call_missing_passage",
 )
 def v_call_extra(spark, sf):
     """The view over saved tables."""
-    store = new_store(spark)
-    staged = store.saved_once(unresolved_calls(spark, sf), "calls")
+    store = new_store(spark, n_rows(spark, sf, "lineitem"))
+    staged = unresolved_calls(spark, sf)
     built = {
         "journey_call": c.journey_call(staged, splits=c.call_splits(staged)),
         "journey_call_on_extra_journey": c.call_extra(staged, dated=True),
@@ -436,7 +445,9 @@ def _saved_path_view(name, columns, build, digits=()):
 
     @query(f"saved_{name}", f"SELECT {shown} FROM ({ORACLES[name]})")
     def run(spark, sf):
-        store = new_store(spark)
+        # a planned path has up to ten points for every order
+        n = max(10 * n_rows(spark, sf, "orders"), n_rows(spark, sf, "events"))
+        store = new_store(spark, n)
         staged = journeys.unique_journeys(a.journeys(spark, sf))
         base, spec = journeys.journey(staged), schema.VIEWS[name]
         store.replace_dates(store.with_lineage(base), spec.base)
@@ -1047,10 +1058,7 @@ def stop_places(spark, sf):
 )
 def publish_table(spark, sf):
     """Delays saved, then half of them replaced by a later batch, and read back."""
-    from haltwise.plans.store import Store
-    from haltwise.session import fresh_dir
-
-    store = Store(spark, fresh_dir(a.settle(spark), "store"), "year", buckets=8)
+    store = new_store(spark, n_rows(spark, sf, "lineitem"))
     staged = a.calls(spark, sf)
     later = staged.filter("SequenceNumber % 2 = 0").withColumn(
         "ArrivalDelaySeconds", F.col("ArrivalDelaySeconds") + 60
@@ -1071,7 +1079,7 @@ def publish_table(spark, sf):
 )
 def saved_lineage(spark, sf):
     """Where saved rows came from, after half of them were replaced by a batch of two files."""
-    store = new_store(spark)
+    store = new_store(spark, n_rows(spark, sf, "lineitem"))
     staged = a.calls(spark, sf)
     for batch, files in ((staged, None), (staged.filter("SequenceNumber % 2 = 0"), ["late.pb", "later.pb"])):
         delays = c.call_delay(batch, dated=True)
@@ -1231,7 +1239,7 @@ def quality_report(spark, sf):
     """All checks over a saved pair of base tables, by the job, and read back."""
     from haltwise.plans.jobs import validate
 
-    store = new_store(spark)
+    store = new_store(spark, n_rows(spark, sf, "lineitem"))
     store.replace_dates(store.with_lineage(c.journey_call(a.calls(spark, sf))), "journey_call")
     store.replace_dates(
         store.with_lineage(journeys.journey(a.journeys(spark, sf))), "journey"
@@ -1252,7 +1260,7 @@ def quality_report(spark, sf):
 def pipeline_tables(spark, sf):
     """Start delays saved from two runs; late starts of the dates of the second no longer come up
     there, so they are gone, while those of other dates stay."""
-    store = new_store(spark)
+    store = new_store(spark, n_rows(spark, sf, "lineitem"))
     staged = store.saved_once(a.calls(spark, sf), "calls")
     table = "journey_start_delay"
     store.replace_dates(store.with_lineage(journeys.start_delay(staged, dated=True)), table)

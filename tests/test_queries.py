@@ -84,3 +84,17 @@ def test_scans_read_only_what_is_needed(spark, capsys):
     lineitem = next(x for x in lines if "l_orderkey" in x)
     assert "l_extendedprice" in lineitem and "l_discount" not in lineitem and "l_tax" not in lineitem
     assert "BatchEvalPython" not in plan
+
+
+@pytest.mark.parametrize("name", sorted(n for n in PLANNED if n.startswith("v_journey_call_")))
+def test_call_views_do_not_move_wide_rows(spark, capsys, name):
+    """Calls are dealt by journey while narrow; the window and the join need no exchange of their own."""
+    plan = plan_of(QUERIES[name](spark, SF), capsys)
+    dealt = [x.split("hashpartitioning(")[1] for x in plan.splitlines() if "Exchange hashpartitioning(" in x]
+    wide = [x for x in dealt if x.startswith("_journey#") or "SequenceNumber#" in x]
+    assert dealt and not wide
+
+
+def test_stores_have_buckets_for_their_rows(spark):
+    assert catalogue.new_store(spark).buckets == 8
+    assert catalogue.new_store(spark, 540_000_000).buckets == 270
