@@ -38,32 +38,52 @@ def _get(message, field):
     return getattr(message, field) if message.HasField(field) else None
 
 
-def _trip_update(entity) -> dict | None:
-    update = _get(entity, "trip_update")
-    if update is None:
-        return None
+_TRIP_FIELDS = ("trip_id", "route_id", "direction_id", "start_time", "start_date")
+_NO_EVENT = (None, None)
+
+
+def _event(stop, way) -> tuple:
+    """Delay and time of an arrival or departure."""
+    if not stop.HasField(way):
+        return _NO_EVENT
+    at = getattr(stop, way)
+    has = at.HasField
+    return at.delay if has("delay") else None, at.time if has("time") else None
+
+
+def _stop_update(stop) -> dict:
+    has = stop.HasField
+    arrival, departure = _event(stop, "arrival"), _event(stop, "departure")
     return {
-        **{
-            f: _get(update.trip, f)
-            for f in ("trip_id", "route_id", "direction_id", "start_time", "start_date")
-        },
-        "vehicle_id": _get(update.vehicle, "id"),
-        "vehicle_label": _get(update.vehicle, "label"),
-        "timestamp": _get(update, "timestamp"),
-        "stops": [
-            {
-                "stop_id": _get(s, "stop_id"),
-                "stop_sequence": _get(s, "stop_sequence"),
-                "arrival_delay": _get(s.arrival, "delay"),
-                "arrival_time": _get(s.arrival, "time"),
-                "departure_delay": _get(s.departure, "delay"),
-                "departure_time": _get(s.departure, "time"),
-            }
-            for s in update.stop_time_update
-        ],
+        "stop_id": stop.stop_id if has("stop_id") else None,
+        "stop_sequence": stop.stop_sequence if has("stop_sequence") else None,
+        "arrival_delay": arrival[0],
+        "arrival_time": arrival[1],
+        "departure_delay": departure[0],
+        "departure_time": departure[1],
     }
 
 
+def _trip_update(entity) -> dict | None:
+    # most rows of a feed come through here, so presence is asked for part by part, inline
+    if not entity.HasField("trip_update"):
+        return None
+    update = entity.trip_update
+    row = {"stops": [_stop_update(s) for s in update.stop_time_update]}
+    if update.HasField("timestamp"):
+        row["timestamp"] = update.timestamp
+    if update.HasField("trip"):
+        trip = update.trip
+        has = trip.HasField
+        for name in _TRIP_FIELDS:
+            if has(name):
+                row[name] = getattr(trip, name)
+    if update.HasField("vehicle"):
+        row["vehicle_id"] = _get(update.vehicle, "id")
+        row["vehicle_label"] = _get(update.vehicle, "label")
+    return row
+
+
 def _vehicle(entity) -> dict | None:
     seen = _get(entity, "vehicle")
     if seen is None:
@@ -145,17 +165,18 @@ def decode_all(files: DataFrame, kind: str) -> DataFrame:
         feed_class = feed_message_class()
         rows: list[dict] = []
         for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content")):
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
                 try:
                     feed = feed_class.FromString(content.as_py())
                 except DecodeError as e:
-                    rows.append({"path": path.as_py(), "error": str(e)})
+                    rows.append({"path": path, "error": str(e)})
                     continue
                 for place, entity in enumerate(feed.entity):
                     row = reader(entity)
                     if row is None:
                         continue
-                    rows.append({"path": path.as_py(), "entity": place, **row})
+                    row["path"], row["entity"] = path, place
+                    rows.append(row)
                     if len(rows) >= BATCH:
                         yield pa.RecordBatch.from_pylist(rows, schema)
                         rows = []

@@ -179,3 +179,20 @@ def test_each_file_is_parsed_once(spark, monkeypatch):
     assert feeds.entities_in(decoded).count() == 2
     assert [(r.path[-5:], bool(r.error)) for r in feeds.damaged_in(decoded).collect()] == [(".torn", True)]
     assert parsed.value == 2
+
+
+def test_encoded_columns_keep_what_is_absent(spark):
+    """Columns are taken as a whole; null numbers stay whole numbers or absent, not floats."""
+    from haltwise import feed_adapters as fa
+
+    sent = spark.createDataFrame(
+        [("a", None, 1, "20240110", None, "s", 1, None, None, 0, 5), ("b", "r", None, None, "bus", "s", 2, 7, 9, None, None)],
+        "trip_id string, route_id string, direction_id int, start_date string, vehicle string, stop_id string, "
+        "stop_sequence int, arrival_delay int, arrival_time bigint, departure_delay int, departure_time bigint",
+    ).coalesce(1)
+    assert fa._values(sent.toArrow().column("direction_id").combine_chunks()) == [1, None]
+    got = {r.trip_id: r for r in feeds.decode(fa.encode(sent, "TripUpdates"), "TripUpdates").collect()}
+    a, b = got["a"], got["b"]
+    assert (a.route_id, a.direction_id, a.vehicle_label) == (None, 1, None)
+    assert (b.route_id, b.direction_id, b.start_date, b.vehicle_label) == ("r", None, None, "bus")
+    assert tuple(a.stops[0]) == ("s", 1, None, None, 0, 5) and tuple(b.stops[0]) == ("s", 2, 7, 9, None, None)
