@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from haltwise.functions import transit as t
 from haltwise.operators.keyed import latest_by_key
 from haltwise.operators.ordered import find_splits, ordered
-from haltwise.schema import STAGED_CALL, STAGED_JOURNEY, conform, struct
+from haltwise.schema import OWNER, STAGED_CALL, STAGED_JOURNEY, conform, struct
 from haltwise.session import settle
 
 
@@ -173,12 +173,14 @@ def raw_calls(
     lines: DataFrame | None = None,
     by_journey: bool = False,
     known: DataFrame | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Staged calls, one per order line, duplicates of (journey, sequence) included.
 
     `by_journey` deals and sorts the lines by trip while they are narrow, so that windows and
-    joins by journey need not move or sort the wide calls; it wants lines without copies. `known`
-    (trip_id, DVJId) names the journeys of trips, else the trip does.
+    joins by journey need not move or sort the wide calls; it wants lines without copies. `buckets`
+    says into how many tasks, else Spark decides. `known` (trip_id, DVJId) names the journeys of
+    trips, else the trip does.
     """
     if lines is None:
         lines = table(spark, sf_dir, "lineitem")
@@ -190,7 +192,7 @@ def raw_calls(
         s, F.col("l_suppkey") == s.s_suppkey
     )
     if by_journey:
-        placed = placed.repartition("_trip")
+        placed = placed.repartition(*([buckets] if buckets else []), "_trip")
     timed = placed.join(orders, "_trip")
     if known is not None:
         gids = known.select(F.col("trip_id").alias("_trip"), F.col("DVJId").alias("_gid"))
@@ -263,11 +265,14 @@ def raw_calls(
     return full.select("_trip", *DEDUPE_ORDER, *[c for c in keep.columns if c in full.columns])
 
 
-def calls(spark, sf_dir, known: DataFrame | None = None) -> DataFrame:
+def calls(
+    spark, sf_dir, known: DataFrame | None = None, buckets: int | None = None
+) -> DataFrame:
     """Staged calls, unique by journey and sequence number, dealt by journey.
 
     The order lines are made unique first, while they are narrow. Every trip here is a journey of
-    its own, so the trip is the name of the journey (`_journey`) by which windows go.
+    its own, so the trip is the name of the journey (`_journey`) by which windows go. With the
+    `buckets` of a store they lie as its tables do, and are named as there.
     """
     lines = latest_by_key(
         table(spark, sf_dir, "lineitem").select(
@@ -276,9 +281,12 @@ def calls(spark, sf_dir, known: DataFrame | None = None) -> DataFrame:
         ["l_orderkey", "l_linenumber"],
         DEDUPE_ORDER,
     )
-    staged = raw_calls(spark, sf_dir, lines, by_journey=True, known=known)
-    want = struct(f"{STAGED_CALL}, _journey string")
-    return conform(staged.withColumnRenamed("_trip", "_journey"), want)
+    staged = raw_calls(spark, sf_dir, lines, by_journey=True, known=known, buckets=buckets)
+    staged = staged.withColumnRenamed("_trip", "_journey")
+    want = f"{STAGED_CALL}, _journey string"
+    if buckets and known is None:
+        staged, want = staged.withColumn(OWNER, F.col("_journey")), f"{want}, {OWNER} string"
+    return conform(staged, struct(want))
 
 
 def positions(spark, sf_dir) -> DataFrame:

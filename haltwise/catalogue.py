@@ -38,14 +38,15 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
 
 
 ROWS_IN_BUCKET = 2_000_000
+CALLS_IN_BUCKET = 500_000  # wide rows, which a task sorts by part
 
 
-def new_store(spark: SparkSession, rows: int = 0):
+def new_store(spark: SparkSession, rows: int = 0, in_bucket: int = ROWS_IN_BUCKET):
     """A store of whole years, with buckets for tables of so many rows to be read in tasks."""
     from haltwise.plans.store import Store
     from haltwise.session import fresh_dir
 
-    buckets = max(8, -(-rows // ROWS_IN_BUCKET))
+    buckets = max(8, -(-rows // in_bucket))
     return Store(spark, fresh_dir(a.settle(spark), "store"), "year", buckets=buckets)
 
 
@@ -1239,8 +1240,9 @@ def quality_report(spark, sf):
     """All checks over a saved pair of base tables, by the job, and read back."""
     from haltwise.plans.jobs import validate
 
-    store = new_store(spark, n_rows(spark, sf, "lineitem"))
-    store.replace_dates(store.with_lineage(c.journey_call(a.calls(spark, sf))), "journey_call")
+    store = new_store(spark, n_rows(spark, sf, "lineitem"), CALLS_IN_BUCKET)
+    calls = c.journey_call(a.calls(spark, sf, buckets=store.buckets), dated=True)
+    store.replace_dates(store.with_lineage(calls), "journey_call", dealt=True)
     store.replace_dates(
         store.with_lineage(journeys.journey(a.journeys(spark, sf))), "journey"
     )

@@ -79,7 +79,10 @@ def agency_columns(profile: AgencyProfile) -> dict[str, Column]:
 
 
 def journey_call(
-    calls: DataFrame, profile: AgencyProfile = AgencyProfile(), splits: Splits | None = None
+    calls: DataFrame,
+    profile: AgencyProfile = AgencyProfile(),
+    splits: Splits | None = None,
+    dated: bool = False,
 ) -> DataFrame:
     """Base call table: agency constants, and distance to the stops around."""
     around = ordered(
@@ -103,6 +106,7 @@ def journey_call(
             }
         ),
         "journey_call",
+        dated,
     )
 
 

@@ -217,23 +217,26 @@ class Store:
         versions = self._versions(table)
         root = hashlib.sha1(self.root.encode()).hexdigest()[:8]
         name = f"{table}_{root}_{versions[-1] if versions else 0}"
-        if self.spark.catalog.tableExists(name):
-            return self.spark.table(name).drop(PART, BUCKET)
+        if not self.spark.catalog.tableExists(name):
+            self._enter(name, table, self._manifest(table, versions) or {})
+        return self.spark.table(name).drop(PART, BUCKET)
+
+    def _enter(self, name: str, table: str, parts: dict[str, str]) -> None:
+        """Parts of a table as a bucketed table of the session's catalog."""
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema(table).fields)
         self.spark.sql(
             f"CREATE TABLE {name} ({columns}, `{PART}` string, `{BUCKET}` int) USING parquet "
             f"PARTITIONED BY (`{PART}`, `{BUCKET}`) CLUSTERED BY (`{self.bucket_column(table)}`) "
             f"INTO {self.buckets} BUCKETS LOCATION '{self.path(table)}/catalog'"
         )
-        parts = sorted((self._manifest(table, versions) or {}).items())
-        for i in range(0, len(parts), ADDED_AT_ONCE):
+        each = sorted(parts.items())
+        for i in range(0, len(each), ADDED_AT_ONCE):
             added = []
-            for part, folder in parts[i : i + ADDED_AT_ONCE]:
+            for part, folder in each[i : i + ADDED_AT_ONCE]:
                 date, bucket = part.split("/")
                 where = self._location(table, part, folder)
                 added.append(f"PARTITION (`{PART}`='{date}', `{BUCKET}`={bucket}) LOCATION '{where}'")
             self.spark.sql(f"ALTER TABLE {name} ADD {' '.join(added)}")
-        return self.spark.table(name).drop(PART, BUCKET)
 
     # --- writing -------------------------------------------------------------
 
@@ -245,12 +248,18 @@ class Store:
         return made
 
     def _save(
-        self, df: DataFrame, table: str, touched: set[str] | None, base: list[int] | None = None
+        self,
+        df: DataFrame,
+        table: str,
+        touched: set[str] | None,
+        base: list[int] | None = None,
+        dealt: bool = False,
     ) -> int:
         """Write under the registered schema and publish; returns the rows written.
 
         `touched` parts are replaced, all parts where it is None. `base` are the versions that
-        were there when the rows were read. AQE splits a big part over several tasks.
+        were there when the rows were read. AQE splits a big part over several tasks; with
+        `dealt` a bucket is a task instead, and rows that lie by bucket already do not move.
         """
         rows = s.conform(s.with_owner(df, self.schema(table)), self.schema(table))
         if not self.dated(table):
@@ -261,8 +270,9 @@ class Store:
         versions = self._versions(table) if base is None else base
         folder = f"data-{uuid.uuid4().hex}"
         written = f"{self.path(table)}/{folder}"
-        rows = rows.select("*", *self.place(table)).hint("rebalance", PART, BUCKET)
         own = self.bucket_column(table)
+        rows = rows.select("*", *self.place(table))
+        rows = rows.repartition(self.buckets, own) if dealt else rows.hint("rebalance", PART, BUCKET)
         # bucket files can only be written through the catalog; the name goes, the files stay
         name = f"written_{uuid.uuid4().hex}"
         (
@@ -292,12 +302,14 @@ class Store:
         table: str,
         dates: Sequence | None = None,
         parts: set[str] | None = None,
+        dealt: bool = False,
     ) -> int:
         """Make `df` all there is of `dates`, so that rows that no longer come up are gone. Rows of
         other dates stay, also where they share a part. Instead of dates, whole parts may be
-        named; without either, all of the table is replaced. Returns the rows of `df`."""
+        named; without either, all of the table is replaced. `dealt` says that journeys are small
+        and a bucket fits in a task. Returns the rows of `df`."""
         if dates is None:
-            return self._save(df, table, parts)
+            return self._save(df, table, parts, dealt=dealt)
         base = self._versions(table)
         touched = set(self._part_names(dates))
         days = [F.lit(d).cast("date") for d in dates]
@@ -305,9 +317,9 @@ class Store:
         if self.layout != "day" and base:
             rest = self._parts(table, touched).filter(~F.col(DATE).isin(days) | F.col(DATE).isNull())
         if rest is None:
-            return self._save(df, table, touched, base)
+            return self._save(df, table, touched, base, dealt)
         own = s.conform(s.with_owner(df, self.schema(table)), self.schema(table))
-        return self._save(rest.unionByName(own), table, touched, base) - rest.count()
+        return self._save(rest.unionByName(own), table, touched, base, dealt) - rest.count()
 
     def with_lineage(self, df: DataFrame, source_files: Sequence[str] | None = None) -> DataFrame:
         """Publish columns that say where and when rows came from."""
@@ -321,22 +333,45 @@ class Store:
             return s.TABLES[table].storage_keys
         return list(STAGED[table][1])
 
-    def upsert(self, df: DataFrame, table: str, *args, **options) -> int:
+    def upsert(
+        self, df: DataFrame, table: str, *args, dealt: bool = False, **options
+    ) -> int:
         """Insert or replace by key; see `upsert_held` for options and result.
 
         The batch is saved first, so that it is computed once and the merge reads a
-        fixed set of rows.
+        fixed set of rows. `dealt` says that journeys are small and a bucket of the batch and of
+        the table fits in a task: then the batch is saved in the table's buckets, and neither its
+        rows nor those of the table move again.
         """
-        return self.upsert_held(self.hold(df, table), table, *args, **options)
+        if not dealt:
+            return self.upsert_held(self.hold(df, table), table, *args, **options)
+        name, own = f"held_{uuid.uuid4().hex}", self.bucket_column(table)
+        (
+            self._shaped(df, table)
+            .repartition(self.buckets, own)
+            .write.bucketBy(self.buckets, own)
+            .option("path", self._batch(table))
+            .saveAsTable(name, format="parquet")
+        )
+        try:
+            return self.upsert_held(self.spark.table(name), table, *args, dealt=True, **options)
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")
 
     def hold(self, df: DataFrame, table: str) -> DataFrame:
         """A batch for a table, saved below the root and read back."""
+        return self.saved_once(self._shaped(df, table), table)
+
+    def _shaped(self, df: DataFrame, table: str) -> DataFrame:
         want = self.schema(table)
-        return self.saved_once(s.conform(s.with_owner(df, want), want), table)
+        return s.conform(s.with_owner(df, want), want)
+
+    def _batch(self, name: str) -> str:
+        return f"{self.root}/_batches/{name}-{uuid.uuid4().hex[:12]}"
 
     def saved_once(self, df: DataFrame, name: str) -> DataFrame:
         """A frame written to a new folder and read back, which also cuts its lineage."""
-        where = f"{self.root}/_batches/{name}-{uuid.uuid4().hex[:12]}"
+        where = self._batch(name)
         df.write.parquet(where)
         return self.spark.read.schema(df.schema).parquet(where)
 
@@ -346,6 +381,7 @@ class Store:
         table: str,
         newest_first: list | None = None,
         many_per_key: bool | None = None,
+        dealt: bool = False,
     ) -> int:
         """Insert or replace a saved batch by key; returns the rows brought in.
 
@@ -371,6 +407,9 @@ class Store:
         if not touched:
             return 0
         keyed = without_null_keys(held, keys)
+        own = self.bucket_column(table)
+        if dealt and own not in keys:
+            keys = [own, *keys]  # says no more than the journey does, but rows lie by it
         batch = keyed
         if not many_per_key:
             others = [c for c in held.columns if c not in keys]
@@ -378,11 +417,20 @@ class Store:
                 batch, keys, newest_first or [F.desc_nulls_last(c) for c in others]
             )
         if not base:
-            return self._save(batch, table, set(), base)
+            return self._save(batch, table, set(), base, dealt)
         brought = Observation()
         counted = batch.observe(brought, F.count(F.lit(1)).alias("rows"))
-        old = self._parts(table, touched)
-        self._save(merge_by_key(old, counted, keys, gone=keyed), table, touched, base)
+        if not dealt:
+            old = self._parts(table, touched)
+            self._save(merge_by_key(old, counted, keys, gone=keyed), table, touched, base)
+            return brought.get["rows"]
+        there, name = self._manifest(table, base) or {}, f"old_{uuid.uuid4().hex}"
+        self._enter(name, table, {p: f for p, f in there.items() if p in touched})
+        try:
+            old = self.spark.table(name).drop(PART, BUCKET)
+            self._save(merge_by_key(old, counted, keys, gone=keyed), table, touched, base, True)
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")
         return brought.get["rows"]
 
     def _keep_aside(self, rows: DataFrame, table: str, parts: set[str]) -> None:

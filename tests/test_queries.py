@@ -98,3 +98,29 @@ def test_call_views_do_not_move_wide_rows(spark, capsys, name):
 def test_stores_have_buckets_for_their_rows(spark):
     assert catalogue.new_store(spark).buckets == 8
     assert catalogue.new_store(spark, 540_000_000).buckets == 270
+
+
+@pytest.mark.parametrize("name", ["quality_report"])
+def test_saved_calls_do_not_move_again(spark, monkeypatch, name):
+    """Calls dealt by journey while narrow are saved, merged and saved again where they lie."""
+    from pyspark.sql import DataFrameWriter
+
+    plans, save = [], DataFrameWriter.saveAsTable
+
+    def watched(writer, *args, **options):
+        if "SequenceNumber" in writer._df.columns:
+            plans.append(writer._df._jdf.queryExecution().executedPlan().toString())
+        return save(writer, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        QUERIES[name](spark, SF)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plans
+    for plan in plans:
+        moved = [x.split("Exchange ")[1] for x in plan.splitlines() if "Exchange " in x]
+        assert not [x for x in moved if "rebalance" in x.lower() or "_part#" in x]
+        assert not [x for x in moved if "_owner#" in x or "_journey#" in x or "SequenceNumber#" in x]

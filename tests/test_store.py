@@ -184,3 +184,20 @@ def test_run_log(spark, tmp_path):
     log = {r["run_id"]: r for r in store.read("run_log").collect()}
     assert log["r1"]["table_row_counts"] == {"parsed_call": 3} and log["r1"]["file_count"] == 1
     assert log["r2"]["status"] == "failed" and log["r2"]["error_message"] == "boom"
+
+
+def test_buckets_as_tasks_give_the_same_table(spark, tmp_path, rows):
+    """Batches that are saved in the table's buckets: same rows, counts and rows kept aside."""
+    first = [(f"j{k % 40}", k % 5, (D1, D2)[k % 2], k) for k in range(400)] + [(None, 1, D1, 8)]
+    second = [(f"j{k}", 1, D1, -k) for k in range(0, 60, 3)] + [("j0", 1, D1, -99)]
+    table, seen = "journey_call_delay", []
+    for dealt in (False, True):
+        store = Store(spark, str(tmp_path / str(dealt)), "year", buckets=4)
+        counts = [store.upsert(delays(spark, x), table, dealt=dealt) for x in (first, second, second)]
+        kept = rows(store.read(table), "DVJId", "SequenceNumber", "ArrivalDelaySeconds")
+        aside = rows(store.read(table + UNKEYED), "DVJId", "ArrivalDelaySeconds")
+        again = store.replace_dates(delays(spark, second), table, [D1], dealt=dealt)
+        left = rows(store.read(table), "DVJId", "SequenceNumber", "ArrivalDelaySeconds")
+        seen.append((counts, kept, aside, again, left, set(store.manifest(table))))
+    assert seen[0] == seen[1]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("held_", "old_"))]
