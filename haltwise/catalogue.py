@@ -1059,13 +1059,14 @@ def stop_places(spark, sf):
 )
 def publish_table(spark, sf):
     """Delays saved, then half of them replaced by a later batch, and read back."""
-    store = new_store(spark, n_rows(spark, sf, "lineitem"))
-    staged = a.calls(spark, sf)
+    store = new_store(spark, n_rows(spark, sf, "lineitem"), CALLS_IN_BUCKET)
+    staged = a.calls(spark, sf, buckets=store.buckets)
     later = staged.filter("SequenceNumber % 2 = 0").withColumn(
         "ArrivalDelaySeconds", F.col("ArrivalDelaySeconds") + 60
     )
     for batch in (staged, later):
-        store.upsert(store.with_lineage(c.call_delay(batch, dated=True)), "journey_call_delay")
+        delays = store.with_lineage(c.call_delay(batch, dated=True))
+        store.upsert(delays, "journey_call_delay", dealt=True)
     return store.read("journey_call_delay")
 
 
