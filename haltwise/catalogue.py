@@ -1081,11 +1081,11 @@ def publish_table(spark, sf):
 )
 def saved_lineage(spark, sf):
     """Where saved rows came from, after half of them were replaced by a batch of two files."""
-    store = new_store(spark, n_rows(spark, sf, "lineitem"))
-    staged = a.calls(spark, sf)
+    store = new_store(spark, n_rows(spark, sf, "lineitem"), CALLS_IN_BUCKET)
+    staged = a.calls(spark, sf, buckets=store.buckets)
     for batch, files in ((staged, None), (staged.filter("SequenceNumber % 2 = 0"), ["late.pb", "later.pb"])):
         delays = c.call_delay(batch, dated=True)
-        store.upsert(store.with_lineage(delays, files), "journey_call_delay")
+        store.upsert(store.with_lineage(delays, files), "journey_call_delay", dealt=True)
     return store.read("journey_call_delay", with_lineage=True).select(
         "DVJId", "SequenceNumber", "SourceFiles", F.col("ProcessedTimestamp").isNotNull().alias("stamped")
     )

@@ -100,7 +100,7 @@ def test_stores_have_buckets_for_their_rows(spark):
     assert catalogue.new_store(spark, 540_000_000).buckets == 270
 
 
-@pytest.mark.parametrize("name", ["quality_report", "publish_table"])
+@pytest.mark.parametrize("name", ["quality_report", "publish_table", "saved_lineage"])
 def test_saved_calls_do_not_move_again(spark, monkeypatch, name):
     """Calls dealt by journey while narrow are saved, merged and saved again where they lie."""
     from pyspark.sql import DataFrameWriter
