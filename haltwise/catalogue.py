@@ -361,7 +361,8 @@ _ON_JOURNEY_DATE = "SELECT e.* REPLACE (j.OperatingDate AS \"OperatingDate\") FR
     "JOIN journeys j ON j.DVJId = e.DVJId"
 
 
-def _path_view(name, needs, ext_sql, ext_cols, build, **extra):
+def _path_view(name, needs, ext_sql, ext_cols, build, joined=None, **extra):
+    """`joined` gives the rows of the base with their extension, instead of a join by journey."""
     picked = ", ".join(f'e."{x}"' for x in ext_cols)
     sql = o.with_relations(
         ["journeys", *needs],
@@ -373,8 +374,10 @@ def _path_view(name, needs, ext_sql, ext_cols, build, **extra):
     @query(name, sql)
     def run(spark, sf):
         staged = journeys.unique_journeys(a.journeys(spark, sf))
-        ext = build(staged, spark, sf)
         base = journeys.journey(staged)
+        if joined is not None:
+            return joined(base, spark, sf).select(*base.columns, *ext_cols)
+        ext = build(staged, spark, sf)
         return base.join(ext, ["DVJId", "OperatingDate"], "left").select(*base.columns, *ext_cols)
 
 
@@ -410,8 +413,7 @@ _path_view("v_journey_observed_path_extended", ["positions"],
            _ON_JOURNEY_DATE.format(o.EXTENDED_SELECT), ["RelativePositionOffsetMeters"],
            _extended_for_view, steps=o.OBSERVED_STEPS)
 
-_PLANNED_COLS = ["shape_pt_sequence", "EndOfLinkSequenceNumber", "Latitude", "Longitude",
-                 "NextLatitude", "NextLongitude", "OnLinkOffsetMeters"]
+_PLANNED_COLS = paths.PLANNED_COLUMNS
 
 
 @query(
@@ -432,9 +434,9 @@ def planned_path(spark, sf):
 
 _path_view(
     "v_journey_planned_path", ["trips", "shapes", "stop_times"], o.PLANNED_SELECT,
-    _PLANNED_COLS,
+    _PLANNED_COLS, None,
     lambda x, s, f: rounded(
-        paths.planned_path_values(x, a.shapes(s, f), a.trips(s, f), a.stop_times(s, f)),
+        paths.with_planned_path(x, a.shapes(s, f), a.trips(s, f), a.stop_times(s, f)),
         1, "OnLinkOffsetMeters"),
     **o.PLANNED,
 )

@@ -131,27 +131,29 @@ def ordered(
     first, last = first or {}, last or {}
     following, preceding = following or {}, preceding or {}
 
-    def local(w) -> dict[str, Column]:
+    def local(*parts: str) -> dict[str, Column]:
+        w = Window.partitionBy(*parts).orderBy(*order)
         so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        onward = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+        # a frame that only grows is read once; one to the end of the key would be for each row
+        backward = Window.partitionBy(*parts).orderBy(*(F.desc(c) for c in order))
+        onward = backward.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         cols = {n: F.lag(c).over(w) for n, c in lag.items()}
         cols |= {n: F.lead(c).over(w) for n, c in lead.items()}
         cols |= {n: F.sum(c).over(so_far) for n, c in running.items()}
         cols |= {n: F.first(c, ignorenulls=True).over(whole) for n, c in first.items()}
         cols |= {n: F.last(c, ignorenulls=True).over(whole) for n, c in last.items()}
-        cols |= {n: F.first(c, ignorenulls=True).over(onward) for n, c in following.items()}
+        cols |= {n: F.last(c, ignorenulls=True).over(onward) for n, c in following.items()}
         cols |= {n: F.last(c, ignorenulls=True).over(so_far) for n, c in preceding.items()}
         if number:
             cols[number] = F.row_number().over(w)
         return cols
 
     if splits is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.select("*", *(c.alias(n) for n, c in local(w).items()))
+        return df.select("*", *(c.alias(n) for n, c in local(*keys).items()))
 
     w = Window.partitionBy(*keys, RANGE).orderBy(*order)
-    columns = local(w)
+    columns = local(*keys, RANGE)
     rows = cut(df, splits, order[0]).select(
         "*",
         *(c.alias(n) for n, c in columns.items()),

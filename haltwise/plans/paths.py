@@ -17,6 +17,9 @@ from haltwise.operators.ordered import (
 )
 from haltwise.schema import OWNER, TRIP_OWNER, conform, owner_col, publish, struct
 
+PLANNED_COLUMNS = ["shape_pt_sequence", "EndOfLinkSequenceNumber", "Latitude", "Longitude",
+                   "NextLatitude", "NextLongitude", "OnLinkOffsetMeters"]
+
 # Position columns that decide the order of reports of one journey. Rows equal in
 # all of them are interchangeable.
 POSITION_ORDER = ["timestamp", "latitude", "longitude", "speed", "bearing", "vehicle_id"]
@@ -243,6 +246,41 @@ def planned_path_values(
         "OperatingDate",
         trip_of_journey(journeys, "TripId", "JourneyGid").alias("trip_id"),
     ).filter("trip_id IS NOT NULL")
+    lines = trip_lines(run_by, shapes, trips, stop_times, limit)
+    return run_by.join(lines, "trip_id").select("DVJId", "OperatingDate", *PLANNED_COLUMNS)
+
+
+def with_planned_path(
+    base: DataFrame,
+    shapes: DataFrame,
+    trips: DataFrame,
+    stop_times: DataFrame | None = None,
+    limit: int = GROUP_ROWS,
+) -> DataFrame:
+    """Rows of the journey table, unique by journey and date, each with the points of its
+    planned path, or once without.
+
+    The same as a left join to `planned_path_values` by journey and date; but journeys meet the
+    lines of their trips at once, so the points, which are many, do not move again.
+    """
+    trip = F.when(
+        F.col("DVJId").isNotNull() & F.col("OperatingDate").isNotNull(),
+        trip_of_journey(base, "TripId", "JourneyGid"),
+    )
+    run_by = base.withColumn("trip_id", trip)
+    runs = run_by.select("trip_id").filter("trip_id IS NOT NULL")
+    lines = trip_lines(runs, shapes, trips, stop_times, limit)
+    return run_by.join(lines, "trip_id", "left").select(*base.columns, *PLANNED_COLUMNS)
+
+
+def trip_lines(
+    run_by: DataFrame,
+    shapes: DataFrame,
+    trips: DataFrame,
+    stop_times: DataFrame | None = None,
+    limit: int = GROUP_ROWS,
+) -> DataFrame:
+    """Shape points with offset and next stop of every trip that `run_by` names (trip_id)."""
     trip_shape = latest_by_key(
         trips.select("trip_id", "shape_id").filter("shape_id IS NOT NULL"),
         ["trip_id"],
@@ -257,9 +295,8 @@ def planned_path_values(
             find_splits(stop_times, ["trip_id"], "stop_sequence", limit, unique=True) is None
         )
         lines = next_stop(lines, stop_times, limit, bounded=splits is None and few_stops)
-    return run_by.join(lines, "trip_id").select(
-        "DVJId",
-        "OperatingDate",
+    return lines.select(
+        "trip_id",
         "shape_pt_sequence",
         F.col("next_stop_sequence").alias("EndOfLinkSequenceNumber"),
         F.col("shape_pt_lat").alias("Latitude"),

@@ -100,6 +100,19 @@ def test_stores_have_buckets_for_their_rows(spark):
     assert catalogue.new_store(spark, 540_000_000).buckets == 270
 
 
+def test_points_of_planned_paths_move_once(spark, capsys):
+    """Journeys meet the lines of their trips, and no line is read to its end for each point."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(QUERIES["v_journey_planned_path"](spark, SF), capsys)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin [trip_id#" in plan
+    assert "SortMergeJoin [DVJId#" not in plan
+    assert "unboundedfollowing" not in plan
+
+
 @pytest.mark.parametrize("name", ["quality_report", "publish_table", "saved_lineage"])
 def test_saved_calls_do_not_move_again(spark, monkeypatch, name):
     """Calls dealt by journey while narrow are saved, merged and saved again where they lie."""

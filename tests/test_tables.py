@@ -262,3 +262,29 @@ def test_empty_inputs_give_typed_empty_tables(spark):
         if name != "journey_call_on_extra_journey":
             assert df.schema.simpleString() == TABLES[name].schema.simpleString(), name
     assert built["journey_call"].count() == 0 and built["stop_point_large_offset"].count() == 0
+
+
+def test_rows_with_planned_path_are_those_of_the_join(spark, rows):
+    from haltwise.plans import paths
+
+    base = spark.createDataFrame(
+        [("a", "2024-01-10", "t1"), ("a", "2024-01-11", "t1"), ("b", "2024-01-10", "t2"),
+         (None, "2024-01-10", "t1"), ("c", None, "t1"), ("d", "2024-01-10", None)],
+        "DVJId string, day string, JourneyGid string",
+    ).selectExpr("DVJId", "date(day) AS OperatingDate", "JourneyGid")
+    shapes = spark.createDataFrame(
+        [("s", 55.0 + k / 100, 13.0, k, None) for k in range(4)],
+        "shape_id string, shape_pt_lat double, shape_pt_lon double, shape_pt_sequence int, "
+        "shape_dist_traveled double",
+    )
+    trips = spark.createDataFrame([("t1", "s"), ("t3", "s")], "trip_id string, shape_id string")
+    stop_times = spark.createDataFrame(
+        [("t1", 1, 0.0), ("t1", 2, 2000.0), ("t1", 3, 3000.0)],
+        "trip_id string, stop_sequence int, shape_dist_traveled double",
+    )
+    values = paths.planned_path_values(base, shapes, trips, stop_times)
+    want = base.join(values, ["DVJId", "OperatingDate"], "left").select(*base.columns, *paths.PLANNED_COLUMNS)
+    for limit in (1 << 20, 2):
+        got = paths.with_planned_path(base, shapes, trips, stop_times, limit)
+        assert rows(got) == rows(want)
+    assert got.count() == 12
