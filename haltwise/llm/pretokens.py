@@ -196,19 +196,14 @@ class WordEncoder:
 
     def count(self, text: str) -> int:
         """Ids of a text."""
-        if any(s in text for s in self.special):
-            return len(self.encoding.encode(text, allowed_special="all"))
-        return len(self.encoding.encode_ordinary(text))
+        return len(self.encoding.encode_to_numpy(text, allowed_special="all"))
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and ids per text; special strings have their own ids."""
         out = [np.empty(0, dtype=np.uint32)]
         for t in texts:
-            if any(s in t for s in self.special):
-                ids = self.encoding.encode(t, allowed_special="all")
-            else:
-                ids = self.encoding.encode_ordinary(t)
-            out.append(np.array(ids, dtype=np.uint32))
+            # an array at once, without a list of numbers
+            out.append(self.encoding.encode_to_numpy(t, allowed_special="all"))
         return np.concatenate(out), np.array([len(x) for x in out[1:]], dtype=np.int64)
 
 

@@ -66,3 +66,17 @@ def test_the_same_key_gives_the_same_files(spark, documents):
 
 def test_empty_table(no_documents):
     assert shuffle_files.materialise(no_documents, PATH).count() == 0
+
+
+def test_texts_are_encoded_without_lists(monkeypatch):
+    words = encoder(PATH)
+    texts = ["", "it's  so\n\n x", "a<|endoftext|>b <|endoftext|>", "😀 á"]
+    want = [words.encoding.encode(t, allowed_special="all") for t in texts]
+
+    class Arrays:
+        encode_to_numpy = words.encoding.encode_to_numpy
+
+    monkeypatch.setattr(words, "encoding", Arrays())
+    ids, sizes = words.texts(texts)
+    assert ids.tolist() == sum(want, []) and ids.dtype == np.uint32
+    assert sizes.tolist() == [words.count(t) for t in texts] == [len(w) for w in want]
