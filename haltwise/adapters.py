@@ -191,12 +191,14 @@ def raw_calls(
     placed = lines.withColumn("_trip", F.col("l_orderkey").cast("string")).join(
         s, F.col("l_suppkey") == s.s_suppkey
     )
-    if by_journey:
-        placed = placed.repartition(*([buckets] if buckets else []), "_trip")
+    if by_journey and not buckets:
+        placed = placed.repartition("_trip")
     timed = placed.join(orders, "_trip")
     if known is not None:
         gids = known.select(F.col("trip_id").alias("_trip"), F.col("DVJId").alias("_gid"))
         timed = timed.join(gids, "_trip", "left")
+    if buckets:  # after the joins, which would deal anew what lies in few tasks
+        timed = timed.repartition(buckets, "_trip")
     if by_journey:
         timed = timed.sortWithinPartitions("_trip", "l_linenumber")
     base = (

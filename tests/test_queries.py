@@ -126,12 +126,16 @@ def test_saved_calls_do_not_move_again(spark, monkeypatch, name):
         return save(writer, *args, **options)
 
     monkeypatch.setattr(DataFrameWriter, "saveAsTable", watched)
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    # joins that shuffle, and into more tasks than the store has buckets
+    other = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "12"}
+    before = {k: spark.conf.get(k) for k in other}
     try:
+        for k, v in other.items():
+            spark.conf.set(k, v)
         QUERIES[name](spark, SF)
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     assert plans
     for plan in plans:
         moved = [x.split("Exchange ")[1] for x in plan.splitlines() if "Exchange " in x]
