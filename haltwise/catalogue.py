@@ -39,6 +39,7 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
 
 ROWS_IN_BUCKET = 2_000_000
 CALLS_IN_BUCKET = 500_000  # wide rows, which a task sorts by part
+STAGED_IN_BUCKET = 200_000  # wider rows, of which a task sorts out the newest per key
 
 
 def new_store(spark: SparkSession, rows: int = 0, in_bucket: int = ROWS_IN_BUCKET):
@@ -931,19 +932,19 @@ def stream_increment(spark, sf):
     """Feed files arrive as a stream, are staged set by set, and read back."""
     from haltwise import feed_adapters as fa
     from haltwise.plans.jobs import Schedule
-    from haltwise.plans.store import Store
+    from haltwise.plans.store import CODEC
     from haltwise.session import fresh_dir
     from haltwise.streaming.increment import run_increment
 
     arriving = fresh_dir(a.settle(spark), "arriving")
-    fa.order_feeds(spark, sf).write.parquet(arriving)
+    fa.order_feeds(spark, sf).write.option("compression", CODEC).parquet(arriving)
     plan = Schedule(
         a.stops(spark, sf), a.routes(spark, sf), a.trips(spark, sf), a.stop_times(spark, sf),
         a.shapes(spark, sf), a.mapping(spark, sf),
     )
-    store = Store(spark, fresh_dir(spark, "store"), "year", buckets=8)
+    store = new_store(spark, n_rows(spark, sf, "orders"), STAGED_IN_BUCKET)
     files = spark.readStream.schema(fa.FILES).parquet(arriving)
-    run_increment(store, files, plan, fresh_dir(spark, "progress")).awaitTermination()
+    run_increment(store, files, plan, fresh_dir(spark, "progress"), dealt=True).awaitTermination()
     return store.read("parsed_call").select(
         "JourneyNumber", "OperatingDate", "ArrivalDelaySeconds", "VehicleNumber"
     )

@@ -85,10 +85,18 @@ def _values(column: pa.Array) -> list:
     return column.to_pandas(integer_object_nulls=True).tolist()
 
 
-def encode(rows: DataFrame, kind: str, entities: int = ENTITIES) -> DataFrame:
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt to all tasks: the test tables are single files, and encoding is the costly part."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+
+
+def encode(
+    rows: DataFrame, kind: str, entities: int = ENTITIES, spread_out: bool = False
+) -> DataFrame:
     """(path, content) of feeds that together hold one entity per row.
 
-    Rows may bring their own `path`; feeds are then one per row.
+    Rows may bring their own `path`; feeds are then one per row. `spread_out` says that the rows
+    were dealt to all tasks before.
     """
     field, put, names = PUT[kind]
     names = names.split()
@@ -118,9 +126,7 @@ def encode(rows: DataFrame, kind: str, entities: int = ENTITIES) -> DataFrame:
                 [pa.array(paths, pa.string()), pa.array(contents, pa.binary())], schema=_FILES
             )
 
-    # the test tables are single files; encoding is the costly part, so spread it
-    tasks = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(tasks).mapInArrow(feeds, FILES)
+    return (rows if spread_out else spread(rows)).mapInArrow(feeds, FILES)
 
 
 def update_rows(spark, sf_dir) -> DataFrame:
@@ -146,7 +152,9 @@ def vehicle_rows(spark, sf_dir) -> DataFrame:
 
 def order_feeds(spark, sf_dir) -> DataFrame:
     """Three feeds per order: its only stop, an empty position feed, and its alert."""
-    orders = a.table(spark, sf_dir, "orders").selectExpr(
+    # dealt while there are three numbers to a row
+    narrow = a.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = spread(narrow).selectExpr(
         "cast(o_orderkey as string) AS trip_id",
         "cast(null as string) AS route_id",
         "cast(nullif(o_orderkey % 3, 2) as int) AS direction_id",
@@ -169,7 +177,7 @@ def order_feeds(spark, sf_dir) -> DataFrame:
         rows = orders.withColumn("path", F.concat("head", F.lit(f"-{kind}.pb")))
         if kind == "VehiclePositions":
             rows = rows.withColumn("trip_id", F.lit(None).cast("string"))
-        return encode(rows, kind)
+        return encode(rows, kind, spread_out=True)
 
     return of("TripUpdates").unionByName(of("VehiclePositions")).unionByName(of("ServiceAlerts"))
 

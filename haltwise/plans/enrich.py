@@ -87,13 +87,16 @@ def trip_dimension(
     )
 
 
-def fill_from_positions(journeys: DataFrame, positions: DataFrame) -> DataFrame:
+def fill_from_positions(
+    journeys: DataFrame, positions: DataFrame, tasks: int | None = None
+) -> DataFrame:
     """Fill a journey's missing place and vehicle from its vehicle's report.
 
     Matched on feed time and trip, so a later feed never changes an earlier
     journey; the last report of a trip in a feed counts. Positions carry
     `_source_timestamp`, `trip_id`, `_entity` (place in the feed), `vehicle_id`,
-    `vehicle_label` and `latitude`/`longitude`.
+    `vehicle_label` and `latitude`/`longitude`. Journeys that lie by trip in so many `tasks` do not
+    move.
     """
     newest = latest_by_key(
         positions.filter(F.col("trip_id").isNotNull()).select(
@@ -108,6 +111,8 @@ def fill_from_positions(journeys: DataFrame, positions: DataFrame) -> DataFrame:
         ["_source_timestamp", "JourneyNumber"],
         [F.desc("_entity"), "_lat", "_lon", "_label", "_vehicle"],
     ).drop("_entity")
+    if tasks:
+        newest = newest.repartition(tasks, "JourneyNumber")
     fills = {
         "Coord_Latitude": "_lat",
         "Coord_Longitude": "_lon",
@@ -121,8 +126,11 @@ def fill_from_positions(journeys: DataFrame, positions: DataFrame) -> DataFrame:
     )
 
 
-def flag_cancelled(journeys: DataFrame, alerts: DataFrame) -> DataFrame:
-    """Set `_is_cancelled` where an alert of the same feed says no service (effect 1)."""
+def flag_cancelled(
+    journeys: DataFrame, alerts: DataFrame, tasks: int | None = None
+) -> DataFrame:
+    """Set `_is_cancelled` where an alert of the same feed says no service (effect 1). Journeys
+    that lie by trip in so many `tasks` do not move."""
     gone = (
         alerts.filter("effect = 1 AND trip_id IS NOT NULL")
         .select(
@@ -132,6 +140,8 @@ def flag_cancelled(journeys: DataFrame, alerts: DataFrame) -> DataFrame:
         )
         .distinct()
     )
+    if tasks:
+        gone = gone.repartition(tasks, "JourneyNumber")
     return (
         journeys.join(gone, ["_source_timestamp", "JourneyNumber"], "left")
         .withColumn("_is_cancelled", F.coalesce("_gone", "_is_cancelled", F.lit(False)))

@@ -82,19 +82,22 @@ def stage_files(
     run_id: str,
     profile: AgencyProfile = AgencyProfile(),
     max_unresolved: float = quality.MAX_UNRESOLVED,
+    dealt: bool = False,
 ) -> dict[str, int]:
     """Decode feed files of complete sets, enrich, validate and upsert to staging.
 
     `files` has one (path, content) frame per feed. Decoded entities are written
     once; journeys, calls and checks read them from there. A file that cannot be decoded
     is named with its error in `_damaged` below the store root, and the others go on.
+    What is written on the way is removed as soon as nothing reads it; a failed run leaves it.
+    `dealt` says that the journeys and calls of a bucket fit in a task: then updates are saved in
+    the store's buckets, and journeys and calls do not move from there to their tables.
     """
-    where = f"{store.root}/_decoded/{run_id}-{uuid.uuid4().hex[:8]}"
+    own = f"{run_id}-{uuid.uuid4().hex[:8]}"
+    where, batches = f"{store.root}/_decoded/{own}", f"{store.root}/_batches/{own}"
     decoded = {}
     for kind in FEED_OF:
-        whole = feeds.decode_all(files[kind], kind)
-        whole.write.parquet(f"{where}/{kind}")
-        whole = store.spark.read.schema(whole.schema).parquet(f"{where}/{kind}")
+        whole = store.saved_once(feeds.decode_all(files[kind], kind), kind, f"{where}/{kind}")
         broken = feeds.damaged_in(whole).withColumn("run_id", F.lit(run_id))
         broken.write.mode("append").parquet(f"{store.root}/_damaged")
         decoded[kind] = feeds.entities_in(whole)
@@ -103,15 +106,24 @@ def stage_files(
     positions = feeds.positions_from(decoded["VehiclePositions"], ids)
     alerts = feeds.alerts_from(decoded["ServiceAlerts"])
     # joined with the schedule once; journeys and calls are both read from there
-    updates = store.saved_once(feeds.resolved_updates(decoded["TripUpdates"], ids, trips), "updates")
+    tasks = store.buckets if dealt else None
+    updates = feeds.resolved_updates(decoded["TripUpdates"], ids, trips, tasks)
+    if dealt:
+        updates = store.dealt_once(updates, "updates", "JourneyNumber", f"{batches}/updates")
+    else:
+        updates = store.saved_once(updates, "updates", f"{batches}/updates")
+    store.discard(f"{where}/TripUpdates")
     journeys = enrich.flag_cancelled(
-        enrich.fill_from_positions(feeds.journeys_of(updates), positions), alerts
+        enrich.fill_from_positions(feeds.journeys_of(updates), positions, tasks), alerts, tasks
     )
     calls = feeds.calls_of(updates, plan.stops, profile)
     lineage = {"_run_id": F.lit(run_id), "_parsed_timestamp": F.current_timestamp()}
     columns = {"journeys": journeys.columns, "calls": calls.columns}
-    journeys = store.hold(journeys.withColumns(lineage), "parsed_journey")
-    calls = store.hold(calls.withColumns(lineage), "parsed_call")
+    journeys = store.hold(
+        journeys.withColumns(lineage), "parsed_journey", f"{batches}/journeys", dealt
+    )
+    calls = store.hold(calls.withColumns(lineage), "parsed_call", f"{batches}/calls", dealt)
+    store.discard(f"{batches}/updates")
     quality.require_sound_staging(journeys, calls, max_unresolved, columns)
     newest = [F.desc_nulls_last("_source_timestamp")]
     rest_j = [F.desc_nulls_last("VehicleAssignedFromDateTime"), F.desc_nulls_last("DVJId")]
@@ -119,14 +131,22 @@ def stage_files(
         F.desc_nulls_last(c)
         for c in ("ObservedArrivalDateTime", "ObservedDepartureDateTime", "StopAreaNumber", "DVJId")
     ]
-    positions = store.hold(positions.withColumns(lineage), "parsed_vehicle_positions")
-    return {
-        "parsed_journey": store.upsert_held(journeys, "parsed_journey", newest + rest_j),
-        "parsed_call": store.upsert_held(calls, "parsed_call", newest + rest_c),
-        "parsed_vehicle_positions": store.upsert_held(
-            positions, "parsed_vehicle_positions", many_per_key=True
-        ),
-    }
+    positions = store.hold(
+        positions.withColumns(lineage), "parsed_vehicle_positions", f"{batches}/positions"
+    )
+    store.discard(where)
+    rows = {}
+    rows["parsed_journey"] = store.upsert_held(
+        journeys, "parsed_journey", newest + rest_j, dealt=dealt
+    )
+    store.discard(f"{batches}/journeys")
+    rows["parsed_call"] = store.upsert_held(calls, "parsed_call", newest + rest_c, dealt=dealt)
+    store.discard(f"{batches}/calls")
+    rows["parsed_vehicle_positions"] = store.upsert_held(
+        positions, "parsed_vehicle_positions", many_per_key=True
+    )
+    store.discard(batches)
+    return rows
 
 
 def prep(

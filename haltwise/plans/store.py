@@ -34,6 +34,7 @@ from haltwise.operators.keyed import (
 )
 from haltwise.plans.views import view
 
+CODEC = "zstd"
 PART, BUCKET = "_part", "_bucket"
 BUCKETS = 16
 ADDED_AT_ONCE = 200  # parts named in one statement
@@ -265,23 +266,21 @@ class Store:
         if not self.dated(table):
             seen = Observation()
             rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-            rows.write.mode("overwrite" if touched is None else "append").parquet(self.path(table))
+            out = rows.write.mode("overwrite" if touched is None else "append")
+            out.option("compression", CODEC).parquet(self.path(table))
             return seen.get["rows"]
         versions = self._versions(table) if base is None else base
         folder = f"data-{uuid.uuid4().hex}"
         written = f"{self.path(table)}/{folder}"
         own = self.bucket_column(table)
         rows = rows.select("*", *self.place(table))
-        rows = rows.repartition(self.buckets, own) if dealt else rows.hint("rebalance", PART, BUCKET)
         # bucket files can only be written through the catalog; the name goes, the files stay
         name = f"written_{uuid.uuid4().hex}"
-        (
-            rows.write.partitionBy(PART, BUCKET)
-            .bucketBy(self.buckets, own)
-            .sortBy(own)
-            .option("path", written)
-            .saveAsTable(name, format="parquet")
-        )
+        rows = rows.repartition(self.buckets, own) if dealt else rows.hint("rebalance", PART, BUCKET)
+        out = rows.write.partitionBy(PART, BUCKET).bucketBy(self.buckets, own)
+        if not dealt:  # a bucket's rows are few kinds of parts, which need no sort
+            out = out.sortBy(own)
+        out.option("path", written).option("compression", CODEC).saveAsTable(name, format="parquet")
         self.spark.sql(f"DROP TABLE {name}")
         self._publish(table, folder, touched, versions)
         reader = self.spark.read.schema(self.schema(table)).option("recursiveFileLookup", "true")
@@ -358,9 +357,15 @@ class Store:
         finally:
             self.spark.sql(f"DROP TABLE {name}")
 
-    def hold(self, df: DataFrame, table: str) -> DataFrame:
-        """A batch for a table, saved below the root and read back."""
-        return self.saved_once(self._shaped(df, table), table)
+    def hold(
+        self, df: DataFrame, table: str, folder: str | None = None, dealt: bool = False
+    ) -> DataFrame:
+        """A batch for a table, saved below the root (or in a folder of the caller's) and read back;
+        with `dealt` in the table's buckets."""
+        shaped = self._shaped(df, table)
+        if not dealt:
+            return self.saved_once(shaped, table, folder)
+        return self.dealt_once(shaped, table, self.bucket_column(table), folder)
 
     def _shaped(self, df: DataFrame, table: str) -> DataFrame:
         want = self.schema(table)
@@ -369,12 +374,33 @@ class Store:
     def _batch(self, name: str) -> str:
         return f"{self.root}/_batches/{name}-{uuid.uuid4().hex[:12]}"
 
-    def saved_once(self, df: DataFrame, name: str) -> DataFrame:
+    def saved_once(self, df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
         """A frame written to a new folder and read back, which also cuts its lineage."""
-        where = self._batch(name)
-        df.write.parquet(where)
+        where = folder or self._batch(name)
+        df.write.option("compression", CODEC).parquet(where)
         return self.spark.read.schema(df.schema).parquet(where)
 
+    def dealt_once(
+        self, df: DataFrame, name: str, column: str, folder: str | None = None
+    ) -> DataFrame:
+        """The same in the store's buckets by a column, so that what goes by it does not move."""
+        entry = f"held_{uuid.uuid4().hex}"
+        (
+            df.repartition(self.buckets, column)
+            .write.bucketBy(self.buckets, column)
+            .option("path", folder or self._batch(name))
+            .option("compression", CODEC)
+            .saveAsTable(entry, format="parquet")
+        )
+        held = self.spark.table(entry)
+        self.spark.sql(f"DROP TABLE {entry}")  # the frame knows its files
+        return held
+
+    def discard(self, folder: str) -> None:
+        """Remove a folder of batches that nobody reads any more."""
+        system, where = self._files(folder)
+        system.delete(where, True)
+
     def upsert_held(
         self,
         held: DataFrame,

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # sides that are dealt by some of a join's keys already are not dealt again by all of them
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # a task that writes few parts keeps their files open; only with more are its rows sorted
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 

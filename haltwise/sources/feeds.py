@@ -208,10 +208,13 @@ def feed_time():
 # --- entities to staged rows ----------------------------------------------
 
 
-def resolved_updates(updates: DataFrame, ids: DataFrame, trips: DataFrame) -> DataFrame:
+def resolved_updates(
+    updates: DataFrame, ids: DataFrame, trips: DataFrame, tasks: int | None = None
+) -> DataFrame:
     """Trip updates with journey-level columns; feed values first, schedule second.
 
-    Joins happen here, once per update and before its stops are unfolded.
+    Joins happen here, once per update and before its stops are unfolded. With `tasks` all sides are
+    dealt into so many by trip, and the updates, which get wide here, stay there.
     """
     seq = F.transform(
         "stops",
@@ -233,6 +236,8 @@ def resolved_updates(updates: DataFrame, ids: DataFrame, trips: DataFrame) -> Da
         "JourneyEndStopName",
         "last_sequence",
     )
+    if tasks:
+        feed, ids, schedule = (x.repartition(tasks, "trip_id") for x in (feed, ids, schedule))
     start = F.coalesce(t.blank_to_null("start_time"), F.col("s_start"))
     date = t.service_date_col("start_date")
     assigned = t.epoch_text_col(F.nullif(F.col("timestamp"), F.lit(0)))

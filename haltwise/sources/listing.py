@@ -27,9 +27,10 @@ def list_files(spark: SparkSession, path: str, glob: str = "*.pb") -> DataFrame:
     )
 
 
-def feed_files(listing: DataFrame) -> DataFrame:
-    """(file, path, ts, region, feed) of the names that follow the feed pattern."""
-    named = listing.select("path", file_name(F.col("path")).alias("file"))
+def feed_files(listing: DataFrame, *more: str) -> DataFrame:
+    """(file, path, ts, region, feed) of the names that follow the feed pattern, and `more` columns
+    of the listing."""
+    named = listing.select("path", file_name(F.col("path")).alias("file"), *more)
     # the pattern is matched once; its parts are then found by position
     feed = F.substring_index("file", "-", -1)
     region = F.substr("file", F.lit(22), F.length("file") - 22 - F.length(feed))
@@ -42,6 +43,7 @@ def feed_files(listing: DataFrame) -> DataFrame:
         F.substring("file", 1, 20).alias("ts"),
         region.alias("region"),
         right.alias("feed"),
+        *more,
     )
 
 

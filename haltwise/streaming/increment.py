@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import time
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from haltwise.plans.jobs import FEED_OF, Schedule, stage_files
 from haltwise.plans.quality import MAX_UNRESOLVED
-from haltwise.plans.store import Store
+from haltwise.plans.store import CODEC, Store
 from haltwise.schema import AgencyProfile
 from haltwise.session import settle
 from haltwise.sources import listing
@@ -50,8 +51,9 @@ class Inbox:
         profile: AgencyProfile = AgencyProfile(),
         max_unresolved: float = MAX_UNRESOLVED,
         stream: str = "feeds",
+        dealt: bool = False,
     ):
-        self.stream = stream
+        self.stream, self.dealt = stream, dealt
         self.store, self.plan, self.profile = store, plan, profile
         self.max_unresolved = max_unresolved
         self.folder = f"{store.root}/_inbox"
@@ -59,14 +61,14 @@ class Inbox:
     def __call__(self, arrived: DataFrame, batch_id: int) -> None:
         started = time.time()
         spark = self.store.spark
-        named = listing.feed_files(arrived).drop("region", "path")
         width = PART_LENGTH[self.store.layout]
+        part = F.substring(listing.file_name(F.col("path")), 1, width).alias("part")
+        lying = arrived.select("path", "content", part).hint("rebalance", "part")
         (
-            arrived.withColumn("file", listing.file_name(F.col("path")))
-            .join(named, "file")
-            .withColumn("part", F.substring("ts", 1, width))
-            .hint("rebalance", "part")
+            listing.feed_files(lying, "content", "part")
+            .drop("region")
             .write.mode("overwrite")
+            .option("compression", CODEC)
             .partitionBy("part")
             .parquet(f"{self.folder}/batch={self.stream}-{batch_id}")
         )
@@ -78,8 +80,9 @@ class Inbox:
         )
         sets = listing.file_sets(waiting.select("path")).filter("is_complete")
         # names stay in a saved frame; the driver gets their number, newest time and parts
+        taken = f"{self.store.root}/_batches/ready-{uuid.uuid4().hex[:12]}"
         ready = self.store.saved_once(
-            sets.select("ts", F.explode("files").alias("feed", "path")), "ready"
+            sets.select("ts", F.explode("files").alias("feed", "path")), "ready", taken
         )
         found = ready.agg(
             F.max("ts").alias("newest"), F.collect_set(F.substring("ts", 1, width)).alias("parts")
@@ -87,21 +90,22 @@ class Inbox:
         if not found["parts"]:
             return
         newest, parts = found["newest"], sorted(found["parts"])
-        contents = inbox.join(ready.select("path"), "path", "left_semi")
-        contents = contents.filter(F.col("part").isin(parts))
-        # a file may lie in two batches if it was written again; one copy is enough
-        contents = contents.dropDuplicates(["path"])
-        files = {
-            kind: contents.filter(F.col("feed") == feed).select("path", "content")
-            for kind, feed in FEED_OF.items()
-        }
+        files = {}
+        for kind, feed in FEED_OF.items():
+            # a path says which feed it is, so only the files of that feed are moved
+            of_feed = F.col("feed") == feed
+            contents = inbox.filter(F.col("part").isin(parts) & of_feed)
+            contents = contents.join(ready.filter(of_feed).select("path"), "path", "left_semi")
+            # a file may lie in two batches if it was written again; one copy is enough
+            files[kind] = contents.select("path", "content").dropDuplicates(["path"])
         run_id = f"{self.stream}-{batch_id}"
         counts = stage_files(
-            self.store, files, self.plan, run_id, self.profile, self.max_unresolved
+            self.store, files, self.plan, run_id, self.profile, self.max_unresolved, self.dealt
         )
         self.store.log_run(
             run_id, date.fromisoformat(newest[:10]), ready, counts, time.time() - started
         )
+        self.store.discard(taken)
 
 
 def run_increment(
@@ -111,15 +115,18 @@ def run_increment(
     checkpoint: str,
     profile: AgencyProfile = AgencyProfile(),
     max_unresolved: float = MAX_UNRESOLVED,
+    dealt: bool = False,
 ) -> StreamingQuery:
     """Take all files that arrived since the checkpoint, then stop.
 
-    The run log is created up front so that the first batch can read it.
+    The run log is created up front so that the first batch can read it. For `dealt` see
+    `stage_files`.
     """
     store.create_empty(["run_log"])
     stream = "stream-" + hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    sink = Inbox(store, plan, profile, max_unresolved, stream, dealt)
     return (
-        files.writeStream.foreachBatch(Inbox(store, plan, profile, max_unresolved, stream))
+        files.writeStream.foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -270,3 +270,52 @@ def test_the_stream_keeps_file_names_off_the_driver(city, spark, tmp_path, monke
     assert log.agg(F.sum("file_count")).first()[0] == 6
     assert log.select(F.explode("source_files")).distinct().count() == 6
     assert log.select("run_id").distinct().count() == 1
+
+
+def test_dealt_staging_moves_no_wide_row_and_leaves_no_batch(city, spark, tmp_path, rows, monkeypatch):
+    """Updates are saved in the store's buckets, journeys and calls go from there to their tables
+    where they lie, and what was written on the way is gone."""
+    from pyspark.sql import DataFrameWriter
+
+    plans, save = [], DataFrameWriter.saveAsTable
+
+    def watched(writer, *args, **options):
+        if {"_parsed_timestamp", "StopAreaNumber"} <= set(writer._df.columns):
+            plans.append(writer._df._jdf.queryExecution().executedPlan().toString())
+        return save(writer, *args, **options)
+
+    batch_store, plan = city[0], city[1]
+    feeds, store = str(tmp_path / "feeds"), Store(spark, str(tmp_path / "store"), buckets=3)
+    write_first(feeds)
+    write_second(feeds)
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", watched)
+    files = stream_feed_files(spark, feeds)
+    run_increment(
+        store, files, plan, str(tmp_path / "one"), max_unresolved=0.5, dealt=True
+    ).awaitTermination()
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", save)
+    for t in ("parsed_journey", "parsed_call", "parsed_vehicle_positions"):
+        assert rows(_without_run(store.read(t))) == rows(_without_run(batch_store.read(t)))
+    # the batch of calls, and the table
+    assert len(plans) == 2
+    assert not [p for p in plans if "Exchange hashpartitioning" in p or "REBALANCE" in p]
+    for left in ("_batches", "_decoded"):
+        assert not [p for p in (tmp_path / "store" / left).rglob("*.parquet")]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("held_")]
+
+
+def test_files_are_moved_feed_by_feed_and_kept_once(city, spark, tmp_path, rows):
+    """Two files of one name make one entry each in the inbox, and the set is taken once."""
+    from haltwise.streaming.increment import Inbox
+
+    plan, feeds = city[1], tmp_path / "feeds"
+    store = Store(spark, str(tmp_path / "store"))
+    write_first(str(feeds / "a"))
+    write_first(str(feeds / "b"))
+    store.create_empty(["run_log"])
+    arrived = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(feeds))
+    Inbox(store, plan, max_unresolved=0.5)(arrived.select("path", "content"), 0)
+    inbox = spark.read.parquet(f"{store.root}/_inbox")
+    assert rows(inbox, "path") == rows(arrived, "path") and inbox.count() == 6
+    assert inbox.filter("feed = 'TripUpdates.pb'").select("file").distinct().count() == 1
+    assert store.read("run_log").agg(F.sum("file_count")).first()[0] == 3
