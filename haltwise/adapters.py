@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from haltwise.functions import transit as t
 from haltwise.operators.keyed import latest_by_key
 from haltwise.operators.ordered import find_splits, ordered
-from haltwise.schema import OWNER, STAGED_CALL, STAGED_JOURNEY, conform, struct
+from haltwise.schema import DATE, OWNER, STAGED_CALL, STAGED_JOURNEY, conform, owner_col, struct
 from haltwise.session import settle
 
 
@@ -165,6 +165,7 @@ def journeys(spark, sf_dir) -> DataFrame:
 
 
 DEDUPE_ORDER = ["l_suppkey", "l_partkey", "l_extendedprice"]
+OWNED_JOURNEY = (OWNER, "_journey")
 
 
 def raw_calls(
@@ -180,36 +181,50 @@ def raw_calls(
     `by_journey` deals and sorts the lines by trip while they are narrow, so that windows and
     joins by journey need not move or sort the wide calls; it wants lines without copies. `buckets`
     says into how many tasks, else Spark decides. `known` (trip_id, DVJId) names the journeys of
-    trips, else the trip does.
+    trips, else the trip does; lines in buckets are then dealt by the name that saved tables go by.
     """
     if lines is None:
         lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("_trip"), "o_orderkey", "o_orderdate"
     )
-    s = stops(spark, sf_dir)
-    placed = lines.withColumn("_trip", F.col("l_orderkey").cast("string")).join(
-        s, F.col("l_suppkey") == s.s_suppkey
+    s = stops(spark, sf_dir).select(
+        "stop_id",
+        "stop_name",
+        F.col("stop_lat").cast("float").alias("Coord_Latitude"),
+        F.col("stop_lon").cast("float").alias("Coord_Longitude"),
+        "s_suppkey",
     )
+    if "_trip" not in lines.columns:
+        lines = lines.withColumn("_trip", F.col("l_orderkey").cast("string"))
+    placed = lines.join(s, F.col("l_suppkey") == s.s_suppkey)
     if by_journey and not buckets:
         placed = placed.repartition("_trip")
     timed = placed.join(orders, "_trip")
     if known is not None:
         gids = known.select(F.col("trip_id").alias("_trip"), F.col("DVJId").alias("_gid"))
         timed = timed.join(gids, "_trip", "left")
+    own, journey = [], F.col("_trip" if known is None else "_gid")
+    if buckets and known is not None:
+        own, journey = [OWNER], F.when(F.col("_resolved"), F.col(OWNER))
+        names = {"DVJId": F.col("_gid"), "JourneyGid": F.col("_trip"), DATE: F.to_date("o_orderdate")}
+        timed = timed.withColumns(names).withColumn(OWNER, owner_col([*names]))
+        # a resolved journey is moved under one name
+        timed = timed.withColumn("_resolved", F.col("_gid").isNotNull()).drop("_gid", *names)
     if buckets:  # after the joins, which would deal anew what lies in few tasks
-        timed = timed.repartition(buckets, "_trip")
+        timed = timed.repartition(buckets, *(own or ["_trip"]))
     if by_journey:
-        timed = timed.sortWithinPartitions("_trip", "l_linenumber")
+        timed = timed.sortWithinPartitions(*own, "_trip", "l_linenumber")
     base = (
         timed.select(
             *DEDUPE_ORDER,
+            *own,
             "_trip",
             "stop_id",
             "stop_name",
-            F.col("stop_lat").cast("float").alias("Coord_Latitude"),
-            F.col("stop_lon").cast("float").alias("Coord_Longitude"),
-            F.col("_trip" if known is None else "_gid").alias("DVJId"),
+            "Coord_Latitude",
+            "Coord_Longitude",
+            journey.alias("DVJId"),
             F.to_date("o_orderdate").alias("OperatingDate"),
             F.expr("cast(nullif(o_orderkey % 3, 2) as int)").alias("DirectionNumber"),
             F.col("l_linenumber").alias("SequenceNumber"),
@@ -264,7 +279,9 @@ def raw_calls(
         }
     )
     keep = conform(full, struct(STAGED_CALL))
-    return full.select("_trip", *DEDUPE_ORDER, *[c for c in keep.columns if c in full.columns])
+    return full.select(
+        "_trip", *own, *DEDUPE_ORDER, *[c for c in keep.columns if c in full.columns]
+    )
 
 
 def calls(
@@ -274,23 +291,36 @@ def calls(
 
     The order lines are made unique first, while they are narrow. Every trip here is a journey of
     its own, so the trip is the name of the journey (`_journey`) by which windows go. With the
-    `buckets` of a store they lie as its tables do, and are named as there.
+    `buckets` of a store they lie as its tables do, and are named as there; where `known` names
+    the journeys, windows that should not move them go by both names, `OWNED_JOURNEY`.
     """
-    lines = latest_by_key(
-        table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_linenumber", "l_quantity", *DEDUPE_ORDER
-        ),
-        ["l_orderkey", "l_linenumber"],
-        DEDUPE_ORDER,
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", *DEDUPE_ORDER
     )
+    trip = "l_orderkey"
+    if buckets and known is not None:  # by trip at once, as the joins that come before the buckets go
+        trip = "_trip"
+        lines = lines.withColumn(trip, F.col("l_orderkey").cast("string")).repartition(trip)
+    lines = latest_by_key(lines, [trip, "l_linenumber"], DEDUPE_ORDER)
     staged = raw_calls(spark, sf_dir, lines, by_journey=True, known=known, buckets=buckets)
     staged = staged.withColumnRenamed("_trip", "_journey")
     want = f"{STAGED_CALL}, _journey string"
-    if buckets and known is None:
-        staged, want = staged.withColumn(OWNER, F.col("_journey")), f"{want}, {OWNER} string"
+    if buckets:
+        want = f"{want}, {OWNER} string"
+        if known is None:
+            staged = staged.withColumn(OWNER, F.col("_journey"))
     return conform(staged, struct(want))
 
 
+def call_numbers(spark, sf_dir) -> DataFrame:
+    """Sequence numbers of all calls by journey as the windows name it, to tell whether any journey
+    is too big for a task without making the calls."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("_journey"),
+        F.col("l_linenumber").alias("SequenceNumber"),
+    )
+
+
 def positions(spark, sf_dir) -> DataFrame:
     """Vehicle position reports, one per event."""
     at = (

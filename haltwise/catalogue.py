@@ -170,10 +170,10 @@ def call_cancelled(spark, sf):
     return c.call_cancelled(a.calls(spark, sf), cancelled_journeys(spark, sf))
 
 
-def unresolved_calls(spark, sf):
+def unresolved_calls(spark, sf, buckets=None):
     """Calls whose trip is looked up in the trip mapping, which lacks some trips."""
     known = enrich.dated_journey_ids(a.mapping(spark, sf))
-    return a.calls(spark, sf, known)
+    return a.calls(spark, sf, known, buckets)
 
 
 _GID = "'9015012' || lpad(DVJId, 9, '0')"
@@ -281,15 +281,17 @@ _call_view("v_journey_call_missing_passage",
 )
 def v_call_extra(spark, sf):
     """The view over saved tables."""
-    store = new_store(spark, n_rows(spark, sf, "lineitem"))
-    staged = unresolved_calls(spark, sf)
-    built = {
-        "journey_call": c.journey_call(staged, splits=c.call_splits(staged)),
-        "journey_call_on_extra_journey": c.call_extra(staged, dated=True),
-    }
-    for table, df in built.items():
-        store.replace_dates(store.with_lineage(df), table)
-    found = store.views(["v_journey_call_on_extra_journey"])["v_journey_call_on_extra_journey"]
+    name = "v_journey_call_on_extra_journey"
+    store = new_store(spark, n_rows(spark, sf, "lineitem"), CALLS_IN_BUCKET)
+    staged = unresolved_calls(spark, sf, store.buckets)
+    calls = c.journey_call(
+        staged, splits=c.call_splits(a.call_numbers(spark, sf)), dated=True, keys=a.OWNED_JOURNEY
+    )
+    store.replace_dates(store.with_lineage(calls), "journey_call", dealt=True)
+    # of the calls as they are saved, few columns are read, from where they lie
+    extra = c.call_extra(store.bucketed("journey_call"), dated=True)
+    store.replace_dates(store.with_lineage(extra), "journey_call_on_extra_journey", dealt=True)
+    found = store.views([name], dealt=True)[name]
     return found.drop("SourceFiles", "ProcessedTimestamp")
 
 

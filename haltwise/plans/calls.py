@@ -6,6 +6,8 @@ Builders take staged calls that are unique by journey and sequence
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,11 +85,15 @@ def journey_call(
     profile: AgencyProfile = AgencyProfile(),
     splits: Splits | None = None,
     dated: bool = False,
+    keys: Sequence[str] = ("_journey",),
 ) -> DataFrame:
-    """Base call table: agency constants, and distance to the stops around."""
+    """Base call table: agency constants, and distance to the stops around.
+
+    `keys` name a journey; what calls lie by comes first, so that they do not move.
+    """
     around = ordered(
         with_journey(calls),
-        ["_journey"],
+        list(keys) if splits is None else ["_journey"],
         ["SequenceNumber"],
         lag={"_plat": "Coord_Latitude", "_plon": "Coord_Longitude"},
         lead={"_nlat": "Coord_Latitude", "_nlon": "Coord_Longitude"},

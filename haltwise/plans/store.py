@@ -467,9 +467,12 @@ class Store:
         base = self._versions(name)
         self._save(self._parts(name, parts).unionByName(rows).dropDuplicates(own), name, parts, base)
 
-    def views(self, names: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    def views(
+        self, names: Sequence[str] | None = None, dealt: bool = False
+    ) -> dict[str, DataFrame]:
         """Tables and join views as temporary views of the session. Both sides of a view are
-        bucketed by the journey, so its join needs no exchange."""
+        bucketed by the journey, so its join needs no exchange; with `dealt`, which says that
+        journeys are small and a bucket fits in a task, no sort either."""
         out = {}
         there = {t: self.bucketed(t) for t in s.TABLES if self.exists(t)}
         for t, df in there.items():
@@ -477,7 +480,7 @@ class Store:
         for name in names or s.VIEWS:
             spec = s.VIEWS[name]
             if spec.base in there and spec.extension in there:
-                out[name] = view(name, there[spec.base], there[spec.extension])
+                out[name] = view(name, there[spec.base], there[spec.extension], dealt)
                 out[name].createOrReplaceTempView(name)
         return out
 

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from haltwise.schema import OWNER, TABLES, VIEWS
+from haltwise.schema import MANY_PER_KEY, OWNER, TABLES, VIEWS
 
 
-def view(name: str, base: DataFrame, extension: DataFrame) -> DataFrame:
+def view(
+    name: str, base: DataFrame, extension: DataFrame, hashed: bool = False
+) -> DataFrame:
     """The view as a DataFrame: every base row, extension columns where keys match.
 
     Where both sides have the name of the journey, as saved tables do, they meet by
-    it, so that calls without a dated journey are found too.
+    it, so that calls without a dated journey are found too. `hashed` says that a task can hold its
+    share of the extension, or of the base where the extension has many rows to one of the base:
+    then that side is looked up, and neither side is sorted.
     """
     spec = VIEWS[name]
     extra = TABLES[spec.extension].extra_columns
@@ -19,7 +23,12 @@ def view(name: str, base: DataFrame, extension: DataFrame) -> DataFrame:
     if OWNER in base.columns and OWNER in extension.columns:
         keys = [OWNER if k == "DVJId" else k for k in keys]
     columns = [c for c in base.columns if c != OWNER]
-    return base.join(extension.select(*keys, *extra), keys, "left").select(*columns, *extra)
+    found = extension.select(*keys, *extra)
+    if hashed and spec.extension in MANY_PER_KEY:
+        base = base.hint("shuffle_hash")
+    elif hashed:
+        found = found.hint("shuffle_hash")
+    return base.join(found, keys, "left").select(*columns, *extra)
 
 
 def view_sql(name: str, prefix: str = "") -> str:

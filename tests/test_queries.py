@@ -141,3 +141,34 @@ def test_saved_calls_do_not_move_again(spark, monkeypatch, name):
         moved = [x.split("Exchange ")[1] for x in plan.splitlines() if "Exchange " in x]
         assert not [x for x in moved if "rebalance" in x.lower() or "_part#" in x]
         assert not [x for x in moved if "_owner#" in x or "_journey#" in x or "SequenceNumber#" in x]
+
+
+@pytest.mark.parametrize("name", ["v_journey_call_on_extra_journey"])
+def test_saved_views_of_calls_neither_move_nor_sort_wide_rows(spark, capsys, monkeypatch, name):
+    """Calls are dealt into the store's buckets while narrow, by the name their tables go by; the
+    extension is made of the saved calls, and the view looks its rows up."""
+    from pyspark.sql import DataFrameWriter
+
+    plans, save = {}, DataFrameWriter.saveAsTable
+
+    def watched(writer, *args, **options):
+        kind = "calls" if "StopName" in writer._df.columns else "extension"
+        plans[kind] = writer._df._jdf.queryExecution().executedPlan().toString()
+        return save(writer, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", watched)
+    other = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "12"}
+    before = {k: spark.conf.get(k) for k in other}
+    try:
+        for k, v in other.items():
+            spark.conf.set(k, v)
+        read = plan_of(QUERIES[name](spark, SF), capsys)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    lines = plans["calls"].splitlines()
+    dealt = next(i for i, x in enumerate(lines) if "Exchange hashpartitioning(_owner#" in x)
+    assert not [x for x in lines[:dealt] if "Exchange" in x]
+    assert len([x for x in lines[:dealt] if "Sort [" in x]) == 1  # the narrow one, for the window
+    assert "Exchange" not in plans["extension"]
+    assert "ShuffledHashJoin" in read and "Exchange" not in read and "Sort [" not in read

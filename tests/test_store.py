@@ -201,3 +201,24 @@ def test_buckets_as_tasks_give_the_same_table(spark, tmp_path, rows):
         seen.append((counts, kept, aside, again, left, set(store.manifest(table))))
     assert seen[0] == seen[1]
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("held_", "old_"))]
+
+
+def test_views_that_are_looked_up_have_the_same_rows(spark, tmp_path, rows):
+    """Also with journeys that have no extension, none or several rows, and no name."""
+    store = Store(spark, str(tmp_path), "year", buckets=3)
+    calls = [(f"j{k % 20}", k // 20, D1) for k in range(60)] + [(None, 1, D1), ("j0", 0, D1)]
+    calls = spark.createDataFrame(calls, "DVJId string, SequenceNumber int, OperatingDate date")
+    late = calls.filter("SequenceNumber < 2").withColumn("ArrivalDelaySeconds", F.col("SequenceNumber").cast("bigint"))
+    runs = calls.select("DVJId", "OperatingDate").distinct()
+    path = runs.filter("DVJId > 'j15'").withColumn("Latitude", F.explode(F.array(F.lit("1"), F.lit("2"))))
+    given = {"journey_call": calls, "journey_call_delay": late, "journey": runs, "journey_planned_path": path}
+    for dealt in (False, True):
+        for table, df in given.items():
+            store.replace_dates(df, table, dealt=dealt)
+    names = ["v_journey_call_delay", "v_journey_planned_path"]
+    sorted_, looked_up = store.views(names), store.views(names, dealt=True)
+    for name in names:
+        plan = looked_up[name]._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "Exchange" not in plan and "Sort [" not in plan
+        assert rows(looked_up[name]) == rows(sorted_[name])
+    assert looked_up[names[0]].count() == 62 + 2 and looked_up[names[1]].count() == 21 + 12
