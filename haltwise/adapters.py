@@ -128,10 +128,23 @@ def alerts(spark, sf_dir) -> DataFrame:
     )
 
 
-def journeys(spark, sf_dir) -> DataFrame:
-    """Staged journeys, one per order."""
-    base = table(spark, sf_dir, "orders").select(
+def journeys(spark, sf_dir, buckets: int | None = None) -> DataFrame:
+    """Staged journeys, one per order.
+
+    With the `buckets` of a store they are dealt while narrow, lie as its tables do, and are named as
+    there.
+    """
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        "o_orderdate",
+        "o_custkey",
+        "o_orderpriority",
         F.col("o_orderkey").cast("string").alias("DVJId"),
+    )
+    if buckets:
+        orders = orders.repartition(buckets, "DVJId")
+    base = orders.select(
+        "DVJId",
         F.to_date("o_orderdate").alias("OperatingDate"),
         F.expr("cast(nullif(o_orderkey % 3, 2) as int)").alias("DirectionNumber"),
         F.expr("cast(o_custkey % 25 as string)").alias("LineNumber"),
@@ -146,6 +159,7 @@ def journeys(spark, sf_dir) -> DataFrame:
     )
     trip = F.col("DVJId")
     start = t.joined_date_time_col("OperatingDate", "JourneyStartTime")
+    own = {OWNER: trip} if buckets else {}
     return conform(
         base.withColumns(
             {
@@ -159,8 +173,9 @@ def journeys(spark, sf_dir) -> DataFrame:
                 "InProgressUptoDateTime": start,
                 "JourneyLastStopSequenceNumber": F.lit(7),
             }
+            | own
         ),
-        struct(STAGED_JOURNEY),
+        struct(", ".join([STAGED_JOURNEY, *(f"{x} string" for x in own)])),
     )
 
 

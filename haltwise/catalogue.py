@@ -39,6 +39,7 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
 
 ROWS_IN_BUCKET = 2_000_000
 CALLS_IN_BUCKET = 500_000  # wide rows, which a task sorts by part
+POINTS_IN_BUCKET = 1_000_000  # points of a path, which a task sorts beside their stops
 STAGED_IN_BUCKET = 200_000  # wider rows, of which a task sorts out the newest per key
 
 
@@ -445,20 +446,28 @@ _path_view(
 )
 
 
-def _saved_path_view(name, columns, build, digits=()):
-    """The view over saved tables: base and paths saved, joined by bucket and read."""
+def _saved_path_view(name, columns, build, digits=(), dealt=False):
+    """The view over saved tables: base and paths saved, joined by bucket and read. With `dealt`
+    journeys are dealt into the store's buckets while narrow, and `build` gets the saved ones and
+    the number of buckets, to deal what it makes of them as they lie."""
     shown = ", ".join(f'"{x}"' for x in [*schema.TABLES["journey"].columns, *columns])
 
     @query(f"saved_{name}", f"SELECT {shown} FROM ({ORACLES[name]})")
     def run(spark, sf):
         # a planned path has up to ten points for every order
         n = max(10 * n_rows(spark, sf, "orders"), n_rows(spark, sf, "events"))
-        store = new_store(spark, n)
-        staged = journeys.unique_journeys(a.journeys(spark, sf))
-        base, spec = journeys.journey(staged), schema.VIEWS[name]
-        store.replace_dates(store.with_lineage(base), spec.base)
-        store.replace_dates(store.with_lineage(build(staged, spark, sf)), spec.extension)
-        found = store.views([name])[name].select(*base.columns, *columns)
+        store = new_store(spark, n, POINTS_IN_BUCKET if dealt else ROWS_IN_BUCKET)
+        buckets = store.buckets if dealt else None
+        staged = journeys.unique_journeys(a.journeys(spark, sf, buckets))
+        base, spec = journeys.journey(staged, dated=dealt), schema.VIEWS[name]
+        store.replace_dates(store.with_lineage(base), spec.base, dealt=dealt)
+        if dealt:
+            extension = build(store.bucketed(spec.base), spark, sf, buckets)
+        else:
+            extension = build(staged, spark, sf)
+        store.replace_dates(store.with_lineage(extension), spec.extension, dealt=dealt)
+        wanted = [*schema.TABLES[spec.base].columns, *columns]
+        found = store.views([name], dealt=dealt)[name].select(*wanted)
         # the contract saves most numbers as text
         kinds = {x: "int" if x.endswith("SequenceNumber") else "double" for x in columns}
         kinds.pop("PositionDateTime", None)
@@ -472,8 +481,11 @@ _saved_path_view(
 )
 _saved_path_view(
     "v_journey_planned_path", _PLANNED_COLS[1:],  # the contract has no point number
-    lambda x, s, f: paths.planned_path_values(x, a.shapes(s, f), a.trips(s, f), a.stop_times(s, f)),
+    lambda x, s, f, n: paths.planned_path_values(
+        x, a.shapes(s, f), a.trips(s, f), a.stop_times(s, f), buckets=n
+    ),
     ["OnLinkOffsetMeters"],
+    dealt=True,
 )
 
 

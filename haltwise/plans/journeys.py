@@ -29,8 +29,10 @@ def unique_journeys(journeys: DataFrame, newest_first: list | None = None) -> Da
     ).drop("_trip")
 
 
-def journey(journeys: DataFrame, profile: AgencyProfile = AgencyProfile()) -> DataFrame:
-    return publish(journeys.withColumns(agency_columns(profile)), "journey")
+def journey(
+    journeys: DataFrame, profile: AgencyProfile = AgencyProfile(), dated: bool = False
+) -> DataFrame:
+    return publish(journeys.withColumns(agency_columns(profile)), "journey", dated)
 
 
 def start_delay(calls: DataFrame, dated: bool = False) -> DataFrame:

@@ -199,33 +199,46 @@ def next_stop(
     no point × stop pairs are made. `bounded` says that both sides are known to fit
     (see `planned_path_values`).
     """
-    stops = latest_by_key(
-        stop_times.filter(
-            "trip_id IS NOT NULL AND shape_dist_traveled IS NOT NULL AND stop_sequence IS NOT NULL"
-        ).select("trip_id", "stop_sequence", F.col("shape_dist_traveled").alias("offset_m")),
-        ["trip_id", "stop_sequence"],
-        ["offset_m"],
-    )
-    line = points.withColumn("_stop", F.lit(0)).unionByName(
-        stops.select(
-            "trip_id",
-            "offset_m",
-            F.lit(1).alias("_stop"),
-            F.col("stop_sequence").alias("_stop_seq"),
+    line = on_line(points, trip_stops(stop_times))
+    splits = None if bounded else find_splits(line, ["trip_id"], "offset_m", limit)
+    return with_next_stop(line, ["trip_id"], points.columns, splits)
+
+
+def trip_stops(stop_times: DataFrame, by_trip: bool = False) -> DataFrame:
+    """Stops of each trip with their place on its line; `by_trip` deals them as a join by trip
+    wants them."""
+    stops = stop_times.filter(
+        "trip_id IS NOT NULL AND shape_dist_traveled IS NOT NULL AND stop_sequence IS NOT NULL"
+    ).select("trip_id", "stop_sequence", F.col("shape_dist_traveled").alias("offset_m"))
+    if by_trip:
+        stops = stops.repartition("trip_id")
+    return latest_by_key(stops, ["trip_id", "stop_sequence"], ["offset_m"])
+
+
+def on_line(points: DataFrame, stops: DataFrame) -> DataFrame:
+    """Points and stops under each other."""
+    return points.withColumn("_stop", F.lit(0)).unionByName(
+        stops.withColumns({"_stop": F.lit(1), "_stop_seq": F.col("stop_sequence")}).drop(
+            "stop_sequence"
         ),
         allowMissingColumns=True,
     )
-    splits = None if bounded else find_splits(line, ["trip_id"], "offset_m", limit)
+
+
+def with_next_stop(
+    line: DataFrame, keys: list[str], columns: list[str], splits: Splits | None = None
+) -> DataFrame:
+    """The points of a line, each with the first stop at or after it."""
     return (
         ordered(
             line,
-            ["trip_id"],
+            keys,
             ["offset_m", "_stop", "_stop_seq", "shape_pt_sequence"],
             following={"next_stop_sequence": "_stop_seq"},
             splits=splits,
         )
         .filter("_stop = 0")
-        .select(*points.columns, "next_stop_sequence")
+        .select(*columns, "next_stop_sequence")
     )
 
 
@@ -235,17 +248,29 @@ def planned_path_values(
     trips: DataFrame,
     stop_times: DataFrame | None = None,
     limit: int = GROUP_ROWS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Shape points of every journey with offset and next stop; typed values.
 
     The line of a trip is worked out once and then joined to the journeys that run
-    it, however many dates there are.
+    it, however many dates there are. With the `buckets` of a store, points and stops of small
+    lines are dealt by journey instead, once and as numbers, and each journey's line is worked out
+    where its points are saved.
     """
     run_by = journeys.select(
         "DVJId",
         "OperatingDate",
         trip_of_journey(journeys, "TripId", "JourneyGid").alias("trip_id"),
     ).filter("trip_id IS NOT NULL")
+    if buckets and stop_times is not None:
+        splits, bounded = line_splits(shapes, stop_times, limit)
+        if bounded:
+            runs = run_by.join(shape_of_trip(trips), "trip_id")
+            points = runs.join(shape_lines(shapes, splits), "shape_id").drop("shape_id")
+            called = run_by.join(trip_stops(stop_times, by_trip=True), "trip_id")
+            line = on_line(points, called).repartition(buckets, "DVJId")
+            found = with_next_stop(line, [*run_by.columns], points.columns)
+            return _planned(found, "DVJId", "OperatingDate")
     lines = trip_lines(run_by, shapes, trips, stop_times, limit)
     return run_by.join(lines, "trip_id").select("DVJId", "OperatingDate", *PLANNED_COLUMNS)
 
@@ -281,22 +306,39 @@ def trip_lines(
     limit: int = GROUP_ROWS,
 ) -> DataFrame:
     """Shape points with offset and next stop of every trip that `run_by` names (trip_id)."""
-    trip_shape = latest_by_key(
+    runs = run_by.select("trip_id").distinct()
+    trip_shape = shape_of_trip(trips).join(runs, "trip_id", "left_semi")
+    splits, bounded = line_splits(shapes, stop_times, limit)
+    lines = trip_shape.join(shape_lines(shapes, splits), "shape_id").drop("shape_id")
+    if stop_times is None:
+        lines = lines.withColumn("next_stop_sequence", F.lit(None).cast("int"))
+    else:
+        lines = next_stop(lines, stop_times, limit, bounded)
+    return _planned(lines, "trip_id")
+
+
+def shape_of_trip(trips: DataFrame) -> DataFrame:
+    return latest_by_key(
         trips.select("trip_id", "shape_id").filter("shape_id IS NOT NULL"),
         ["trip_id"],
         ["shape_id"],
-    ).join(run_by.select("trip_id").distinct(), "trip_id", "left_semi")
+    )
+
+
+def line_splits(
+    shapes: DataFrame, stop_times: DataFrame | None, limit: int
+) -> tuple[Splits | None, bool]:
+    """Range bounds of big shapes, and whether the lines of all trips are known to be small."""
     splits = find_splits(shapes, ["shape_id"], "shape_pt_sequence", limit, unique=True)
-    lines = trip_shape.join(shape_lines(shapes, splits), "shape_id").drop("shape_id")
     if stop_times is None:
-        lines = lines.withColumn("next_stop_sequence", F.lit(None).cast("int"))
-    else:
-        few_stops = (
-            find_splits(stop_times, ["trip_id"], "stop_sequence", limit, unique=True) is None
-        )
-        lines = next_stop(lines, stop_times, limit, bounded=splits is None and few_stops)
+        return splits, splits is None
+    few = find_splits(stop_times, ["trip_id"], "stop_sequence", limit, unique=True) is None
+    return splits, splits is None and few
+
+
+def _planned(lines: DataFrame, *keys: str) -> DataFrame:
     return lines.select(
-        "trip_id",
+        *keys,
         "shape_pt_sequence",
         F.col("next_stop_sequence").alias("EndOfLinkSequenceNumber"),
         F.col("shape_pt_lat").alias("Latitude"),

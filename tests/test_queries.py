@@ -172,3 +172,32 @@ def test_saved_views_of_calls_neither_move_nor_sort_wide_rows(spark, capsys, mon
     assert len([x for x in lines[:dealt] if "Sort [" in x]) == 1  # the narrow one, for the window
     assert "Exchange" not in plans["extension"]
     assert "ShuffledHashJoin" in read and "Exchange" not in read and "Sort [" not in read
+
+
+def test_saved_planned_paths_move_once(spark, capsys, monkeypatch):
+    """Journeys are dealt while narrow; points are saved where they were worked out; the view looks
+    journeys up."""
+    from pyspark.sql import DataFrameWriter
+
+    plans, save = {}, DataFrameWriter.saveAsTable
+
+    def watched(writer, *args, **options):
+        kind = "points" if "Latitude" in writer._df.columns else "journeys"
+        plans[kind] = writer._df._jdf.queryExecution().executedPlan().toString()
+        return save(writer, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", watched)
+    other = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "12"}
+    before = {k: spark.conf.get(k) for k in other}
+    try:
+        for k, v in other.items():
+            spark.conf.set(k, v)
+        read = plan_of(QUERIES["saved_v_journey_planned_path"](spark, SF), capsys)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plans["journeys"].count("Exchange ") == 1
+    lines = plans["points"].splitlines()
+    dealt = next(i for i, x in enumerate(lines) if "Exchange hashpartitioning(DVJId#" in x)
+    assert not [x for x in lines[:dealt] if "Exchange" in x]
+    assert "ShuffledHashJoin" in read and "Exchange" not in read and "Sort [" not in read

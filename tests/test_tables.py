@@ -288,3 +288,39 @@ def test_rows_with_planned_path_are_those_of_the_join(spark, rows):
         got = paths.with_planned_path(base, shapes, trips, stop_times, limit)
         assert rows(got) == rows(want)
     assert got.count() == 12
+
+
+def test_paths_dealt_by_journey_are_those_worked_out_by_trip(spark, rows, capsys):
+    """Trips of several dates, without a journey, a shape or stops; stops and journeys given twice.
+    Points move once, as numbers, into the buckets they are saved in."""
+    base = spark.createDataFrame(
+        [("a", "2024-01-10", "t1"), ("a", "2024-01-11", "t1"), ("b", "2024-01-10", "t2"),
+         (None, "2024-01-10", "t1"), (None, "2024-01-10", "t2"), ("c", None, "t1"),
+         ("d", "2024-01-10", None), ("e", "2024-01-10", "t3"), ("f", "2024-01-10", "t4"),
+         ("g", "2024-01-10", "t1"), ("g", "2024-01-10", "t1")],
+        "DVJId string, day string, JourneyGid string",
+    ).selectExpr("DVJId", "date(day) AS OperatingDate", "JourneyGid")
+    shapes = spark.createDataFrame(
+        [(s, 55.0 + k / 100, 13.0, k, None) for s in ("s", "r") for k in range(4)],
+        "shape_id string, shape_pt_lat double, shape_pt_lon double, shape_pt_sequence int, "
+        "shape_dist_traveled double",
+    )
+    trips = spark.createDataFrame(
+        [("t1", "s"), ("t2", "r"), ("t3", None), ("t4", "s"), ("t5", "s")],
+        "trip_id string, shape_id string",
+    )
+    stop_times = spark.createDataFrame(
+        [("t1", 1, 0.0), ("t1", 2, 2000.0), ("t1", 2, 2500.0), ("t1", 3, 3000.0), ("t2", 5, 1200.0),
+         ("t5", 1, 9.0), ("t1", None, 1.0)],
+        "trip_id string, stop_sequence int, shape_dist_traveled double",
+    )
+    want = rows(paths.planned_path_values(base, shapes, trips, stop_times))
+    assert len(want) == 4 * 9
+    for limit in (1 << 20, 2):  # with ranges the lines are worked out by trip
+        got = paths.planned_path_values(base, shapes, trips, stop_times, limit, buckets=3)
+        assert rows(got) == want
+    capsys.readouterr()
+    paths.planned_path_values(base, shapes, trips, stop_times, buckets=3).explain()
+    lines = capsys.readouterr().out.splitlines()
+    dealt = next(i for i, x in enumerate(lines) if "Exchange hashpartitioning(DVJId#" in x)
+    assert not [x for x in lines[:dealt] if "Exchange" in x]
