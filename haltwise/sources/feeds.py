@@ -220,6 +220,8 @@ def resolved_updates(
         "stops",
         lambda s, i: F.coalesce(F.nullif(s["stop_sequence"], F.lit(0)), i.cast("bigint") + 1),
     )
+    if tasks:  # before more is added to them, which also keeps the joins from dealing them anew
+        updates = updates.repartition(tasks, "trip_id")
     feed = updates.select(
         *updates.columns, feed_time().alias("_source_timestamp"), seq.alias("_seq")
     )
@@ -237,7 +239,7 @@ def resolved_updates(
         "last_sequence",
     )
     if tasks:
-        feed, ids, schedule = (x.repartition(tasks, "trip_id") for x in (feed, ids, schedule))
+        ids, schedule = (x.repartition(tasks, "trip_id") for x in (ids, schedule))
     start = F.coalesce(t.blank_to_null("start_time"), F.col("s_start"))
     date = t.service_date_col("start_date")
     assigned = t.epoch_text_col(F.nullif(F.col("timestamp"), F.lit(0)))

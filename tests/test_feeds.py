@@ -2,6 +2,7 @@
 
 import pytest
 from city import NOON, STOPS, service_alerts, trip_updates, vehicle_positions, write_set
+from pyspark.sql import functions as F
 
 from haltwise.plans import enrich
 from haltwise.schema import STAGED_CALL, STAGED_JOURNEY, struct
@@ -196,3 +197,29 @@ def test_encoded_columns_keep_what_is_absent(spark):
     assert (a.route_id, a.direction_id, a.vehicle_label) == (None, 1, None)
     assert (b.route_id, b.direction_id, b.start_date, b.vehicle_label) == ("r", None, None, "bus")
     assert tuple(a.stops[0]) == ("s", 1, None, None, 0, 5) and tuple(b.stops[0]) == ("s", 2, 7, 9, None, None)
+
+
+def test_updates_dealt_by_trip_stay_there_through_their_joins(spark, capsys):
+    """Also where joins shuffle, and into more tasks than the store has buckets."""
+    updates = spark.createDataFrame([("f", 0, "t1")], "path string, entity int, trip_id string")
+    want = {f.name: f.dataType for f in spark.createDataFrame([], " ".join(feeds.TRIP_UPDATE.split()))
+            .schema if f.name not in updates.columns}
+    updates = updates.withColumns({n: F.lit(None).cast(k) for n, k in want.items()})
+    ids = spark.createDataFrame([("t1", "d1")], "trip_id string, DVJId string").distinct()
+    text = "LineNumber JourneyStartTime ExtendedLineDesignation DestinationName BlockNumber " \
+        "JourneyOriginName JourneyEndStopName route_id".split()
+    trips = spark.createDataFrame([("t1", 4, 0)], "trip_id string, last_sequence int, DirectionNumber int")
+    trips = trips.withColumns({n: F.lit(n) for n in text})
+    other = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "12"}
+    before = {k: spark.conf.get(k) for k in other}
+    try:
+        for k, v in other.items():
+            spark.conf.set(k, v)
+        dealt = feeds.resolved_updates(updates, ids, trips, 3).repartition(3, "JourneyNumber")
+        dealt.explain()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    moved = [x.split("hashpartitioning(")[1] for x in capsys.readouterr().out.splitlines() if "Exchange hash" in x]
+    assert sorted(x.split("#")[0] + x.split(")")[0][-3:] for x in moved if "DVJId" not in x) == ["trip_id, 3"] * 3
+    assert dealt.collect() == feeds.resolved_updates(updates, ids, trips).collect()
